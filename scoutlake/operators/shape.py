@@ -70,7 +70,7 @@ def to_team_rows(matches, match="ID", home="HomeTeam", away="AwayTeam", home_sco
                           side("Away", away, home, away_score, home_score, away_elo, home_elo),
                           )).alias("s"))
     diff = F.col("Score") - F.col("OpponentScore")
-    out = rows.select("Match", *[c if isinstance(c, str) else F.col(c) for c in keep], "s.*")
+    out = rows.select("Match", *keep, "s.*")
     out = out.withColumns({
         "ScoreDiff": diff,
         "Result": F.when(diff > 0, 1).when(diff < 0, -1).otherwise(0),
@@ -184,25 +184,33 @@ def prune_text(c):
     return F.when(F.trim(_col(c)) != "", _col(c))
 
 
+def _pruned(c, dtype):
+    """Expression without NaN, blank text, empty arrays, maps and structs, at any depth."""
+    kind = dtype.typeName()
+    if kind == "string":
+        return prune_text(c)
+    if kind in ("double", "float"):
+        return F.when(~F.isnan(c), c)
+    if kind == "array":
+        kept = F.filter(F.transform(c, lambda x: _pruned(x, dtype.elementType)),
+                        lambda x: x.isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+    if kind == "map":
+        kept = F.map_filter(F.transform_values(c, lambda k, v: _pruned(v, dtype.valueType)),
+                            lambda k, v: v.isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+    if kind == "struct":
+        parts = {f.name: _pruned(c[f.name], f.dataType) for f in dtype.fields}
+        some = reduce(lambda x, y: x | y, [p.isNotNull() for p in parts.values()])
+        return F.when(some, F.struct(*[p.alias(n) for n, p in parts.items()]))
+    return c
+
+
 def prune(df, id_cols=()):
-    """Null out NaN, blank strings, empty arrays and maps; ``to_json`` then drops them."""
-    out = []
-    for field in df.schema.fields:
-        c, kind = F.col(field.name), field.dataType.typeName()
-        if field.name in id_cols:
-            pass
-        elif kind == "string":
-            c = prune_text(c)
-        elif kind in ("double", "float"):
-            c = F.when(~F.isnan(c), c)
-        elif kind == "map":
-            c = F.map_filter(c, lambda k, v: v.isNotNull())
-            c = F.when(F.size(c) > 0, c)
-        elif kind == "array":
-            c = F.filter(c, lambda x: x.isNotNull())
-            c = F.when(F.size(c) > 0, c)
-        out.append(c.alias(field.name))
-    return df.select(out)
+    """Null out everything empty, recursively; ``to_json`` then drops the fields."""
+    return df.select([F.col(f.name) if f.name in id_cols
+                      else _pruned(F.col(f.name), f.dataType).alias(f.name)
+                      for f in df.schema.fields])
 
 
 def drop_constant_columns(df, cols, keep=()):

@@ -164,14 +164,23 @@ def pick_lineup(squad, slots, team="Team", player="Player", name="Name", positio
     """Best players per formation slot, in slot order, nobody twice.
 
     ``slots`` has (team, slot, position, n).  At most the sum of all slots can be
-    taken before a slot is filled, so only that many more candidates per
-    position can matter: the exact pick needs a bounded list per team.
+    taken before a slot is filled, so only that many more names per position can
+    matter: the exact pick needs a bounded list per team.
     """
-    limit = slots.groupBy(team).agg(F.sum("n").alias("_all"))
-    cand = squad.join(slots, [team, position]).join(limit, team)
-    w = Window.partitionBy(team, position).orderBy(F.col(score).desc(), F.col(player))
-    cand = cand.withColumn("_r", F.row_number().over(w))
-    cand = cand.filter(F.col("_r") <= 200).filter(F.col("_r") <= F.col("n") + F.col("_all"))
+    total = slots.groupBy(team).agg(F.sum("n").alias("_all"), F.max("n").alias("_max"))
+    most = total.agg(F.max("_max"), F.max(F.col("_all") + F.col("_max"))).first()
+    per_name, names = most[0] or 0, most[1] or 0
+    cand = squad.join(slots, [team, position])
+    rank = [F.col(score).desc(), F.col(player)]
+    # No slot takes more than per_name rows of one name, and of the best `names`
+    # names at most that many minus the slot size are taken elsewhere.
+    cand = last_n(cand, [team, position, name], rank, per_name, "_q")
+    best = cand.filter("_q = 1").select(team, position, name, F.col(score).alias("_s"),
+                                        F.col(player).alias("_p"))
+    best = last_n(best, [team, position], [F.col("_s").desc(), F.col("_p")], names, "_q2")
+    cand = cand.join(best.select(team, position, name), [team, position, name], "left_semi")
+    cand = cand.withColumn("_r", F.row_number().over(
+        Window.partitionBy(team, position).orderBy(*rank)))
     cand = cand.select(team, "slot", position, "n", player, name, "_r")
 
     def pick(pdf):
