@@ -23,10 +23,11 @@ def edit_keys(c, threshold):
     string of length n can differ from a partner in at most
     d = floor(2 n (1 - s) / s) places, each touching two letter pairs.  So two
     partners share one of the first 2 d + 1 letter pairs in any fixed order, or
-    are equal where d is 0.  Holds for thresholds of 0.8 and more.
+    are equal where d is 0.  Holds for thresholds of 0.85 and more, where at
+    least one letter pair always survives.
     """
-    if threshold < 0.8:
-        raise ValueError("letter-pair keys need a threshold of at least 0.8")
+    if threshold < 0.85:
+        raise ValueError("letter-pair keys need a threshold of at least 0.85")
     c = _col(c)
     n = F.length(c)
     d = F.floor(2.0 * n * (1.0 - threshold) / threshold + 1e-9).cast("int")
@@ -95,7 +96,7 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
     value at or over the threshold counts (ties: smaller value, smaller id), and
     the best field wins (ties: field order).  Several rows may choose the same
     partner.  Without a block only values that share a word or an edit key are
-    compared, which loses nothing at thresholds of 80 and more.
+    compared, which loses nothing at thresholds of 85 and more.
     """
     def side(df, id_col, role):
         return df.select(
