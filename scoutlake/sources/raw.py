@@ -5,7 +5,7 @@ and a function from the parsed frame to rows, which also runs on JSON held in a
 column.  Broken documents are dropped by the reader.
 """
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..functions.dates import epoch_date
@@ -51,11 +51,10 @@ EVENTS = """liveData STRUCT<event ARRAY<STRUCT<id BIGINT, typeId INT, periodId I
 
 def read_json(spark, path, schema):
     """One JSON object per file, with the file path; files that do not parse are dropped."""
-    names = [f.name for f in T._parse_datatype_string(schema).fields]
     df = (spark.read.schema(schema + ", _broken STRING").option("multiLine", True)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken")
           .json(path).select("*", F.col("_metadata.file_path").alias("path")))
-    filled = F.coalesce(*[F.col(n).isNotNull() & F.lit(True) for n in names])
+    filled = F.coalesce(*[F.col(n).isNotNull() for n in df.columns if n not in ("_broken", "path")])
     return df.filter(F.col("_broken").isNull() & filled).drop("_broken")
 
 

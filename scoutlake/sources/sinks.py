@@ -12,24 +12,27 @@ def documents(df, id_col="ID"):
                         F.to_json(F.struct(*clean.columns)).alias("doc"))
 
 
-def write_documents(df, kind, path, id_col="ID", skip_existing=False):
-    """One JSON object per line under ``<path>/<kind>/bucket=NN``, found again by its id's bucket.
+def write_documents(df, kind, path, id_col="ID", skip_existing=False, folder="bucket"):
+    """One JSON object per line under ``<path>/<kind>/bucket=NN``, found again by its id's hash.
 
-    One small file per id does not scale, so documents are bucketed by id hash;
-    ``skip_existing`` adds only ids not written yet.
+    One small file per id does not scale to many entities; ``folder="id"`` still
+    writes that layout.  ``skip_existing`` adds only ids that are not there yet.
     """
     target = f"{path}/{kind}"
-    docs = documents(df, id_col).withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(256)).cast("int"))
-    mode = "overwrite"
-    if skip_existing:
-        mode = "append"
-        try:
-            old = df.sparkSession.read.parquet(target).select("id")
-            docs = docs.join(old, "id", "left_anti")
-        except Exception as error:          # nothing written yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-    docs.write.mode(mode).partitionBy("bucket").option("maxRecordsPerFile", 100_000).parquet(target)
+    spark = df.sparkSession
+    docs = documents(df, id_col)
+    if skip_existing and _exists(spark, target):
+        old = spark.read.text(target).select(F.get_json_object("value", f"$.{id_col}").alias("id"))
+        docs = docs.join(old, "id", "left_anti")
+    if folder == "bucket":
+        docs = docs.select("doc", F.pmod(F.xxhash64("id"), F.lit(256)).cast("int").alias("bucket"))
+    writer = docs.write.mode("append" if skip_existing else "overwrite")
+    writer.option("maxRecordsPerFile", 100_000).partitionBy(folder).text(target)
+
+
+def _exists(spark, path):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def comparison_rows(metrics, percentiles, id_col, part=None):
