@@ -146,8 +146,8 @@ def fill_periods(df, key="Player", period="Period", days=14, zero=("PlayedMatche
     Rows per key are bounded by the calendar, so the per-key window stays small.
     """
     span = df.groupBy(key).agg(F.min(period).alias("_a"), F.max(period).alias("_b"))
-    grid = span.select(key, F.explode(F.sequence(
-        "_a", "_b", F.expr(f"interval {days} days"))).cast("date").alias(period))
+    grid = span.select(key, F.explode(F.sequence("_a", "_b", F.expr(f"interval {days} days"))).alias(period))
+    grid = grid.withColumn(period, F.col(period).cast("date"))
     out = grid.join(df, [key, period], "left")
     w = Window.partitionBy(key).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
     return out.withColumns({**{c: F.coalesce(F.col(c), F.lit(0)) for c in zero},
@@ -213,9 +213,10 @@ def team_lineups(matches, players, player_stats, team_stats, slots, coords, seas
     squad = squad.join(total, ["Team", "Name"]).withColumn(
         "Score", 0.7 * F.col("TotalMinutes") + 0.3 * F.col("MinutesPlayed"))
     formation = mode_min(team_stats.join(played, "Match", "left_semi"), ["Team"], "Formation")
-    wanted = formation.join(slots, formation["Formation"] == slots["formation"]).select(
-        "Team", "Formation", "slot", F.col("position").alias("Position"), "n")
-    lineup = pick_lineup(squad, wanted.drop("Formation"))
+    per_slot = slots.select(F.col("formation").alias("Formation"), "slot",
+                            F.col("position").alias("Position"), "n")
+    wanted = formation.join(per_slot, "Formation").select("Team", "slot", "Position", "n")
+    lineup = pick_lineup(squad, wanted)
     lineup = lineup.withColumn("idx", F.row_number().over(
         Window.partitionBy("Team", "Position").orderBy("rank")) - 1)
     xy = coords.select(F.col("formation").alias("Formation"), F.col("position").alias("Position"),
