@@ -152,7 +152,7 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
 
 def with_leftovers(matched, a, b, id_a="IdSS", id_b="IdSW"):
     """Matched id pairs plus the ids of both sides that found no partner."""
-    pairs = matched.select(id_a, id_b).distinct()
+    pairs = materialize(matched.select(id_a, id_b).distinct(), "matched")
     rest_a = a.select(F.col(id_a).cast("string").alias(id_a)).distinct().join(pairs, id_a, "left_anti")
     rest_b = b.select(F.col(id_b).cast("string").alias(id_b)).distinct().join(pairs, id_b, "left_anti")
     return pairs.unionByName(rest_a, allowMissingColumns=True).unionByName(

@@ -159,17 +159,22 @@ def top_k(df, order, k):
     return df.orderBy(*order).limit(k)
 
 
+def slot_limits(slots, key):
+    """(largest slot, largest total plus largest slot) over the line-ups of a slot table."""
+    total = slots.groupBy(key).agg(F.sum("n").alias("_all"), F.max("n").alias("_max"))
+    most = total.agg(F.max("_max"), F.max(F.col("_all") + F.col("_max"))).first()
+    return most[0] or 0, most[1] or 0
+
+
 def pick_lineup(squad, slots, team="Team", player="Player", name="Name", position="Position",
-                score="Score"):
+                score="Score", limits=None):
     """Best players per formation slot, in slot order, nobody twice.
 
     ``slots`` has (team, slot, position, n).  At most the sum of all slots can be
     taken before a slot is filled, so only that many more names per position can
     matter: the exact pick needs a bounded list per team.
     """
-    total = slots.groupBy(team).agg(F.sum("n").alias("_all"), F.max("n").alias("_max"))
-    most = total.agg(F.max("_max"), F.max(F.col("_all") + F.col("_max"))).first()
-    per_name, names = most[0] or 0, most[1] or 0
+    per_name, names = limits or slot_limits(slots, team)
     cand = squad.join(slots, [team, position])
     rank = [F.col(score).desc(), F.col(player)]
     # No slot takes more than per_name rows of one name, and of the best `names`
@@ -216,7 +221,7 @@ def team_lineups(matches, players, player_stats, team_stats, slots, coords, seas
     per_slot = slots.select(F.col("formation").alias("Formation"), "slot",
                             F.col("position").alias("Position"), "n")
     wanted = formation.join(per_slot, "Formation").select("Team", "slot", "Position", "n")
-    lineup = pick_lineup(squad, wanted)
+    lineup = pick_lineup(squad, wanted, limits=slot_limits(slots, "formation"))
     lineup = lineup.withColumn("idx", F.row_number().over(
         Window.partitionBy("Team", "Position").orderBy("rank")) - 1)
     xy = coords.select(F.col("formation").alias("Formation"), F.col("position").alias("Position"),
