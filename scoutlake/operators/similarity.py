@@ -108,6 +108,7 @@ def _split(pdf):
 def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=None, decimals=6):
     """The n most similar rows of the same group for each row, numbered from 1.
 
+    Values equal to ``decimals`` places rank by id.
     ``published`` (a frame with ``id``) limits both sides before the ranking.
     """
     if published is not None:
@@ -121,21 +122,22 @@ def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=N
         for (ids, a), (others, b) in ((left, right),) if i == j else ((left, right), (right, left)):
             if len(ids) == 0 or len(others) == 0:
                 continue
-            sims = np.round(_percent(_similarities(a, b, metric), metric), decimals)
+            sims = _percent(_similarities(a, b, metric), metric)
             if i == j:
                 np.fill_diagonal(sims, -np.inf)
+            ranked = np.round(sims, decimals)
             for r in range(len(ids)):
-                for c in _best(sims[r], others, n):
+                for c in _best(ranked[r], others, n):
                     if np.isfinite(sims[r, c]):
                         rows.append((pdf["grp"].iloc[0], ids[r], others[c], sims[r, c]))
         return pd.DataFrame(rows, columns=["grp", "id", "other", "similarity"])
 
     schema = f"grp {grp_type}, id {id_type}, other {id_type}, similarity double"
     found = _tiles(vectors, tile, schema, tile_rows)
-    return last_n(found, ["id"], [F.col("similarity").desc(), F.col("other")], n, "num")
+    return last_n(found, ["id"], [round_even("similarity", decimals).desc(), F.col("other")], n, "num")
 
 
-def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS, decimals=6):
+def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS):
     """Unordered pairs of a group at or over a similarity, each once with a < b."""
     id_type = vectors.schema["id"].dataType.simpleString()
     grp_type = vectors.schema["grp"].dataType.simpleString()
@@ -144,7 +146,7 @@ def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS,
         i, j, ((ids, a), (others, b)) = _split(pdf)
         if len(ids) == 0 or len(others) == 0:
             return pd.DataFrame(columns=["grp", "a", "b", "similarity"])
-        sims = np.round(_percent(_similarities(a, b, metric), metric), decimals)
+        sims = _percent(_similarities(a, b, metric), metric)
         hit = sims >= min_percent
         if i == j:
             hit &= np.triu(np.ones_like(hit), 1)
@@ -211,8 +213,9 @@ def cross_similarity(players, teams, max_teams=1024):
     packed = teams.select(F.pmod(F.xxhash64("id"), F.lit(lists)).alias("_l"),
                           F.struct(F.col("id").alias("team"), unit("v").alias("v")).alias("_t"))
     packed = packed.groupBy("_l").agg(F.collect_list("_t").alias("_ts"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(lists - 1).cast("long"))
     rows = players.select(F.col("id").alias("player"), unit("v").alias("_u"),
-                          F.explode(F.sequence(F.lit(0), F.lit(lists - 1))).cast("long").alias("_l"))
+                          F.explode(numbers).alias("_l"))
     rows = rows.join(packed, "_l").select("player", "_u", F.explode("_ts").alias("_t"))
     return rows.select("player", F.col("_t.team").alias("team"),
                        dot("_u", F.col("_t.v")).alias("similarity"))
