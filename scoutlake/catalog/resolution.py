@@ -106,7 +106,7 @@ def e5(spark, sf):
 
 _E6 = f"""
 WITH {MATCH}, {STATS.strip()},
-lt AS (SELECT player, arg_max(team, (v_match.date, match)) AS team FROM v_stats JOIN v_match ON id = match WHERE season = '1999' GROUP BY player),
+lt AS (SELECT player, arg_max(team, (v_match.date, match, team)) AS team FROM v_stats JOIN v_match ON id = match WHERE season = '1999' GROUP BY player),
 p AS (SELECT p_partkey AS id, CASE WHEN p_size % 4 <> 0 THEN p_name END AS mn, p_brand AS slug, p_type AS country,
   coalesce(lt.team, p_size) AS team, CASE WHEN p_size > 25 THEN p_size END AS contract, CASE WHEN p_size % 3 = 0 THEN 1 END AS shirt
   FROM part LEFT JOIN lt ON lt.player = p_partkey),
@@ -171,7 +171,7 @@ s AS (SELECT v_stats.*, fm.pos, v_match.date AS md FROM v_stats JOIN f USING (ma
       LEFT JOIN v_match ON id = match AND season = '1998' WHERE minutes > 0),
 c AS (SELECT player, pos, row_number() OVER (PARTITION BY player ORDER BY count(*) DESC, pos) AS rn FROM s WHERE pos IS NOT NULL GROUP BY player, pos),
 t AS (SELECT player, max(pos) FILTER (rn = 1) AS p1, max(pos) FILTER (rn = 2) AS p2 FROM c GROUP BY player),
-l AS (SELECT player, arg_max(team, (md, match)) AS team FROM s WHERE md IS NOT NULL GROUP BY player)
+l AS (SELECT player, arg_max(team, (md, match, team, shirt)) AS team FROM s WHERE md IS NOT NULL GROUP BY player)
 SELECT p_partkey AS "ID", coalesce(p1, CASE WHEN p_size % 2 = 0 THEN 'GK' END) AS "FirstPos", p2 AS "SecondPos",
   CASE coalesce(p1, CASE WHEN p_size % 2 = 0 THEN 'GK' END) WHEN 'LB' THEN 'FB' ELSE coalesce(p1, CASE WHEN p_size % 2 = 0 THEN 'GK' END) END AS "Position",
   l.team AS "Team", split_part(p_name, ' ', 1) AS "FirstName", split_part(p_name, ' ', 2) AS "LastName"
@@ -182,7 +182,6 @@ def e9(spark, sf):
     fm = spark.createDataFrame([("A", "SMALL", "LB"), ("A", "LARGE", "CB"), ("B", "SMALL", "ST"), ("B", "PROMO", "GK")],
                                "formation string, raw_position string, position string")
     clean = res.clean_player_stats(s, ts, matches(spark, sf), fm, "1998")
-    # several lines of an order may be the same part: the newest row is any of them
     none = F.lit(None).cast("string")
     players = table(spark, sf, "part").select(
         F.col("p_partkey").alias("ID"), F.col("p_name").alias("Name"), none.alias("FirstName"), none.alias("LastName"),

@@ -125,19 +125,19 @@ def _events(spark, sf):
 WITH {_WEEKS.format(d=2)},
 s AS (SELECT player, unnest(generate_series(min(period), max(period), INTERVAL 2 DAY))::DATE AS period FROM g GROUP BY player)
 SELECT player AS "Player", period AS "Period", coalesce(n, 0) AS "PlayedMatches",
-  {r('last_value(m IGNORE NULLS) OVER (PARTITION BY player ORDER BY period ROWS UNBOUNDED PRECEDING)', 6)} AS "MeanRating"
+  {r('last_value(m IGNORE NULLS) OVER (PARTITION BY player ORDER BY period ROWS UNBOUNDED PRECEDING)', 9)} AS "MeanRating"
 FROM s LEFT JOIN g USING (player, period)""")
 def w8(spark, sf):
     b = win.bucket_ratings(_events(spark, sf), days=2, anchor="2023-07-04", min_matches=0)
-    return rounded(win.fill_periods(b, days=2), 6, "MeanRating")
+    return rounded(win.fill_periods(b, days=2), 9, "MeanRating")
 
 
 @query("w9_period_buckets", f"""
 WITH {_WEEKS.format(d=14)}
-SELECT player AS "Player", period AS "Period", n AS "PlayedMatches", {r('m', 6)} AS "MeanRating" FROM g
+SELECT player AS "Player", period AS "Period", n AS "PlayedMatches", {r('m', 9)} AS "MeanRating" FROM g
 WHERE player IN (SELECT user_id FROM events GROUP BY 1 HAVING count(DISTINCT event_id) >= 10)""")
 def w9(spark, sf):
-    return rounded(win.bucket_ratings(_events(spark, sf), anchor="2023-07-04"), 6, "MeanRating")
+    return rounded(win.bucket_ratings(_events(spark, sf), anchor="2023-07-04"), 9, "MeanRating")
 
 
 @query("w10_top_k", """

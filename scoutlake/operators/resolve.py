@@ -119,14 +119,17 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
         rows = rows.withColumn("key", F.explode(word_keys("value", threshold / 100.0)))
 
     def score(pdf):
-        found = []
+        found, seen = [], {}
         for (field, _), g in pdf.groupby(["field", "key"], sort=False):
             left, right = g[g["role"] == 0], g[g["role"] == 1].sort_values(["value", "id"])
             choices = right.drop_duplicates("value")[["value", "id"]].values.tolist()
             for value, sub in left.groupby("value", sort=False):
                 best = None
                 for choice, other in choices:
-                    s = token_set_score(value, choice)
+                    pair = (value, choice)
+                    s = seen.get(pair)
+                    if s is None:
+                        s = seen[pair] = token_set_score(value, choice, threshold)
                     if s >= threshold and (best is None or s > best[0]):
                         best = (s, choice, other)
                         if s == 100.0:
@@ -321,7 +324,7 @@ def merge_identities(players, stats, matches, season, order=("Slug", "ID")):
     played = stats.select("Match", "Team", "Player").join(
         matches.filter(F.col("Season").cast("string") == str(season)).select(
             F.col("ID").alias("Match"), "Date"), "Match").dropna(subset=["Date", "Player", "Team"])
-    last = latest(played, "Player", ["Date", "Match"], [F.col("Team").alias("_team")])
+    last = latest(played, "Player", ["Date", "Match", "Team"], [F.col("Team").alias("_team")])
     df = players.join(last.withColumnRenamed("Player", "ID"), "ID", "left")
     df = df.withColumn("Team", F.coalesce("_team", "Team")).drop("_team").select(players.columns)
 
@@ -398,8 +401,8 @@ def clean_player_stats(player_stats, team_stats, matches, formation_map, season)
 def clean_players(players, stats):
     """Positions played (else declared), team and number of the last match, names."""
     seen = top_positions(stats, groups=lk.MAIN_POSITION)
-    now = latest(stats.filter(F.col("Date").isNotNull()), "Player", ["Date", "Match"],
-                 ["Team", "ShirtNumber"])
+    now = latest(stats.filter(F.col("Date").isNotNull()), "Player",
+                 ["Date", "Match", "Team", "ShirtNumber"], ["Team", "ShirtNumber"])
     base = players.drop("Team", "ShirtNumber", "MainPos")
     played = base.drop("FirstPos", "SecondPos", "ThirdPos").join(
         seen.withColumnRenamed("Player", "ID"), "ID")

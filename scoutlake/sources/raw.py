@@ -14,6 +14,9 @@ from ..operators.aggregate import pivot_qualifiers
 from ..operators.shape import const_map
 from ..operators.windows import next_actor
 
+# Folder names of the two match-data providers under <league>/<season>.
+FIRST, SECOND = "sofascore", "scoresway"
+
 MANAGER = """manager STRUCT<id BIGINT, name STRING, shortName STRING, country STRUCT<name STRING>,
  dateOfBirthTimestamp BIGINT, performance STRUCT<total INT, wins INT, draws INT, losses INT,
  goalsScored INT, goalsConceded INT, totalPoints INT>>"""
@@ -144,9 +147,9 @@ def matches(df):
 
 
 def _match_files(spark, root, name, schema, seasons):
-    """Files <root>/<league>/<season>/sofascore/matches/<id>/<name> of the wanted seasons."""
+    """Files <root>/<league>/<season>/<provider>/matches/<id>/<name> of the wanted seasons."""
     pattern = "{" + ",".join(seasons) + "}"
-    df = read_json(spark, f"{root}/*/{pattern}/sofascore/matches/*/{name}", schema)
+    df = read_json(spark, f"{root}/*/{pattern}/{FIRST}/matches/*/{name}", schema)
     return df.withColumns({"IdSS": path_part(1), "Season": path_part(4), "League": path_part(5)})
 
 
@@ -268,9 +271,9 @@ def kits(df):
 
 
 def _season_files(spark, root, name, schema, seasons):
-    """Files <root>/<league>/<season>/scoresway/<name>."""
+    """Files <root>/<league>/<season>/<provider>/<name>."""
     pattern = "{" + ",".join(seasons) + "}"
-    df = read_json(spark, f"{root}/*/{pattern}/scoresway/{name}", schema)
+    df = read_json(spark, f"{root}/*/{pattern}/{SECOND}/{name}", schema)
     return df.withColumns({"Season": path_part(2), "League": path_part(3)})
 
 
@@ -349,7 +352,7 @@ def lineup_sides(df):
 def scan_kv_lineups(spark, root, calendar_df, seasons=("2425", "2526")):
     """Parsed line-up documents next to the match, home and away id of the calendar."""
     pattern = "{" + ",".join(seasons) + "}"
-    docs = read_json(spark, f"{root}/*/{pattern}/scoresway/matches/*.json", KV_LINEUPS)
+    docs = read_json(spark, f"{root}/*/{pattern}/{SECOND}/matches/*.json", KV_LINEUPS)
     ids = calendar_df.select(F.col("IdSW").alias("Match"), "HomeTeam", "AwayTeam")
     return docs.withColumn("Match", file_stem()).join(ids, "Match")
 
