@@ -1,5 +1,7 @@
 """Entity resolution across providers: fuzzy matching, duplicate merging, id rewriting."""
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -20,24 +22,23 @@ def edit_keys(c, threshold):
     """Keys of which two strings share at least one if their similarity reaches the threshold.
 
     With similarity s = 1 - d / (len a + len b), d insertions and deletions, a
-    string of length n can differ from a partner in at most
-    d = floor(2 n (1 - s) / s) places, each touching two letter pairs.  So two
-    partners share one of the first 2 d + 1 letter pairs in any fixed order, or
-    are equal where d is 0.  Holds for thresholds of 0.85 and more, where at
-    least one letter pair always survives.
+    string of length n differs from a partner in at most
+    d = floor(2 n (1 - s) / s) places, and each place touches two letter pairs.
+    So at most 2 d of its distinct letter pairs are missing in the partner, and
+    the first 2 d + 1 of both in one fixed order have one in common (strings with
+    d = 0 must be equal).  Holds for thresholds of 0.85 and more, where at least
+    one letter pair always survives.
     """
     if threshold < 0.85:
         raise ValueError("letter-pair keys need a threshold of at least 0.85")
     c = _col(c)
     n = F.length(c)
     d = F.floor(2.0 * n * (1.0 - threshold) / threshold + 1e-9).cast("int")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                        lambda i: F.substring(c, i, F.lit(2)))
-    counted = F.transform(grams, lambda g, i: F.struct(
-        F.xxhash64(g).alias("h"), g.alias("g"),
-        F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).alias("k")))
-    first = F.slice(F.array_sort(counted), F.lit(1), F.greatest(2 * d + 1, F.lit(1)))
-    keys = F.transform(first, lambda s: F.concat(F.lit("g:"), s["g"], F.lit("#"), s["k"].cast("string")))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+                                         lambda i: F.substring(c, i, F.lit(2))))
+    ordered = F.array_sort(F.transform(grams, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+    first = F.slice(ordered, F.lit(1), F.greatest(2 * d + 1, F.lit(1)))
+    keys = F.transform(first, lambda s: F.concat(F.lit("g:"), s["g"]))
     return F.when(n > 0, F.array_union(F.array(F.concat(F.lit("="), c)),
                                        F.when(d > 0, keys).otherwise(F.array().cast("array<string>"))))
 
@@ -65,13 +66,14 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
     else:
         sizes = sizes.filter(F.col("_na") > 1)
     n = F.col("_na") + F.col("_nb")
-    total = sizes.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
-    packs = max(1, -(-int(total) // tile_rows))
     big = n > tile_rows
-    rows = rows.join(sizes, list(keys))
     half = max(1, tile_rows // 2)
     ta = F.when(big, F.ceil(F.col("_na") / half)).otherwise(1).cast("int")
     tb = ta if not sides else F.when(big, F.ceil(F.col("_nb") / half)).otherwise(1).cast("int")
+    total, grid = sizes.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum(
+        F.when(big, ta.cast("long") * tb)), F.lit(0))).first()
+    packs = max(1, -(-int(total) // tile_rows) * 4)
+    rows = rows.join(sizes, list(keys))
     block = F.pmod(F.xxhash64("id"), F.when(F.col("role") == 0, ta).otherwise(tb)).cast("int")
     other = F.sequence(F.lit(0), F.when(F.col("role") == 0, tb).otherwise(ta) - 1)
     rows = rows.withColumn("_b", block).withColumn("_o", F.explode(other))
@@ -84,7 +86,11 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
         F.pmod(F.xxhash64(*keys), F.lit(packs)).cast("string"))
     rows = rows.select(*[c for c in rows.columns if c not in ("_na", "_nb", "_o", "_b")],
                        big.alias("_big"), pack.alias("_pack"), i.alias("_i"), j.alias("_j"))
-    return rows.groupBy("_big", "_pack", "_i", "_j").applyInPandas(fn, schema)
+    # The tiles are few bytes but much work, so they are spread before the size-based merge.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = ["_big", "_pack", "_i", "_j"]
+    rows = rows.repartition(max(1, min(parts, packs + int(grid))), *cell)
+    return rows.groupBy(*cell).applyInPandas(fn, schema)
 
 
 def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
@@ -119,11 +125,18 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
         rows = rows.withColumn("key", F.explode(word_keys("value", threshold / 100.0)))
 
     def score(pdf):
+        groups = {}
+        cols = [pdf[c].tolist() for c in ("field", "key", "role", "value", "id", "block", "swap")]
+        for field, key, role, value, i, blk, sw in zip(*cols):
+            left, right = groups.setdefault((field, key), ({}, {}))
+            if role == 0:
+                left.setdefault(value, []).append((blk, i, sw))
+            else:
+                right[value] = min(i, right.get(value, i))
         found, seen = [], {}
-        for (field, _), g in pdf.groupby(["field", "key"], sort=False):
-            left, right = g[g["role"] == 0], g[g["role"] == 1].sort_values(["value", "id"])
-            choices = right.drop_duplicates("value")[["value", "id"]].values.tolist()
-            for value, sub in left.groupby("value", sort=False):
+        for (field, _), (left, right) in groups.items():
+            choices = sorted(right.items())
+            for value, rows in left.items():
                 best = None
                 for choice, other in choices:
                     pair = (value, choice)
@@ -135,8 +148,7 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
                         if s == 100.0:
                             break
                 if best:
-                    found += [(blk, i, bool(sw), int(field), best[0], best[1], best[2])
-                              for blk, i, sw in zip(sub["block"], sub["id"], sub["swap"])]
+                    found += [(blk, i, bool(sw), int(field), *best) for blk, i, sw in rows]
         return pd.DataFrame(found, columns=["block", "id", "swap", "field", "score", "choice", "other"])
 
     schema = "block string, id string, swap boolean, field int, score double, choice string, other string"
@@ -236,23 +248,31 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
     nc, nk = len(check), len(keys)
 
     def link(pdf):
-        out = []
-        for _, g in pdf.groupby("key", sort=False):
-            recs = g[["id", *cols]].drop_duplicates("id").values.tolist()
-            parent = list(range(len(recs)))
+        groups, seen, out = {}, {}, []
+        for key, rec in zip(pdf["key"].tolist(), zip(*(pdf[c].tolist() for c in ["id", *cols]))):
+            groups.setdefault(key, {})[rec[0]] = rec[1:]
+        for recs in groups.values():
+            items = sorted(recs.items())
+            root = list(range(len(items)))
 
             def find(x):
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
                 return x
 
-            for x in range(len(recs)):
-                for y in range(x + 1, len(recs)):
+            for x, (i, left) in enumerate(items):
+                for y in range(x + 1, len(items)):
+                    j, right = items[y]
                     fx, fy = find(x), find(y)
-                    if fx != fy and _alike(recs[x][1:], recs[y][1:], nc, nk, threshold):
-                        parent[fx] = fy
-                        out.append((recs[x][0], recs[y][0]))
+                    if fx == fy:
+                        continue
+                    same = seen.get((i, j))
+                    if same is None:
+                        same = seen[i, j] = _alike(left, right, nc, nk, threshold)
+                    if same:
+                        root[fx] = fy
+                        out.append((i, j))
         return pd.DataFrame(out, columns=["src", "dst"])
 
     id_type = df.schema[id_col].dataType.simpleString()
@@ -261,11 +281,29 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
 
 
 def _alike(a, b, nc, nk, threshold):
+    """Whether the mean ratio of the shared texts reaches the threshold without a key conflict."""
     for x, y in zip(a[nc:nc + nk], b[nc:nc + nk]):
         if x is not None and y is not None and x != y:
             return False
-    ratios = [r for r in map(sequence_ratio, a[:nc], b[:nc]) if r is not None]
-    return bool(ratios) and sum(ratios) / len(ratios) >= threshold
+    texts = [(x, y) for x, y in zip(a[:nc], b[:nc]) if x is not None and y is not None]
+    if not texts:
+        return False
+    total = 0.0
+    for done, (x, y) in enumerate(texts):       # lengths bound what the rest can add
+        rest = sum(_length_ratio(u, v) for u, v in texts[done:])
+        if (total + rest) / len(texts) < threshold:
+            return False
+        total += _ratio(x, y)
+    return total / len(texts) >= threshold
+
+
+@lru_cache(maxsize=200_000)
+def _ratio(x, y):
+    return sequence_ratio(x, y)
+
+
+def _length_ratio(x, y):
+    return 1.0 if not x and not y else 2.0 * min(len(x), len(y)) / (len(x) + len(y))
 
 
 def merge_duplicates(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_ROWS):

@@ -92,6 +92,8 @@ def _best(scores, ids, n):
 
 def _tiles(vectors, fn, schema, tile_rows):
     blocks = _blocks(vectors, tile_rows)
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(parts, "grp", "_i", "_j")
     return blocks.groupBy("grp", "_i", "_j").applyInPandas(fn, schema)
 
 
