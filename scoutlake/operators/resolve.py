@@ -1,7 +1,5 @@
 """Entity resolution across providers: fuzzy matching, duplicate merging, id rewriting."""
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -248,7 +246,7 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
     nc, nk = len(check), len(keys)
 
     def link(pdf):
-        groups, seen, out = {}, {}, []
+        groups, seen, known, out = {}, {}, {}, []
         for key, rec in zip(pdf["key"].tolist(), zip(*(pdf[c].tolist() for c in ["id", *cols]))):
             groups.setdefault(key, {})[rec[0]] = rec[1:]
         for recs in groups.values():
@@ -269,7 +267,7 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
                         continue
                     same = seen.get((i, j))
                     if same is None:
-                        same = seen[i, j] = _alike(left, right, nc, nk, threshold)
+                        same = seen[i, j] = _alike(left, right, nc, nk, threshold, known)
                     if same:
                         root[fx] = fy
                         out.append((i, j))
@@ -280,7 +278,7 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
     return copies.unionByName(links).distinct()
 
 
-def _alike(a, b, nc, nk, threshold):
+def _alike(a, b, nc, nk, threshold, known):
     """Whether the mean ratio of the shared texts reaches the threshold without a key conflict."""
     for x, y in zip(a[nc:nc + nk], b[nc:nc + nk]):
         if x is not None and y is not None and x != y:
@@ -293,15 +291,13 @@ def _alike(a, b, nc, nk, threshold):
         rest = sum(_length_ratio(u, v) for u, v in texts[done:])
         if (total + rest) / len(texts) < threshold:
             return False
-        total += _ratio(x, y)
+        ratio = known.get((x, y))
+        if ratio is None:
+            ratio = known[x, y] = sequence_ratio(x, y)
+        total += ratio
     return total / len(texts) >= threshold
 
 
-@lru_cache(maxsize=200_000)
-def _ratio(x, y):
-    return sequence_ratio(x, y)
-
-
 def _length_ratio(x, y):
     return 1.0 if not x and not y else 2.0 * min(len(x), len(y)) / (len(x) + len(y))
 
