@@ -83,12 +83,13 @@ def run_fit(spark, metrics, events, out, season, as_of, leagues=None, min_matche
     posset = F.array_join(F.array_sort("positions"), ",").alias("posset")
     own_set = positions.select(F.col("id").alias("player"), posset).join(pool.select(F.col("ID").alias("player")), "player", "left_semi")
     sets = own_set.select("posset").distinct()
-    mates = materialize(sim.position_sets(positions, sets, vectors), "mates")
+    club_players = positions.join(clubs, "team", "left_semi")
+    mates = materialize(sim.position_sets(club_players, sets, vectors), "mates")
     pos_sim = sim.same_position_similarity(vectors, both.join(own_set, "player"), mates)
 
     passes = read_table(spark, f"{events}/pass_map").select("Player", "IniX", "IniY")
     own_cells = sim.heat_cells(passes.join(pool.select(F.col("ID").alias("Player")), "Player", "left_semi"), "Player")
-    club_sets = sim.position_mates(positions.join(clubs, "team", "left_semi"), sets)
+    club_sets = sim.position_mates(club_players, sets)
     set_points = passes.join(club_sets.withColumnRenamed("id", "Player"), "Player").withColumn(
         "key", F.concat_ws("|", "posset", "team"))
     set_cells = sim.heat_cells(set_points, "key")
@@ -110,8 +111,8 @@ def run_fit(spark, metrics, events, out, season, as_of, leagues=None, min_matche
         F.col("Player").alias("id"), F.array(*[zero(c, 1.0) for c in style]).alias("v"))
     style_sim = sim.cross_similarity(style_players, style_teams)
 
-    measures = materialize(sim.fit_measures(pairs.select("player", "team"), players, teams,
-                                            team_sim, squad_sim, pos_sim, pass_corr, style_sim), "measures")
+    measures = materialize(sim.fit_measures(pairs, players, teams, team_sim, squad_sim, pos_sim,
+                                            pass_corr, style_sim), "measures")
     scored = sim.stars(sim.fit_score(measures).select("player", "team", "Score"))
     write_table(measures, f"{out}/fit/measures")
     write_table(scored, f"{out}/fit/scores")
