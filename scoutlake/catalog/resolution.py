@@ -56,9 +56,17 @@ def e3(spark, sf):
 
 @query("e4_merge_duplicates")
 def e4(spark, sf):
-    """Parts whose names and types agree, unless their brands differ."""
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
-    return res.merge_duplicates(p, "p_partkey", ["p_name", "p_type"], ["p_brand"])
+    """Customers entered up to three times with slips in the name; a nation, where known, must agree."""
+    key = F.col("c_custkey")
+    person = F.floor(key / 3)
+    last = F.concat(F.lit("mar"), F.substring(F.sha2(person.cast("string"), 256), 1, 7))
+    last = F.concat(last, F.when(key % 3 == 0, F.lit("s")).otherwise(F.lit("")))
+    name = F.concat_ws(" ", F.substring(F.sha2((-person).cast("string"), 256), 1, 6), last)
+    c = table(spark, sf, "customer").select(
+        "c_custkey", name.alias("Name"), last.alias("ShortName"), F.col("c_mktsegment").alias("Segment"),
+        F.when(key % 2 == 0, F.col("c_nationkey")).alias("Nation"))
+    c = c.withColumn("Slug", slug("Name"))
+    return res.merge_duplicates(c, "c_custkey", ["Slug", "Name", "ShortName", "Segment"], ["Nation"], weak=["Segment"])
 
 
 @query("e4_closure", """

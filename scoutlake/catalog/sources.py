@@ -115,7 +115,8 @@ def _lineup_docs(spark, sf):
     shape = F.when(F.col("o_orderstatus") == "P", F.lit("4-4-2")).otherwise("4-3-3")
     docs = _doc(o, [F.col("ID").alias("Match"), "HomeTeam", "AwayTeam"],
                 home=team(0, shape), away=team(2, F.lit("3-5-2")))
-    return raw.parse_json(docs, "doc", raw.LINEUPS, ["Match", "HomeTeam", "AwayTeam"])
+    return raw.parse_json(docs, "doc", raw.lineups_schema(["goals", "rating", "captain"]),
+                          ["Match", "HomeTeam", "AwayTeam"])
 
 
 @query("s4_lineup_unfold", f"""

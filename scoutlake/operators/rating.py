@@ -124,7 +124,8 @@ def match_rating(df, weights=None, position="Position", minutes="MinutesPlayed",
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     factor = ((1 + 0.05 * ((zero(opp_elo) - zero(elo)) / 400)) * clip(zero(minutes) / 60, 0.5, 1)
               * (1 + 0.1 * zero(diff)))
-    return df.withColumn(out, clip(score * factor, 0, 10)).filter(F.col(out).isNotNull())
+    rated = df.filter(main.isin(list(weights)))
+    return rated.withColumn(out, clip(score * factor, 0, 10))
 
 
 def adjust_rating(ratings, rows, rating="Rating", weight="Weight", elo="Elo"):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..functions.numeric import _col
-from ..functions.text import sequence_ratio, slug, stable_id, token_set_score
+from ..functions.text import letter_mask, sequence_ratio, slug, stable_id, word_set, word_set_score
 from ..session import materialize
 from .joins import map_column, outer_match
 from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallback_positions,
@@ -13,41 +13,109 @@ from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallba
                     split_name)
 from .windows import dedupe_best, latest, top_positions
 
-TILE_ROWS = 2000
+TILE_ROWS = 1000
 
 
-def edit_keys(c, threshold):
+def _grams(c, q):
+    """Distinct letter groups of a string: pairs, or threes with the ends marked."""
+    text = F.concat(F.lit("^"), c, F.lit("$")) if q == 3 else c
+    last = F.length(text) - (q - 1)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+                                        lambda i: F.substring(text, i, F.lit(q))))
+
+
+def _gram_size(threshold):
+    """Letters per group: three where enough groups survive the allowed edits, else two."""
+    return 3 if threshold > 6 / 7 else 2
+
+
+def _words(c):
+    return F.filter(F.array_sort(F.array_distinct(F.split(c, r"\s+"))), lambda w: w != "")
+
+
+def _word_grams(words):
+    """Distinct letter pairs inside the words, with the word ends marked."""
+    return F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(
+        F.sequence(F.lit(1), F.length(w) + 1),
+        lambda i: F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(2))))))
+
+
+def _rare_first(items, common):
+    """Items in one fixed order, the frequent ones last."""
+    if common:
+        table = const_map(common)
+        rank = lambda x: F.coalesce(F.try_element_at(table, x), F.lit(0))
+    else:
+        rank = lambda x: F.lit(0)
+    return F.array_sort(F.transform(items, lambda x: F.struct(
+        rank(x).alias("r"), F.xxhash64(x).alias("h"), x.alias("x"))))
+
+
+def common_items(rows, items, n=400):
+    """Rank of the n most frequent items: a short dictionary, for the order of keys only."""
+    top = (rows.select(F.explode(items).alias("x")).filter("x IS NOT NULL").groupBy("x").agg(F.count("*").alias("n"))
+           .orderBy(F.col("n").desc(), "x").limit(n).collect())
+    return {r["x"]: len(top) - i for i, r in enumerate(top)}
+
+
+def _edits(n, threshold):
+    """Most insertions and deletions between a string of length n and a partner at the threshold."""
+    return F.floor(2.0 * n * (1.0 - threshold) / threshold + 1e-9).cast("int")
+
+
+def _check(threshold):
+    if threshold < 0.85:
+        raise ValueError("letter-pair keys need a threshold of at least 0.85")
+
+
+def edit_keys(c, threshold, common=None):
     """Keys of which two strings share at least one if their similarity reaches the threshold.
 
     With similarity s = 1 - d / (len a + len b), d insertions and deletions, a
     string of length n differs from a partner in at most
-    d = floor(2 n (1 - s) / s) places, and each place touches two letter pairs.
-    So at most 2 d of its distinct letter pairs are missing in the partner, and
-    the first 2 d + 1 of both in one fixed order have one in common (strings with
-    d = 0 must be equal).  Holds for thresholds of 0.85 and more, where at least
-    one letter pair always survives.
+    d = floor(2 n (1 - s) / s) places, and each place touches q groups of q
+    letters.  So at most q d of its distinct groups are missing in the partner,
+    and the first q d + 1 of both in one fixed order have one in common (strings
+    with d = 0 must be equal).  Holds where at least one group always survives:
+    pairs from 0.85, threes with marked ends above 6/7.  ``common`` puts frequent
+    groups last.
     """
-    if threshold < 0.85:
-        raise ValueError("letter-pair keys need a threshold of at least 0.85")
+    _check(threshold)
     c = _col(c)
+    q = _gram_size(threshold)
     n = F.length(c)
-    d = F.floor(2.0 * n * (1.0 - threshold) / threshold + 1e-9).cast("int")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                                         lambda i: F.substring(c, i, F.lit(2))))
-    ordered = F.array_sort(F.transform(grams, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-    first = F.slice(ordered, F.lit(1), F.greatest(2 * d + 1, F.lit(1)))
-    keys = F.transform(first, lambda s: F.concat(F.lit("g:"), s["g"]))
-    return F.when(n > 0, F.array_union(F.array(F.concat(F.lit("="), c)),
-                                       F.when(d > 0, keys).otherwise(F.array().cast("array<string>"))))
+    d = _edits(n, threshold)
+    first = F.slice(_rare_first(_grams(c, q), common), F.lit(1), F.greatest(q * d + 1, F.lit(1)))
+    keys = F.transform(first, lambda s: F.concat(F.lit("g:"), s["x"]))
+    none = F.array().cast("array<string>")
+    return F.when(n > 0, F.array_union(F.array(F.concat(F.lit("="), c)), F.when(d > 0, keys).otherwise(none)))
 
 
-def word_keys(c, threshold):
-    """Words of the string, and the edit keys of its sorted words."""
-    words = F.filter(F.array_sort(F.array_distinct(F.split(_col(c), r"\s+"))), lambda w: w != "")
-    whole = F.array_join(words, " ")
-    keys = edit_keys(whole, threshold)
-    return F.when(F.size(words) > 0, F.array_union(
-        F.transform(words, lambda w: F.concat(F.lit("w:"), w)), keys))
+def word_keys(c, threshold, role, common_words=None, common_grams=None):
+    """Keys of which two strings of different roles share at least one at the threshold.
+
+    The word-set score is the best of three ratios.  Comparing the words that
+    differ, an edit touches two letter pairs inside words, so the rarest 2 d + 1
+    pairs of both sides meet.  Comparing one side with the shared words alone,
+    the words it does not share are shorter than 2 (1 - s) of it, so a few of its
+    rarest words, longer than that together, meet all words of the other side.
+    """
+    _check(threshold)
+    words = _words(_col(c))
+    n = F.length(F.array_join(words, " "))
+    grams = F.slice(_rare_first(_word_grams(words), common_grams), F.lit(1), 2 * _edits(n, threshold) + 1)
+    ordered = F.transform(_rare_first(words, common_words), lambda s: s["x"])
+    room = 2.0 * (1.0 - threshold) * n
+    few = F.filter(ordered, lambda w, i: F.length(F.array_join(F.slice(ordered, F.lit(1), i), " ")) <= room)
+
+    def tag(items, name):
+        return F.transform(items, lambda x: F.concat(F.lit(name), x))
+
+    first, second = F.col(role) == 0, F.col(role) == 1
+    return F.when(F.size(words) > 0, F.concat(
+        tag(F.transform(grams, lambda s: s["x"]), "g:"),
+        tag(F.when(first, few).when(second, words), "a:"),
+        tag(F.when(first, words).when(second, few), "b:")))
 
 
 def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
@@ -120,7 +188,10 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
     if block:
         rows = rows.withColumn("key", F.col("block"))
     else:
-        rows = rows.withColumn("key", F.explode(word_keys("value", threshold / 100.0)))
+        words = _words(F.col("value"))
+        rows = rows.withColumn("key", F.explode(word_keys(
+            "value", threshold / 100.0, "role", common_items(rows, words),
+            common_items(rows, _word_grams(words)))))
 
     def score(pdf):
         groups = {}
@@ -131,16 +202,13 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
                 left.setdefault(value, []).append((blk, i, sw))
             else:
                 right[value] = min(i, right.get(value, i))
-        found, seen = [], {}
+        found = []
         for (field, _), (left, right) in groups.items():
-            choices = sorted(right.items())
+            choices = [(choice, other, word_set(choice)) for choice, other in sorted(right.items())]
             for value, rows in left.items():
-                best = None
-                for choice, other in choices:
-                    pair = (value, choice)
-                    s = seen.get(pair)
-                    if s is None:
-                        s = seen[pair] = token_set_score(value, choice, threshold)
+                best, words = None, word_set(value)
+                for choice, other, theirs in choices:
+                    s = word_set_score(words, theirs, threshold)
                     if s >= threshold and (best is None or s > best[0]):
                         best = (s, choice, other)
                         if s == 100.0:
@@ -222,35 +290,52 @@ def connected_components(edges, src="src", dst="dst", max_rounds=50):
                       ).select("node", F.coalesce("c", "node").alias("component"))
 
 
-def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_ROWS):
+def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_rows=TILE_ROWS):
     """Links between rows whose mean text similarity reaches the threshold, keys not in conflict.
 
     Equal rows collapse to their smallest id first, so many copies of one row are
     a star, not pairs.  Of the rest only rows sharing an edit key in some column
-    are compared (a mean at the threshold needs one column at the threshold),
-    and each tile returns a spanning forest of its links.
+    are compared: a mean at the threshold needs one column at the threshold.
+    ``weak`` columns have few values (a country); among rows without nulls their
+    agreement alone makes no candidates, since then another column must reach
+    (m t - w) / (m - w) of the m columns and w weak ones.  Rows with nulls are
+    still compared over all columns.  Each tile returns a spanning forest of its
+    links, never all of them.
     """
+    m, w = len(check), len(weak)
+    rest = (threshold * m - w) / (m - w)
+    if w and rest < 0.85:
+        raise ValueError("too few columns to leave weak ones out")
     text = [F.lower(F.trim(F.col(c).cast("string"))).alias(f"c{i}") for i, c in enumerate(check)]
     held = [F.trim(F.col(c).cast("string")).alias(f"k{i}") for i, c in enumerate(keys)]
-    cols = [f"c{i}" for i in range(len(check))] + [f"k{i}" for i in range(len(keys))]
+    texts = [f"c{i}" for i in range(m)]
+    cols = texts + [f"k{i}" for i in range(len(keys))]
     rows = df.select(F.col(id_col).alias("id"), *text, *held)
-    rows = rows.filter(F.coalesce(*[F.col(f"c{i}") for i in range(len(check))]).isNotNull())
+    rows = rows.filter(F.coalesce(*[F.col(c) for c in texts]).isNotNull())
     reps = rows.groupBy(*cols).agg(F.min("id").alias("rep"))
-    same = rows.alias("r")
     cond = [F.col("r." + c).eqNullSafe(F.col("p." + c)) for c in cols]
-    copies = same.join(reps.alias("p"), cond).filter("r.id <> p.rep").select(
+    copies = rows.alias("r").join(reps.alias("p"), cond).filter("r.id <> p.rep").select(
         F.col("p.rep").alias("src"), F.col("r.id").alias("dst"))
-    spread = reps.select(F.col("rep").alias("id"), *cols, F.lit(0).alias("role"), F.explode(F.flatten(F.array(*[
-        F.coalesce(F.transform(edit_keys(f"c{i}", threshold), lambda k, i=i: F.concat(F.lit(f"{i}"), k)),
-                   F.array().cast("array<string>")) for i in range(len(check))]))).alias("key"))
+    reps = reps.withColumnRenamed("rep", "id")
+    empty = F.array().cast("array<string>")
+    q = {_gram_size(threshold)} | ({_gram_size(rest)} if w else set())
+    common = common_items(reps, F.flatten(F.array(*[F.coalesce(_grams(F.col(c), size), empty)
+                                                    for c in texts for size in q])))
+
+    def spread(df, which, limit):
+        lists = [F.coalesce(F.transform(edit_keys(f"c{i}", limit, common), lambda k, i=i: F.concat(F.lit(f"{i}"), k)),
+                            empty) for i in which]
+        return df.withColumn("key", F.explode(F.flatten(F.array(*lists))))
+
     nc, nk = len(check), len(keys)
 
     def link(pdf):
         groups, seen, known, out = {}, {}, {}, []
-        for key, rec in zip(pdf["key"].tolist(), zip(*(pdf[c].tolist() for c in ["id", *cols]))):
-            groups.setdefault(key, {})[rec[0]] = rec[1:]
-        for recs in groups.values():
-            items = sorted(recs.items())
+        fields = zip(*(pdf[c].tolist() for c in ["id", *cols]))
+        for key, role, rec in zip(pdf["key"].tolist(), pdf["role"].tolist(), fields):
+            groups.setdefault(key, ({}, {}))[role][rec[0]] = rec[1:]
+        for one, two in groups.values():
+            items = sorted({**one, **two}.items())
             root = list(range(len(items)))
 
             def find(x):
@@ -262,6 +347,8 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
             for x, (i, left) in enumerate(items):
                 for y in range(x + 1, len(items)):
                     j, right = items[y]
+                    if two and i not in one and j not in one:
+                        continue
                     fx, fy = find(x), find(y)
                     if fx == fy:
                         continue
@@ -274,8 +361,18 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_RO
         return pd.DataFrame(out, columns=["src", "dst"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    links = _tiles(spread, ["key"], link, f"src {id_type}, dst {id_type}", tile_rows, sides=False)
-    return copies.unionByName(links).distinct()
+    schema = f"src {id_type}, dst {id_type}"
+    if not w:
+        alone = spread(reps.withColumn("role", F.lit(0)), range(m), threshold)
+        return copies.unionByName(_tiles(alone, ["key"], link, schema, tile_rows, sides=False)).distinct()
+    full = F.lit(True)
+    for c in texts:
+        full = full & F.col(c).isNotNull()
+    strong = [i for i, c in enumerate(check) if c not in weak]
+    whole = spread(reps.filter(full).withColumn("role", F.lit(0)), strong, rest)
+    holes = reps.filter(~full).withColumn("role", F.lit(0)).unionByName(reps.withColumn("role", F.lit(1)))
+    return (copies.unionByName(_tiles(whole, ["key"], link, schema, tile_rows, sides=False))
+            .unionByName(_tiles(spread(holes, range(m), threshold), ["key"], link, schema, tile_rows)).distinct())
 
 
 def _alike(a, b, nc, nk, threshold, known):
@@ -288,7 +385,7 @@ def _alike(a, b, nc, nk, threshold, known):
         return False
     total = 0.0
     for done, (x, y) in enumerate(texts):       # lengths bound what the rest can add
-        rest = sum(_length_ratio(u, v) for u, v in texts[done:])
+        rest = sum(_ratio_bound(u, v, known) for u, v in texts[done:])
         if (total + rest) / len(texts) < threshold:
             return False
         ratio = known.get((x, y))
@@ -298,18 +395,28 @@ def _alike(a, b, nc, nk, threshold, known):
     return total / len(texts) >= threshold
 
 
-def _length_ratio(x, y):
-    return 1.0 if not x and not y else 2.0 * min(len(x), len(y)) / (len(x) + len(y))
+def _ratio_bound(x, y, known):
+    """Upper bound of the ratio from lengths and letters, or the ratio if it is known."""
+    ratio = known.get((x, y))
+    if ratio is not None:
+        return ratio
+    if x == y:
+        return 1.0
+    for t in (x, y):
+        if t not in known:
+            known[t] = letter_mask(t)
+    least = max(abs(len(x) - len(y)), (known[x] ^ known[y]).bit_count())
+    return 1.0 - least / (len(x) + len(y))
 
 
-def merge_duplicates(df, id_col, check, keys=(), threshold=0.9, tile_rows=TILE_ROWS):
+def merge_duplicates(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_rows=TILE_ROWS):
     """One row per group of linked rows: first non-null value per column in id order.
 
     Links are closed transitively, so two rows with different keys may meet
     through a third; ``conflict`` marks such groups.
     """
     from .aggregate import first_valid
-    edges = materialize(duplicate_edges(df, id_col, check, keys, threshold, tile_rows), "links")
+    edges = materialize(duplicate_edges(df, id_col, check, keys, threshold, weak, tile_rows), "links")
     groups = connected_components(edges).select(F.col("node").alias(id_col), "component")
     rows = df.join(groups, id_col, "left").withColumn(
         "_g", F.coalesce("component", F.col(id_col))).drop("component")

@@ -189,12 +189,15 @@ def pick_lineup(squad, slots, team="Team", player="Player", name="Name", positio
     cand = cand.select(team, "slot", position, "n", player, name, "_r")
 
     def pick(pdf):
+        cols = [team, "slot", position, player, name, "_r", "n"]
         taken, rows = set(), []
-        for _, g in pdf.sort_values(["slot", "_r"]).groupby("slot", sort=True):
-            free = g[~g[name].isin(taken)].head(int(g["n"].iloc[0]))
-            taken.update(free[name])
-            rows.append(free)
-        return pd.concat(rows)[[team, "slot", position, player, name, "_r"]]
+        order = sorted(zip(*(pdf[c].tolist() for c in cols)), key=lambda r: (r[1], r[5]))
+        for slot in sorted(set(r[1] for r in order)):
+            free = [r for r in order if r[1] == slot and r[4] not in taken]
+            best = free[:int(free[0][6])] if free else []
+            taken.update(r[4] for r in best)
+            rows += [r[:6] for r in best]
+        return pd.DataFrame(rows, columns=cols[:6])
 
     schema = ", ".join(f"`{c}` {cand.schema[c].dataType.simpleString()}"
                        for c in (team, "slot", position, player, name, "_r"))

@@ -67,7 +67,7 @@ def unify_teams(first_matches, second_matches, first, second):
                             names, 75, block="League")
     pairs = res.one_partner(res.with_leftovers(found, first, second))
     teams = res.unify_entity(first, second, pairs, TEAM_COLUMNS, "team")
-    return res.merge_duplicates(teams, "ID", DUPLICATE_TEXTS, ["IdSS", "IdSW"]).drop("conflict")
+    return res.merge_duplicates(teams, "ID", DUPLICATE_TEXTS, ["IdSS", "IdSW"], weak=["Country"]).drop("conflict")
 
 
 def _people(first, second, columns, kind, threshold, block=None):
@@ -97,7 +97,7 @@ def unify_players(first, second, teams):
 
 def unify_managers(first, second):
     df = _people(first, second, MANAGER_COLUMNS, "manager", 90)
-    return res.merge_duplicates(df, "ID", DUPLICATE_TEXTS, ["IdSS", "IdSW"]).drop("conflict")
+    return res.merge_duplicates(df, "ID", DUPLICATE_TEXTS, ["IdSS", "IdSW"], weak=["Country"]).drop("conflict")
 
 
 def unify_matches(first, second, teams):

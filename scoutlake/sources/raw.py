@@ -34,9 +34,6 @@ MATCH = """event STRUCT<id BIGINT, roundInfo STRUCT<round INT>, winnerCode INT,
  homeScore STRUCT<display INT>, awayScore STRUCT<display INT>, startTimestamp BIGINT>"""
 MATCH_STATS = """statistics ARRAY<STRUCT<groups ARRAY<STRUCT<statisticsItems ARRAY<STRUCT<
  key STRING, homeValue DOUBLE, awayValue DOUBLE>>>>>>"""
-_SIDE = """STRUCT<formation STRING, players ARRAY<STRUCT<player STRUCT<id BIGINT>,
- shirtNumber STRING, position STRING, statistics MAP<STRING, STRING>>>>"""
-LINEUPS = f"home {_SIDE}, away {_SIDE}"
 SQUADS = """squad ARRAY<STRUCT<contestantId STRING, contestantName STRING, contestantShortName STRING,
  contestantClubName STRING, contestantCode STRING,
  teamKits STRUCT<kit ARRAY<STRUCT<type STRING, shirtColour1 STRING, shirtColour2 STRING, shortsColour1 STRING>>>,
@@ -52,6 +49,14 @@ EVENTS = """liveData STRUCT<event ARRAY<STRUCT<id BIGINT, typeId INT, periodId I
  qualifier ARRAY<STRUCT<qualifierId INT, value STRING>>>>>"""
 
 
+def lineups_schema(keys):
+    """Line-up documents with the wanted statistics as numbers; other kinds of values read as null."""
+    stats = ", ".join(f"`{k}` DOUBLE" for k in keys)
+    side = f"""STRUCT<formation STRING, players ARRAY<STRUCT<player STRUCT<id BIGINT>,
+ shirtNumber STRING, position STRING, statistics STRUCT<{stats}>>>>"""
+    return f"home {side}, away {side}"
+
+
 def read_json(spark, path, schema):
     """One JSON object per file, with the file path; files that do not parse are dropped."""
     df = (spark.read.schema(schema + ", _broken STRING").option("multiLine", True)
@@ -177,30 +182,23 @@ def unfold_match_stats(df, keys=None):
         *[F.max(F.when(F.col("key") == k, F.col("s.value"))).alias(k) for k in keys])
 
 
-def lineup_rows(df):
-    """One row per player of both sides with the numeric statistics as a map.
+def unfold_lineups(df, keys):
+    """One row per player of both sides, one column per statistic, missing ones 0.
 
-    Booleans and objects do not cast to a number and fall out; a player with
-    only zeros is dropped.
+    Only the declared statistics are read, as numbers, so booleans and objects
+    fall out; a player with nothing but zeros is dropped.
     """
     def side(name, team):
-        return F.transform(F.coalesce(F.col(name + ".players"), F.array()), lambda p: F.struct(
-            F.col(team).alias("team"), F.col(name + ".formation").alias("formation"), p.alias("p")))
-
-    rows = df.select("Match", F.explode(F.concat(side("home", "HomeTeam"), side("away", "AwayTeam"))).alias("r"))
-    stats = F.map_filter(F.transform_values(
-        F.coalesce("r.p.statistics", F.create_map().cast("map<string,string>")),
-        lambda k, v: v.try_cast("double")), lambda k, v: v.isNotNull())
-    rows = rows.select("Match", "r.team", "r.formation", F.col("r.p.player.id").alias("player"),
-                       F.col("r.p.shirtNumber").alias("shirt_num"),
-                       F.col("r.p.position").alias("position"), stats.alias("stats"))
-    return rows.filter(F.exists(F.map_values("stats"), lambda v: v != 0))
+        return F.struct(F.col(team).alias("team"), F.col(name + ".players").alias("players"))
 
-
-def unfold_lineups(df, keys):
-    """Lineup rows with one column per statistic, missing ones 0."""
-    return lineup_rows(df).select("Match", "team", "player", "shirt_num", "position", *[
-        F.coalesce(F.try_element_at("stats", F.lit(k)), F.lit(0.0)).alias(k) for k in keys])
+    sides = df.select("Match", F.explode(F.array(side("home", "HomeTeam"), side("away", "AwayTeam"))).alias("s"))
+    rows = sides.select("Match", "s.team", F.explode("s.players").alias("p")).select(
+        "Match", "team", F.col("p.player.id").alias("player"), F.col("p.shirtNumber").alias("shirt_num"),
+        "p.position", *[F.col(f"p.statistics.`{k}`").alias(k) for k in keys])
+    played = F.lit(False)
+    for k in keys:
+        played = played | (F.coalesce(F.col(k), F.lit(0.0)) != 0)
+    return rows.filter(played).fillna(0.0, keys)
 
 
 def formations(df):
@@ -215,7 +213,7 @@ def match_stats(spark, root, matches_df, lineup_keys, stat_keys=None, seasons=("
     """(team statistics with formation, player statistics) of all matches."""
     ids = matches_df.select(F.col("IdSS").cast("string").alias("IdSS"), "HomeTeam", "AwayTeam")
     stats = _match_files(spark, root, "stats.json", MATCH_STATS, seasons).join(ids, "IdSS")
-    lines = _match_files(spark, root, "lineups.json", LINEUPS, seasons).join(ids, "IdSS")
+    lines = _match_files(spark, root, "lineups.json", lineups_schema(lineup_keys), seasons).join(ids, "IdSS")
     stats, lines = (d.withColumnRenamed("IdSS", "Match") for d in (stats, lines))
     team = unfold_match_stats(stats, stat_keys).join(formations(lines), ["Match", "team"], "left")
     return team, unfold_lineups(lines, lineup_keys)
@@ -320,14 +318,17 @@ def kv_lineup_rows(df):
     rows = sides.select("Match", "team", F.explode("l.player").alias("p"))
     entries = F.filter(F.coalesce("p.stat", F.array().cast("array<struct<type:string,value:string>>")),
                        lambda x: x["type"].isNotNull() & ~x["type"].isin(lk.LINEUP_DENY))
-    names = F.array_distinct(F.transform(entries, lambda x: x["type"]))
-    last = F.transform(names, lambda n: F.struct(n.alias("k"), F.try_element_at(
-        F.filter(entries, lambda x: x["type"] == n), F.lit(-1))["value"].try_cast("double").alias("v")))
+    number = lambda x: F.when(x.rlike(r"^\s*[-+]?[0-9.]"), x.try_cast("double"))
     rows = rows.select("Match", "team", F.col("p.playerId").alias("player"),
                        F.col("p.shirtNumber").alias("shirt_num"), F.col("p.position").alias("position"),
-                       F.col("p.positionSide").alias("position_side"),
-                       F.map_from_entries(last).alias("stats"))
-    return rows.filter(F.exists(F.map_values("stats"), lambda v: v.isNotNull() & (v != 0)))
+                       F.col("p.positionSide").alias("position_side"), F.transform(entries, lambda x: F.struct(
+                           x["type"].alias("k"), number(x["value"]).alias("v"))).alias("entries"))
+    rows = rows.filter(F.exists("entries", lambda x: x["v"].isNotNull() & (x["v"] != 0)))
+    names = F.array_distinct(F.transform("entries", lambda x: x["k"]))
+    last = F.transform(names, lambda n: F.struct(n.alias("k"), F.try_element_at(
+        F.filter("entries", lambda x: x["k"] == n), F.lit(-1))["v"].alias("v")))
+    once = F.when(F.size(names) == F.size("entries"), F.col("entries")).otherwise(last)
+    return rows.withColumn("stats", F.map_from_entries(once)).drop("entries")
 
 
 def unfold_kv_lineups(df, keys):

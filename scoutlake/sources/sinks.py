@@ -26,6 +26,7 @@ def write_documents(df, kind, path, id_col="ID", skip_existing=False, folder="bu
         docs = docs.join(old, "id", "left_anti")
     if folder == "bucket":
         docs = docs.select("doc", F.pmod(F.xxhash64("id"), F.lit(256)).cast("int").alias("bucket"))
+        docs = docs.repartition("bucket")
     writer = docs.write.mode("append" if skip_existing else "overwrite")
     writer.option("maxRecordsPerFile", 100_000).partitionBy(folder).text(target)
 

@@ -200,6 +200,14 @@ def test_merge_duplicates(spark, tile):
         first = lambda c: next((r[c] for r in g if r[c] is not None), None)
         want.add((g[0][0], first(1), first(2), first(3), len({r[3] for r in g if r[3]}) > 1))
     assert {tuple(r) for r in got.collect()} == want
+    # Three texts of which the country is weak: same groups, fewer candidates.
+    wide = df.withColumn("title", F.concat_ws(" ", "name", F.lit("club")))
+    wide = wide.withColumn("title", F.when(F.col("id") % 5 != 0, F.col("title")))
+    data3 = [(r["id"], r["name"], r["title"], r["country"], r["key"]) for r in wide.select(
+        "id", "name", "title", "country", "key").collect()]
+    got3 = resolve.merge_duplicates(wide, "id", ["name", "title", "country"], ["key"], weak=["country"], tile_rows=tile)
+    ids = {min(r[0] for r in g) for g in plain_groups(data3, (1, 2, 3), (4,), 0.9)}
+    assert {r["id"] for r in got3.collect()} == ids
     again = resolve.merge_duplicates(got.drop("conflict"), "id", ["name", "country"], ["key"])
     assert again.count() <= got.count()
 
