@@ -63,10 +63,9 @@ def e4(spark, sf):
     last = F.concat(last, F.when(key % 3 == 0, F.lit("s")).otherwise(F.lit("")))
     name = F.concat_ws(" ", F.substring(F.sha2((-person).cast("string"), 256), 1, 6), last)
     c = table(spark, sf, "customer").select(
-        "c_custkey", name.alias("Name"), last.alias("ShortName"), F.col("c_mktsegment").alias("Segment"),
+        "c_custkey", name.alias("Name"), last.alias("ShortName"),
         F.when(key % 2 == 0, F.col("c_nationkey")).alias("Nation"))
-    c = c.withColumn("Slug", slug("Name"))
-    return res.merge_duplicates(c, "c_custkey", ["Slug", "Name", "ShortName", "Segment"], ["Nation"], weak=["Segment"])
+    return res.merge_duplicates(c, "c_custkey", ["Name", "ShortName"], ["Nation"])
 
 
 @query("e4_closure", """

@@ -13,6 +13,11 @@ def round_even(c, n=0):
     return F.rint(_col(c) * scale) / scale if n else F.rint(_col(c))
 
 
+def text_number(c, dtype="double"):
+    """Text to a number, null if it does not start like one (a failed cast is costly)."""
+    return F.when(_col(c).rlike(r"^\s*[-+]?[0-9.]"), _col(c).try_cast(dtype))
+
+
 def safe_div(a, b, n=4):
     """a / b, null if either side is null or b is zero, rounded half-even."""
     return round_even(F.try_divide(_col(a).cast("double"), _col(b).cast("double")), n)

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F, Window
 
 from ..config import lookups as lk
-from ..functions.numeric import _col
+from ..functions.numeric import _col, text_number
 from ..functions.pitch import SHOT_TYPES, pass_direction, pitch_length, shot_length
 
 
@@ -18,12 +18,13 @@ def conform(df, rename, order, types=None, default="double"):
     """Rename, add missing columns as null, cast with errors to null, keep a fixed order."""
     df = df.withColumnsRenamed(rename)
     types = types or {}
-    present = set(df.columns)
+    present = {f.name: f.dataType.typeName() for f in df.schema.fields}
     out = []
     for c in order:
         t = types.get(c, default)
         source = F.col(f"`{c}`") if c in present else F.lit(None)
-        out.append(source.try_cast(t).alias(c))
+        number = present.get(c) == "string" and t not in ("string", "date", "timestamp", "boolean")
+        out.append((text_number(source, t) if number else source.try_cast(t)).alias(c))
     return df.select(out)
 
 
@@ -39,10 +40,11 @@ def coalesce_columns(df, cols_map, keep=()):
 
 def greatest_of(df, cols_map, keep=()):
     """Numeric cast with errors to null, then the largest of the sources, ignoring nulls."""
-    present = set(df.columns)
+    present = {f.name: f.dataType.typeName() for f in df.schema.fields}
     out = [F.col(c) for c in keep]
     for target, candidates in cols_map.items():
-        found = [F.col(c).try_cast("double") for c in candidates if c in present]
+        found = [text_number(c) if present[c] == "string" else F.col(c).try_cast("double")
+                 for c in candidates if c in present]
         best = F.greatest(*found) if len(found) > 1 else found[0] if found else F.lit(None)
         out.append(best.cast("double").alias(target))
     return df.select(out)

@@ -201,6 +201,8 @@ def pick_lineup(squad, slots, team="Team", player="Player", name="Name", positio
 
     schema = ", ".join(f"`{c}` {cand.schema[c].dataType.simpleString()}"
                        for c in (team, "slot", position, player, name, "_r"))
+    # Few bytes but a call per team: spread them before the size-based merge.
+    cand = cand.repartition(int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions")), team)
     return cand.groupBy(team).applyInPandas(pick, schema).withColumnRenamed("_r", "rank")
 
 

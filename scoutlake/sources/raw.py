@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..functions.dates import epoch_date
+from ..functions.numeric import text_number
 from ..functions.text import slug
 from ..operators.aggregate import pivot_qualifiers
 from ..operators.shape import const_map
@@ -67,9 +68,13 @@ def read_json(spark, path, schema):
 
 
 def parse_json(df, col, schema, keep=()):
-    """The same rows from JSON text in a column."""
-    parsed = df.select(*keep, F.from_json(col, schema, {"mode": "PERMISSIVE"}).alias("_j"))
-    return parsed.select(*keep, "_j.*")
+    """The same rows from JSON text in a column.
+
+    The document is generated as a one-row list, so that filters and projections
+    after it do not parse it again.
+    """
+    doc = F.array(F.from_json(col, schema, {"mode": "PERMISSIVE"}))
+    return df.select(*keep, F.explode(doc).alias("_j")).select(*keep, "_j.*")
 
 
 def path_part(index_from_end):
@@ -318,11 +323,10 @@ def kv_lineup_rows(df):
     rows = sides.select("Match", "team", F.explode("l.player").alias("p"))
     entries = F.filter(F.coalesce("p.stat", F.array().cast("array<struct<type:string,value:string>>")),
                        lambda x: x["type"].isNotNull() & ~x["type"].isin(lk.LINEUP_DENY))
-    number = lambda x: F.when(x.rlike(r"^\s*[-+]?[0-9.]"), x.try_cast("double"))
     rows = rows.select("Match", "team", F.col("p.playerId").alias("player"),
                        F.col("p.shirtNumber").alias("shirt_num"), F.col("p.position").alias("position"),
                        F.col("p.positionSide").alias("position_side"), F.transform(entries, lambda x: F.struct(
-                           x["type"].alias("k"), number(x["value"]).alias("v"))).alias("entries"))
+                           x["type"].alias("k"), text_number(x["value"]).alias("v"))).alias("entries"))
     rows = rows.filter(F.exists("entries", lambda x: x["v"].isNotNull() & (x["v"] != 0)))
     names = F.array_distinct(F.transform("entries", lambda x: x["k"]))
     last = F.transform(names, lambda n: F.struct(n.alias("k"), F.try_element_at(
