@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, slug
 from ..operators import resolve as res
-from ..operators.aggregate import first_valid
-from ..operators.windows import last_n
+from ..operators.windows import next_actor
 from .views import MATCH, STATS, matches, query, stats, table
 
 
@@ -75,12 +74,11 @@ g AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 150 THEN 1 ELSE 0 END) OVER
 SELECT id AS node, min(id) OVER (PARTITION BY n, isl) AS component FROM g QUALIFY count(*) OVER (PARTITION BY n, isl) > 1""")
 def e4_closure(spark, sf):
     """Customers linked to the next richer one of their nation if the gap is small."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("c_nationkey").orderBy("c_acctbal", "c_custkey")
-    c = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("src"), F.lead("c_custkey").over(w).alias("dst"),
-        (F.lead("c_acctbal").over(w) - F.col("c_acctbal")).alias("gap"))
-    return res.connected_components(c.filter("gap < 150").select("src", "dst"))
+    me = F.struct(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("bal"))
+    c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_acctbal", me.alias("me"))
+    c = next_actor(c, "c_nationkey", "me", ("c_acctbal", "c_custkey"), F.floor(F.col("c_acctbal") / 50), "next")
+    near = c.filter(F.col("next.bal") - F.col("c_acctbal") < 150)
+    return res.connected_components(near.select(F.col("c_custkey").alias("src"), F.col("next.id").alias("dst")))
 
 
 @query("e5_unify_stats", """

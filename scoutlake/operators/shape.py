@@ -318,7 +318,9 @@ def one_hot(df, cols, levels=None, prefix_sep="_"):
         found = (levels or {}).get(c)
         if found is None:
             found = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct()
-                     .orderBy(c).collect()]
+                     .orderBy(c).limit(5001).collect()]
+            if len(found) > 5000:
+                raise ValueError(f"{c} is not a category: more than 5000 levels")
         out += [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}{prefix_sep}{v}")
                 for v in found]
     return df.select(out)

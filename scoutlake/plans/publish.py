@@ -105,8 +105,8 @@ def run_publish(spark, metrics, events, out, season, as_of, slots, coords, posit
     passes = read_table(spark, f"{events}/pass_map").join(in_season, "Match", "left_semi")
     shots = read_table(spark, f"{events}/shot_map").join(in_season, "Match", "left_semi")
     pass_fields, shot_fields = ["IniX", "IniY", "EndX", "EndY"], ["Type", "IniX", "IniY", "BlockX", "BlockY", "GoalY", "GoalZ"]
-    place = ["Match", "IniX", "IniY"]
-    by_match = F.pmod(F.xxhash64("Match"), F.lit(64))
+    place = [F.xxhash64("Match"), "Match", "IniX", "IniY"]
+    by_match = F.xxhash64("Match")          # one slice per match
     nested = {
         "team_squad": squad, "team_lineup": lineup,
         "team_passes": lists(passes, "Team", "Passes", [*pass_fields, "Player", "PassReceiver"], place, by_match),
