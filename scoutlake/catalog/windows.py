@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_even
 from ..operators import aggregate as agg, windows as win
+from ..session import materialize
 from .aggregates import rounded
 from .views import FEED, MATCH, STATS, feed, matches, query, r, ratio, stats, table
 
@@ -37,6 +38,8 @@ def flagship(spark, sf):
     last = win.last_n(s, "Player", [F.col("MatchDate").desc(), F.col("Match").desc(), F.col("ShirtNumber").desc()], 5)
     last = last.drop("rn", "MatchDate", "Match", "ShirtNumber")
     metrics = agg.player_metrics(agg.aggregate_entity(last, "Player", {"Position": "mode"}))
+    # Read three times by the ranking: written once instead of joined and aggregated again.
+    metrics = materialize(metrics.select("Position", "Player", *_TOP), "metrics")
     return win.pct_rank(metrics, "Position", "Player", _TOP)
 
 
