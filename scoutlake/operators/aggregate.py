@@ -174,7 +174,8 @@ def team_context(rows):
 def scale_half(df, col, out, over=None):
     """Min-max of a column to [0.5, 1], 0.5 if flat; the limits are a scalar subquery."""
     over = df if over is None else over
-    lo, hi = over.agg(F.min(col)).scalar(), over.agg(F.max(col)).scalar()
+    both = over.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("s")).scalar()
+    lo, hi = both["lo"], both["hi"]
     return df.withColumn(out, F.when(hi == lo, F.lit(0.5)).otherwise(
         0.5 + F.try_divide(F.col(col) - lo, hi - lo) * 0.5))
 
