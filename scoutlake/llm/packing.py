@@ -87,15 +87,21 @@ def plan_best_fit(counts, capacity):
     return rows
 
 
+def _numbers(spark, names, rows):
+    """A frame of whole numbers from the driver, whose size Spark knows."""
+    import pyarrow as pa
+
+    cols = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, cols)}))
+
+
 def pack(docs, path, kind="word", end_id=1, capacity=4096):
     """Place of every piece of every document: sequence_id and offset, beside the piece's own columns."""
     spark = docs.sparkSession
     pieces = materialize(cut_pieces(docs, path, kind, end_id, capacity), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = spark.createDataFrame(plan_best_fit(counts, capacity) or [(0, 0, 0, 0, 0)],
-                                 "length long, lo long, hi long, seq long, at long")
-    splits = spark.createDataFrame([(k, -(-n // RANKED)) for k, n in counts.items()] or [(0, 1)],
-                                   "length long, splits long")
+    plan = _numbers(spark, ["length", "lo", "hi", "seq", "at"], plan_best_fit(counts, capacity))
+    splits = _numbers(spark, ["length", "splits"], [(k, -(-n // RANKED)) for k, n in counts.items()])
     mixed = F.xxhash64("doc_id", "piece", "ids_crc32")
     cut = pieces.join(splits, "length").withColumn("split", F.pmod(mixed, F.col("splits")))
     before = Window.partitionBy("length").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)

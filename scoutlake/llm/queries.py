@@ -4,7 +4,8 @@ import importlib
 
 from .common import ORACLE, QUERIES
 
-MODULES = ["simhash", "token_counts", "packing", "token_files"]
+MODULES = ["simhash", "pii", "language", "toxicity", "decontaminate", "token_counts", "packing", "token_files",
+           "quality", "licenses"]
 
 
 def queries():

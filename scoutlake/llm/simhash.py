@@ -51,16 +51,18 @@ def simhash(text, k=4):
 
 
 def fingerprints(docs):
-    """doc_id and signed 64-bit fingerprint of each document."""
+    """doc_id, hash of the text and signed 64-bit fingerprint of each document."""
     def compute(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            f = np.array([simhash(t) for t in batch.column(1).to_pylist()], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f)], names=["doc_id", "fp"])
+            f = np.array([simhash(t) for t in batch.column(2).to_pylist()], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(f)],
+                                             names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text") \
+        .mapInArrow(compute, "doc_id long, text_hash long, fp long")
 
 
 def _key(number, positions, fp=None):
@@ -200,15 +202,25 @@ def components(edges):
 
 
 def near_copies(docs):
-    """doc_id, fp and component_id of every document, and whether it is the one that stays."""
+    """doc_id, text_hash, fp and component_id of every document; root names its component even if all ids are null."""
     marked = materialize(fingerprints(docs), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp")))
     of = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
         .select("fp", F.coalesce("root", "fp").alias("root"), "first")
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(of.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id"), "components")
-    return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "fp", "component_id")
+    named = materialize(of.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id", "root"), "components")
+    return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "text_hash", "fp", "component_id", "root")
+
+
+def keep_one(docs):
+    """All columns of the documents, one row of each component: smallest id, then smallest text hash; null ids last."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    keep = near_copies(docs).groupBy("root").agg(F.min(order).alias("k")) \
+        .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    same = rows["id"].eqNullSafe(keep["kept_id"]) & (rows["hash"] == keep["kept_hash"])
+    return rows.join(keep, same, "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
 
 
 @query("op1_simhash_near_dedup")
