@@ -44,9 +44,11 @@ PATTERN = "|".join([
     r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
-    r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)",
+    r"\+1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)",
+    r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,3}(?!\d|\.\d)",
+    r"\+\d{8,15}(?!\d)",
     r"(?<!\d)(?:\(\d{3}\) ?\d{3}|\d{3}[\-.]\d{3})[\-. ]\d{4}(?!\d)",
-    r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
+    r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
     rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_FIRSTS}) {_NAME})",
 ])
 #: Attempts after which a surrogate may grow by a letter, where too few of its form are free.
@@ -89,20 +91,14 @@ def name_tokens(m):
     return F.transform(tokens, kind)
 
 
-def values_of(m):
+def values_of(m, kind):
     """Canonical values of a mention: array of (kind, canon); several for a name."""
-    kind = kind_of(m)
     canon = (F.when(kind == "email", F.lower(m)).when(kind == "secret", F.regexp_replace(m, "^" + _SECRET, ""))
              .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(m, r"\D", ""))
              .when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
     return F.when(kind == "name", name_tokens(m)).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
 
 
-def _letters(first, n, k):
-    return F.char(F.lit(ord(first)) + k % n) if ord(first) < 256 else F.substring(F.lit("".join(
-        chr(ord(first) + i) for i in range(n))), (k % n + 1).cast("int"), 1)
-
-
 def _luhn(digits, shift):
     """Luhn sum of a digit string; shift 1 if a check digit is still to follow."""
     n = F.length(digits)
@@ -115,52 +111,49 @@ def _luhn(digits, shift):
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), weigh), F.lit(0), lambda a, x: a + x) % 10
 
 
-def surrogate(kind, canon, attempt, key):
-    """Value of the same form as ``canon``, from the keyed hash of kind, value and attempt."""
+def with_surrogate(values, key):
+    """The values (kind, canon, attempt) with a surrogate of the same form, from the keyed hash of the three."""
+    kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
     seed = F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"))
-    stream = F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512))  # 128 bytes
-
-    def byte(i):  # i from 0
-        return F.conv(F.substring(stream, (i % 126 * 2 + 1).cast("int"), 4), 16, 10).cast("int")
-
-    hexed = canon.rlike("^[0-9a-f]{16,}$")
+    more = (attempt >= GROW) & kind.isin("email", "secret")
+    head = F.when(kind == "email", F.regexp_extract(canon, r"^(.*)\.[^.]+$", 1)) \
+        .when(kind == "card", F.expr("left(canon, length(canon) - 1)")).when(kind == "key", F.expr("substring(canon, 5)")) \
+        .otherwise(canon)
+    keep = F.when(kind.isin("card", "phone", "ssn"), 1).when(kind == "iban", 2).otherwise(0)
+    values = values.select("*", F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512)).alias("stream"),
+                           F.concat(head, F.when(more, "x").otherwise("")).alias("head"), keep.alias("keep"),
+                           canon.rlike("^[0-9a-f]{16,}$").alias("hexed"))
+
+    def byte(i):  # i from 0; 128 bytes
+        return F.conv(F.substring("stream", (i % 126 * 2 + 1).cast("int"), 4), 16, 10).cast("int")
 
     def like(c, i):
         k = byte(i)
-        return (F.when(c.rlike("[0-9]"), F.when(hexed, F.substring(F.lit("0123456789"), k % 10 + 1, 1)).otherwise((k % 10).cast("string")))
-                .when(c.rlike("[a-z]"), F.when(hexed, _letters("a", 6, k)).otherwise(_letters("a", 26, k)))
-                .when(c.rlike("[A-Z]"), _letters("A", 26, k)).when(c.rlike("[а-я]"), _letters("а", 32, k))
-                .when(c.rlike("[А-Я]"), _letters("А", 32, k)).otherwise(c))
-
-    def shaped(text, keep=0):
-        chars = F.filter(F.split(text, ""), lambda c: c != "")
-        return F.array_join(F.transform(chars, lambda c, i: F.when(i < keep, c).otherwise(like(c, i))), "")
-
-    more = F.when(attempt >= GROW, F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), byte(F.lit(120)) % 26 + 1, 1)).otherwise("")
-    address = F.concat(shaped(F.regexp_extract(canon, r"^(.*)\.[^.]+$", 1)), more, F.lit("."), F.regexp_extract(canon, r"([^.]+)$", 1))
-    body = shaped(F.expr("left(canon, length(canon) - 1)"), 1)
-    was_valid = _luhn(canon, 0) == 0
-    check = (F.lit(10) - _luhn(body, 1) + F.when(was_valid, 0).otherwise(1)) % 10
+        return (F.when(i < F.col("keep"), c).when(c.rlike("[0-9]"), (k % 10).cast("string"))
+                .when(c.rlike("[a-z]"), F.char(F.lit(97) + k % F.when(F.col("hexed"), 6).otherwise(26)))
+                .when(c.rlike("[A-Z]"), F.char(F.lit(65) + k % 26))
+                .when(c.rlike("[а-я]"), F.substring(F.lit("абвгдежзийклмнопрстуфхцчшщъыьэюя"), k % 32 + 1, 1))
+                .when(c.rlike("[А-Я]"), F.substring(F.lit("АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"), k % 32 + 1, 1)).otherwise(c))
+
+    chars = F.filter(F.split("head", ""), lambda c: c != "")
+    values = values.withColumn("shaped", F.array_join(F.transform(chars, like), ""))
+    check = (F.lit(10) - _luhn(F.col("shaped"), 1) + F.when(_luhn(canon, 0) == 0, 0).otherwise(1)) % 10
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (byte(i) % 254 + 1).cast("string")), ".")
-
-    def syllables(script, n):
-        pool = F.array(*[F.lit(s) for s in SYLLABLES[script]])
-        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(pool, byte(i) % len(SYLLABLES[script]))), "")
-
-    def pick(script, gender):
-        pool = F.array(*[F.lit(x.lower()) for x in FIRST[script, gender]])
-        return F.when(attempt < GROW, F.get(pool, byte(F.lit(3)) % len(FIRST[script, gender]))).otherwise(
-            F.concat(F.get(pool, byte(F.lit(3)) % len(FIRST[script, gender])), syllables(script, attempt - GROW + 1)))
-
-    out = F.when(kind == "email", address).when(kind == "ip", octets) \
-        .when(kind == "card", F.concat(body, check.cast("string"))).when(kind == "key", F.concat(F.lit("AKIA"), shaped(F.expr("substring(canon, 5)")))) \
-        .when(kind.isin("phone", "ssn"), shaped(canon, 1)).when(kind == "iban", shaped(canon, 2)) \
-        .when(kind == "title", canon)
-    for script in SYLLABLES:
-        out = out.when(kind == f"last:{script}", syllables(script, F.least(F.lit(6), F.lit(3) + F.floor(attempt / 4).cast("int"))))
-        for gender in "mf":
-            out = out.when(kind == f"first:{gender}:{script}", pick(script, gender))
-    return out.otherwise(F.concat(shaped(canon), F.when(kind == "secret", more).otherwise("")))
+    script = F.when(kind.endswith("cyrillic"), "cyrillic").otherwise("latin")
+    pool = F.when(script == "latin", F.array(*map(F.lit, SYLLABLES["latin"]))).otherwise(F.array(*map(F.lit, SYLLABLES["cyrillic"])))
+    first = kind.startswith("first:")
+    n = F.when(first, F.greatest(F.lit(0), attempt - GROW + 1)).otherwise(3 + F.floor(attempt / 4).cast("int"))
+    tail = F.array_join(F.transform(F.sequence(F.lit(1), F.least(F.lit(40), n)), lambda i: F.get(pool, byte(i) % F.size(pool))), "")
+    named = F.lit("")
+    for (of, gender), names in FIRST.items():
+        named = F.when((script == of) & kind.startswith(f"first:{gender}"),
+                       F.get(F.array(*[F.lit(x.lower()) for x in names]), byte(F.lit(60)) % len(names))).otherwise(named)
+    return values.select("kind", "canon", "attempt", F.when(kind == "ip", octets)
+                         .when(kind == "email", F.concat("shaped", F.lit("."), F.regexp_extract(canon, r"([^.]+)$", 1)))
+                         .when(kind == "card", F.concat("shaped", check.cast("string")))
+                         .when(kind == "key", F.concat(F.lit("AKIA"), "shaped"))
+                         .when(first, F.concat(named, F.when(n > 0, tail).otherwise("")))
+                         .when(kind.startswith("last:"), tail).otherwise(F.col("shaped")).alias("surrogate"))
 
 
 def assign(values, key=KEY):
@@ -172,7 +165,7 @@ def assign(values, key=KEY):
     taken = [values.filter("kind <> 'title' and kind not like 'first:%'").select("kind", F.col("canon").alias("surrogate"))]
     done = [fixed]
     while True:
-        made = todo.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key))
+        made = with_surrogate(todo, key)
         owner = made.groupBy("kind", "surrogate").agg(F.min("canon").alias("owner"))
         held = reduce(lambda a, b: a.unionByName(b), taken).distinct().withColumn("held", F.lit(True))
         tried = materialize(made.join(owner, ["kind", "surrogate"]).join(held, ["kind", "surrogate"], "left")
@@ -190,9 +183,9 @@ def _in_case(value, shape):
                                                                F.initcap(value)).otherwise(value)
 
 
-def written(m, found):
+def written(m, kind, found):
     """The surrogates of a mention in the mention's own form; ``found``: its surrogates in order."""
-    kind, one = kind_of(m), F.get(found, F.lit(0))
+    one = F.get(found, F.lit(0))
     chars = F.filter(F.split(m, ""), lambda c: c != "")
     slots = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(
         one, F.length(F.regexp_replace(F.array_join(F.slice(chars, 1, i + 1), ""), "[^0-9A-Za-z]", "")), 1)).otherwise(c)), "")
@@ -204,14 +197,15 @@ def written(m, found):
 
 
 def replacements(docs, key=KEY):
-    """mention, replacement, kind: every distinct mention of the documents."""
-    seen = materialize(docs.select(F.explode(mentions(F.col("text"))).alias("mention")).distinct(), "pii-mentions")
-    parts = seen.select("mention", F.posexplode(values_of(F.col("mention"))).alias("at", "value")) \
-        .select("mention", "at", "value.kind", "value.canon")
-    named = parts.join(assign(parts, key), ["kind", "canon"]).groupBy("mention") \
+    """mention, replacement: every distinct mention of the documents."""
+    seen = docs.select(F.explode(mentions(F.col("text"))).alias("mention")).distinct()
+    parts = materialize(seen.select("mention", kind_of(F.col("mention")).alias("of"))
+                        .select("mention", "of", F.posexplode(values_of(F.col("mention"), F.col("of"))).alias("at", "value"))
+                        .select("mention", "of", "at", "value.kind", "value.canon"), "pii-mentions")
+    named = parts.join(assign(parts, key), ["kind", "canon"]).groupBy("mention", "of") \
         .agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("s"))
-    return materialize(named.select("mention", written(F.col("mention"), F.col("s.surrogate")).alias("replacement"),
-                                    kind_of(F.col("mention")).alias("kind")), "pii-replacements")
+    return materialize(named.select("mention", written(F.col("mention"), F.col("of"), F.col("s.surrogate")).alias("replacement")),
+                       "pii-replacements")
 
 
 def replace_pii(docs, key=KEY):

@@ -5,8 +5,8 @@ enters the lexicon if it separates the classes clearly (log odds less their stan
 the same documents. Near-copies of one document count once. The lexicon is a trie; a word's edit distance to all
 entries is computed by walking the trie with one row of the automaton per node, for all words of a part of a batch at
 once, and leaving a branch when no word can come within its distance. What a hit is worth, by entry and by distance, and
-how much less inside a quotation, is estimated on the same sample. A document's score is the chance that one of its hits
-is abuse.
+how much less inside a quotation, is estimated on the same sample; what is likelier harmless is left out. A document's score
+is the chance that one of its words with a hit is abuse.
 
 Defined results: an empty or null text scores 0; repeated rows score alike; several labels of one document count as the
 largest; without labels of both classes nothing is learned and all scores are 0; only id and text of documents and id
@@ -30,8 +30,11 @@ ENTRIES = 5_000
 LEAST, LONGEST = 3, 14
 WORDS = re.compile(r"[^\W_]+(?:[@$!*'’]+[^\W_]+)*")
 WINDOW = 60
-#: Prior chance that a hit at edit distance 0, 1, 2 is abuse, its weight in documents, and the prior of a quotation.
-PRIOR, WEIGHT, QUOTED = (0.9, 0.7, 0.45), 3.0, 0.35
+#: What a hit at edit distance 1 or 2 is worth beside an exact one, the weight of such priors in documents, and the prior
+#: of a quotation.
+FUZZY, WEIGHT, QUOTED = (1.0, 0.75, 0.65), 2.0, 0.35
+#: Chances of abuse from which an entry, and a misspelling of one, count.
+SURE, LIKELY = 0.75, 0.6
 #: Fixed value: verbs and nouns that announce a quotation, in the languages of the corpus.
 REPORTS = ("said says wrote writes quote quoted quotes called calls word term slur spelled dijo dice escribió palabra "
            "sagte sagt schrieb wort dit écrit écrivit mot").split()
@@ -69,7 +72,11 @@ def sample(docs, labels, per_class):
 
 
 def learn_lexicon(rows, totals):
-    """{entry: {distance: chance of abuse}} and the factor of quotations, from the sample."""
+    """{entry: {distance: chance of abuse}} and the factor of quotations, from the sample.
+
+    The sample is halved by sketch. Each half picks entries, and the other half tells what they are worth, so a term that
+    only happened to separate one half is found out.
+    """
     def marked(batches):
         import pyarrow as pa
 
@@ -80,11 +87,20 @@ def learn_lexicon(rows, totals):
 
     if set(totals) != {0, 1}:
         return {}, 1.0
+    half = F.pmod(F.xxhash64("sketch"), F.lit(2)).cast("int").alias("half")
     rows = rows.mapInArrow(marked, "text string, toxic int, sketch long") \
-        .groupBy("sketch").agg(F.min(F.struct("toxic", "text")).alias("r")).select("r.text", "r.toxic").persist()
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    least = max(3, n1 // 500)
+        .groupBy("sketch").agg(F.min(F.struct("toxic", "text")).alias("r")).select("r.text", "r.toxic", half).persist()
+    try:
+        return _learn(rows, totals)
+    finally:
+        rows.unpersist()
+
+
+def _learn(rows, totals):
+    sizes = Counter({(r["half"], r["toxic"]): r["n"] for r in
+                     rows.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()})
+    if min(sizes[h, k] for h in (0, 1) for k in (0, 1)) == 0:
+        return {}, 1.0
 
     def count(wanted, kind):
         def run(batches):
@@ -92,70 +108,89 @@ def learn_lexicon(rows, totals):
 
             seen = Counter()
             for b in batches:
-                for t in b.column(0).to_pylist():
-                    seen.update(terms(t) if wanted is None else terms(t) & wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["term", "n"])
-
-        part = rows.filter(F.col("toxic") == kind).select("text").mapInArrow(run, "term string, n long")
-        return part.groupBy("term").agg(F.sum("n").alias("n"))
-
-    in_toxic = {r["term"]: r["n"] for r in count(None, 1).filter(F.col("n") >= least).collect()}
-    wanted = set(in_toxic)
-    in_clean = {r["term"]: r["n"] for r in count(wanted, 0).collect()}
-
-    def odds(term):
-        t, c = in_toxic[term], in_clean.get(term, 0)
-        value = math.log((t + .5) / (n1 - t + .5)) - math.log((c + .5) / (n0 - c + .5))
-        return value - 1.64 * math.sqrt(1 / (t + .5) + 1 / (c + .5))
-
-    longer = defaultdict(int)  # most documents that a one letter longer term covers
-    for t, n in in_toxic.items():
-        longer[t[:-1]] = max(longer[t[:-1]], n)
-    good = [t for t, n in in_toxic.items() if longer[t] < 0.98 * n and odds(t) > math.log(3)
-            and in_clean.get(t, 0) / n0 < 0.05 * n / n1]
-    lexicon = set()
-    for t in sorted(good, key=lambda t: (len(t), t)):
-        if not any(t[:k] in lexicon for k in range(LEAST, len(t))):
-            lexicon.add(t)
-    lexicon = sorted(lexicon, key=lambda t: (-odds(t), t))[:ENTRIES]
-    if not lexicon:
-        rows.unpersist()
-        return {}, 1.0
-    trie = build_trie(lexicon)
+                for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    found = terms(t)
+                    seen.update((h, x) for x in (found if wanted is None else found & wanted))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[1] for k in seen], pa.string()), pa.array([k[0] for k in seen], pa.int32()),
+                 pa.array(list(seen.values()), pa.int64())], names=["term", "half", "n"])
+
+        part = rows.filter(F.col("toxic") == kind).select("text", "half").mapInArrow(run, "term string, half int, n long")
+        return part.groupBy("term", "half").agg(F.sum("n").alias("n"))
+
+    least = {h: max(3, sizes[h, 1] // 500) for h in (0, 1)}
+    enough = F.col("n") >= F.when(F.col("half") == 0, least[0]).otherwise(least[1])
+    toxic = {(r["half"], r["term"]): r["n"] for r in count(None, 1).filter(enough).collect()}
+    clean = Counter({(r["half"], r["term"]): r["n"] for r in count({t for _, t in toxic}, 0).collect()})
+    picked = defaultdict(set)  # entry: halves that picked it
+    for h in (0, 1):
+        for entry in pick({t: n for (x, t), n in toxic.items() if x == h}, sizes[h, 1],
+                          Counter({t: n for (x, t), n in clean.items() if x == h}), sizes[h, 0]):
+            picked[entry].add(h)
+    trie = build_trie(sorted(picked))
 
     def hits(batches):
         import pyarrow as pa
 
         seen = Counter()
         for b in batches:
-            for kind, t, found in zip(b.column(1).to_pylist(), *_found(b.column(0).to_pylist(), trie)):
+            texts, kinds, halves = (c.to_pylist() for c in b.columns)
+            for t, kind, h, found in zip(texts, kinds, halves, _found(texts, trie)):
                 best = {}
-                for word, at in found.items():
+                for at in found.values():
                     for entry, distance in at:
                         best[entry] = min(best.get(entry, 9), distance)
                 for entry, distance in best.items():
-                    seen[entry, distance, kind] += 1
-                if found:
+                    seen[entry, distance, kind, h] += 1
+                if any(d == 0 for d in best.values()):
                     quoted = [is_quoted(t, m.start(), m.end()) for m in WORDS.finditer(t.lower()) if m[0] in found]
-                    seen["", int(all(quoted)), kind] += 1
+                    seen["", int(all(quoted)), kind, h] += 1
         keys = list(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([k[2] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())],
-            names=["entry", "distance", "toxic", "n"])
-
-    found = rows.select("text", "toxic").mapInArrow(hits, "entry string, distance int, toxic int, n long") \
-        .groupBy("entry", "distance", "toxic").agg(F.sum("n").alias("n")).collect()
-    rows.unpersist()
-    scale = {0: totals[0] / max(n0, 1), 1: totals[1] / max(n1, 1)}
+            [pa.array([k[0] for k in keys], pa.string()), *[pa.array([k[i] for k in keys], pa.int32()) for i in (1, 2, 3)],
+             pa.array([seen[k] for k in keys], pa.int64())], names=["entry", "distance", "toxic", "half", "n"])
+
+    found = rows.mapInArrow(hits, "entry string, distance int, toxic int, half int, n long") \
+        .groupBy("entry", "distance", "toxic", "half").agg(F.sum("n").alias("n")).collect()
+    scale = [totals[k] / (sizes[0, k] + sizes[1, k]) for k in (0, 1)]
     seen = defaultdict(float)
     for r in found:
-        seen[r["entry"], r["distance"], r["toxic"]] += r["n"] * scale[r["toxic"]]
-    worth = {e: {d: (seen[e, d, 1] + WEIGHT * PRIOR[d]) / (seen[e, d, 1] + seen[e, d, 0] + WEIGHT)
-                 for d in range(reach(e) + 1)} for e in lexicon}
-    inside = (seen["", 1, 1] + WEIGHT * QUOTED) / (seen["", 1, 1] + seen["", 1, 0] + WEIGHT)
-    return worth, inside
+        if not r["entry"] or len(picked[r["entry"]]) == 2 or r["half"] not in picked[r["entry"]]:
+            seen[r["entry"], r["distance"], r["toxic"]] += r["n"] * scale[r["toxic"]]
+
+    def chance(entry, d, prior):
+        t, c = seen[entry, d, 1], seen[entry, d, 0]
+        return (t + WEIGHT * prior) / (t + c + WEIGHT)
+
+    rate = totals[1] / (totals[0] + totals[1])
+    worth = {}
+    for entry in sorted(picked):
+        exact = chance(entry, 0, rate)
+        if exact >= SURE:
+            near = {d: chance(entry, d, exact * FUZZY[d]) for d in range(1, reach(entry) + 1)}
+            worth[entry] = {0: exact} | {d: p for d, p in near.items() if p >= LIKELY}
+    best = sorted(worth, key=lambda e: (-seen[e, 0, 1], e))[:ENTRIES]
+    return {e: worth[e] for e in best}, chance("", 1, QUOTED)
+
+
+def pick(toxic, n1, clean, n0):
+    """Terms that separate the classes clearly, the longest that cover the same documents, none vague or within another."""
+    def odds(term):
+        t, c = toxic[term], clean[term]
+        value = math.log((t + .5) / (n1 - t + .5)) - math.log((c + .5) / (n0 - c + .5))
+        return value - 1.64 * math.sqrt(1 / (t + .5) + 1 / (c + .5))
+
+    longer = defaultdict(int)  # most documents that a one letter longer term covers
+    for t, n in toxic.items():
+        longer[t[:-1]] = max(longer[t[:-1]], n)
+    vague = {u[:k] for u, n in toxic.items() for k in range(LEAST, len(u))
+             if n >= 0.85 * toxic.get(u[:k], n + 1) and clean[u] < clean[u[:k]]}
+    good = [t for t, n in toxic.items() if t not in vague and longer[t] < 0.98 * n and odds(t) > math.log(3) and clean[t] * n1 < 0.05 * n * n0]
+    lexicon = set()
+    for t in sorted(good, key=lambda t: (len(t), t)):
+        if not any(t[:k] in lexicon for k in range(LEAST, len(t))):
+            lexicon.add(t)
+    return sorted(lexicon, key=lambda t: (-odds(t), t))[:ENTRIES]
 
 
 def reach(entry):
@@ -218,7 +253,7 @@ def match_words(words, trie):
 
 
 def _found(texts, trie):
-    """The texts, and for each the words with hits: {word: [(entry, distance)]}."""
+    """For each text the words with hits: {word: [(entry, distance)]}."""
     found, at = [], 0
     while at < len(texts):
         size, end, own = 0, at, []
@@ -233,7 +268,7 @@ def _found(texts, trie):
             hits.update(match_words(words[k:k + 50_000], trie))
         found += [{w: hits[w] for w in s & hits.keys()} for s in own]
         at = end
-    return texts, found
+    return found
 
 
 def is_quoted(text, start, end):
@@ -246,14 +281,15 @@ def is_quoted(text, start, end):
 
 
 def score_text(text, found, worth, inside):
-    """Chance that one of the hits is abuse."""
+    """Chance that one of the words with a hit is abuse."""
     if not found:
         return 0.0
     best = {}
     for m in WORDS.finditer(text.lower()):
-        for entry, distance in found.get(m[0], ()):
-            p = worth[entry][distance] * (inside if is_quoted(text, m.start(), m.end()) else 1.0)
-            best[entry] = max(best.get(entry, 0.0), p)
+        p = max((worth[entry].get(distance, 0.0) for entry, distance in found.get(m[0], ())), default=0.0)
+        if p:
+            p *= inside if is_quoted(text, m.start(), m.end()) else 1.0
+            best[m[0]] = max(best.get(m[0], 0.0), p)
     return 1 - math.prod(1 - p for p in best.values())
 
 
@@ -265,8 +301,8 @@ def toxic_score(docs, labels, per_class=PER_CLASS):
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
-            own, found = _found(list(t), trie)
-            yield pd.Series([score_text(x or "", f, worth, inside) for x, f in zip(own, found)], dtype="float64")
+            own = list(t)
+            yield pd.Series([score_text(x or "", f, worth, inside) for x, f in zip(own, _found(own, trie))], dtype="float64")
 
     return F.pandas_udf(score, "double")("text")
 
