@@ -36,21 +36,33 @@ _NAME = r"\p{Lu}[\p{L}'’\-]{1,30}"
 _FIRSTS = "|".join(n for names in FIRST.values() for n in names)
 _TITLES = "|".join(t for names in TITLES.values() for t in names)
 _SECRET = r"(?:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?"
-#: One pattern for all kinds; the first alternative that matches at a place wins.
-PATTERN = "|".join([
-    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    _SECRET + r"[A-Za-z0-9+/_\-]{8,128}",
-    r"\bAKIA[0-9A-Z]{16}\b",
-    r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
+_NUMBER = "|".join([
+    r"(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
+    r"\d{3}-\d{2}-\d{4}(?!\d)",
+    r"\d{3}[\-.]\d{3}[\-. ]\d{4}(?!\d)",
+    r"(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
+])
+_PLUS = "|".join([
     r"\+1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)",
     r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,3}(?!\d|\.\d)",
     r"\+\d{8,15}(?!\d)",
-    r"(?<!\d)(?:\(\d{3}\) ?\d{3}|\d{3}[\-.]\d{3})[\-. ]\d{4}(?!\d)",
-    r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
-    rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_FIRSTS}) {_NAME})",
 ])
+_CAPITAL = "|".join([
+    r"AKIA[0-9A-Z]{16}\b",
+    r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME})?",
+    rf"(?:{_FIRSTS}) {_NAME}",
+])
+#: One pattern for all kinds, tried only where a word or number starts and, by its first letter, only for the kinds that
+#: can start so; the first alternative that matches at a place wins.
+PATTERN = (r"(?<![\p{L}\d])(?:" + "|".join([
+    r"(?=[A-Za-z0-9])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    rf"(?=\d)(?<!\d\.)(?:{_NUMBER})",
+    rf"(?=\+)(?:{_PLUS})",
+    r"\(\d{3}\) ?\d{3}[\-. ]\d{4}(?!\d)",
+    rf"(?=\p{{Lu}})(?:{_CAPITAL})",
+    "(?=[psta])" + _SECRET + r"[A-Za-z0-9+/_\-]{8,128}",
+]) + ")")
 #: Attempts after which a surrogate may grow by a letter, where too few of its form are free.
 GROW = 8
 
@@ -196,9 +208,9 @@ def written(m, kind, found):
             .when((kind == "email") & (m == F.upper(m)), F.upper(one)).otherwise(one))
 
 
-def replacements(docs, key=KEY):
-    """mention, replacement: every distinct mention of the documents."""
-    seen = docs.select(F.explode(mentions(F.col("text"))).alias("mention")).distinct()
+def replacements(found, key=KEY):
+    """mention, replacement: every distinct mention; ``found``: a frame with a column of mentions."""
+    seen = found.distinct()
     parts = materialize(seen.select("mention", kind_of(F.col("mention")).alias("of"))
                         .select("mention", "of", F.posexplode(values_of(F.col("mention"), F.col("of"))).alias("at", "value"))
                         .select("mention", "of", "at", "value.kind", "value.canon"), "pii-mentions")
@@ -210,15 +222,17 @@ def replacements(docs, key=KEY):
 
 def replace_pii(docs, key=KEY):
     """The documents with all columns, their text with surrogates."""
-    known = replacements(docs, key)
     clean = docs.filter(F.coalesce(~F.col("text").rlike(PATTERN), F.lit(True)))
-    packed = docs.filter(F.col("text").rlike(PATTERN)).select(F.struct("*").alias("row"))
-    text = F.col("row.text")
-    same = F.concat(F.sha2(text, 256), F.length(text).cast("string"))  # equal texts get equal replacements
-    lists = packed.select(same.alias("of"), mentions(text).alias("found")).dropDuplicates(["of"]) \
+    # equal texts get equal replacements, so a text is known by its digest
+    digest = F.concat(F.sha2(F.col("text"), 256), F.length("text").cast("string"))
+    packed = docs.select(F.struct("*").alias("row"), mentions(F.col("text")).alias("found"), digest.alias("of")) \
+        .filter(F.size("found") > 0)
+    packed = materialize(packed, "pii-documents")
+    known = replacements(packed.select(F.explode("found").alias("mention")), key)
+    lists = packed.select("of", "found").dropDuplicates(["of"]) \
         .select("of", F.posexplode("found").alias("at", "mention")).join(known, "mention") \
         .groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "replacement"))).alias("r"))
-    joined = packed.withColumn("of", same).join(lists, "of")
+    joined = packed.select("row", "of").join(lists, "of")
     text = F.array_join(F.transform(F.split(F.col("row.text"), PATTERN, -1), lambda gap, i: F.concat(
         gap, F.coalesce(F.get(F.col("r.replacement"), i), F.lit("")))), "")
     changed = joined.select(*[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
