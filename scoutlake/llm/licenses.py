@@ -122,7 +122,7 @@ def spans(found, templates):
 
 def scan(docs):
     """Per document: n_words, base places and labels, all labels, score of the best span."""
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc"))
+    keyed = docs.select("doc_id", "text", F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc"))
     distinct_hits = hits(keyed.select("doc", "text")).distinct()
     templates = template_rows(docs.sparkSession)
     base = distinct_hits.join(templates.filter("base").select("template", "label"), "template") \
