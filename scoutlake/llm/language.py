@@ -37,8 +37,8 @@ def words(text):
 
 
 def grams(word, n):
-    """Character n-grams of a word with its ends marked."""
-    w = f" {word} "
+    """Character n-grams of a word, from 2 letters on with its ends marked."""
+    w = f" {word} " if n > 1 else word
     return [w[i:i + n] for i in range(len(w) - n + 1)]
 
 
