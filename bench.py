@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,7 +29,8 @@ def main():
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("scoutlake-bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='bench-')}").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     spark.read.parquet(f"{sf}/nation.parquet").count()

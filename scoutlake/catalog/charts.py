@@ -13,12 +13,12 @@ from .windows import _pct
 
 @query("v1_density_field", f"""
 WITH {FEED}, pt AS (SELECT type AS key, x, 100 - y AS y FROM v_feed),
-g AS (SELECT i, j FROM generate_series(0, 9) a(i), generate_series(0, 9) b(j)),
-d AS (SELECT key, i, j, sum(exp(-(pow((i + 0.5) * 10 - x, 2) + pow((j + 0.5) * 10 - y, 2)) / 98.0::DOUBLE)) AS d FROM pt, g GROUP BY 1, 2, 3)
+g AS (SELECT i, j FROM generate_series(0, 104) a(i), generate_series(0, 67) b(j)),
+d AS (SELECT key, i, j, sum(exp(-(pow((i + 0.5) * (100.0::DOUBLE / 105) - x, 2) + pow((j + 0.5) * (100.0::DOUBLE / 68) - y, 2)) / 98.0::DOUBLE)) AS d FROM pt, g GROUP BY 1, 2, 3)
 SELECT key, i::INT AS i, j::INT AS j, {r('pow(d / max(d) OVER (PARTITION BY key), 0.85)', 6)} AS f FROM d""")
 def v1(spark, sf):
     pts = ch.field_points(feed(spark, sf).select("Type", F.col("x").alias("IniX"), F.col("y").alias("IniY")), "Type")
-    return rounded(ch.kde_field(pts, 10, 10), 6, "f")
+    return rounded(ch.kde_field(pts, 105, 68), 6, "f")
 
 
 @query("v2_pass_network", f"""
@@ -66,14 +66,14 @@ def v5(spark, sf):
 
 @query("v6_similar_mean", _PAIRS + f""",
 k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(s, 6) DESC, b) AS num FROM p),
-w AS (SELECT vec_id, label, v[1] AS m0, v[2] AS m1 FROM e),
-pc AS (SELECT vec_id, {_pct('m0', 'label')} AS m0, {_pct('m1', 'label')} AS m1 FROM w),
-lg AS (UNPIVOT pc ON m0, m1 INTO NAME metric VALUE pct)
+w AS (SELECT vec_id, label, {', '.join(f'v[{i + 1}] AS m{i}' for i in range(64))} FROM e),
+pc AS (SELECT vec_id, {', '.join(f'''{_pct(f'm{i}', 'label')} AS m{i}''' for i in range(64))} FROM w),
+lg AS (UNPIVOT pc ON {', '.join(f'm{i}' for i in range(64))} INTO NAME metric VALUE pct)
 SELECT a AS id, metric, {r('avg(pct)', 9)} AS mean_pct FROM k JOIN lg ON lg.vec_id = b WHERE num <= 5 GROUP BY 1, 2""")
 def v6(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label",
-                                              *[F.col("embedding")[i].cast("double").alias(f"m{i}") for i in range(2)])
-    long = pct_rank(e, "label", "id", ["m0", "m1"], wide=False).select("id", "metric", "pct")
+                                              *[F.col("embedding")[i].cast("double").alias(f"m{i}") for i in range(64)])
+    long = pct_rank(e, "label", "id", [f"m{i}" for i in range(64)], wide=False).select("id", "metric", "pct")
     return rounded(ch.similar_mean(top_similar(_vectors(spark, sf), 5), long), 9, "mean_pct")
 
 
@@ -88,7 +88,7 @@ def v7(spark, sf):
 
 @query("v8_comparison_position", """
 WITH p AS (SELECT p_partkey AS "ID", CASE WHEN p_size % 3 = 0 THEN 'AM' ELSE 'GK' END AS f, CASE WHEN p_size % 2 = 0 THEN 'ST' END AS s FROM part),
-c AS (SELECT l_partkey AS pid, CASE l_returnflag WHEN 'A' THEN 'AM' WHEN 'N' THEN 'ST' ELSE 'CB' END AS pos FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2),
+c AS (SELECT l_partkey AS pid, CASE l_returnflag WHEN 'A' THEN 'AM' WHEN 'N' THEN 'ST' ELSE 'CB' END AS pos FROM lineitem GROUP BY 1, 2),
 k AS (SELECT "ID", pos, row_number() OVER (PARTITION BY "ID" ORDER BY CASE WHEN pos = f THEN 0 WHEN pos = s THEN 1 ELSE 2 END, pos) AS rn FROM p LEFT JOIN c ON c.pid = p."ID")
 SELECT "ID", pos AS "ComparisonPosition" FROM k WHERE rn = 1""")
 def v8(spark, sf):
@@ -96,6 +96,6 @@ def v8(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("ID"), F.when(size % 3 == 0, "AM").otherwise("GK").alias("FirstPos"),
                                         F.when(size % 2 == 0, "ST").alias("SecondPos"))
     flag = F.col("l_returnflag")
-    c = table(spark, sf, "lineitem").filter("l_quantity > 45").select(
+    c = table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("ID"), F.when(flag == "A", "AM").when(flag == "N", "ST").otherwise("CB").alias("Position"))
     return ch.comparison_position(p, c)

@@ -156,11 +156,11 @@ def c1(spark, sf):
 
 @query("c2_kmeans_roles")
 def c2(spark, sf):
-    df, _, _ = roles.kmeans_select(table(spark, sf, "embeddings"), ["embedding"], 3, 6, starts=2)
+    df, _, _ = roles.kmeans_select(table(spark, sf, "embeddings"), ["embedding"], 3, 6, starts=20)
     return df.select("vec_id", "label", "Cluster")
 
 
-_DIMS = 8
+_DIMS = 64
 
 
 def _points(spark, sf):

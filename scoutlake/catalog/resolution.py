@@ -37,7 +37,7 @@ def _names(spark, sf, block):
 def e1(spark, sf):
     a, b = _names(spark, sf, True)
     found = res.fuzzy_match(a, b, ["Slug", "Name", "ShortName"], 75, block="block")
-    return res.one_partner(res.with_leftovers(found, a, b))
+    return res.with_leftovers(res.one_partner(found.select("IdSS", "IdSW").distinct()), a, b)
 
 
 @query("e2_fuzzy_players")
@@ -150,13 +150,13 @@ def e7(spark, sf):
 
 
 @query("e8_clean_staff_teams", """
-WITH m AS (SELECT s_nationkey AS team, max(s_suppkey) AS boss FROM supplier WHERE s_acctbal > 0 GROUP BY 1)
+WITH m AS (SELECT s_nationkey AS team, max(s_suppkey) AS boss FROM supplier GROUP BY 1)
 SELECT n_nationkey AS "ID", CASE WHEN n_regionkey = 1 THEN 'OWN' ELSE upper(substr(lower(n_name), 1, 3)) END AS "Abbreviation",
        CASE WHEN s_acctbal < 9000 THEN 'M' || boss END AS "Manager"
 FROM nation LEFT JOIN m ON team = n_nationkey LEFT JOIN supplier ON s_suppkey = boss""")
 def e8(spark, sf):
     s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
-    lead = s.filter("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.max("s_suppkey").alias("Manager"))
+    lead = s.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.max("s_suppkey").alias("Manager"))
     none = F.lit(None).cast("string")
     colours = {c: F.lit("#123456") for c in ("PrimaryColour", "SecondaryColour", "HomeKitCol1", "HomeKitCol2",
                                              "HomeShortsCol", "AwayKitCol1", "AwayKitCol2", "AwayShortsCol")}

@@ -394,9 +394,9 @@ def j4(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", F.when(
         F.col("s_suppkey") % 5 != 0, F.col("s_nationkey")).alias("Nation"))
     n = table(spark, sf, "nation")
-    old = n.select(F.col("n_nationkey").alias("key"), F.lit("A").alias("value"))      # overwritten
-    lk = old.unionByName(n.select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value")))
-    return joins.map_column(s, "Nation", lk)
+    old = n.select(F.col("n_nationkey").alias("key"), F.lit("Z").alias("value"), F.lit(0).alias("at"))      # overwritten
+    lk = old.unionByName(n.select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value"), F.lit(1).alias("at")))
+    return joins.map_column(s, "Nation", lk, order="at")
 
 
 @query("j5_semi_anti", """
@@ -454,7 +454,7 @@ def u2(spark, sf):
 
 
 @query("u3_overlap_flag", """
-WITH l AS (SELECT c_nationkey AS nation, list(DISTINCT c_mktsegment) AS segs FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey),
+WITH l AS (SELECT c_nationkey AS nation, list(DISTINCT c_mktsegment) AS segs FROM customer GROUP BY c_nationkey),
 s AS (SELECT s_nationkey AS nation, list(DISTINCT CASE WHEN s_acctbal > 5000 THEN 'BUILDING' ELSE 'FURNITURE' END) AS segs FROM supplier GROUP BY s_nationkey),
 g AS (SELECT n_nationkey, list_transform(l.segs, lambda x: CASE x WHEN 'BUILDING' THEN 'A' WHEN 'MACHINERY' THEN 'A' WHEN 'FURNITURE' THEN 'B' END) AS a,
   list_transform(s.segs, lambda x: CASE x WHEN 'BUILDING' THEN 'A' WHEN 'MACHINERY' THEN 'A' WHEN 'FURNITURE' THEN 'B' END) AS b
@@ -462,7 +462,7 @@ g AS (SELECT n_nationkey, list_transform(l.segs, lambda x: CASE x WHEN 'BUILDING
 SELECT n_nationkey, CASE WHEN list_has_any(coalesce(a, []), coalesce(b, [])) THEN 1 ELSE 0 END AS match FROM g""")
 def u3(spark, sf):
     from ..operators.aggregate import distinct_lists
-    c = distinct_lists(table(spark, sf, "customer").filter("c_acctbal > 9000"), "c_nationkey", "c_mktsegment")
+    c = distinct_lists(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment")
     s = table(spark, sf, "supplier").withColumn("seg", F.when(F.col("s_acctbal") > 5000, "BUILDING").otherwise("FURNITURE"))
     s = distinct_lists(s, "s_nationkey", "seg")
     n = table(spark, sf, "nation").select("n_nationkey")

@@ -146,7 +146,7 @@ def _fit_inputs(spark, sf):
                      F.array(F.when(region < 3, "BUILDING").otherwise("FURNITURE")).alias("team_formations"),
                      F.array(F.when(region % 2 == 0, "up").otherwise("down")).alias("team_competitions"),
                      (F.col("n_nationkey") * 10.0).alias("team_elo")).join(squads, "team")
-    pairs = sim.candidate_pairs(players, teams.select("team").orderBy("team"), 100)
+    pairs = sim.candidate_pairs(players, teams.select("team"))
     num = lambda x: (x % 100).cast("double")
     both = pairs.select("player", "team")
     team_sim = pairs.select(F.col("own").alias("id"), F.col("team").alias("other"),

@@ -161,102 +161,102 @@ LEAGUE_NAMES = {
 }
 
 # Player counter and the source fields it is the maximum of.
-PLAYER_SOURCES = """
-Passes: totalPassSS totalPassSW
-AccuratePasses: accuratePassSS accuratePassSW
-LongBalls: totalLongBallsSS
-AccurateLongBalls: accurateLongBallsSS
-OwnHalfPasses: totalOwnHalfPassesSS
-AccurateOwnHalfPasses: accurateOwnHalfPassesSS
-OppositionHalfPasses: totalOppositionHalfPassesSS
-AccurateOppositionHalfPasses: accurateOppositionHalfPassesSS
-Touches: touchesSS
-PossessionLost: possessionLostCtrlSS
-UnsuccessfulTouches: unsuccessfulTouchSS
-Goals: goalsSS goalsSW
-GoalAssists: goalAssistSS goalAssistSW
-BigChancesCreated: bigChanceCreatedSS
-BigChancesMissed: bigChanceMissedSS
-KeyPasses: keyPassSS
-TotalShots: totalShotsSS totalScoringAttSW
-ShotsOnTarget: onTargetScoringAttemptSS ontargetScoringAttSW
-ShotsOffTarget: shotOffTargetSS shotOffTargetSW
-BlockedShots: blockedScoringAttemptSS blockedScoringAttSW
-HitWoodwork: hitWoodworkSS
-ExpectedGoals: expectedGoalsSS
-ExpectedGoalsOnTarget: expectedGoalsOnTargetSS
-ExpectedAssists: expectedAssistsSS
-ShotValue: shotValueNormalizedSS
-Crosses: totalCrossSS
-AccurateCrosses: accurateCrossSS
-AerialWon: aerialWonSS
-AerialLost: aerialLostSS
-DuelsWon: duelWonSS
-DuelsLost: duelLostSS
-Contests: totalContestSS
-ContestsWon: wonContestSS
-ChallengesLost: challengeLostSS
-Dispossessed: dispossessedSS
-Interceptions: interceptionWonSS
-Clearances: totalClearanceSS totalClearanceSW
-OutfielderBlocks: outfielderBlockSS
-BallRecoveries: ballRecoverySS
-Tackles: totalTackleSS totalTackleSW
-TacklesWon: wonTackleSS wonTackleSW
-LastManTackles: lastManTackleSS
-ClearanceOffLine: clearanceOffLineSS
-Fouls: foulsSS foulsSW
-WasFouled: wasFouledSS wasFouledSW
-Offsides: totalOffsideSS totalOffsideSW
-YellowCards: yellowCardSW
-RedCards: redCardSW
-SecondYellowRedCards: secondYellowSW
-RescindedRedCards: rescindedRedCardSW
-PenaltyWon: penaltyWonSS penaltyWonSW
-PenaltyMissed: penaltyMissSS
-PenaltyFaced: penaltyFacedSS penaltyFacedSW
-PenaltyConceded: penaltyConcededSS penaltyConcededSW
-PenaltySaves: penaltySaveSS penaltySaveSW
-PenaltyGoalsConceded: penGoalsConcededSW
-OwnGoals: ownGoalsSS ownGoalsSW
-ErrorsLeadToShot: errorLeadToAShotSS
-ErrorsLeadToGoal: errorLeadToAGoalSS
-MinutesPlayed: minutesPlayedSS minsPlayedSW
-Rating: ratingSS
-Saves: savesSS savesSW
-SavedShotsInsideBox: savedShotsFromInsideTheBoxSS
-Punches: punchesSS
-HighClaims: goodHighClaimSS
-CrossesNotClaimed: crossNotClaimedSS
-GoalKicks: goalKicksSW
-KeeperSweeperActions: totalKeeperSweeperSS
-AccurateKeeperSweeperActions: accurateKeeperSweeperSS
-GoalsConceded: goalsConcededSW
-GoalsPrevented: goalsPreventedSS
-CleanSheets: cleanSheetSW
-KeeperSaveValue: keeperSaveValueSS
-PassValue: passValueNormalizedSS
-DribbleValue: dribbleValueNormalizedSS
-DefensiveValue: defensiveValueNormalizedSS
-GoalkeeperValue: goalkeeperValueNormalizedSS
-TotalBallCarriesDistance: totalBallCarriesDistanceSS
-BallCarriesCount: ballCarriesCountSS
-TotalProgression: totalProgressionSS
-BestBallCarryProgression: bestBallCarryProgressionSS
-TotalProgressiveBallCarriesDistance: totalProgressiveBallCarriesDistanceSS
-ProgressiveBallCarriesCount: progressiveBallCarriesCountSS
-TopSpeed: topSpeedSS
-KilometersCovered: kilometersCoveredSS
-NumberOfSprints: numberOfSprintsSS
-MetersCoveredWalkingKm: metersCoveredWalkingKmSS
-MetersCoveredJoggingKm: metersCoveredJoggingKmSS
-MetersCoveredRunningKm: metersCoveredRunningKmSS
-MetersCoveredHighSpeedRunningKm: metersCoveredHighSpeedRunningKmSS
-MetersCoveredSprintingKm: metersCoveredSprintingKmSS
-CornersWon: wonCornersSW
-CornersLost: lostCornersSW
-CornersTaken: cornerTakenSW
-"""
+PLAYER_SOURCES = {
+    "Passes": ["totalPassSS", "totalPassSW"],
+    "AccuratePasses": ["accuratePassSS", "accuratePassSW"],
+    "LongBalls": ["totalLongBallsSS"],
+    "AccurateLongBalls": ["accurateLongBallsSS"],
+    "OwnHalfPasses": ["totalOwnHalfPassesSS"],
+    "AccurateOwnHalfPasses": ["accurateOwnHalfPassesSS"],
+    "OppositionHalfPasses": ["totalOppositionHalfPassesSS"],
+    "AccurateOppositionHalfPasses": ["accurateOppositionHalfPassesSS"],
+    "Touches": ["touchesSS"],
+    "PossessionLost": ["possessionLostCtrlSS"],
+    "UnsuccessfulTouches": ["unsuccessfulTouchSS"],
+    "Goals": ["goalsSS", "goalsSW"],
+    "GoalAssists": ["goalAssistSS", "goalAssistSW"],
+    "BigChancesCreated": ["bigChanceCreatedSS"],
+    "BigChancesMissed": ["bigChanceMissedSS"],
+    "KeyPasses": ["keyPassSS"],
+    "TotalShots": ["totalShotsSS", "totalScoringAttSW"],
+    "ShotsOnTarget": ["onTargetScoringAttemptSS", "ontargetScoringAttSW"],
+    "ShotsOffTarget": ["shotOffTargetSS", "shotOffTargetSW"],
+    "BlockedShots": ["blockedScoringAttemptSS", "blockedScoringAttSW"],
+    "HitWoodwork": ["hitWoodworkSS"],
+    "ExpectedGoals": ["expectedGoalsSS"],
+    "ExpectedGoalsOnTarget": ["expectedGoalsOnTargetSS"],
+    "ExpectedAssists": ["expectedAssistsSS"],
+    "ShotValue": ["shotValueNormalizedSS"],
+    "Crosses": ["totalCrossSS"],
+    "AccurateCrosses": ["accurateCrossSS"],
+    "AerialWon": ["aerialWonSS"],
+    "AerialLost": ["aerialLostSS"],
+    "DuelsWon": ["duelWonSS"],
+    "DuelsLost": ["duelLostSS"],
+    "Contests": ["totalContestSS"],
+    "ContestsWon": ["wonContestSS"],
+    "ChallengesLost": ["challengeLostSS"],
+    "Dispossessed": ["dispossessedSS"],
+    "Interceptions": ["interceptionWonSS"],
+    "Clearances": ["totalClearanceSS", "totalClearanceSW"],
+    "OutfielderBlocks": ["outfielderBlockSS"],
+    "BallRecoveries": ["ballRecoverySS"],
+    "Tackles": ["totalTackleSS", "totalTackleSW"],
+    "TacklesWon": ["wonTackleSS", "wonTackleSW"],
+    "LastManTackles": ["lastManTackleSS"],
+    "ClearanceOffLine": ["clearanceOffLineSS"],
+    "Fouls": ["foulsSS", "foulsSW"],
+    "WasFouled": ["wasFouledSS", "wasFouledSW"],
+    "Offsides": ["totalOffsideSS", "totalOffsideSW"],
+    "YellowCards": ["yellowCardSW"],
+    "RedCards": ["redCardSW"],
+    "SecondYellowRedCards": ["secondYellowSW"],
+    "RescindedRedCards": ["rescindedRedCardSW"],
+    "PenaltyWon": ["penaltyWonSS", "penaltyWonSW"],
+    "PenaltyMissed": ["penaltyMissSS"],
+    "PenaltyFaced": ["penaltyFacedSS", "penaltyFacedSW"],
+    "PenaltyConceded": ["penaltyConcededSS", "penaltyConcededSW"],
+    "PenaltySaves": ["penaltySaveSS", "penaltySaveSW"],
+    "PenaltyGoalsConceded": ["penGoalsConcededSW"],
+    "OwnGoals": ["ownGoalsSS", "ownGoalsSW"],
+    "ErrorsLeadToShot": ["errorLeadToAShotSS"],
+    "ErrorsLeadToGoal": ["errorLeadToAGoalSS"],
+    "MinutesPlayed": ["minutesPlayedSS", "minsPlayedSW"],
+    "Rating": ["ratingSS"],
+    "Saves": ["savesSS", "savesSW"],
+    "SavedShotsInsideBox": ["savedShotsFromInsideTheBoxSS"],
+    "Punches": ["punchesSS"],
+    "HighClaims": ["goodHighClaimSS"],
+    "CrossesNotClaimed": ["crossNotClaimedSS"],
+    "GoalKicks": ["goalKicksSW"],
+    "KeeperSweeperActions": ["totalKeeperSweeperSS"],
+    "AccurateKeeperSweeperActions": ["accurateKeeperSweeperSS"],
+    "GoalsConceded": ["goalsConcededSW"],
+    "GoalsPrevented": ["goalsPreventedSS"],
+    "CleanSheets": ["cleanSheetSW"],
+    "KeeperSaveValue": ["keeperSaveValueSS"],
+    "PassValue": ["passValueNormalizedSS"],
+    "DribbleValue": ["dribbleValueNormalizedSS"],
+    "DefensiveValue": ["defensiveValueNormalizedSS"],
+    "GoalkeeperValue": ["goalkeeperValueNormalizedSS"],
+    "TotalBallCarriesDistance": ["totalBallCarriesDistanceSS"],
+    "BallCarriesCount": ["ballCarriesCountSS"],
+    "TotalProgression": ["totalProgressionSS"],
+    "BestBallCarryProgression": ["bestBallCarryProgressionSS"],
+    "TotalProgressiveBallCarriesDistance": ["totalProgressiveBallCarriesDistanceSS"],
+    "ProgressiveBallCarriesCount": ["progressiveBallCarriesCountSS"],
+    "TopSpeed": ["topSpeedSS"],
+    "KilometersCovered": ["kilometersCoveredSS"],
+    "NumberOfSprints": ["numberOfSprintsSS"],
+    "MetersCoveredWalkingKm": ["metersCoveredWalkingKmSS"],
+    "MetersCoveredJoggingKm": ["metersCoveredJoggingKmSS"],
+    "MetersCoveredRunningKm": ["metersCoveredRunningKmSS"],
+    "MetersCoveredHighSpeedRunningKm": ["metersCoveredHighSpeedRunningKmSS"],
+    "MetersCoveredSprintingKm": ["metersCoveredSprintingKmSS"],
+    "CornersWon": ["wonCornersSW"],
+    "CornersLost": ["lostCornersSW"],
+    "CornersTaken": ["cornerTakenSW"],
+}
 
 # Lineup statistics that are not counters.
 LINEUP_DENY = ["formationPlace", "formationUsed", "gameStarted", "totalSubOn", "totalSubOff"]
@@ -339,8 +339,7 @@ ROLE_NAMES = {
 
 def player_sources():
     """Counter name and its list of source columns, in catalogue order."""
-    rows = [line.split(": ") for line in PLAYER_SOURCES.strip().splitlines()]
-    return {name: cols.split() for name, cols in rows}
+    return dict(PLAYER_SOURCES)
 
 
 def team_stat_columns():

@@ -19,7 +19,10 @@ def inner_join(df, other, keys):
 
 
 def map_column(df, col, lookup, key="key", value="value", order=None, out=None):
-    """Replace a column by its value in a lookup; unknown keys give null, the last duplicate wins."""
+    """Replace a column by its value in a lookup; unknown keys give null.
+
+    Of several values for a key the last by the column ``order`` wins, without it the largest value.
+    """
     out = out or col
     order = F.col(order) if order else F.col(value)
     table = (lookup.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..functions.numeric import _col
-from ..functions.text import letter_mask, sequence_ratio, slug, stable_id, word_set, word_set_score
+from ..functions.text import letter_mask, matching_share, slug, stable_id, word_set, word_set_score
 from ..session import materialize
 from .joins import map_column, outer_match
 from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallback_positions,
@@ -241,7 +241,10 @@ def with_leftovers(matched, a, b, id_a="IdSS", id_b="IdSW"):
 
 
 def one_partner(pairs, id_a="IdSS", id_b="IdSW"):
-    """First non-null partner per id on either side; rows without an id are kept as they are."""
+    """First non-null partner per id on either side; rows without an id are kept as they are.
+
+    An id whose partner goes to another id leaves the pairs; ``with_leftovers`` afterwards brings it back alone.
+    """
     def step(df, key, other):
         known = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(other).alias(other))
         return known.unionByName(df.filter(F.col(key).isNull()).select(key, other).distinct())
@@ -250,7 +253,7 @@ def one_partner(pairs, id_a="IdSS", id_b="IdSW"):
         F.col(id_a).isNotNull() | F.col(id_b).isNotNull()).select(id_a, id_b)
 
 
-def connected_components(edges, src="src", dst="dst", max_rounds=50):
+def connected_components(edges, src="src", dst="dst"):
     """Smallest node id of each node's component, by alternating star contraction.
 
     Each round replaces the edges around a node by edges to its smallest
@@ -277,15 +280,10 @@ def connected_components(edges, src="src", dst="dst", max_rounds=50):
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     e = materialize(e, "components")
-    seen = None
-    for _ in range(max_rounds):
-        e = materialize(star(star(e, True), False), "components")
+    seen, now = None, state(e)
+    while now != seen:
+        e, seen = materialize(star(star(e, True), False), "components"), now
         now = state(e)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return nodes.join(e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("c")), "node", "left"
                       ).select("node", F.coalesce("c", "node").alias("component"))
 
@@ -390,7 +388,7 @@ def _alike(a, b, nc, nk, threshold, known):
             return False
         ratio = known.get((x, y))
         if ratio is None:
-            ratio = known[x, y] = sequence_ratio(x, y)
+            ratio = known[x, y] = matching_share(x, y)
         total += ratio
     return total / len(texts) >= threshold
 
@@ -440,7 +438,7 @@ def unify_stats(first, second, match_ids, team_ids, player_ids, sources=None):
             df = map_column(df.withColumn(col, F.col(col).cast("string")), col,
                             ids.select(F.col(provider).cast("string").alias("key"),
                                        F.col("ID").alias("value")))
-        return df
+        return df.filter(F.col("Match").isNotNull())        # matches without an id are not known
 
     keys = ["Match", "team", "player"]
     a, b = translate(first, "IdSS"), translate(second, "IdSW")

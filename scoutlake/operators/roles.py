@@ -1,69 +1,95 @@
 """Playing roles: components, clusters, centroids and the nearest role."""
 
+import math
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_even
 
 
 def to_vectors(df, cols, out="features"):
-    """Assemble numeric columns, or convert one array column, to a vector column."""
+    """Assemble numeric columns, or convert one array column, to a vector column; the rows must have all values."""
     if len(cols) == 1 and df.schema[cols[0]].dataType.typeName() == "array":
         return df.withColumn(out, array_to_vector(F.col(cols[0]).cast("array<double>")))
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
+
+
+def _complete(df, cols):
+    """Rows with all values, and the rest."""
+    ok = F.lit(True)
+    for c in cols:
+        kind = df.schema[c].dataType.typeName()
+        known = F.col(c).isNotNull()
+        ok = ok & (known & ~F.isnan(c) if kind in ("double", "float") else known)
+    return df.filter(ok), df.filter(~ok)
 
 
 def pca_scores(df, cols, k=5):
-    """Standardise, then the first k principal components.
+    """Standardise by the population deviation, then the first k principal components.
 
-    Returns the frame with a ``scores`` array, the explained shares and the
-    loadings.  The covariance is one distributed pass; only a square matrix of
-    the columns comes back.
+    Returns the frame with a ``scores`` array (null where a value is missing), the
+    explained shares and the loadings.  The covariance is one distributed pass;
+    only a square matrix of the columns comes back.
     """
-    vectors = to_vectors(df, cols)
+    whole, rest = _complete(df, cols)
+    vectors = to_vectors(whole, cols)
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     scaled = scaler.fit(vectors).transform(vectors)
     model = PCA(k=k, inputCol="scaled", outputCol="pca").fit(scaled)
-    out = model.transform(scaled).withColumn("scores", vector_to_array("pca"))
-    return out.drop("features", "scaled", "pca"), model.explainedVariance.toArray(), model.pc.toArray()
+    n = whole.count()
+    widen = math.sqrt(n / (n - 1)) if n > 1 else 1.0        # the scaler divides by the sample deviation
+    out = model.transform(scaled).withColumn("scores", F.transform(vector_to_array("pca"), lambda x: x * widen))
+    out = out.drop("features", "scaled", "pca").unionByName(rest.withColumn("scores", F.lit(None).cast("array<double>")))
+    return out, model.explainedVariance.toArray(), model.pc.toArray()
+
+
+def _best_start(vectors, k, starts, seed):
+    """The cheapest of several k-means fits."""
+    fits = (KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="Cluster").fit(vectors) for s in range(starts))
+    return min(fits, key=lambda m: m.summary.trainingCost)
 
 
 def kmeans_select(df, cols, k_min=3, k_max=6, starts=20, seed=42):
-    """K-means for each k, the best of several starts by cost, the best k by silhouette.
+    """K-means for each k, the best of several starts by cost, the best k by silhouette (ties: fewer clusters).
 
-    The silhouette uses squared Euclidean distance.  Returns the clustered frame,
-    the score per k and the chosen model.
+    The silhouette uses squared Euclidean distance.  Returns the clustered frame
+    (rows with a missing value have a null cluster), (k, cost, silhouette) per k
+    and the chosen model.
     """
-    vectors = to_vectors(df, cols).cache()
+    whole, rest = _complete(df, cols)
+    vectors = to_vectors(whole, cols).cache()
     try:
-        n = vectors.count()
-        k_max = min(k_max, n - 1)
-        if k_max < k_min:
-            raise ValueError("not enough rows to cluster")
-        evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
-        scores, best = [], None
-        for k in range(k_min, k_max + 1):
-            fits = [KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="Cluster")
-                    .fit(vectors) for s in range(starts)]
-            model = min(fits, key=lambda m: m.summary.trainingCost)
-            found = model.transform(vectors)
-            score = evaluator.evaluate(found) if len(model.clusterCenters()) > 1 else -1.0
-            scores.append((k, float(model.summary.trainingCost), float(score)))
-            if best is None or score > best[0]:
-                best = (score, model)
-        return best[1].transform(vectors).drop("features"), scores, best[1]
+        if not 2 <= k_min <= k_max < vectors.count():
+            raise ValueError(f"k from {k_min} to {k_max} needs at least 2 clusters and more rows than clusters")
+        silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
+        models = {k: _best_start(vectors, k, starts, seed) for k in range(k_min, k_max + 1)}
+        quality = {k: float(silhouette.evaluate(m.transform(vectors))) for k, m in models.items()}
+        chosen = models[max(quality, key=lambda k: (quality[k], -k))]
+        out = chosen.transform(vectors).drop("features").unionByName(rest.withColumn("Cluster", F.lit(None).cast("int")))
+        return out, [(k, float(m.summary.trainingCost), quality[k]) for k, m in models.items()], chosen
     finally:
         vectors.unpersist()
 
 
-def name_roles(df, names, position="Position", cluster="Cluster", out="Role"):
-    """Role name of each (position, cluster number)."""
-    table = F.create_map(*[x for p, roles in names.items()
-                           for x in (F.lit(p), F.array(*[F.lit(r) for r in roles]))])
-    return df.withColumn(out, F.get(F.try_element_at(table, F.col(position)), F.col(cluster)))
+def name_roles(df, names=None, order=(), position="Position", cluster="Cluster", out="Role"):
+    """Role of each (position, cluster): clusters numbered by the mean sum of the ``order`` columns, smallest first.
+
+    ``names`` {position: [name, ...]} gives names by that number; a number without a name is "Role n".
+    """
+    known = {p: list(r) for p, r in (names or {}).items()}
+    total = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in order), F.lit(0.0))
+    means = df.filter(F.col(cluster).isNotNull()).groupBy(position, cluster).agg(F.avg(total).alias("_mean"))
+    number = F.row_number().over(Window.partitionBy(position).orderBy("_mean", cluster))
+    name = F.concat(F.lit("Role "), number.cast("string"))
+    if known:
+        table = F.create_map(*[x for p, r in known.items() for x in (F.lit(p), F.array(*[F.lit(n) for n in r]))])
+        name = F.coalesce(F.get(F.try_element_at(table, F.col(position)), number - 1), name)
+    return df.join(means.select(position, cluster, name.alias(out)), [position, cluster], "left")
 
 
 def role_centroids(df, cols, position="Position", role="Role"):

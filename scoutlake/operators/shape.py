@@ -98,12 +98,13 @@ def resolve_position(df, main="positionSW", side="position_sideSW", fallback="po
 
 
 def map_by_formation(df, formation_map, formation="Formation", position="Position",
-                     canonical=None):
-    """Position by (formation, raw position), then the formation it is counted as."""
-    lookup = formation_map.select(F.col("formation").alias(formation),
-                                  F.col("raw_position").alias(position),
-                                  F.col("position").alias("_mapped")
-                                  ).dropDuplicates([formation, position])
+                     canonical=None, order="position"):
+    """Position by (formation, raw position), then the formation it is counted as.
+
+    Of several positions for a pair the last by the column ``order`` of the map wins.
+    """
+    lookup = formation_map.groupBy(F.col("formation").alias(formation), F.col("raw_position").alias(position)).agg(
+        F.max_by(F.col("position"), F.col(order)).alias("_mapped"))
     names = const_map(lk.FORMATIONS if canonical is None else canonical)
     return (df.join(lookup, [formation, position], "left")
             .withColumn(position, F.col("_mapped")).drop("_mapped")
@@ -312,15 +313,15 @@ def overlap_flag(a, b, groups=None):
 
 
 def one_hot(df, cols, levels=None, prefix_sep="_"):
-    """0/1 column per level of each category (levels are few; found by one distinct each)."""
+    """0/1 column per level of each category.
+
+    Levels not given are found by one distinct; they become column names, so a category has as many as a schema holds.
+    """
     out = [F.col(c) for c in df.columns if c not in cols]
     for c in cols:
         found = (levels or {}).get(c)
         if found is None:
-            found = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct()
-                     .orderBy(c).limit(5001).collect()]
-            if len(found) > 5000:
-                raise ValueError(f"{c} is not a category: more than 5000 levels")
+            found = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
         out += [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}{prefix_sep}{v}")
                 for v in found]
     return df.select(out)

@@ -319,9 +319,12 @@ UNIT = ["FormationsMatch", "TournamentsMatch", "CountryMatch", "StatsCorrelation
 GAP = ["TimestampDiff", "EloRatingDiff", "RatingDiff", "PotentialDiff"]
 
 
-def candidate_pairs(players, teams, max_teams=100):
-    """(player, team) rows of a candidate list and a bounded team list, own team left out."""
-    best = teams.limit(max_teams).agg(F.collect_list("team")).scalar()
+def candidate_pairs(players, teams):
+    """(player, team) rows of a candidate list and a team list, own team left out.
+
+    Every player is scored for every team, so the caller bounds the two lists (top-k) as far as scores are wanted.
+    """
+    best = teams.agg(F.collect_list("team")).scalar()
     rows = players.select("player", "own", F.explode(best).alias("team"))
     return rows.filter(F.col("own") != F.col("team"))
 

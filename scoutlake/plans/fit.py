@@ -8,23 +8,27 @@ from ..session import materialize
 from ..sources.tables import read_table, write_table
 
 
-def candidates(players, agg_player, min_matches=10, limit=2000):
-    """Best rated players with enough matches, a team, a rating and a potential."""
+def candidates(players, agg_player, min_matches=10, limit=None):
+    """Players (the best rated ``limit`` of them) with enough matches, a team, a rating and a potential."""
     enough = agg_player.filter(F.col("Matches") >= min_matches).select(F.col("Player").alias("ID"))
     known = players.dropna(subset=["Team", "Rating", "Potential"]).join(enough, "ID", "left_semi")
-    return win.top_k(known, [F.col("Rating").desc(), F.col("Potential").desc(), "ID"], limit)
+    return known if limit is None else win.top_k(known, [F.col("Rating").desc(), F.col("Potential").desc(), "ID"], limit)
 
 
-def signing_teams(teams, played, leagues=None, limit=100):
-    """Best teams by Elo that play in a signing league."""
+def signing_teams(teams, played, leagues=None, limit=None):
+    """Teams (the ``limit`` best by Elo) that play in a signing league."""
     leagues = lk.FIT_LEAGUES if leagues is None else leagues
     ok = played.filter(F.col("League").isin(leagues)).select(F.col("Team").alias("ID")).distinct()
-    return win.top_k(teams.join(ok, "ID", "left_semi"), [F.col("EloRating").desc(), "ID"], limit)
+    known = teams.join(ok, "ID", "left_semi")
+    return known if limit is None else win.top_k(known, [F.col("EloRating").desc(), "ID"], limit)
 
 
 def run_fit(spark, metrics, events, out, season, as_of, leagues=None, min_matches=10, min_minutes=500,
-            rank_players=False):
-    """Score every candidate for every signing team other than his own."""
+            rank_players=False, top_players=None, top_teams=None):
+    """Score every candidate for every signing team other than his own.
+
+    ``top_players`` and ``top_teams`` bound the two lists by rating and by Elo; by default all are scored.
+    """
     t = {n: read_table(spark, f"{metrics}/{n}") for n in
          ("team", "player", "match", "player_stats", "team_stats", "agg_player", "agg_team")}
     season_rows = shape.season_filter(t["match"], season)
@@ -35,8 +39,8 @@ def run_fit(spark, metrics, events, out, season, as_of, leagues=None, min_matche
     # Who and where.
     team_played = t["team_stats"].select("Match", "Team", "Formation").join(league_of, "Match")
     player_played = t["player_stats"].select("Match", "Team", "Player").join(team_played, ["Match", "Team"])
-    pool = materialize(candidates(t["player"], agg_player, min_matches), "candidates")
-    clubs = materialize(signing_teams(t["team"], team_played, leagues).select(F.col("ID").alias("team")), "clubs")
+    pool = materialize(candidates(t["player"], agg_player, min_matches, top_players), "candidates")
+    clubs = materialize(signing_teams(t["team"], team_played, leagues, top_teams).select(F.col("ID").alias("team")), "clubs")
     pairs = materialize(sim.candidate_pairs(pool.select(F.col("ID").alias("player"), F.col("Team").alias("own")), clubs), "pairs")
     both = pairs.select("player", "team")
 

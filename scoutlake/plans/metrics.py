@@ -30,9 +30,10 @@ def recent_first():
 def season_roles(player_stats, metric_lists, min_minutes=500, starts=20, names=None):
     """Role centroids per position from season aggregates: components, clusters, means.
 
+    ``names`` {position: [name, ...]} names the roles in the order of ``name_roles``.
+
     The positions are a fixed handful, each fitted by distributed jobs.
     """
-    names = names or lk.ROLE_NAMES
     main = F.coalesce(F.try_element_at(const_map(lk.ROLE_POSITION), F.col("Position")), F.col("Position"))
     df = player_stats.filter(F.col("MinutesPlayed") >= min_minutes).withColumn("Position", main)
     out = None
@@ -42,7 +43,7 @@ def season_roles(player_stats, metric_lists, min_minutes=500, starts=20, names=N
         k = min(5, len(cols))
         scored, _, _ = roles.pca_scores(rows.select("Player", "Position", *cols), cols, k)
         found, _, _ = roles.kmeans_select(scored, ["scores"], starts=starts)
-        centers = roles.role_centroids(roles.name_roles(found, names), cols)
+        centers = roles.role_centroids(roles.name_roles(found, names, cols), cols)
         out = centers if out is None else out.unionByName(centers)
     return out
 

@@ -47,6 +47,7 @@ MATCH_COLUMNS = {
     "Venue": ["VenueSS"], "Referee": ["RefereeSS"], "HomeScore": ["HomeScoreSS"],
     "AwayScore": ["AwayScoreSS"], "IdSS": ["IdSS"], "IdSW": ["IdSW"],
 }
+# Texts that duplicates share.
 DUPLICATE_TEXTS = ["Slug", "Name", "ShortName", "LongName", "Country"]
 
 
@@ -65,7 +66,7 @@ def unify_teams(first_matches, second_matches, first, second):
 
     found = res.fuzzy_match(side(first, first_matches, "IdSS"), side(second, second_matches, "IdSW"),
                             names, 75, block="League")
-    pairs = res.one_partner(res.with_leftovers(found, first, second))
+    pairs = res.with_leftovers(res.one_partner(found.select("IdSS", "IdSW").distinct()), first, second)
     teams = res.unify_entity(first, second, pairs, TEAM_COLUMNS, "team")
     return res.merge_duplicates(teams, "ID", DUPLICATE_TEXTS, ["IdSS", "IdSW"], weak=["Country"]).drop("conflict")
 
@@ -78,7 +79,7 @@ def _people(first, second, columns, kind, threshold, block=None):
     a = _normalized(a.select("IdSS", *fields, *keep).distinct(), fields[1:])
     b = _normalized(b.select("IdSW", *fields, *keep).distinct(), fields[1:])
     found = res.fuzzy_match(a, b, fields, threshold, block=block)
-    pairs = res.one_partner(res.with_leftovers(found, first, second))
+    pairs = res.with_leftovers(found, first, second)
     return res.unify_entity(first, second, pairs, columns, kind).withColumn(
         "LongName", F.concat("FirstName", F.lit(" "), "LastName"))
 

@@ -1,19 +1,11 @@
 """Scratch storage shared by all executors, for cutting lineage."""
 
-import tempfile
 import uuid
 
 
 def scratch_root(spark):
-    """Folder of the cluster's ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scoutlake-"))
-    return spark.sparkContext.getCheckpointDir()
+    """Folder of the cluster's ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark, name):

@@ -79,13 +79,3 @@ def lookup(spark, name, path=None):
         m = F.from_json("value", "map<string,array<string>>")
         return text.select(F.explode(m).alias("position", "metrics"))
     raise KeyError(name)
-
-
-def lookup_dict(df, key, value):
-    """A bounded lookup as a dictionary, for constant maps; refuses to grow past 10,000 rows."""
-    rows = df.select(key, value).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("lookup too large for a constant map")
-    return {r[0]: r[1] for r in rows}
-
-

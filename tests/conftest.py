@@ -8,10 +8,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    scratch = tmp_path_factory.mktemp("scratch").as_uri()
     session = (SparkSession.builder.master("local[8]").appName("scoutlake-tests")
                .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
-               .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.checkpoint.dir", scratch).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     return session

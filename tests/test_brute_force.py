@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scoutlake.functions.text import sequence_ratio, token_set_score
+from scoutlake.functions.text import matching_share, seq_ratio, token_set_score
 from scoutlake.operators import charts, rating, resolve, roles, similarity as sim, windows as win
 
 
@@ -57,10 +57,9 @@ def test_token_set_score():
     assert token_set_score("", "x") == 0.0 and token_set_score(None, "x") == 0.0
 
 
-def test_sequence_ratio():
-    assert sequence_ratio(" Ab ", "ab") == 1.0
-    assert sequence_ratio(None, "a") is None
-    assert sequence_ratio("abcd", "bcde") == 0.75
+def test_sequence_ratio(spark):
+    df = spark.createDataFrame([(" Ab ", "ab"), (None, "a"), ("abcd", "bcde"), ("", "")], "a string, b string")
+    assert [r[0] for r in df.select(seq_ratio("a", "b")).collect()] == [1.0, None, 0.75, 1.0]
 
 
 # -- Elo -----------------------------------------------------------------------
@@ -153,9 +152,9 @@ def test_with_leftovers_and_one_partner(spark):
     a = spark.createDataFrame([("1",), ("2",), ("3",)], "IdSS string")
     b = spark.createDataFrame([("x",), ("y",)], "IdSW string")
     m = spark.createDataFrame([("1", "x"), ("2", "x")], "IdSS string, IdSW string")
-    pairs = resolve.one_partner(resolve.with_leftovers(m, a, b))
+    pairs = resolve.with_leftovers(resolve.one_partner(m), a, b)
     got = {(r["IdSS"], r["IdSW"]) for r in pairs.collect()}
-    assert got == {("1", "x"), ("3", None), (None, "y")}
+    assert got == {("1", "x"), ("2", None), ("3", None), (None, "y")}
 
 
 # -- duplicates ----------------------------------------------------------------
@@ -172,7 +171,7 @@ def plain_groups(data, check, keys, thr):
         x, y = data[i], data[j]
         if any(x[k] is not None and y[k] is not None and x[k] != y[k] for k in keys):
             continue
-        s = [sequence_ratio(x[c], y[c]) for c in check if x[c] is not None and y[c] is not None]
+        s = [matching_share(x[c].strip().lower(), y[c].strip().lower()) for c in check if x[c] is not None and y[c] is not None]
         if s and sum(s) / len(s) >= thr:
             parent[find(i)] = find(j)
     groups = {}
