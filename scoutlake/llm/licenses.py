@@ -4,17 +4,19 @@ Templates are short notices and phrases. Every run of ``K`` words of every docum
 words, to the places of the same run in the templates. A hit votes for the diagonal (its place in the document less that
 in the template); votes are counted per diagonal, diagonals that lie at most ``NEAR`` words apart are merged into one
 span, which bridges inserted and dropped words, and a span is verified by the share of the template's words that its hits
-cover and by its length. Phrases of two words are matched by pairs that start with one of the phrases' first words.
+cover and by its length. Phrases of two or three words are matched as one run.
 
-The templates are a few hundred words, so their side of the join is small whatever the corpus; hits are counted before
-the shuffle. Defined results: a null or empty text has no words, no label and score 0; repeated rows have equal results;
+The templates are a few hundred words, so their side of the join is small whatever the corpus; only hits and one row per
+document with its length are shuffled. Defined results: a null or empty text has no words, no label and score 0; repeated rows have equal results;
 words are compared after lower-casing A-Z; an empty table gives no rows; only id and text are read.
 """
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import materialize, query, table
 
 K = 4
 NEAR = 3
@@ -48,16 +50,22 @@ NOTICES = [
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "All rights reserved."),
 ]
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, before lower-casing.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Template number of the row that only tells a document's length.
+LENGTH = -1
+
+
 def lowered(text):
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.translate(text, UPPER, LOWER)
 
 
 def words(text):
-    return F.regexp_extract_all(lowered(text), F.lit(WORD), 0)
+    """Words of a text, not yet lower-cased; splitting takes one pass, extracting matches copies the text for each."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), BETWEEN), lambda w: w != "")
 
 
 def template_rows(spark):
@@ -66,39 +74,51 @@ def template_rows(spark):
     rows = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(base).alias("base"), F.lit(text).alias("text"))
         for i, (label, base, text) in enumerate(texts)])))
-    w = words(F.col("text"))
+    w = words(lowered(F.col("text")))
     return rows.select("template", "label", "base", F.size(w).alias("t_words"), w.alias("words"))
 
 
-def _grams(w, size, keep=None):
-    """Runs of words as structs (at, gram); a shorter text has none. ``keep``: first words of runs that count."""
-    last = F.size(w) - size
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    if keep:
-        places = F.filter(places, lambda i: F.get(w, i).isin(*keep))
-    return F.transform(places, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(w, i + 1, size), " ").alias("gram")))
+def _runs(w, places, size):
+    """Runs of words as structs (at, gram) at the places that have so many words left."""
+    return F.transform(F.filter(places, lambda i: i <= F.size(w) - size), lambda i: F.struct(
+        i.alias("at"), lowered(F.array_join(F.slice(w, i + 1, size), " ")).alias("gram")))
 
 
 def template_index(spark):
     """gram, its hash, template and place, one row per run of every template; phrases shorter than K have one run."""
-    rows = template_rows(spark)
+    rows = template_rows(spark).withColumn("places", F.sequence(F.lit(0), F.col("t_words") - 1))
     size = F.least(F.col("t_words"), F.lit(K))
-    runs = [rows.filter(size == n).select("template", F.explode(_grams(F.col("words"), n)).alias("g")).select("template", "g.*")
-            for n in range(2, K + 1)]
-    index = runs[0].unionByName(runs[1]).unionByName(runs[2])
-    return index.select("template", F.col("at").alias("t_at"), "gram", F.xxhash64("gram").alias("hash"))
+    index = None
+    for n in range(2, K + 1):
+        part = rows.filter(size == n).select("template", F.explode(_runs(F.col("words"), F.col("places"), n)).alias("g"))
+        index = part if index is None else index.unionByName(part)
+    length = spark.range(1).select(F.lit(LENGTH).alias("template"), F.struct(F.lit(0).alias("at"), F.lit("").alias("gram")).alias("g"))
+    return index.unionByName(length).select("template", F.col("g.at").alias("t_at"), "g.gram", F.xxhash64("g.gram").alias("hash"))
+
+
+def _starts():
+    """First and second words of all template runs."""
+    texts = [re.findall(r"[0-9a-z]+", t.lower()) for t in [p for p, _ in PHRASES] + [t for _, t in NOTICES]]
+    last = [max(1, len(w) - K + 1) for w in texts]
+    return tuple(sorted({w[i + k] for w, n in zip(texts, last) for i in range(n)}) for k in (0, 1))
 
 
 def hits(docs):
-    """Places where a run of a document is a run of a template: doc, template, place in each."""
-    spark = docs.sparkSession
-    short = sorted({(len(w), w[0]) for w in (text.lower().rstrip(".").split() for text in
-                                             [p for p, _ in PHRASES] + [t for _, t in NOTICES]) if len(w) < K})
-    w = F.col("words")
-    runs = [_grams(w, K)] + [_grams(w, n, [first for k, first in short if k == n]) for n in sorted({k for k, _ in short})]
+    """Places where a run of a document is a run of a template: doc, template, place in each.
+
+    Each document also has one row of template ``LENGTH`` whose place is its number of words. Runs that start with two
+    words that no template run starts with are left out before they are written down.
+    """
+    first, second = _starts()
+    w, places = F.col("words"), F.col("places")
+    two = F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0)))
     grams = docs.select("doc", words(F.col("text")).alias("words")) \
-        .select("doc", F.explode(F.concat(*runs)).alias("g")).select("doc", "g.*", F.xxhash64("g.gram").alias("hash"))
-    index = template_index(spark)
+        .select("doc", "words", F.filter(two, lambda i: F.lower(F.get(w, i)).isin(first)
+                                         & F.lower(F.get(w, i + 1)).isin(second)).alias("places")) \
+        .select("doc", F.explode(F.concat(*[_runs(w, places, n) for n in range(2, K + 1)], F.array(
+            F.struct(F.size(w).alias("at"), F.lit("").alias("gram"))))).alias("g")) \
+        .select("doc", "g.*", F.xxhash64("g.gram").alias("hash"))
+    index = template_index(docs.sparkSession)
     same = (grams["hash"] == index["hash"]) & (grams["gram"] == index["gram"])
     return grams.join(index, same).select("doc", "template", "at", "t_at")
 
@@ -123,17 +143,19 @@ def spans(found, templates):
 def scan(docs):
     """Per document: n_words, base places and labels, all labels, score of the best span."""
     keyed = docs.select("doc_id", "text", F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc"))
-    distinct_hits = hits(keyed.select("doc", "text")).distinct()
+    found = hits(keyed.select("doc", "text")).distinct()
+    found = materialize(found, "license-hits")
     templates = template_rows(docs.sparkSession)
-    base = distinct_hits.join(templates.filter("base").select("template", "label"), "template") \
+    real = found.filter(F.col("template") != LENGTH)
+    base = real.join(templates.filter("base").select("template", "label"), "template") \
         .groupBy("doc").agg(F.count(F.lit(1)).alias("n_base"), F.min("at").alias("first"), F.max("at").alias("last"),
                             F.collect_set("label").alias("base_set"))
-    more = spans(distinct_hits, templates).groupBy("doc").agg(F.collect_set("label").alias("set"), F.max("score").alias("best"))
+    more = spans(real, templates).groupBy("doc").agg(F.collect_set("label").alias("set"), F.max("score").alias("best"))
+    lengths = found.filter(F.col("template") == LENGTH).select("doc", F.col("at").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    own = keyed.select("doc_id", "doc", F.regexp_count(lowered(F.col("text")), F.lit(WORD)).cast("long").alias("n_words"))
     labels = F.array_sort(F.array_union(F.coalesce("base_set", none), F.coalesce("set", none)))
-    found = base.join(more, "doc", "full")
-    return own.join(found, "doc", "left").select(
+    whole = lengths.join(base, "doc", "left").join(more, "doc", "left")
+    return keyed.select("doc_id", "doc").join(whole, "doc").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"),
         F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.coalesce("base_set", none)), ",").alias("base_labels"),
