@@ -210,16 +210,39 @@ def build_trie(lexicon):
     return root
 
 
+def _entries(node):
+    return [e for e, _ in node.get("", ())] + [e for ch, child in node.items() if ch for e in _entries(child)]
+
+
+def _masks(letters):
+    """One bit per letter of each row (letters may share a bit)."""
+    import numpy as np
+
+    bits = np.where(letters == 0, np.uint64(0), np.uint64(1) << (letters & 63).astype("u8"))
+    return np.bitwise_or.reduce(bits, axis=1)
+
+
 def match_words(words, trie):
-    """{word: [(entry, distance)]} of the words within reach of an entry."""
+    """{word: [(entry, distance)]} of the words within reach of an entry.
+
+    A letter of an entry that a word lacks costs an edit, so words that lack more letters of every entry than its reach
+    never enter the trie. Of a word only as many letters count as the longest entry and its reach have, and one more.
+    """
     import numpy as np
 
-    width = LONGEST + 20
-    longest = max((len(w) for w in words), default=0)
-    width = min(width, longest + 1)
-    if not words or not trie:
+    entries = _entries(trie)
+    if not words or not entries:
         return {}
+    width = max(len(e.rstrip("$")) + reach(e) + 1 for e in entries)
     letters = np.array(words, dtype=f"U{width}").view("u4").reshape(len(words), width)
+    have, near = ~_masks(letters), np.zeros(len(words), bool)
+    for e in entries:
+        own = _masks(np.array([e.rstrip("$")], dtype=f"U{width}").view("u4").reshape(1, width))[0]
+        near |= np.bitwise_count(have & own) <= reach(e)
+    words = [w for w, ok in zip(words, near) if ok]
+    if not words:
+        return {}
+    letters = letters[near]
     length = np.array([min(len(w), width) for w in words])
     column = np.arange(width + 1, dtype="i2")
     past = column[None, :] > length[:, None]
