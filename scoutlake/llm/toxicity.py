@@ -127,7 +127,19 @@ def _learn(rows, totals):
         for entry in pick({t: n for (x, t), n in toxic.items() if x == h}, sizes[h, 1],
                           Counter({t: n for (x, t), n in clean.items() if x == h}), sizes[h, 0]):
             picked[entry].add(h)
-    trie = build_trie(sorted(picked))
+    # weights that give the classes their share among all labels, at the size of the sample
+    whole = sum(sizes.values())
+    scale = [totals[k] / (totals[0] + totals[1]) * whole / (sizes[0, k] + sizes[1, k]) for k in (0, 1)]
+    rate = totals[1] / (totals[0] + totals[1])
+    judges = {e: (0, 1) if len(halves) == 2 else (1 - min(halves),) for e, halves in picked.items()}
+    exact = {}
+    for e, halves in judges.items():
+        t, c = (scale[k] * sum(n.get((h, e), 0) for h in halves) for k, n in ((1, toxic), (0, clean)))
+        p = (t + WEIGHT * rate) / (t + c + WEIGHT)
+        if p >= SURE:
+            exact[e] = (p, t)
+    exact = dict(sorted(exact.items(), key=lambda x: (-x[1][1], x[0]))[:ENTRIES])
+    trie = build_trie(sorted(exact))
 
     def hits(batches):
         import pyarrow as pa
@@ -152,25 +164,20 @@ def _learn(rows, totals):
 
     found = rows.mapInArrow(hits, "entry string, distance int, toxic int, half int, n long") \
         .groupBy("entry", "distance", "toxic", "half").agg(F.sum("n").alias("n")).collect()
-    scale = [totals[k] / (sizes[0, k] + sizes[1, k]) for k in (0, 1)]
     seen = defaultdict(float)
     for r in found:
-        if not r["entry"] or len(picked[r["entry"]]) == 2 or r["half"] not in picked[r["entry"]]:
+        if not r["entry"] or r["half"] in judges[r["entry"]]:
             seen[r["entry"], r["distance"], r["toxic"]] += r["n"] * scale[r["toxic"]]
 
     def chance(entry, d, prior):
         t, c = seen[entry, d, 1], seen[entry, d, 0]
         return (t + WEIGHT * prior) / (t + c + WEIGHT)
 
-    rate = totals[1] / (totals[0] + totals[1])
     worth = {}
-    for entry in sorted(picked):
-        exact = chance(entry, 0, rate)
-        if exact >= SURE:
-            near = {d: chance(entry, d, exact * FUZZY[d]) for d in range(1, reach(entry) + 1)}
-            worth[entry] = {0: exact} | {d: p for d, p in near.items() if p >= LIKELY}
-    best = sorted(worth, key=lambda e: (-seen[e, 0, 1], e))[:ENTRIES]
-    return {e: worth[e] for e in best}, chance("", 1, QUOTED)
+    for e, (p, _) in exact.items():
+        near = {d: chance(e, d, p * FUZZY[d]) for d in range(1, reach(e) + 1)}
+        worth[e] = {0: p} | {d: x for d, x in near.items() if x >= LIKELY}
+    return worth, chance("", 1, QUOTED)
 
 
 def pick(toxic, n1, clean, n0):
