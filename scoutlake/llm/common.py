@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from scoutlake.session import materialize, scratch_path
 
-__all__ = ["ORACLE", "QUERIES", "fold", "materialize", "query", "scratch_path", "table", "worker_state"]
+__all__ = ["ORACLE", "QUERIES", "fold", "materialize", "query", "scratch_path", "small", "table",
+           "worker_state"]
 
 QUERIES, ORACLE = {}, {}
 
@@ -31,6 +32,19 @@ def fold(column, k):
     return F.crc32(F.col(column).cast("string").cast("binary")) % k
 
 
+def small(batches, size=8 << 20, fresh=False):
+    """Arrow batches or arrays cut into parts of about ``size`` bytes, so that few texts are Python strings at a time.
+
+    ``fresh`` lets go what the worker remembers from other stages first.
+    """
+    if fresh:
+        worker_state().clear()
+    for b in batches:
+        step = max(1, len(b) * size // max(1, b.nbytes))
+        for at in range(0, len(b), step):
+            yield b.slice(at, step)
+
+
 def worker_state():
     """Dict that lives as long as the Python worker, so that later tasks find what earlier ones learned."""
     name = "scoutlake_worker_state"

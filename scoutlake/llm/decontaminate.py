@@ -18,7 +18,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from .common import materialize, query, table
+from .common import materialize, query, small, table
 
 SEED = 3
 #: Seeds that chance brings into the corpus at most this often are rare, beside the rarer half of each item's.
@@ -98,7 +98,7 @@ def count_words(docs, known):
         import pyarrow as pa
 
         seen, total = np.zeros(len(known) + 1, "i8"), 0
-        for b in batches:
+        for b in small(batches, fresh=True):
             texts = b.column(0).to_pylist()
             for s, e in slices(texts):
                 ids, _ = word_ids(texts[s:e], known)
@@ -146,7 +146,7 @@ def find_windows(docs, block, known, counts):
         import numpy as np
         import pyarrow as pa
 
-        for b in batches:
+        for b in small(batches, fresh=True):
             texts, docs_of = b.column(1).to_pylist(), b.column(0).to_pylist()
             out = ([], [], [], [])
             for s, e in slices(texts):

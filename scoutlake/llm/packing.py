@@ -14,7 +14,7 @@ import zlib
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import materialize, query, table
+from .common import materialize, query, small, table
 from .tokens import encoder, public_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -30,7 +30,7 @@ def cut_pieces(docs, path, kind, end_id, capacity):
         enc = encoder(path, kind)
         end = end_id.to_bytes(4, "little")
         size = 4 * capacity
-        for batch in batches:
+        for batch in small(batches):
             out = ([], [], [], [], [])
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = enc.ids(t) + end

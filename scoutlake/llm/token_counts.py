@@ -12,7 +12,7 @@ from collections import Counter
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import query, small, table
 from .tokens import encoder, public_path
 
 #: Lengths per group of the two-level sums.
@@ -26,7 +26,7 @@ def length_histogram(docs, path, kind="byte", text="text"):
 
         enc = encoder(path, kind)
         seen = Counter()
-        for batch in batches:
+        for batch in small(batches):
             for t in batch.column(0).to_pylist():
                 seen[len(enc.ids(t)) // 4] += 1
         yield pa.RecordBatch.from_pydict({"length": pa.array(list(seen.keys()), pa.int64()),

@@ -21,7 +21,7 @@ import zlib
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import materialize, query, scratch_path, table
+from .common import materialize, query, scratch_path, small, table
 from .tokens import encoder, public_path
 
 MAGIC = b"SLPFOR1\n"
@@ -180,7 +180,7 @@ def write_token_files(docs, folder, path, kind="byte", end_id=0):
             rows.append((part, len(rows), f"{folder}/{name.rpartition('/')[2]}.ids", len(doc_ids), n))
             doc_ids, ends, held, n = [], [], [], 0
 
-        for batch in batches:
+        for batch in small(batches):
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = enc.ids(t) + end
                 doc_ids.append(doc)

@@ -18,10 +18,10 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import fold, query, table
+from .common import fold, query, small, table, worker_state
 
 #: Labelled documents of each class that the lexicon is learned from.
 PER_CLASS = 10_000
@@ -30,6 +30,8 @@ ENTRIES = 5_000
 LEAST, LONGEST = 3, 14
 WORDS = re.compile(r"[^\W_]+(?:[@$!*'’]+[^\W_]+)*")
 WINDOW = 60
+#: Counts that a task holds before it sends them on.
+HELD = 200_000
 #: What a hit at edit distance 1 or 2 is worth beside an exact one, the weight of such priors in documents, and the prior
 #: of a quotation.
 FUZZY, WEIGHT, QUOTED = (1.0, 0.75, 0.65), 2.0, 0.35
@@ -78,9 +80,7 @@ def learn_lexicon(rows, totals):
     only happened to separate one half is found out.
     """
     def marked(batches):
-        import pyarrow as pa
-
-        for b in batches:
+        for b in small(batches, fresh=True):
             t = b.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(sketch, t), pa.int64())],
                                              names=["text", "toxic", "sketch"])
@@ -103,17 +103,21 @@ def _learn(rows, totals):
         return {}, 1.0
 
     def count(wanted, kind):
-        def run(batches):
-            import pyarrow as pa
+        def emitted(seen):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[1] for k in seen], pa.string()), pa.array([k[0] for k in seen], pa.int32()),
+                 pa.array(list(seen.values()), pa.int64())], names=["term", "half", "n"])
 
+        def run(batches):
             seen = Counter()
-            for b in batches:
+            for b in small(batches, fresh=True):
                 for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     found = terms(t)
                     seen.update((h, x) for x in (found if wanted is None else found & wanted))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[1] for k in seen], pa.string()), pa.array([k[0] for k in seen], pa.int32()),
-                 pa.array(list(seen.values()), pa.int64())], names=["term", "half", "n"])
+                    if len(seen) >= HELD:
+                        yield emitted(seen)
+                        seen = Counter()
+            yield emitted(seen)
 
         part = rows.filter(F.col("toxic") == kind).select("text", "half").mapInArrow(run, "term string, half int, n long")
         return part.groupBy("term", "half").agg(F.sum("n").alias("n"))
@@ -142,10 +146,8 @@ def _learn(rows, totals):
     trie = build_trie(sorted(exact))
 
     def hits(batches):
-        import pyarrow as pa
-
         seen = Counter()
-        for b in batches:
+        for b in small(batches, fresh=True):
             texts, kinds, halves = (c.to_pylist() for c in b.columns)
             for t, kind, h, found in zip(texts, kinds, halves, _found(texts, trie)):
                 best = {}
@@ -329,12 +331,16 @@ def toxic_score(docs, labels, per_class=PER_CLASS):
     worth, inside = learn_lexicon(rows, totals)
     trie = build_trie(sorted(worth))
 
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state().clear()
         for t in texts:
-            own = list(t)
-            yield pd.Series([score_text(x or "", f, worth, inside) for x, f in zip(own, _found(own, trie))], dtype="float64")
+            out = []
+            for part in small([t]):
+                own = part.to_pylist()
+                out += [score_text(x or "", f, worth, inside) for x, f in zip(own, _found(own, trie))]
+            yield pa.array(out, pa.float64())
 
-    return F.pandas_udf(score, "double")("text")
+    return F.arrow_udf(score, "double")("text")
 
 
 @query("op4_toxicity")
