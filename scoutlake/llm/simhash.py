@@ -29,24 +29,32 @@ TRIPLES = sorted({tuple(sorted(t)) for k, part in enumerate(PARTS) for t in [
 QUADS = list(combinations(range(8), 4))
 
 
-def simhash(text, k=4):
-    """64-bit fingerprint of a text's k-word shingles, repeats included."""
+def hashes(text, k=4):
+    """Arrays of the 64-bit hashes of a text's k-word shingles, repeats included."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split() if text else []
     if not words:
-        return 0
+        return
     data = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), "i8", len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - k + 1)
     starts, ends = starts[:n].tolist(), ends[min(k, len(words)) - 1:].tolist()
-    ones = np.zeros(64, "i8")
     for at in range(0, n, 1 << 15):
-        h = np.array([xxh64_intdigest(data[s:e], 42) for s, e in zip(starts[at:at + (1 << 15)], ends[at:at + (1 << 15)])],
-                     "<u8")
+        yield np.array([xxh64_intdigest(data[s:e], 42) for s, e in zip(starts[at:at + (1 << 15)], ends[at:at + (1 << 15)])],
+                       "<u8")
+
+
+def simhash(text, k=4):
+    """64-bit fingerprint of a text's k-word shingles, repeats included."""
+    import numpy as np
+
+    ones, n = np.zeros(64, "i8"), 0
+    for h in hashes(text, k):
         ones += np.unpackbits(h.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="i4")
+        n += len(h)
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
@@ -213,10 +221,13 @@ def near_copies(docs):
     return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
-def keep_one(docs):
-    """All columns of the documents, one row of each component: smallest id, then smallest text hash; null ids last."""
+def keep_one(docs, copies=None):
+    """All columns of the documents, one row of each component: smallest id, then smallest text hash; null ids last.
+
+    ``copies``: doc_id, text_hash and root of every document, if not those of ``near_copies``.
+    """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    keep = near_copies(docs).groupBy("root").agg(F.min(order).alias("k")) \
+    keep = (near_copies(docs) if copies is None else copies).groupBy("root").agg(F.min(order).alias("k")) \
         .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     same = rows["id"].eqNullSafe(keep["kept_id"]) & (rows["hash"] == keep["kept_hash"])
