@@ -1,7 +1,7 @@
 """Personal data and secrets replaced by keyed surrogates, with DataFrame functions only.
 
 A pattern finds mentions in whole texts. Mentions of one value in different spellings share a canonical form (phone
-digits, lower-case address, each token of a name), and every canonical value of a kind gets one surrogate, made from a
+digits, lower-case address or secret, each token of a name), and every canonical value of a kind gets one surrogate, made from a
 keyed hash: a digit for a digit, a letter for a letter of the same case and script, a valid check digit for a valid one,
 octets for octets, a first name of the same gender and script. Collision checks run over all values: a surrogate that
 another value has, or that is itself a value of the corpus, is made anew with the next attempt, so different values
@@ -35,7 +35,7 @@ SYLLABLES = {
 _NAME = r"\p{Lu}[\p{L}'’\-]{1,30}"
 _FIRSTS = "|".join(n for names in FIRST.values() for n in names)
 _TITLES = "|".join(t for names in TITLES.values() for t in names)
-_SECRET = r"(?:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?"
+_SECRET = r"(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?"
 _NUMBER = "|".join([
     r"(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     r"\d{3}-\d{2}-\d{4}(?!\d)",
@@ -61,7 +61,7 @@ PATTERN = (r"(?<![\p{L}\d])(?:" + "|".join([
     rf"(?=\+)(?:{_PLUS})",
     r"\(\d{3}\) ?\d{3}[\-. ]\d{4}(?!\d)",
     rf"(?=\p{{Lu}})(?:{_CAPITAL})",
-    "(?=[psta])" + _SECRET + r"[A-Za-z0-9+/_\-]{8,128}",
+    "(?=[pstaPSTA])" + _SECRET + r"[A-Za-z0-9+/_\-]{8,}+",
 ]) + ")")
 #: Attempts after which a surrogate may grow by a letter, where too few of its form are free.
 GROW = 8
@@ -105,7 +105,7 @@ def name_tokens(m):
 
 def values_of(m, kind):
     """Canonical values of a mention: array of (kind, canon); several for a name."""
-    canon = (F.when(kind == "email", F.lower(m)).when(kind == "secret", F.regexp_replace(m, "^" + _SECRET, ""))
+    canon = (F.when(kind == "email", F.lower(m)).when(kind == "secret", F.lower(F.regexp_replace(m, "^" + _SECRET, "")))
              .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(m, r"\D", ""))
              .when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
     return F.when(kind == "name", name_tokens(m)).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
@@ -198,13 +198,16 @@ def _in_case(value, shape):
 def written(m, kind, found):
     """The surrogates of a mention in the mention's own form; ``found``: its surrogates in order."""
     one = F.get(found, F.lit(0))
+    # a secret in the case of each of its letters: copies in capitals stay copies, and values that differ in case differ
+    secret = F.array_join(F.zip_with(F.split(one, ""), F.split(F.regexp_replace(m, "^" + _SECRET, ""), ""),
+                                     lambda c, was: F.when(was.rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
     chars = F.filter(F.split(m, ""), lambda c: c != "")
     slots = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(
         one, F.length(F.regexp_replace(F.array_join(F.slice(chars, 1, i + 1), ""), "[^0-9A-Za-z]", "")), 1)).otherwise(c)), "")
     names = F.array_join(F.transform(F.arrays_zip(F.split(m, " ").alias("was"), found.alias("now")),
                                      lambda x: F.when(x["was"] == x["now"], x["now"]).otherwise(_in_case(x["now"], x["was"]))), " ")
     return (F.when(kind == "name", names).when(kind.isin("phone", "card", "ssn", "iban"), slots)
-            .when(kind == "secret", F.concat(F.regexp_extract(m, "^(" + _SECRET + ")", 1), one))
+            .when(kind == "secret", F.concat(F.regexp_extract(m, "^(" + _SECRET + ")", 1), secret))
             .when((kind == "email") & (m == F.upper(m)), F.upper(one)).otherwise(one))
 
 
