@@ -4,6 +4,10 @@ A text is cut at single blanks and line ends, where neither kind of file lets a
 ('byte') keeps one leading blank with the word, a word file ('word') drops white space. Equal words have equal ids,
 so a worker merges a word once and keeps its ids as bytes. The memory is bounded by two generations of ``MEMO``
 words. White space of any other form sends the part through the file's own split.
+
+As in the library, a file's added tokens (such as end-of-text markers) that a text quotes are one id each, and what lies
+between them is encoded by itself. A file whose added tokens strip blanks, match whole words or normalized text is left to the
+library.
 """
 
 import functools
@@ -38,6 +42,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        added = tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: struct.pack("<I", i) for i, t in added.items() if t.content}
+        self.at_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split
+        self.library = None
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            self.library = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         self.normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self.word = kind == "word"
         split = BYTE_SPLIT
@@ -107,6 +117,17 @@ class Encoder:
 
     def ids(self, text):
         """Ids of the text as little-endian unsigned 32-bit integers, in bytes."""
+        if not text:
+            return b""
+        if self.library:
+            ids = self.library(text)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        if any(t in text for t in self.added):
+            return b"".join(self._plain_ids(p) if i % 2 == 0 else self.added[p] for i, p in enumerate(self.at_added(text)))
+        return self._plain_ids(text)
+
+    def _plain_ids(self, text):
+        """Ids of a text without added tokens."""
         if not text:
             return b""
         if len(text) <= 2 * PART:
