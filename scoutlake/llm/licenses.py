@@ -2,9 +2,11 @@
 
 Templates are short notices and phrases. Every run of ``K`` words of every document is joined, by hash and then by its
 words, to the places of the same run in the templates. A hit votes for the diagonal (its place in the document less that
-in the template); votes are counted per diagonal, diagonals that lie at most ``NEAR`` words apart are merged into one
-span, which bridges inserted and dropped words, and a span is verified by the share of the template's words that its hits
-cover and by its length. Phrases of two or three words are matched as one run.
+in the template); votes are counted per diagonal. A single diagonal is a span: a copy without edits, whatever stands
+beside it. Of templates longer than one run, diagonals that lie at most ``NEAR`` words apart are also merged, which bridges
+inserted and dropped words, as a whole and in parts that end where the template's words start over, so that copies close
+together stay copies. A span is verified by the share of the template's words that its hits cover and by its length.
+Phrases of two or three words are matched as one run.
 
 The templates are a few hundred words, so their side of the join is small whatever the corpus; only hits and one row per
 document with its length are shuffled. Defined results: a null or empty text has no words, no label and score 0; repeated rows have equal results;
@@ -124,18 +126,26 @@ def hits(docs):
 
 
 def spans(found, templates):
-    """Verified spans: doc, template, first word, words covered, score; ``found``: hits."""
-    votes = found.groupBy("doc", "template", (F.col("at") - F.col("t_at")).alias("diagonal")) \
-        .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.collect_set("t_at").alias("t"))
+    """Verified spans: doc, template, first word, words covered, score; ``found``: hits. Spans of one place may overlap."""
+    sizes = templates.select("template", "label", "base", "t_words")
+    hit = found.withColumn("diagonal", F.col("at") - F.col("t_at"))
+
+    def gathered(rows, *more):
+        return rows.groupBy("doc", "template", *more) \
+            .agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.collect_set("t_at").alias("t")).drop(*more)
+
     by = Window.partitionBy("doc", "template").orderBy("diagonal")
     fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > NEAR, F.lit(True))
-    merged = votes.withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(by)) \
-        .groupBy("doc", "template", "span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("t").alias("sets")) \
-        .withColumn("t", F.array_distinct(F.flatten("sets")))
+    chained = hit.join(sizes.filter(F.col("t_words") > K).select("template"), "template", "left_semi") \
+        .withColumn("fresh", fresh.cast("int")).withColumn("chain", F.sum("fresh").over(by))
+    order = Window.partitionBy("doc", "template", "chain").orderBy("at", "t_at")
+    again = F.coalesce(F.col("t_at") <= F.lag("t_at").over(order), F.lit(False))
+    parted = chained.withColumn("again", again.cast("int")).withColumn("part", F.sum("again").over(order))
+    merged = gathered(hit, "diagonal").unionByName(gathered(chained, "chain")).unionByName(gathered(parted, "chain", "part"))
     size = F.least(F.col("t_words"), F.lit(K))
     covered = F.size(F.array_distinct(F.flatten(F.transform("t", lambda p: F.sequence(p, p + size - 1)))))
     score = covered / F.col("t_words")
-    return merged.join(templates.select("template", "label", "base", "t_words"), "template") \
+    return merged.join(sizes, "template") \
         .withColumn("score", score).filter((F.col("score") >= COVERED)
                                            & (F.col("hi") + size - F.col("lo") <= LONGER * F.col("t_words")))
 
