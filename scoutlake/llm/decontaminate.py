@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
-Words are compared in lower case. A seed is a run of three words of a benchmark item; it is rare if chance would bring it
-into the corpus at most ``EXPECTED`` times or is among the rarer half of its item's, judged by how often its words occur in the whole corpus (counting the
-n-gram itself would call a passage that many documents share common, and miss it). One pass counts the benchmark's words
-over all documents; a second finds the rare seeds in all documents and cuts a window around each cluster of them. Each
-window is joined to its benchmark item and aligned with it; what scores ``LEAST`` of the item's best score is a leak.
+Words are compared in lower case. The seeds are all pairs of neighbouring words of a benchmark item, so what is searched
+does not depend on the corpus. An alignment of score ``LEAST`` (0.6 of 2 a word) of an item of n > 5 words has at least
+0.2 n - 1 such pairs, at least one, within the 1.8 n words it can span: if no two matched words were neighbours, n matches
+would have n - 1 edits between them and score n + 1. In items of 3 to 5 words the pair may have one word between. Places
+with fewer pairs are left out; so are windows that lack more of the item's different words than the 0.4 n it may leave
+unmatched. Neither loses an alignment. Each window that stays is joined to its benchmark item and aligned with it; what
+scores ``LEAST`` of the item's best score is a leak.
 
 The benchmark is taken in blocks of ``BLOCK`` words, each small enough to be sent to every task; the corpus, of any
 size, is never shuffled, only the windows are.
@@ -20,9 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, query, small, table
 
+#: Items of fewer words use all their words as one seed.
 SEED = 3
-#: Seeds that chance brings into the corpus at most this often are rare, beside the rarer half of each item's.
-EXPECTED = 1.0
 #: Share of the item's best possible score from which an alignment is a leak, and of an item of few words.
 LEAST = 0.6
 #: Words of benchmark items in one block.
@@ -75,68 +76,51 @@ def slices(texts, size=2_000_000):
         yield start, len(texts)
 
 
-def seed_codes(ids, size):
-    """One number for each run of SEED words (-1 if one of them is no benchmark word)."""
+def pair_seeds(block, known):
+    """Sorted codes of the word pairs of all items with the item and the place of each."""
     import numpy as np
 
-    n = len(ids) - SEED + 1
-    if n <= 0:
-        return np.zeros(0, "i8")
-    code = np.zeros(n, "i8")
-    ok = np.ones(n, bool)
-    for k in range(SEED):
-        part = ids[k:k + n]
-        code = code * size + part
-        ok &= part >= 0
-    return np.where(ok, code, -1)
+    rows = sorted((known[a] * len(known) + known[b], k, at) for k, (_, words) in enumerate(block) if len(words) >= SEED
+                  for at, (a, b) in enumerate(zip(words, words[1:])))
+    return tuple(np.array(c, "i8") for c in (zip(*rows) if rows else ((), (), ())))
 
 
-def count_words(docs, known):
-    """How often each benchmark word occurs in all documents, and how many words there are."""
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+def pair_hits(ids, seeds, size, step, chunk=1 << 16):
+    """Item, start of the item and place of each pair of words ``step`` apart that is a seed, in parts."""
+    import numpy as np
 
-        seen, total = np.zeros(len(known) + 1, "i8"), 0
-        for b in small(batches, fresh=True):
-            texts = b.column(0).to_pylist()
-            for s, e in slices(texts):
-                ids, _ = word_ids(texts[s:e], known)
-                seen += np.bincount(ids + 1, minlength=len(known) + 1)
-                total -= SEED * (e - s)
-        seen[0] += total
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at - 1), pa.array(seen[at])], names=["word", "n"])
+    codes, items, places = seeds
+    a, b = ids[:-step], ids[step:]
+    at = np.flatnonzero((a >= 0) & (b >= 0))
+    for i in range(0, len(at), chunk):
+        p = at[i:i + chunk]
+        code = a[p] * size + b[p]
+        lo = np.searchsorted(codes, code)
+        n = np.searchsorted(codes, code, "right") - lo
+        q = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        p = np.repeat(p, n)
+        yield items[q], p - places[q], p
+
+
+def crowded(k, at, starts, lengths):
+    """Which hits have as many hits of their item around them, in their text, as a leak must have."""
+    import numpy as np
 
-    rows = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    return {r["word"]: r["n"] for r in rows}
+    n = lengths[k]
+    need, far = np.ceil(np.round((2 * LEAST - 1) * n - 1, 6)), (9 * n + 4) // 5
+    doc = np.searchsorted(starts, at, "right") - 1
+    key = np.sort((k << 32) + at)
+    lo = np.searchsorted(key, (k << 32) + np.maximum(at - far, starts[doc]))
+    hi = np.searchsorted(key, (k << 32) + np.minimum(at + far + 1, starts[doc + 1]))
+    return hi - lo >= need
 
 
-def rare_seeds(block, known, counts):
-    """Sorted seed codes with the item and the place of each, those that chance would hardly bring."""
+def find_windows(docs, block, known):
+    """Windows of documents around an item's word pairs, and around short items' own words."""
     import numpy as np
 
-    total = max(1, sum(counts.values()))
-    rows = []
-    for k, (_, words) in enumerate(block):
-        ids = np.array([known[w] for w in words], "i8")
-        share = np.array([counts.get(int(i), 0) / total for i in ids])
-        chance = np.array([share[at:at + SEED].prod() * total for at in range(len(ids) - SEED + 1)])
-        most = max(EXPECTED, np.median(chance)) if len(chance) else 0
-        for at in range(len(chance)):
-            if chance[at] <= most:
-                code = 0
-                for i in ids[at:at + SEED]:
-                    code = code * len(known) + int(i)
-                rows.append((code, k, at))
-    rows.sort()
-    return tuple(np.array(c, "i8") for c in (zip(*rows) if rows else ((), (), ())))
-
-
-def find_windows(docs, block, known, counts):
-    """Windows of documents around clusters of an item's rare seeds, and around short items' own words."""
-    codes, items, places = rare_seeds(block, known, counts)
-    lengths = [len(w) for _, w in block]
+    seeds, lengths = pair_seeds(block, known), np.array([len(w) for _, w in block], "i8")
+    words_of = [frozenset(known[w] for w in words) for _, words in block]
     short = {}
     for k, (_, words) in enumerate(block):
         if len(words) < SEED:
@@ -151,35 +135,39 @@ def find_windows(docs, block, known, counts):
             out = ([], [], [], [])
             for s, e in slices(texts):
                 ids, starts = word_ids(texts[s:e], known)
-                hits = []
-                if len(codes):
-                    code = seed_codes(ids, len(known))
-                    at = np.flatnonzero(code >= 0)
-                    lo, hi = np.searchsorted(codes, code[at]), np.searchsorted(codes, code[at], "right")
-                    for p, x, y in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
-                        hits += [(int(items[q]), int(p) - int(places[q]), int(p)) for q in range(x, y)]
+                found = [(np.zeros(0, "i8"),) * 3]
+                if len(seeds[0]):
+                    found += pair_hits(ids, seeds, len(known), 1)
+                    found += [tuple(c[lengths[h[0]] <= 5] for c in h) for h in pair_hits(ids, seeds, len(known), 2)]
+                k, start, at = (np.concatenate(c) for c in zip(*found))
+                ok = crowded(k, at, starts, lengths)
+                hits = [(k[ok], start[ok], at[ok])]
                 for run_ids, ks in short.items():
-                    ok = np.ones(max(0, len(ids) - len(run_ids) + 1), bool)
+                    same = np.ones(max(0, len(ids) - len(run_ids) + 1), bool)
                     for j, i in enumerate(run_ids):
-                        ok &= ids[j:j + len(ok)] == i
-                    hits += [(k, int(p), int(p)) for p in np.flatnonzero(ok) for k in ks]
-                spans = []
-                for k, start, at in hits:
-                    doc = int(np.searchsorted(starts, at, "right")) - 1
-                    spans.append((k, doc, max(start - lengths[k] // 2, int(starts[doc])),
-                                  min(start + lengths[k] + lengths[k] // 2 + 1, int(starts[doc + 1]) - SEED)))
-                spans.sort()
+                        same &= ids[j:j + len(same)] == i
+                    p = np.flatnonzero(same)
+                    hits += [(np.full(len(p), one), p, p) for one in ks]
+                k, start, at = (np.concatenate(c) for c in zip(*hits))
+                doc, side = np.searchsorted(starts, at, "right") - 1, 4 * lengths[k] // 5 + 1
+                lo, hi = np.maximum(start - side, starts[doc]), np.minimum(start + lengths[k] + side, starts[doc + 1] - SEED)
+                order = np.lexsort((hi, lo, doc, k))
                 merged = []
-                for k, doc, lo_, hi_ in spans:
-                    if merged and merged[-1][:2] == [k, doc] and lo_ <= merged[-1][3] and hi_ - merged[-1][2] <= 4 * lengths[k] + 8:
+                for one, d, lo_, hi_ in zip(*(c[order].tolist() for c in (k, doc, lo, hi))):
+                    if merged and merged[-1][:2] == [one, d] and lo_ <= merged[-1][3] \
+                            and hi_ - merged[-1][2] <= 4 * int(lengths[one]) + 8:
                         merged[-1][3] = max(hi_, merged[-1][3])
                     else:
-                        merged.append([k, doc, lo_, hi_])
-                for k, doc, lo_, hi_ in merged:
-                    out[0].append(docs_of[s + doc])
-                    out[1].append(k)
-                    out[2].append(lo_ - int(starts[doc]))
-                    out[3].append(ids[lo_:hi_].tolist())
+                        merged.append([one, d, lo_, hi_])
+                listed = ids.tolist()
+                for one, d, lo_, hi_ in merged:
+                    words = listed[lo_:hi_]
+                    missing = len(words_of[one]) - len(words_of[one].intersection(words))
+                    if missing <= (1 - LEAST) * int(lengths[one]) + 1e-6:
+                        out[0].append(docs_of[s + d])
+                        out[1].append(one)
+                        out[2].append(lo_ - int(starts[d]))
+                        out[3].append(words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
                  pa.array(out[3], pa.list_(pa.int32()))], names=["doc_id", "item", "first", "words"])
@@ -220,14 +208,17 @@ def align(words, item):
 
 
 def leaks(docs, benchmark, least=LEAST):
-    """doc_id, item_id, score (1: whole item), first_word and last_word of the best passage of each leaked item."""
+    """doc_id, item_id, score (1: whole item), first_word and last_word of the best passage of each leaked item.
+
+    ``least``: ``LEAST`` or more, for which the windows are cut.
+    """
     import pyarrow as pa
 
     spark = docs.sparkSession
     found = None
     for block in item_blocks(benchmark):
         known = {w: k for k, w in enumerate(sorted({w for _, words in block for w in words}))}
-        windows = find_windows(docs, block, known, count_words(docs, known))
+        windows = find_windows(docs, block, known)
         items = spark.createDataFrame(pa.table({
             "item": pa.array(range(len(block)), pa.int64()), "item_id": pa.array([i for i, _ in block], pa.int64()),
             "item_words": pa.array([[known[w] for w in words] for _, words in block], pa.list_(pa.int32()))}))
