@@ -5,7 +5,7 @@ import importlib
 from .common import ORACLE, QUERIES
 
 MODULES = ["simhash", "pii", "language", "toxicity", "decontaminate", "token_counts", "packing", "token_files",
-           "quality", "licenses"]
+           "quality", "licenses", "alignment", "line_dedup", "hard_negatives"]
 
 
 def queries():

@@ -56,6 +56,7 @@ class Encoder:
                 split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(split).findall
         self.merge = tokenizer.model.tokenize
+        self.vocabulary = functools.partial(tokenizer.get_vocab, with_added_tokens=False)
         self.letters = byte_letters()
         self.young, self.old = {}, {}
 
@@ -65,6 +66,11 @@ class Encoder:
             ids += [t.id for t in self.merge(w.encode().decode("latin-1").translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def plain_ids(self, text):
+        """List of the ids of a text in which markers are ordinary text, without memory."""
+        ids = self.plain(text)
+        return list(struct.unpack(f"<{len(ids) // 4}I", ids))
+
     def plain(self, text):
         """Ids by the file's own split, without memory."""
         return self._merge(self.split(self.normal(text)))
