@@ -133,6 +133,7 @@ class Aligner:
         self.len_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         self.len_b = np.array([len(x) for x in self.bytes_b], "i8")
         self.blank = self.b.piece_to_id(SPACE)
+        self.stops = {c: self.a.plain_ids(c) for c in ",."}
         self.cut = regex.compile(r"(?<=\S)(?= \S|\n\S)").split
         self.space = regex.compile(r"\s").search
         self.clear()
@@ -183,6 +184,15 @@ class Aligner:
         word = part[1:] if part[:1] == "\n" else part
         return bool(word) and not (self.space(word[0]) or self.space(word[-1]))
 
+    def ids_a(self, key, unit):
+        """Ids of a part by the file; a plain word, with a stop or comma or without, needs no split."""
+        if key.isascii():
+            word = key[:-1] if key[-1] in self.stops else key
+            if word.isalpha():
+                ids = [t.id for t in self.a.merge("Ġ" + word)]
+                return ids if word is key else ids + self.stops[key[-1]]
+        return self.a.plain_ids(unit)
+
     def ids_b(self, units):
         """Ids of parts by the model, which sets a blank before what it encodes; None where it isn't one id."""
         found = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
@@ -195,7 +205,7 @@ class Aligner:
     def tokens(self, keys):
         """Ids of parts by both tokenizers, empty where they don't give back the bytes, and whether they do."""
         units = [k if k[0] in " \n" else " " + k for k in keys]
-        a, b = [self.a.plain_ids(u) for u in units], self.ids_b(units)
+        a, b = list(map(self.ids_a, keys, units)), self.ids_b(units)
         text = "".join(units)
         if SPACE in text or None in b or not self.given_back(chain.from_iterable(a), chain.from_iterable(b), text):
             good = [SPACE not in u and y is not None and self.given_back(x, y, u) for u, x, y in zip(units, a, b)]

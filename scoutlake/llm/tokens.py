@@ -68,8 +68,7 @@ class Encoder:
 
     def plain_ids(self, text):
         """List of the ids of a text in which markers are ordinary text, without memory."""
-        ids = self.plain(text)
-        return list(struct.unpack(f"<{len(ids) // 4}I", ids))
+        return [t.id for w in self.split(self.normal(text)) for t in self.merge(w.encode().decode("latin-1").translate(self.letters))]
 
     def plain(self, text):
         """Ids by the file's own split, without memory."""
