@@ -23,12 +23,12 @@ from itertools import chain
 from pyspark.sql import functions as F
 
 from .common import materialize, query, small, table, worker_state
-from .tokens import Encoder, public_path
+from .tokens import BYTE_SPLIT, Encoder, public_path
 
 #: Pairs whose counts are sent to all tasks.
 COMMON = 200_000
 #: What a worker remembers at most: parts, links and bytes of their written groups.
-MEMO, MEMO_LINKS, MEMO_BYTES = 300_000, 6_000_000, 64 << 20
+MEMO, MEMO_LINKS, MEMO_BYTES = 250_000, 4_000_000, 64 << 20
 #: Pairs that a task counts before it sends them on.
 COUNTED = 1_000_000
 #: A group with more links than this is linked by its different ids and their numbers.
@@ -133,11 +133,25 @@ class Aligner:
         self.len_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         self.len_b = np.array([len(x) for x in self.bytes_b], "i8")
         self.blank = self.b.piece_to_id(SPACE)
-        self.stops = {c: self.a.plain_ids(c) for c in ",."}
+        self.ids_a = self.ranked(path_a) or self.a.plain_ids
         self.cut = regex.compile(r"(?<=\S)(?= \S|\n\S)").split
         self.space = regex.compile(r"\s").search
         self.clear()
 
+    def ranked(self, path):
+        """Encoder by ranks, faster for single words, where the file's ids are in the order of its merges; else None."""
+        import json
+
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ids = [model["vocab"].get(m.replace(" ", "") if isinstance(m, str) else "".join(m)) for m in model["merges"]]
+        if self.a.has_own_split or ids != list(range(256, 256 + len(ids))) or len(self.bytes_a) != 256 + len(ids):
+            return None
+        return tiktoken.Encoding("ranked", pat_str=BYTE_SPLIT, mergeable_ranks={b: i for i, b in self.bytes_a.items()},
+                                 special_tokens={}).encode_ordinary
+
     def clear(self):
         self.known, self.text, self.bytes = {}, [], 0
         self.sums = [Growing("i8") for _ in range(4)]
@@ -184,15 +198,6 @@ class Aligner:
         word = part[1:] if part[:1] == "\n" else part
         return bool(word) and not (self.space(word[0]) or self.space(word[-1]))
 
-    def ids_a(self, key, unit):
-        """Ids of a part by the file; a plain word, with a stop or comma or without, needs no split."""
-        if key.isascii():
-            word = key[:-1] if key[-1] in self.stops else key
-            if word.isalpha():
-                ids = [t.id for t in self.a.merge("Ġ" + word)]
-                return ids if word is key else ids + self.stops[key[-1]]
-        return self.a.plain_ids(unit)
-
     def ids_b(self, units):
         """Ids of parts by the model, which sets a blank before what it encodes; None where it isn't one id."""
         found = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
@@ -205,7 +210,7 @@ class Aligner:
     def tokens(self, keys):
         """Ids of parts by both tokenizers, empty where they don't give back the bytes, and whether they do."""
         units = [k if k[0] in " \n" else " " + k for k in keys]
-        a, b = list(map(self.ids_a, keys, units)), self.ids_b(units)
+        a, b = list(map(self.ids_a, units)), self.ids_b(units)
         text = "".join(units)
         if SPACE in text or None in b or not self.given_back(chain.from_iterable(a), chain.from_iterable(b), text):
             good = [SPACE not in u and y is not None and self.given_back(x, y, u) for u, x, y in zip(units, a, b)]
@@ -255,23 +260,29 @@ class Aligner:
 
         if len(self.known) > MEMO or self.pairs.n > MEMO_LINKS or self.bytes > MEMO_BYTES:
             self.shrink()
-        cut = [self.parts(t) if t else None for t in texts]
-        new = dict.fromkeys(chain.from_iterable(c for c in cut if c))
-        self.learn([k for k in new if k not in self.known])
-        for parts in cut:
-            number = np.fromiter(map(self.known.__getitem__, parts or ()), "i8")
-            if not parts or not self.good.data[number].all():
+        cut = [self.parts(t) if t else () for t in texts]
+        self.learn([k for k in dict.fromkeys(chain.from_iterable(cut)) if k not in self.known])
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), "i8")
+        self.uses.data[:len(self.text)] += np.bincount(numbers, minlength=len(self.text))
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, cut), "i8", len(cut)))])
+        totals = [np.diff(np.concatenate([[0], np.cumsum(v)])[ends])
+                  for v in (~self.good.data[numbers], *(s.data[numbers] for s in self.sums))]
+        begin = self.ends.data[numbers]
+        many = self.ends.data[numbers + 1] - begin
+        for i, (s, e) in enumerate(zip(ends, ends[1:])):
+            if s == e or totals[0][i]:
                 yield None
                 continue
-            kinds, n = np.unique(number, return_counts=True)
-            self.uses.data[kinds] += n
-            start = self.ends.data[kinds]
-            many = self.ends.data[kinds + 1] - start
-            at = np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())
-            pairs, place = np.unique(self.pairs.data[at], return_inverse=True)
-            times = np.zeros(len(pairs), "i8")
-            np.add.at(times, place, self.times.data[at] * np.repeat(n, many))
-            yield *(int(s.data[number].sum()) for s in self.sums), ";".join(map(self.text.__getitem__, number.tolist())), pairs, times
+            n = many[s:e]
+            at = np.repeat(begin[s:e] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            pairs, times = self.pairs.data[at], self.times.data[at]
+            if (times == 1).all():
+                pairs, times = np.unique(pairs, return_counts=True)
+            else:
+                pairs, place = np.unique(pairs, return_inverse=True)
+                times, each = np.zeros(len(pairs), "i8"), times
+                np.add.at(times, place, each)
+            yield *(int(t[i]) for t in totals[1:]), ";".join(map(self.text.__getitem__, numbers[s:e].tolist())), pairs, times
 
 
 def aligner(path_a, path_b):
@@ -283,43 +294,51 @@ def aligner(path_a, path_b):
     return state[key]
 
 
-ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, a array<int>, b array<int>, times array<long>"
+ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary, times binary"
+#: Bytes of text that are cut into parts at a time.
+BATCH = 1 << 20
 
 
 def aligned(docs, path_a, path_b, digest=True):
-    """Per document its numbers, written groups (``digest``: their SHA-256) and different linked id pairs."""
+    """Per document its numbers, written groups (``digest``: their SHA-256), its different linked pairs and how often each.
+
+    ``pairs``: 64-bit numbers in bytes, A id in the upper half, ascending; ``times``: 64-bit numbers in bytes.
+    """
     def compute(batches):
         import hashlib
 
         import numpy as np
         import pyarrow as pa
 
-        both = aligner(path_a, path_b)
-        for batch in small(batches):
-            out = [[] for _ in range(8)]
+        both, none = aligner(path_a, path_b), np.zeros(0, "<i8")
+        for batch in small(batches, BATCH):
+            out = [[] for _ in range(7)]
             for found in both.documents(batch.column(1).to_pylist()):
-                *numbers, text, pairs, times = found or (0, 0, 0, 0, "", np.zeros(0, "i8"), np.zeros(0, "i8"))
-                if digest:
-                    text = hashlib.sha256(text.encode()).hexdigest() if found else ""
-                for c, v in zip(out, (*numbers, text, pairs >> 32, pairs & 0xFFFFFFFF, times)):
+                *numbers, text, pairs, times = found or (0, 0, 0, 0, "", none, none)
+                if digest and found:
+                    text = hashlib.sha256(text.encode()).hexdigest()
+                for c, v in zip(out, (*numbers, text, pairs.astype("<i8").tobytes(), times.astype("<i8").tobytes())):
                     c.append(v)
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out[5]])]).astype("i4"))
-            flat = [pa.array(np.concatenate([np.zeros(0, "i8"), *c]), t) for c, t in zip(out[5:], (pa.int32(), pa.int32(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in out[:4]], pa.array(out[4], pa.string()),
-                 *[pa.ListArray.from_arrays(ends, f) for f in flat]],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "a", "b", "times"])
+                 *[pa.array(c, pa.binary()) for c in out[5:]]],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, ALIGNED)
 
 
-def _flat(batch, *names):
-    """Values of list columns, end to end, and the length of each list."""
+def _flat(batch, name):
+    """Numbers of a column of bytes, end to end."""
     import numpy as np
 
-    columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-    return [c.flatten().to_numpy(zero_copy_only=False).astype("i8") for c in columns], \
-        np.diff(columns[0].offsets.to_numpy())
+    return np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(name)).to_pylist()), "<i8")
+
+
+def _lengths(batch, name):
+    """How many numbers each row of a column of bytes has."""
+    import numpy as np
+
+    return np.fromiter(map(len, batch.column(batch.schema.get_field_index(name)).to_pylist()), "i8") // 8
 
 
 def pair_counts(rows):
@@ -339,9 +358,8 @@ def pair_counts(rows):
                                               names=["a", "b", "n"])
 
         held = [(np.zeros(0, "i8"), np.zeros(0, "i8"))]
-        for batch in batches:
-            (a, b), _ = _flat(batch, "a", "b")
-            held.append(np.unique(a << 32 | b, return_counts=True))
+        for batch in small(batches):
+            held.append(np.unique(_flat(batch, "pairs"), return_counts=True))
             if sum(len(h[0]) for h in held) > COUNTED:
                 held = [summed(held)]
                 if len(held[0][0]) > COUNTED // 2:
@@ -349,7 +367,7 @@ def pair_counts(rows):
                     held = [(np.zeros(0, "i8"), np.zeros(0, "i8"))]
         yield sent(*summed(held))
 
-    n = rows.select("a", "b").mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    n = rows.select("pairs").mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     n = materialize(n, "pair-counts")
     top = n.groupBy("a").agg(F.max("n").alias("most")).withColumnRenamed("a", "of")
     return materialize(n.join(top, F.col("a") == F.col("of")).select("a", "b", "n", (F.col("n") == F.col("most")).alias("best")), "pair-counts")
@@ -368,9 +386,8 @@ def align_tokens(docs, path_a, path_b):
 
         pairs, n, best = sent.value
         for batch in small(batches):
-            (a, b, times), lengths = _flat(batch, "a", "b", "times")
+            pair, times, lengths = _flat(batch, "pairs"), _flat(batch, "times"), _lengths(batch, "pairs")
             of = np.repeat(np.arange(len(lengths)), lengths)
-            pair = a << 32 | b
             at = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
             hit = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
             sums = [np.zeros(len(lengths), "i8") for _ in range(2)]
@@ -382,7 +399,7 @@ def align_tokens(docs, path_a, path_b):
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array(s) for s in sums], *rest],
                                              names=[*KEPT, "count_sum", "n_best", "pairs", "times"])
 
-    done = rows.select(*KEPT, "a", "b", "times").mapInArrow(add, DONE)
+    done = rows.select(*KEPT, "pairs", "times").mapInArrow(add, DONE)
     done = materialize(done, "aligned-sums")
     rare = done.filter("size(pairs) > 0").select("row", F.explode(F.arrays_zip("pairs", "times")).alias("p")) \
         .select("row", F.shiftright("p.pairs", 32).alias("a"), F.col("p.pairs").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b"), "p.times")

@@ -240,7 +240,7 @@ class Forest:
             def merged(c, f):
                 return F.aggregate(c, F.element_at(c, 1), lambda s, v: F.zip_with(s, v, f)).alias(c)
 
-            each = each.groupBy("box").agg(*ends).select("box", merged("low", F.least), merged("high", F.greatest))
+            each = each.groupBy("box").agg(*ends).select("box", merged("low", lambda u, v: F.least(u, v)), merged("high", lambda u, v: F.greatest(u, v)))
         found = sorted(each.collect())
         low, high = (np.array([r[c] for r in found], "i8").reshape(-1, d + 1) for c in ("low", "high"))
         return np.array([r["box"] for r in found], "i8"), share, low, high

@@ -51,6 +51,7 @@ class Encoder:
         self.normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self.word = kind == "word"
         split = BYTE_SPLIT
+        self.has_own_split = self.word or not tokenizer.pre_tokenizer or "ByteLevel" not in repr(tokenizer.pre_tokenizer)
         if self.word:
             with open(path, encoding="utf-8") as f:
                 split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
