@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scoutlake.session import materialize, scratch_path
 
-__all__ = ["ORACLE", "QUERIES", "fold", "materialize", "query", "scratch_path", "small", "table",
+__all__ = ["ORACLE", "QUERIES", "fold", "materialize", "qualified", "query", "scratch_path", "small", "table",
            "worker_state"]
 
 QUERIES, ORACLE = {}, {}
@@ -32,6 +32,13 @@ def fold(column, k):
     return F.crc32(F.col(column).cast("string").cast("binary")) % k
 
 
+def qualified(spark, folder):
+    """The folder with its file system, which a path without a scheme takes from the cluster's default."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def small(batches, size=8 << 20, fresh=False):
     """Arrow batches or arrays cut into parts of about ``size`` bytes, so that few texts are Python strings at a time.
 

@@ -3,7 +3,7 @@
 Words are compared in lower case. The seeds are all pairs of neighbouring words of a benchmark item, so what is searched
 does not depend on the corpus. An alignment of score ``LEAST`` (0.6 of 2 a word) of an item of n > 5 words has at least
 0.2 n - 1 such pairs, at least one, within the 1.8 n words it can span: if no two matched words were neighbours, n matches
-would have n - 1 edits between them and score n + 1. In items of 3 to 5 words the pair may have one word between. Places
+would have n - 1 edits between them and score n + 1. In items of 2 to 5 words the pair may have one word between. Places
 with fewer pairs are left out; so are windows that lack more of the item's different words than the 0.4 n it may leave
 unmatched. Neither loses an alignment. Each window that stays is joined to its benchmark item and aligned with it; what
 scores ``LEAST`` of the item's best score is a leak.
@@ -11,8 +11,8 @@ scores ``LEAST`` of the item's best score is a leak.
 The benchmark is taken in blocks of ``BLOCK`` words, each small enough to be sent to every task; the corpus, of any
 size, is never shuffled, only the windows are.
 
-Defined results: a null or empty text has no leak; null or empty items match nothing; items of fewer than three words
-use all their words as one seed; repeated documents each have their rows; equal items each have their rows; empty
+Defined results: a null or empty text has no leak; null or empty items match nothing; an item of one word is
+its own seed; repeated documents each have their rows; equal items each have their rows; empty
 tables give no rows; only id and text of both tables are read.
 """
 
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from .common import materialize, query, small, table
 
 #: Items of fewer words use all their words as one seed.
-SEED = 3
+SEED = 2
+#: Places between two texts, more than the words of a pair are apart.
+PAD = 3
 #: Share of the item's best possible score from which an alignment is a leak, and of an item of few words.
 LEAST = 0.6
 #: Words of benchmark items in one block.
@@ -50,12 +52,12 @@ def item_blocks(benchmark):
 
 
 def word_ids(texts, known):
-    """Numbers of the texts' words one after the other (-1: not a benchmark word), each text followed by SEED -1s, and
+    """Numbers of the texts' words one after the other (-1: not a benchmark word), each text followed by PAD -1s, and
     where each text starts."""
     import numpy as np
 
     get, ids, starts = known.get, [], []
-    gap = [-1] * SEED
+    gap = [-1] * PAD
     for t in texts:
         starts.append(len(ids))
         if t:
@@ -150,7 +152,7 @@ def find_windows(docs, block, known):
                     hits += [(np.full(len(p), one), p, p) for one in ks]
                 k, start, at = (np.concatenate(c) for c in zip(*hits))
                 doc, side = np.searchsorted(starts, at, "right") - 1, 4 * lengths[k] // 5 + 1
-                lo, hi = np.maximum(start - side, starts[doc]), np.minimum(start + lengths[k] + side, starts[doc + 1] - SEED)
+                lo, hi = np.maximum(start - side, starts[doc]), np.minimum(start + lengths[k] + side, starts[doc + 1] - PAD)
                 order = np.lexsort((hi, lo, doc, k))
                 merged = []
                 for one, d, lo_, hi_ in zip(*(c[order].tolist() for c in (k, doc, lo, hi))):

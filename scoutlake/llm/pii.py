@@ -32,7 +32,7 @@ SYLLABLES = {
     "latin": "ba be bi bo da de di do fa fe ga go ha he ka ke la le li lo ma me mi mo na ne no pa pe ra re ro sa se so ta te to va ve".split(),
     "cyrillic": "ба бе би бо да де ди до га го ка ке ла ле ли ло ма ме ми мо на не но па пе ра ре ро са се со та те то ва ве".split(),
 }
-_NAME = r"\p{Lu}[\p{L}'’\-]{1,30}"
+_NAME = r"\p{Lu}[\p{L}'’\-]++"
 _FIRSTS = "|".join(n for names in FIRST.values() for n in names)
 _TITLES = "|".join(t for names in TITLES.values() for t in names)
 _SECRET = r"(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?"
@@ -56,7 +56,7 @@ _CAPITAL = "|".join([
 #: One pattern for all kinds, tried only where a word or number starts and, by its first letter, only for the kinds that
 #: can start so; the first alternative that matches at a place wins.
 PATTERN = (r"(?<![\p{L}\d])(?:" + "|".join([
-    r"(?=[A-Za-z0-9])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    r"(?<![A-Za-z0-9][._%+\-])(?=[A-Za-z0-9])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.)++[A-Za-z]{2,}+",
     rf"(?=\d)(?<!\d\.)(?:{_NUMBER})",
     rf"(?=\+)(?:{_PLUS})",
     r"\(\d{3}\) ?\d{3}[\-. ]\d{4}(?!\d)",

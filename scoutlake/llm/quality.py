@@ -171,13 +171,15 @@ def fit(docs, labels, size=SAMPLE):
     """Trees from at most ``size`` labelled documents, None if there is only one class."""
     import numpy as np
 
-    known = labels.filter("quality is not null").groupBy(F.col("doc_id").alias("label_id")) \
+    known = labels.select("doc_id", "quality").filter("quality is not null").groupBy(F.col("doc_id").alias("label_id")) \
         .agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("label_id"), "label_id").limit(size)
+    docs = docs.select("doc_id", "text")
     rows = docs.join(F.broadcast(known), docs["doc_id"] == known["label_id"]) \
-        .select("label_id", "quality", statistics_of().alias("s")).select("label_id", "quality", "s.*") \
-        .orderBy("label_id", "n_words", "word_chars").toPandas()  # at most `size` rows of numbers
+        .select("label_id", "quality", statistics_of().alias("s")) \
+        .groupBy("label_id").agg(F.min(F.struct("quality", "s")).alias("r")).select("label_id", "r.quality", "r.s.*") \
+        .orderBy("label_id").toPandas()  # at most `size` rows of numbers
     y = rows["quality"].to_numpy("f8")
-    if len(rows) < 2 * LEAF or y.min() == y.max():
+    if not len(rows) or y.min() == y.max():
         return None
     return fit_trees(rows[MORE].to_numpy("f8"), y, [MONOTONE.get(c, 0) for c in MORE])
 

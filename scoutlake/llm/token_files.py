@@ -21,7 +21,7 @@ import zlib
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import materialize, query, scratch_path, small, table
+from .common import materialize, qualified, query, scratch_path, small, table
 from .tokens import encoder, public_path
 
 MAGIC = b"SLPFOR1\n"
@@ -155,11 +155,16 @@ class TokenFile:
 def _store(path):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(path)
 
 
 def write_token_files(docs, folder, path, kind="byte", end_id=0):
-    """Write all documents in ascending order of id; returns the list of files (columns of ``LIST``)."""
+    """Write all documents in ascending order of id; returns the list of files (columns of ``LIST``).
+
+    A folder without a scheme is one of the cluster's default file system.
+    """
+    folder = qualified(docs.sparkSession, folder)
+
     def write(batches):
         import numpy as np
         import pyarrow as pa

@@ -9,7 +9,7 @@ how much less inside a quotation, is estimated on the same sample; what is likel
 is the chance that one of its words with a hit is abuse.
 
 Defined results: an empty or null text scores 0; repeated rows score alike; several labels of one document count as the
-largest; without labels of both classes nothing is learned and all scores are 0; only id and text of documents and id
+largest; without labelled texts of both classes nothing is learned and all scores are 0; only id and text of documents and id
 and toxic of labels are read.
 """
 
@@ -25,11 +25,14 @@ from .common import fold, query, small, table, worker_state
 
 #: Labelled documents of each class that the lexicon is learned from.
 PER_CLASS = 10_000
-#: Entries of the lexicon at most: those that separate best.
-ENTRIES = 5_000
+#: Letters of the shortest term, and of the longest start of a word; words themselves are terms whatever their length.
 LEAST, LONGEST = 3, 14
+#: Letters of words that are compared with the trie at a time.
+LETTERS = 1_500_000
 WORDS = re.compile(r"[^\W_]+(?:[@$!*'’]+[^\W_]+)*")
 WINDOW = 60
+#: Distance that no entry reaches.
+FAR = 1 << 20
 #: Counts that a task holds before it sends them on.
 HELD = 200_000
 #: What a hit at edit distance 1 or 2 is worth beside an exact one, the weight of such priors in documents, and the prior
@@ -49,7 +52,7 @@ def terms(text):
     found = set()
     for w in set(WORDS.findall(text.lower())):
         if LEAST <= len(w):
-            found.add(w[:30] + "$")
+            found.add(w + "$")
             for n in range(LEAST, min(len(w), LONGEST) + 1):
                 found.add(w[:n])
     return found
@@ -99,8 +102,12 @@ def learn_lexicon(rows, totals):
 def _learn(rows, totals):
     sizes = Counter({(r["half"], r["toxic"]): r["n"] for r in
                      rows.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()})
-    if min(sizes[h, k] for h in (0, 1) for k in (0, 1)) == 0:
+    if not all(sizes[0, k] + sizes[1, k] for k in (0, 1)):
         return {}, 1.0
+    halves = (0, 1)
+    if min(sizes[h, k] for h in (0, 1) for k in (0, 1)) == 0:  # too few to judge by another half: all of them pick and judge
+        rows, halves = rows.withColumn("half", F.lit(0)), (0,)
+        sizes = Counter({(0, k): sizes[0, k] + sizes[1, k] for k in (0, 1)})
 
     def count(wanted, kind):
         def emitted(seen):
@@ -122,12 +129,12 @@ def _learn(rows, totals):
         part = rows.filter(F.col("toxic") == kind).select("text", "half").mapInArrow(run, "term string, half int, n long")
         return part.groupBy("term", "half").agg(F.sum("n").alias("n"))
 
-    least = {h: max(3, sizes[h, 1] // 500) for h in (0, 1)}
+    least = {h: max(3, sizes[h, 1] // 500) for h in (0, 1)}  # a half that isn't there has no rows
     enough = F.col("n") >= F.when(F.col("half") == 0, least[0]).otherwise(least[1])
     toxic = {(r["half"], r["term"]): r["n"] for r in count(None, 1).filter(enough).collect()}
     clean = Counter({(r["half"], r["term"]): r["n"] for r in count({t for _, t in toxic}, 0).collect()})
     picked = defaultdict(set)  # entry: halves that picked it
-    for h in (0, 1):
+    for h in halves:
         for entry in pick({t: n for (x, t), n in toxic.items() if x == h}, sizes[h, 1],
                           Counter({t: n for (x, t), n in clean.items() if x == h}), sizes[h, 0]):
             picked[entry].add(h)
@@ -135,14 +142,13 @@ def _learn(rows, totals):
     whole = sum(sizes.values())
     scale = [totals[k] / (totals[0] + totals[1]) * whole / (sizes[0, k] + sizes[1, k]) for k in (0, 1)]
     rate = totals[1] / (totals[0] + totals[1])
-    judges = {e: (0, 1) if len(halves) == 2 else (1 - min(halves),) for e, halves in picked.items()}
+    judges = {e: (0, 1) if len(by) == 2 else halves if len(halves) == 1 else (1 - min(by),) for e, by in picked.items()}
     exact = {}
-    for e, halves in judges.items():
-        t, c = (scale[k] * sum(n.get((h, e), 0) for h in halves) for k, n in ((1, toxic), (0, clean)))
+    for e, by in judges.items():
+        t, c = (scale[k] * sum(n.get((h, e), 0) for h in by) for k, n in ((1, toxic), (0, clean)))
         p = (t + WEIGHT * rate) / (t + c + WEIGHT)
         if p >= SURE:
             exact[e] = (p, t)
-    exact = dict(sorted(exact.items(), key=lambda x: (-x[1][1], x[0]))[:ENTRIES])
     trie = build_trie(sorted(exact))
 
     def hits(batches):
@@ -199,7 +205,7 @@ def pick(toxic, n1, clean, n0):
     for t in sorted(good, key=lambda t: (len(t), t)):
         if not any(t[:k] in lexicon for k in range(LEAST, len(t))):
             lexicon.add(t)
-    return sorted(lexicon, key=lambda t: (-odds(t), t))[:ENTRIES]
+    return sorted(lexicon, key=lambda t: (-odds(t), t))
 
 
 def reach(entry):
@@ -209,18 +215,25 @@ def reach(entry):
 
 
 def build_trie(lexicon):
-    """Nodes as dicts: letter to child, '' to the entries that end there."""
-    root = {}
+    """Nodes as dicts: letter to child, '' to the entries that end there, 'reach' to the largest reach below."""
+    root = {"reach": 0}
     for entry in lexicon:
-        node = root
+        node, most = root, reach(entry)
         for ch in entry.rstrip("$"):
-            node = node.setdefault(ch, {})
-        node.setdefault("", []).append((entry, reach(entry)))
+            node["reach"] = max(node["reach"], most)
+            node = node.setdefault(ch, {"reach": most})
+        node["reach"] = max(node["reach"], most)
+        node.setdefault("", []).append((entry, most))
     return root
 
 
-def _entries(node):
-    return [e for e, _ in node.get("", ())] + [e for ch, child in node.items() if ch for e in _entries(child)]
+def _entries(trie):
+    found, open_ = [], [trie]
+    while open_:
+        node = open_.pop()
+        found += [e for e, _ in node.get("", ())]
+        open_ += [child for ch, child in node.items() if len(ch) == 1]
+    return found
 
 
 def _masks(letters):
@@ -253,40 +266,34 @@ def match_words(words, trie):
         return {}
     letters = letters[near]
     length = np.array([min(len(w), width) for w in words])
-    column = np.arange(width + 1, dtype="i2")
+    column = np.arange(width + 1, dtype="i4")
     past = column[None, :] > length[:, None]
-    first = np.where(past, 99, column).astype("i2")
+    first = np.where(past, FAR, column).astype("i4")
     out = defaultdict(list)
 
-    def walk(node, rows, who):
+    open_ = [(trie, first, np.arange(len(words)))]
+    while open_:
+        node, rows, who = open_.pop()
         for entry, most in node.get("", ()):
             d = rows[np.arange(len(who)), length[who]] if entry.endswith("$") else rows.min(axis=1)
             for k in np.flatnonzero(d <= most):
                 out[words[who[k]]].append((entry, int(d[k])))
         for ch, child in node.items():
-            if ch:
+            if len(ch) == 1:
                 step = np.minimum(rows[:, :-1] + (letters[who] != ord(ch)), rows[:, 1:] + 1)
                 full = np.concatenate([rows[:, :1] + 1, step], axis=1)
                 full = np.minimum.accumulate(full - column, axis=1) + column
-                full[past[who]] = 99
-                stay = np.flatnonzero(full.min(axis=1) <= child_reach(child))
+                full[past[who]] = FAR
+                stay = np.flatnonzero(full.min(axis=1) <= child["reach"])
                 if len(stay):
-                    walk(child, full[stay], who[stay])
-
-    known = {}
-
-    def child_reach(node):
-        if id(node) not in known:
-            known[id(node)] = max([m for _, m in node.get("", ())] + [child_reach(c) for k, c in node.items() if k])
-        return known[id(node)]
-
-    walk(trie, first, np.arange(len(words)))
+                    open_.append((child, full[stay], who[stay]))
     return out
 
 
 def _found(texts, trie):
     """For each text the words with hits: {word: [(entry, distance)]}."""
     found, at = [], 0
+    width = max((len(e) for e in _entries(trie)), default=0) + 4
     while at < len(texts):
         size, end, own = 0, at, []
         while end < len(texts) and (size < 2_000_000 or end == at):
@@ -295,9 +302,9 @@ def _found(texts, trie):
             size += len(t)
             end += 1
         words = list(set().union(*own))
-        hits = {}
-        for k in range(0, len(words), 50_000):
-            hits.update(match_words(words[k:k + 50_000], trie))
+        hits, many = {}, max(1, LETTERS // width)
+        for k in range(0, len(words), many):
+            hits.update(match_words(words[k:k + many], trie))
         found += [{w: hits[w] for w in s & hits.keys()} for s in own]
         at = end
     return found

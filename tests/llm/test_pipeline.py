@@ -1,7 +1,7 @@
 """The pipeline against its operators, stage by stage, and on odd input."""
 
 import corpus_pipeline as cp
-from scoutlake.llm import decontaminate, packing, pii, simhash, toxicity
+from scoutlake.llm import decontaminate, packing, pii, shingles, toxicity
 from scoutlake.llm.common import table
 from scoutlake.llm.tokens import public_path
 
@@ -21,7 +21,7 @@ def test_stages(spark, documents, empty):
                    if r.s >= 0.5}
             assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - bad
         elif name == "near_dedup":
-            assert out.count() == simhash.near_copies(docs).select("root").distinct().count()
+            assert out.count() == shingles.near_copies(docs).select("root").distinct().count()
         elif name == "decontamination":
             leaked = {r.doc_id for r in decontaminate.leaks(docs, table(spark, SF, "benchmark")).collect()}
             assert leaked and {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - leaked
