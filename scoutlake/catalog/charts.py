@@ -69,12 +69,12 @@ k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(s, 6) DESC, b)
 w AS (SELECT vec_id, label, {', '.join(f'v[{i + 1}] AS m{i}' for i in range(64))} FROM e),
 pc AS (SELECT vec_id, {', '.join(f'''{_pct(f'm{i}', 'label')} AS m{i}''' for i in range(64))} FROM w),
 lg AS (UNPIVOT pc ON {', '.join(f'm{i}' for i in range(64))} INTO NAME metric VALUE pct)
-SELECT a AS id, metric, {r('avg(pct)', 9)} AS mean_pct FROM k JOIN lg ON lg.vec_id = b WHERE num <= 5 GROUP BY 1, 2""")
+SELECT a AS id, metric, {r('avg(pct)', 9)} AS mean_pct FROM k JOIN lg ON lg.vec_id = b WHERE num <= 50 GROUP BY 1, 2""")
 def v6(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label",
                                               *[F.col("embedding")[i].cast("double").alias(f"m{i}") for i in range(64)])
     long = pct_rank(e, "label", "id", [f"m{i}" for i in range(64)], wide=False).select("id", "metric", "pct")
-    return rounded(ch.similar_mean(top_similar(_vectors(spark, sf), 5), long), 9, "mean_pct")
+    return rounded(ch.similar_mean(top_similar(_vectors(spark, sf), 50), long), 9, "mean_pct")
 
 
 @query("v7_shot_paths", f"""

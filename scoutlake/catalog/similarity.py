@@ -47,11 +47,45 @@ def n2(spark, sf):
     return rounded(sim.similarity_pairs(_vectors(spark, sf), 60), 4, "similarity").select("grp", "a", "b", "similarity")
 
 
+_GAPS = """
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+x AS (SELECT vec_id, label, d, CASE WHEN label = 3 AND d = 6 AND vec_id % 2 = 0 THEN NULL WHEN label = 4 AND d = 8 THEN 1.0 ELSE x END AS x
+      FROM (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM e)),
+m AS (SELECT label, d, avg(x) AS mu, stddev_pop(x) AS sd, count(*) = count(x) AND min(x) < max(x) AS keep FROM x GROUP BY 1, 2)"""
+
+
+def _gappy(spark, sf):
+    """Vectors with a column that is partly null in one group and one that is constant in another."""
+    label, odd = F.col("label"), F.col("vec_id") % 2 == 0
+    v = F.transform("embedding", lambda x, i: F.when((label == 3) & (i == 5) & odd, F.lit(None).cast("double"))
+                    .when((label == 4) & (i == 7), F.lit(1.0)).otherwise(x.cast("double")))
+    return table(spark, sf, "embeddings").select("vec_id", "label", v.alias("v"))
+
+
+@query("n2_pairs_with_group_columns", _GAPS + f""",
+z AS (SELECT vec_id, x.label, list((x - mu) / sd ORDER BY x.d) AS z FROM x JOIN m ON m.label = x.label AND m.d = x.d WHERE keep GROUP BY 1, 2),
+u AS (SELECT vec_id, label, list_transform(z, lambda t: t / sqrt(list_dot_product(z, z))) AS u FROM z)
+SELECT a.label AS grp, a.vec_id AS a, b.vec_id AS b, {r('(list_dot_product(a.u, b.u) + 1) / 2 * 100', 4)} AS similarity, len(a.u) AS columns
+FROM u a JOIN u b ON a.label = b.label AND a.vec_id < b.vec_id AND (list_dot_product(a.u, b.u) + 1) / 2 * 100 >= 60""")
+def n2_columns(spark, sf):
+    v = sim.feature_vectors(_gappy(spark, sf), "vec_id", "label", ["v"])
+    size = v.groupBy("grp").agg(F.max(F.size("v")).cast("long").alias("columns"))
+    return rounded(sim.similarity_pairs(v, 60), 4, "similarity").join(size, "grp").select("grp", "a", "b", "similarity", "columns")
+
+
+@query("p14_group_columns", _GAPS + f"""
+SELECT label AS grp, (d - 1)::INT AS place, {r('mu', 6)} AS mean, {r('sd', 6)} AS deviation FROM m WHERE keep""")
+def p14_columns(spark, sf):
+    masks = sim.column_masks(_gappy(spark, sf).select(F.col("label").alias("grp"), "v"))
+    each = masks.select("grp", F.posexplode(F.arrays_zip("_m", "_d", "_keep")).alias("place", "c")).filter("c._keep")
+    return rounded(each.select("grp", "place", F.col("c._m").alias("mean"), F.col("c._d").alias("deviation")), 6, "mean", "deviation")
+
+
 @query("n3_top_similar", _PAIRS + f""",
 k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(s, 6) DESC, b) AS num FROM p)
-SELECT label AS grp, a AS id, b AS other, num::INT AS num, {r('s', 4)} AS similarity FROM k WHERE num <= 5""")
+SELECT label AS grp, a AS id, b AS other, num::INT AS num, {r('s', 4)} AS similarity FROM k WHERE num <= 50""")
 def n3(spark, sf):
-    return rounded(sim.top_similar(_vectors(spark, sf), 5), 4, "similarity").select("grp", "id", "other", "num", "similarity")
+    return rounded(sim.top_similar(_vectors(spark, sf), 50), 4, "similarity").select("grp", "id", "other", "num", "similarity")
 
 
 _N4 = ["HomeGoals", "HomeOppGoals", "AwayOppGoals", "AwayGoals", "Elo", "OppElo", "Matches", "Total", "Formation_BUILDING",
@@ -73,14 +107,14 @@ m AS (SELECT d, avg(x) AS mu, stddev_pop(x) AS sd FROM x GROUP BY 1),
 z AS (SELECT team, list(CASE WHEN sd > 1e-12 THEN (x - mu) / sd ELSE 0 END ORDER BY x.d) AS z FROM x JOIN m ON m.d = x.d GROUP BY 1),
 p AS (SELECT a.team AS a, b.team AS b, (list_dot_product(a.z, b.z) / sqrt(list_dot_product(a.z, a.z) * list_dot_product(b.z, b.z)) + 1) / 2 * 100 AS s FROM z a JOIN z b ON a.team <> b.team),
 k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(s, 6) DESC, b) AS num FROM p)
-SELECT a AS id, b AS other, num::INT AS num, {r('s', 4)} AS similarity FROM k WHERE num <= 3""")
+SELECT a AS id, b AS other, num::INT AS num, {r('s', 4)} AS similarity FROM k WHERE num <= 50""")
 def n4(spark, sf):
     rows = shape.to_team_rows(matches(spark, sf), home_elo="HomeElo", away_elo="AwayElo")
     c = table(spark, sf, "customer").select(F.col("c_nationkey").cast("long").alias("Team"), F.col("c_acctbal").alias("Total"),
                                             F.col("c_mktsegment").alias("Formation"))
     season = agg.aggregate_entity(c, "Team", {"Formation": "mode"})
     feats = sim.team_features(agg.team_context(rows), season)
-    return rounded(sim.team_similarity(feats, 3), 4, "similarity").select("id", "other", "num", "similarity")
+    return rounded(sim.team_similarity(feats, 50), 4, "similarity").select("id", "other", "num", "similarity")
 
 
 @query("n5_style_cosine", _E + f"""

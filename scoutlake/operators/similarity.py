@@ -1,23 +1,29 @@
 """Similarity of players and teams, squad similarity and fit scores.
 
-All-pairs comparison is tiled: the rows of a group are hashed into blocks of
-bounded size, each pair of blocks is one small task that multiplies two
-matrices, and only the best few or the pairs over a threshold leave it.
+Rows are compared in tiles of bounded size around pivots.  A row goes to another
+tile of its group only if, by the triangle inequality, that tile may hold a row as
+similar as its n-th best so far or as the threshold; only the best few or the
+pairs over a threshold leave a tile.
 """
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from ..config import lookups as lk
 from ..config.weights import FIT_WEIGHTS
 from ..functions.numeric import _col, age_whole, clip, round_even
+from ..session import materialize
 from .shape import const_map, one_hot, to_team_rows
 from .windows import impute_group_mean, last_n
 
 TILE_ROWS = 4096
+#: Pivots over all groups at most: they are sent to every task.
+PIVOTS = 4096
+#: Rows that are compared with a tile at a time.
+COMPARED = 512
 
 
 def dot(a, b):
@@ -35,130 +41,286 @@ def unit(a):
 def feature_vectors(df, id_col, group, cols, scale=True, weights=None, unit_length=True):
     """Vector per row: z-scores with the group's population deviation, weights, unit length.
 
-    A column without variation in its group becomes 0.  The group moments are
-    one aggregate row per group, joined back.
+    With ``scale``, a column that has one value in a group, or a null or NaN in any row of it, is left out
+    there and stays in elsewhere, so the length of a vector depends on its group.  The group's moments, ends
+    and null counts are one aggregate row per group, joined back.  Without ``scale`` nulls are 0.
     """
     group_col = F.col(group) if isinstance(group, str) else group
     if len(cols) == 1 and df.schema[cols[0]].dataType.typeName() == "array":
         raw = F.col(cols[0]).cast("array<double>")
     else:
-        raw = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
-    rows = df.select(F.col(id_col).alias("id"), group_col.alias("grp"), raw.alias("v"))
-    if scale:
-        moments = rows.groupBy("grp").agg(
-            Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("v")).alias("s"))
-        shrink = (F.col("s.count") - 1) / F.col("s.count")
-        moments = moments.select("grp", vector_to_array("s.mean").alias("_m"), F.transform(
-            vector_to_array("s.variance"), lambda x: F.sqrt(x * shrink)).alias("_d"))
-        rows = rows.join(moments, "grp").select("id", "grp", F.zip_with(
-            F.zip_with("v", "_m", lambda x, m: x - m), "_d",
-            lambda x, d: F.when(d > 1e-12, x / d).otherwise(0.0)).alias("v"))
+        raw = F.array(*[F.col(c).cast("double") for c in cols])
+    rows = df.select(F.col(id_col).alias("id"), group_col.alias("grp"),
+                     F.transform(raw, lambda x: F.when(~F.isnan(x), x)).alias("v"))
     if weights:
         w = F.array(*[F.lit(float(weights.get(c, 1.0))) for c in cols])
-        rows = rows.withColumn("v", F.zip_with("v", w, lambda x, y: x * y))
+    if scale:
+        rows = rows.join(column_masks(rows), "grp").select(
+            "id", "grp", "_keep", F.zip_with(F.zip_with("v", "_m", lambda x, m: x - m), "_d",
+                                             lambda x, d: F.try_divide(x, d)).alias("v"))
+        if weights:
+            rows = rows.withColumn("v", F.zip_with("v", w, lambda x, y: x * y))
+        rows = rows.select("id", "grp", F.filter("v", lambda x, i: F.get("_keep", i)).alias("v"))
+    else:
+        rows = rows.withColumn("v", F.transform("v", lambda x: F.coalesce(x, F.lit(0.0))))
+        if weights:
+            rows = rows.withColumn("v", F.zip_with("v", w, lambda x, y: x * y))
     return rows.withColumn("v", unit("v")) if unit_length else rows
 
 
-def _blocks(rows, tile_rows):
-    """Give each row its block and one copy per block pair it takes part in."""
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("_n"))
-    rows = rows.join(sizes, "grp").withColumn("_t", F.ceil(F.col("_n") / tile_rows))
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_t")).cast("int"))
-    rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_t").cast("int") - 1)))
-    return rows.select("id", "grp", "v", "_b", F.least("_b", "_o").alias("_i"),
-                       F.greatest("_b", "_o").alias("_j"))
+def column_masks(rows):
+    """Per group the means, population deviations and whether each place of ``v`` varies and is never null.
+
+    ``rows`` has (grp, v).  Columns grp, _m, _d, _keep: one aggregate, whatever the number of columns.
+    """
+    filled = array_to_vector(F.transform("v", lambda x: F.coalesce(x, F.lit(0.0))))
+    missing = array_to_vector(F.transform("v", lambda x: F.when(x.isNull(), 1.0).otherwise(0.0)))
+    moments = rows.groupBy("grp").agg(
+        Summarizer.metrics("mean", "variance", "count", "min", "max").summary(filled).alias("s"),
+        Summarizer.sum(missing).alias("nulls"))
+    shrink = (F.col("s.count") - 1) / F.col("s.count")
+    varies = F.zip_with(vector_to_array("s.min"), vector_to_array("s.max"), lambda lo, hi: lo < hi)
+    deviation = F.transform(vector_to_array("s.variance"), lambda x: F.sqrt(x * shrink))
+    ends = moments.select("grp", vector_to_array("s.mean").alias("_m"), deviation.alias("_d"), varies.alias("_varies"),
+                          vector_to_array("nulls").alias("_nulls"))
+    # Values so close that their deviation is rounding alone are one value.
+    keep = F.zip_with(F.zip_with("_varies", "_nulls", lambda x, n: x & (n == 0)), "_d", lambda x, d: x & (d > 1e-12))
+    return ends.select("grp", "_m", "_d", keep.alias("_keep"))
 
 
 def _similarities(a, b, metric):
     if metric == "cosine":
         return np.clip(a @ b.T, -1.0, 1.0)
+    return 1.0 / (1.0 + _distances(a, b))
+
+
+def _distances(a, b):
     gap = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return 1.0 / (1.0 + np.sqrt(np.maximum(gap, 0.0)))
+    return np.sqrt(np.maximum(gap, 0.0))
 
 
 def _percent(values, metric):
     return (values + 1.0) / 2.0 * 100.0 if metric == "cosine" else values
 
 
-def _best(scores, ids, n):
-    """Positions of the n best scores, ties by id."""
-    if len(scores) > n:
-        cut = np.partition(scores, len(scores) - n)[len(scores) - n]
-        keep = np.flatnonzero(scores >= cut)
-    else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))][:n]
+def _nearest(score, metric):
+    """Largest distance at which two rows can have a score; vectors of a cosine are no longer than 1."""
+    if metric == "cosine":
+        return np.sqrt(np.maximum(0.0, 4.0 - score / 25.0))
+    return 1.0 / np.maximum(score, 1e-300) - 1.0
 
 
-def _tiles(vectors, fn, schema, tile_rows):
-    blocks = _blocks(vectors, tile_rows)
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks.repartition(parts, "grp", "_i", "_j")
-    return blocks.groupBy("grp", "_i", "_j").applyInPandas(fn, schema)
+class Tiling:
+    """Rows of groups in tiles around pivots, for exact comparison without all pairs.
 
+    A group of more than ``tile_rows`` rows gets a pivot for as many, drawn by hash, at most ``PIVOTS`` over all
+    groups, so the pivots can be sent to every task.  A row belongs to its nearest pivot; what is still too many
+    rows is divided by hash.  By the triangle inequality no row of a tile is nearer than the distance to its pivot
+    less the tile's radius, so a tile that cannot hold a score as good as wanted is never compared.
+    """
 
-def _split(pdf):
-    i, j = int(pdf["_i"].iloc[0]), int(pdf["_j"].iloc[0])
-    pdf = pdf.sort_values("id")
-    parts = []
-    for b in (i, j):
-        part = pdf[pdf["_b"] == b]
-        parts.append((part["id"].to_numpy(), np.array(part["v"].tolist(), dtype="float64")))
-    return i, j, parts
+    def __init__(self, vectors, tile_rows=TILE_ROWS, pivots=PIVOTS):
+        self.spark = vectors.sparkSession
+        self.types = {c: vectors.schema[c].dataType.simpleString() for c in ("id", "grp")}
+        sizes = materialize(vectors.groupBy("grp").agg(F.count("*").alias("n")), "group-sizes")
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        share = max(tile_rows, -(-total // pivots))
+        large = sizes.filter(F.col("n") > share)  # at most ``pivots`` groups
+        self.pivots = self.spark.sparkContext.broadcast(self._drawn(vectors, large, share))
+        placed = self._placed(vectors)
+        of = placed.groupBy("grp", "pivot").agg(F.count("*").alias("n"), F.max("far").alias("radius"))
+        of = materialize(of.select("grp", "pivot", F.ceil(F.col("n") / tile_rows).cast("int").alias("subs"), "radius"), "tile-sizes")
+        sub = F.pmod(F.xxhash64("id"), F.col("subs")).cast("int")
+        self.rows = placed.join(of, ["grp", "pivot"]).select("grp", "pivot", sub.alias("sub"), "id", "v")
+        self.tiles = self.spark.sparkContext.broadcast(
+            {(r["grp"], r["pivot"]): (r["subs"], r["radius"]) for r in
+             of.join(large.select("grp"), "grp", "left_semi").collect()})  # a pivot each
+        self.single = not self.tiles.value and not of.filter("subs > 1").limit(1).count()
+        if not self.single:
+            self.rows = materialize(self.rows, "tiled")
+
+    def _drawn(self, vectors, large, share):
+        """{group: matrix of its pivots}."""
+        key = F.xxhash64(F.lit("pivot"), "id")
+        some = vectors.join(large, "grp").withColumn("k", F.ceil(F.col("n") / share)) \
+            .filter(F.pmod(key, F.col("n")) < 2 * F.col("k") + 8).select("grp", "k", key.alias("h"), "v")
+        found = {}
+        for r in sorted(some.collect(), key=lambda r: r["h"]):  # about two for each pivot
+            own = found.setdefault(r["grp"], [])
+            if len(own) < r["k"] and r["v"] not in own:
+                own.append(r["v"])
+        return {g: np.array(v, dtype="float64") for g, v in found.items()}
+
+    def _placed(self, vectors):
+        """Rows with their nearest pivot (0 in a group without) and the distance to it."""
+        pivots = self.pivots
+
+        def place(batches):
+            for pdf in batches:
+                pdf["pivot"], pdf["far"] = 0, 0.0
+                for g, at in pdf.groupby("grp", sort=False, dropna=False).indices.items():
+                    own = pivots.value.get(g)
+                    if own is not None:
+                        gap = _distances(np.array(pdf["v"].iloc[at].tolist(), dtype="float64"), own)
+                        near = gap.argmin(axis=1)
+                        pdf.iloc[at, pdf.columns.get_loc("pivot")] = near
+                        pdf.iloc[at, pdf.columns.get_loc("far")] = gap[np.arange(len(at)), near]
+                yield _plain(pdf)
+
+        if not pivots.value:
+            return vectors.select("id", "grp", "v", F.lit(0).alias("pivot"), F.lit(0.0).alias("far"))
+        schema = f"id {self.types['id']}, grp {self.types['grp']}, v array<double>, pivot int, far double"
+        return vectors.select("id", "grp", "v").mapInPandas(place, schema)
+
+    def sent(self, metric, least, later=False):
+        """Rows beside the other tiles of their group that may hold a row with a score of ``least`` (a column) or more.
+
+        ``later``: only tiles behind the row's own, for pairs that are wanted once.
+        """
+        pivots, tiles = self.pivots, self.tiles
+
+        def send(batches):
+            for pdf in batches:
+                out = []
+                for g, at in pdf.groupby("grp", sort=False, dropna=False).indices.items():
+                    own = pivots.value.get(g)
+                    part = pdf.iloc[at]
+                    subs = [tiles.value.get((g, p), (0, 0.0)) for p in range(len(own) if own is not None else 0)] \
+                        or [(int(part["subs"].iloc[0]), 0.0)]
+                    reach = _nearest(part["least"].to_numpy() - 1e-5, metric)
+                    gap = _distances(np.array(part["v"].tolist(), dtype="float64"), own) if own is not None else np.zeros((len(at), 1))
+                    fits = gap - np.array([r for _, r in subs]) <= reach[:, None] + 1e-9
+                    for p, (many, _) in enumerate(subs):
+                        for k in range(many):
+                            mine = (part["pivot"] == p) & (part["sub"] == k)
+                            ok = fits[:, p] & ~mine.to_numpy()
+                            if later:
+                                ok &= ((part["pivot"] < p) | ((part["pivot"] == p) & (part["sub"] < k))).to_numpy()
+                            if ok.any():
+                                out.append(part[ok].assign(pivot=p, sub=k)[["grp", "pivot", "sub", "id", "v", "least"]])
+                if out:
+                    yield _plain(pd.concat(out))
+
+        subs = self.rows.groupBy("grp").agg((F.max("sub") + 1).alias("subs"))  # of groups without pivots
+        asked = self.rows.join(least, ["grp", "id"]) if not isinstance(least, Column) else self.rows.withColumn("least", least)
+        schema = f"grp {self.types['grp']}, pivot int, sub int, id {self.types['id']}, v array<double>, least double"
+        return asked.join(subs, "grp").mapInPandas(send, schema)
+
+    def own(self, fn, schema):
+        """``fn(grp, ids, matrix, ids, matrix, None)`` of each tile with itself."""
+        def run(pdf):
+            pdf = pdf.sort_values("id")
+            ids, v = pdf["id"].to_numpy(), np.array(pdf["v"].tolist(), dtype="float64")
+            return _plain(fn(pdf["grp"].iloc[0], ids, v, ids, v, None))
+
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.rows.repartition(parts, "grp", "pivot", "sub").groupBy("grp", "pivot", "sub").applyInPandas(run, schema)
+
+    def others(self, sent, fn, schema):
+        """``fn(grp, ids, matrix, ids of the tile, its matrix, least)`` of sent rows, in batches, with the tile they came to."""
+        own = self.rows.select("grp", "pivot", "sub", F.lit(0).alias("kind"), "id", "v", F.lit(None).cast("double").alias("least"))
+        come = sent.select("grp", "pivot", "sub", F.lit(1).alias("kind"), "id", "v", "least")
+        key = ["grp", "pivot", "sub"]
+
+        def run(batches):
+            held, at = [], None
+            for pdf in batches:
+                for k, part in pdf.groupby([*key, "kind"], sort=False, dropna=False):
+                    if k[:3] != at:
+                        held, at = [], k[:3]
+                    if k[3] == 0:
+                        held.append(part)
+                    elif held:
+                        if len(held) > 1 or isinstance(held[0], pd.DataFrame):
+                            tile = pd.concat(held).sort_values("id")
+                            held = [(tile["id"].to_numpy(), np.array(tile["v"].tolist(), dtype="float64"))]
+                        found = fn(k[0], part["id"].to_numpy(), np.array(part["v"].tolist(), dtype="float64"), *held[0],
+                                   part["least"].to_numpy())
+                        if len(found):
+                            yield _plain(found)
+
+        return own.unionByName(come).repartition(*key).sortWithinPartitions(*key, "kind").mapInPandas(run, schema)
+
+
+def _plain(pdf):
+    """Texts as Python strings, so that what is put together from parts is one Arrow array; nothing at all for no rows."""
+    if not len(pdf):
+        return pd.DataFrame()
+    return pdf.astype({c: object for c in pdf.columns if pdf[c].dtype.kind not in "ifb"})
+
+
+def _first_n(score, n):
+    """Row and column of the n best finite scores of each row, equal ones by column."""
+    if score.shape[1] > n:
+        cut = -np.partition(-score, n - 1, axis=1)[:, n - 1]
+        row, col = np.nonzero((score >= cut[:, None]) & np.isfinite(score))
+    else:
+        row, col = np.nonzero(np.isfinite(score))
+    order = np.lexsort((col, -score[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < n], col[place < n]
 
 
 def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=None, decimals=6):
     """The n most similar rows of the same group for each row, numbered from 1.
 
-    Values equal to ``decimals`` places rank by id.
-    ``published`` (a frame with ``id``) limits both sides before the ranking.
+    Values equal to ``decimals`` places rank by id.  ``published`` (a frame with ``id``) limits both sides before
+    the ranking.  Each row is compared with its own tile first; its n-th best score there is what another tile must
+    be able to reach.
     """
     if published is not None:
         vectors = vectors.join(published.select("id").distinct(), "id", "left_semi")
-    id_type = vectors.schema["id"].dataType.simpleString()
-    grp_type = vectors.schema["grp"].dataType.simpleString()
-
-    def tile(pdf):
-        i, j, (left, right) = _split(pdf)
-        rows = []
-        for (ids, a), (others, b) in ((left, right),) if i == j else ((left, right), (right, left)):
-            if len(ids) == 0 or len(others) == 0:
-                continue
-            sims = _percent(_similarities(a, b, metric), metric)
-            if i == j:
-                np.fill_diagonal(sims, -np.inf)
+    tiling = Tiling(vectors, tile_rows)
+
+    def best(grp, ids, a, others, b, least):
+        out = []
+        for at in range(0, len(ids), COMPARED):
+            part = slice(at, at + COMPARED)
+            sims = _percent(_similarities(a[part], b, metric), metric)
+            if least is None:
+                sims[np.arange(len(sims)), np.arange(at, at + len(sims))] = -np.inf
             ranked = np.round(sims, decimals)
-            for r in range(len(ids)):
-                for c in _best(ranked[r], others, n):
-                    if np.isfinite(sims[r, c]):
-                        rows.append((pdf["grp"].iloc[0], ids[r], others[c], sims[r, c]))
-        return pd.DataFrame(rows, columns=["grp", "id", "other", "similarity"])
-
-    schema = f"grp {grp_type}, id {id_type}, other {id_type}, similarity double"
-    found = _tiles(vectors, tile, schema, tile_rows)
-    return last_n(found, ["id"], [round_even("similarity", decimals).desc(), F.col("other")], n, "num")
+            if least is not None:
+                ranked[ranked < least[part, None]] = -np.inf
+            row, col = _first_n(ranked, n)
+            out.append(pd.DataFrame({"grp": [grp] * len(row), "id": ids[part][row], "other": others[col], "similarity": sims[row, col]}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["grp", "id", "other", "similarity"])
+
+    schema = f"grp {tiling.types['grp']}, id {tiling.types['id']}, other {tiling.types['id']}, similarity double"
+    rank = [round_even("similarity", decimals).desc(), F.col("other")]
+    found = tiling.own(best, schema)
+    if not tiling.single:
+        found = materialize(found, "own-tiles")
+        nth = last_n(found, ["grp", "id"], rank, n, "num").filter(F.col("num") == n) \
+            .select("grp", "id", round_even("similarity", decimals).alias("nth"))
+        least = tiling.rows.select("grp", "id").join(nth, ["grp", "id"], "left") \
+            .select("grp", "id", F.coalesce("nth", F.lit(-1.0)).alias("least"))
+        found = found.unionByName(tiling.others(tiling.sent(metric, least), best, schema))
+    return last_n(found, ["id"], rank, n, "num")
 
 
 def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS):
     """Unordered pairs of a group at or over a similarity, each once with a < b."""
-    id_type = vectors.schema["id"].dataType.simpleString()
-    grp_type = vectors.schema["grp"].dataType.simpleString()
-
-    def tile(pdf):
-        i, j, ((ids, a), (others, b)) = _split(pdf)
-        if len(ids) == 0 or len(others) == 0:
-            return pd.DataFrame(columns=["grp", "a", "b", "similarity"])
-        sims = _percent(_similarities(a, b, metric), metric)
-        hit = sims >= min_percent
-        if i == j:
-            hit &= np.triu(np.ones_like(hit), 1)
-        r, c = np.nonzero(hit)
-        lo, hi = np.minimum(ids[r], others[c]), np.maximum(ids[r], others[c])
-        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]] * len(r), "a": lo, "b": hi,
-                             "similarity": sims[r, c]})
-
-    schema = f"grp {grp_type}, a {id_type}, b {id_type}, similarity double"
-    return _tiles(vectors, tile, schema, tile_rows)
+    tiling = Tiling(vectors, tile_rows)
+
+    def pairs(grp, ids, a, others, b, least):
+        out = []
+        for at in range(0, len(ids), COMPARED):
+            sims = _percent(_similarities(a[at:at + COMPARED], b, metric), metric)
+            hit = sims >= min_percent
+            if least is None:
+                hit &= np.arange(len(b)) > np.arange(at, at + len(sims))[:, None]
+            r, c = np.nonzero(hit)
+            x, y = ids[at + r], others[c]
+            out.append(pd.DataFrame({"grp": [grp] * len(r), "a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": sims[r, c]}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["grp", "a", "b", "similarity"])
+
+    schema = f"grp {tiling.types['grp']}, a {tiling.types['id']}, b {tiling.types['id']}, similarity double"
+    found = tiling.own(pairs, schema)
+    if not tiling.single:
+        found = found.unionByName(tiling.others(tiling.sent(metric, F.lit(float(min_percent)), later=True), pairs, schema))
+    return found
 
 
 def similarity_features(matches, stats, players, season, as_of, metrics, min_minutes=500):
