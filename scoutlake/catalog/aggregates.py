@@ -74,7 +74,7 @@ def a4(spark, sf):
 
 
 def _passes(spark, sf):
-    ev = next_actor(feed(spark, sf).withColumn("Length", F.lit(0.0)), slice_by=F.hour("ts"))
+    ev = next_actor(feed(spark, sf).withColumn("Length", F.lit(0.0)))
     return shape.pass_map(ev)
 
 
@@ -180,8 +180,7 @@ WITH n AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTIT
 SELECT o_custkey, (i // 8)::INT AS part, count(*) AS n, string_agg(o_orderkey::VARCHAR, ',' ORDER BY i) AS keys FROM n GROUP BY 1, 2""")
 def a12(spark, sf):
     o = table(spark, sf, "orders")
-    out = agg.collect_nested(o, "o_custkey", "Orders", ["o_orderkey", "o_totalprice"], ["o_orderdate", "o_orderkey"],
-                             chunk=8, slice_by=F.date_trunc("year", "o_orderdate"))
+    out = agg.collect_nested(o, "o_custkey", "Orders", ["o_orderkey", "o_totalprice"], ["o_orderdate", "o_orderkey"], chunk=8)
     return out.select("o_custkey", "part", F.size("Orders").cast("long").alias("n"), F.array_join(
         F.transform("Orders", lambda x: x["o_orderkey"].cast("string")), ",").alias("keys"))
 

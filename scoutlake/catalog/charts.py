@@ -28,7 +28,7 @@ c AS (SELECT team, least(player, nxt) AS a, greatest(player, nxt) AS b, count(*)
 m AS (SELECT *, greatest(max(n) OVER (PARTITION BY team), 2) AS mx FROM c)
 SELECT team AS "Team", a, b, n, {r('(n - 2) / CASE WHEN mx > 2 THEN mx - 2 ELSE 1 END::DOUBLE', 6)} AS weight FROM m WHERE n >= 2""")
 def v2(spark, sf):
-    ev = next_actor(feed(spark, sf), slice_by=F.hour("ts")).select(
+    ev = next_actor(feed(spark, sf)).select(
         F.col("team").alias("Team"), F.col("player").alias("Player"), F.col("next_player").alias("PassReceiver"))
     lineup = feed(spark, sf).select(F.col("team").alias("Team"), F.col("player").alias("Player"))
     return rounded(ch.pass_network(ev, lineup, min_passes=2), 6, "weight")

@@ -76,7 +76,7 @@ def e4_closure(spark, sf):
     """Customers linked to the next richer one of their nation if the gap is small."""
     me = F.struct(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("bal"))
     c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_acctbal", me.alias("me"))
-    c = next_actor(c, "c_nationkey", "me", ("c_acctbal", "c_custkey"), F.floor(F.col("c_acctbal") / 50), "next")
+    c = next_actor(c, "c_nationkey", "me", ("c_acctbal", "c_custkey"), "next")
     near = c.filter(F.col("next.bal") - F.col("c_acctbal") < 150)
     return res.connected_components(near.select(F.col("c_custkey").alias("src"), F.col("next.id").alias("dst")))
 

@@ -313,7 +313,7 @@ SELECT strftime(match, '%Y-%m-%d') AS "Match", player AS "Player", team AS "Team
   ELSE 'no clear direction' END AS "PassDirection" FROM p""")
 def p15(spark, sf):
     from ..operators.windows import next_actor
-    ev = next_actor(feed(spark, sf).withColumn("Length", F.lit(0.0)), slice_by=F.hour("ts"))
+    ev = next_actor(feed(spark, sf).withColumn("Length", F.lit(0.0)))
     return shape.pass_map(ev.withColumn("match", F.date_format("match", "yyyy-MM-dd")))
 
 

@@ -46,8 +46,7 @@ def flagship(spark, sf):
 @query("w1_next_actor", f"""
 WITH {FEED} SELECT event_id, lead(player) OVER (PARTITION BY match ORDER BY ts, event_id) AS next_player FROM v_feed""")
 def w1(spark, sf):
-    return win.next_actor(feed(spark, sf).select("match", "player", "ts", "event_id"),
-                          slice_by=F.hour("ts")).select("event_id", "next_player")
+    return win.next_actor(feed(spark, sf).select("match", "player", "ts", "event_id")).select("event_id", "next_player")
 
 
 @query("w2_last_n", """
@@ -110,8 +109,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_su
 FROM lineitem""")
 def w7(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_shipdate")
-    return win.running_index(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
-                             slice_by=F.date_trunc("month", "l_shipdate")).drop("l_suppkey", "l_shipdate")
+    return win.running_index(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]).drop("l_suppkey", "l_shipdate")
 
 
 _WEEKS = """

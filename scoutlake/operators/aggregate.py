@@ -209,7 +209,7 @@ def elo_factor(players, teams, player="ID", team="Team", team_id="ID", elo="EloR
         scaled.select(team, "EloFactor"), team).select("Player", "EloFactor")
 
 
-def collect_nested(child, key, name, fields, order, chunk=10_000, slice_by=None):
+def collect_nested(child, key, name, fields, order, chunk=10_000):
     """Ordered list of structs per key, in chunks of bounded size numbered from 0.
 
     An entity of ordinary size has chunk 0 only; a very large one is spread over
@@ -217,7 +217,7 @@ def collect_nested(child, key, name, fields, order, chunk=10_000, slice_by=None)
     """
     from .windows import running_index
     keys = [key] if isinstance(key, str) else list(key)
-    rows = running_index(child, keys, order, slice_by, "_i")
+    rows = running_index(child, keys, order, "_i")
     part = F.floor(F.col("_i") / F.lit(chunk)).cast("int").alias("part")
     return (rows.groupBy(*keys, part)
             .agg(F.array_sort(F.collect_list(F.struct("_i", F.struct(*fields).alias("v")))).alias("_l"))

@@ -92,8 +92,7 @@ def result_text(score="Score", opponent="OpponentScore", home_away="HomeAway"):
 def match_series(rows, key, value, date="Date", match="Match"):
     """Chronological rows per entity with number, result text and the mean over all of them."""
     ok = rows.filter(F.col(value).isNotNull()).withColumn("Result", result_text())
-    ok = running_index(ok, [key], [F.col(date), F.col(match)],
-                       slice_by=F.date_trunc("month", date), out="num")
+    ok = running_index(ok, [key], [F.col(date), F.col(match)], out="num")
     mean = ok.groupBy(key).agg(F.avg(value).alias("mean"))
     return ok.join(mean, key)
 

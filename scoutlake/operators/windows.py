@@ -1,53 +1,58 @@
 """Ranking, ordering and period operators.
 
-A window partition is one task, so groups that may hold a large share of all
-rows are cut into ordered slices first: a window inside each slice, plus the
-totals of the earlier slices from a small per-slice aggregate.
+A window partition is one task, so ordered groups of any size are first dealt into range partitions of (key, order),
+written once.  A window inside each part, plus a small table of the parts' totals or first rows, gives the result of
+a window over the whole group, and a group that holds all rows is as many tasks as any others.
 """
 
 import pandas as pd
 from pyspark.sql import functions as F, Window
 
 from ..functions.numeric import round_even
+from ..session import materialize
 from .shape import const_map
 
 
-def value_slice(c, resolution=1000.0):
-    """Monotone, deterministic slice number of a numeric value (signed log scale)."""
-    v = c.cast("double")
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * float(resolution)).cast("long")
+#: A value that holds more than one part in this many of all rows is sent to every task.
+HOT_VALUES = 2000
 
 
-def next_actor(df, match="match", player="player", order=("ts", "event_id"), slice_by=None,
-               out="next_player"):
+def ordered_parts(df, keys, order, name="ordered"):
+    """``df`` in range partitions of (keys, order) with the number of each row's part as ``_part``, written once.
+
+    Spark samples the split points, so the parts are even however the keys and values are distributed; a key
+    spans neighbouring parts, most keys only one.
+    """
+    cut = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+    return materialize(cut, name)
+
+
+def next_actor(df, match="match", player="player", order=("ts", "event_id"), out="next_player"):
     """Player of the following row of the match in feed order, null for the last.
 
-    ``slice_by`` is a column that grows with the order (an hour, a block of the
-    feed position); each slice is ordered on its own and its last row takes the
-    first player of the next slice that has rows.
+    The last row of a part takes the first player of the match's next part.
     """
-    s = slice_by if slice_by is not None else F.lit(0)
-    df = df.withColumn("_s", s)
-    inner = Window.partitionBy(match, "_s").orderBy(*order)
+    df = ordered_parts(df, [match], order)
     pos = F.struct(*order)
-    heads = df.groupBy(match, "_s").agg(F.min_by(F.struct(F.col(player).alias("p")), pos).alias("_h"))
-    heads = heads.select(match, "_s", F.lead("_h").over(
-        Window.partitionBy(match).orderBy("_s")).alias("_next"))
-    df = df.withColumns({"_l": F.lead(F.struct(F.col(player).alias("p"))).over(inner)})
-    df = df.join(heads, [match, "_s"], "left")
-    return df.withColumn(out, F.coalesce("_l", "_next")["p"]).drop("_s", "_l", "_next")
-
-
-def running_index(df, keys, order, slice_by=None, out="idx"):
-    """Zero-based position inside the group, in order, computed slice by slice."""
-    df = df.withColumn("_s", slice_by if slice_by is not None else F.lit(0))
-    before = (df.groupBy(*keys, "_s").agg(F.count("*").alias("_n"))
+    heads = df.groupBy(match, "_part").agg(F.min_by(F.struct(F.col(player).alias("p")), pos).alias("_h"))
+    heads = heads.select(match, "_part", F.lead("_h").over(
+        Window.partitionBy(match).orderBy("_part")).alias("_next"))
+    inner = Window.partitionBy(match, "_part").orderBy(*order)
+    df = df.withColumn("_l", F.lead(F.struct(F.col(player).alias("p"))).over(inner))
+    df = df.join(heads, [match, "_part"], "left")
+    return df.withColumn(out, F.coalesce("_l", "_next")["p"]).drop("_part", "_l", "_next")
+
+
+def running_index(df, keys, order, out="idx"):
+    """Zero-based position inside the group, in order: the place in its part behind all rows of earlier parts."""
+    df = ordered_parts(df, keys, order)
+    before = (df.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
               .withColumn("_before", F.sum("_n").over(
-                  Window.partitionBy(*keys).orderBy("_s")) - F.col("_n")).drop("_n"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_s").orderBy(*order)) - 1
-    return (df.withColumn("_l", local).join(before, [*keys, "_s"])
+                  Window.partitionBy(*keys).orderBy("_part")) - F.col("_n")).drop("_n"))
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) - 1
+    return (df.withColumn("_l", local).join(before, [*keys, "_part"])
             .withColumn(out, (F.col("_before") + F.col("_l")).cast("long"))
-            .drop("_s", "_l", "_before"))
+            .drop("_part", "_l", "_before"))
 
 
 def last_n(df, key, order, n, rank="rn"):
@@ -64,12 +69,12 @@ def latest(df, key, order, cols):
     return df.groupBy(*keys).agg(best).select(*keys, "_b.*")
 
 
-def pct_rank(df, part, ids, cols, negative=(), decimals=1, wide=True, resolution=1000.0):
+def pct_rank(df, part, ids, cols, negative=(), decimals=1, wide=True):
     """Percentile rank with average ties per group and metric, reversed for negative metrics.
 
-    Works on the histogram of distinct values: equal values collapse before the
-    shuffle, each slice of the value range is ordered on its own, and the share
-    below a slice comes from the slice totals.  Nulls stay null and do not count.
+    Works on the histogram of distinct values: equal values collapse before the shuffle, the histogram is dealt
+    into even range partitions of (group, metric, value), and the share below a part comes from the parts' totals.
+    Nulls stay null and do not count.
     """
     part = [part] if isinstance(part, str) else list(part)
     ids = [ids] if isinstance(ids, str) else list(ids)
@@ -78,26 +83,42 @@ def pct_rank(df, part, ids, cols, negative=(), decimals=1, wide=True, resolution
     long = df.select(*part, *[c for c in ids if c not in part], pairs.alias("_p")).select(
         *part, *[c for c in ids if c not in part], "_p.metric", "_p.value")
     key = [*part, "metric"]
-    hist = (long.filter(F.col("value").isNotNull()).groupBy(*key, "value")
-            .agg(F.count("*").alias("_n"))
-            .withColumn("_s", value_slice(F.col("value"), resolution)))
-    slices = hist.groupBy(*key, "_s").agg(F.sum("_n").alias("_t"))
-    grown = Window.partitionBy(*key).orderBy("_s")
-    slices = slices.select(*key, "_s", (F.sum("_t").over(grown) - F.col("_t")).alias("_before"),
+    hist = long.filter(F.col("value").isNotNull()).groupBy(*key, "value").agg(F.count("*").alias("_n"))
+    hist = ordered_parts(hist, key, ["value"], "histogram")
+    slices = hist.groupBy(*key, "_part").agg(F.sum("_n").alias("_t"))
+    grown = Window.partitionBy(*key).orderBy("_part")
+    slices = slices.select(*key, "_part", (F.sum("_t").over(grown) - F.col("_t")).alias("_before"),
                            F.sum("_t").over(Window.partitionBy(*key)).alias("_all"))
-    inside = Window.partitionBy(*key, "_s").orderBy("value")
-    hist = hist.withColumn("_below", F.sum("_n").over(inside) - F.col("_n")).join(slices, [*key, "_s"])
+    inside = Window.partitionBy(*key, "_part").orderBy("value")
+    ranked = hist.withColumn("_below", F.sum("_n").over(inside) - F.col("_n")).join(slices, [*key, "_part"])
     up = F.col("_before") + F.col("_below") + (F.col("_n") + 1) / 2
     rank = F.when(F.col("metric").isin(list(negative)), F.col("_all") + 1 - up).otherwise(up) \
         if negative else up
-    ranked = hist.select(*key, "value", round_even(rank / F.col("_all") * 100, decimals).alias("pct"))
-    long = long.join(ranked, [*key, "value"], "left")
+    ranked = ranked.select(*key, "value", "_n", round_even(rank / F.col("_all") * 100, decimals).alias("pct"))
+    long = join_counted(long, ranked, [*key, "value"], "pct")
     if not wide:
         return long
     return long.groupBy(*part, *[c for c in ids if c not in part]).agg(
         *[F.max(F.when(F.col("metric") == c, F.col("pct"))).alias(c) for c in cols])
 
 
+def join_counted(df, counted, keys, value, share=HOT_VALUES):
+    """Left join of ``value`` by keys to a table that knows how many rows (``_n``) each key has.
+
+    Keys with more than one part in ``share`` of all rows, at most ``share`` of them, are sent to every task; rows
+    that found theirs there are spread by hash in the join with the others, so no key is one task.
+    """
+    most = (counted.agg(F.sum("_n")).first()[0] or 0) // share
+    hot = counted.filter(F.col("_n") > most).select(*keys, F.struct(F.col(value).alias("v")).alias("_hot"))
+    rest = counted.filter(F.col("_n") <= most).select(*keys, F.lit(0).alias("_salt"), F.col(value).alias("_rest"))
+    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys] or keys), F.lit(1 << 20)).cast("int") + 1
+    df = df.join(F.broadcast(hot), keys, "left")  # at most ``share`` rows
+    df = df.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0))
+    df = df.join(rest, [*keys, "_salt"], "left")
+    return df.withColumn(value, F.when(F.col("_hot").isNotNull(), F.col("_hot.v")).otherwise(F.col("_rest"))) \
+        .drop("_hot", "_salt", "_rest")
+
+
 def impute_group_mean(df, part, cols):
     """Null to the mean of the row's group; the means are a small aggregate joined back."""
     part = [part] if isinstance(part, str) else list(part)

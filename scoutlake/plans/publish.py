@@ -92,8 +92,8 @@ def run_publish(spark, metrics, events, out, season, as_of, slots, coords, posit
     team_docs = teams.join(agg_team.select(F.col("Team").alias("ID"), team_map.alias("AggregatedStats")), "ID", "left")
 
     # Nested lists, in bounded chunks.
-    def lists(child, key, name, fields, order, slice_by=None):
-        return agg.collect_nested(child, key, name, fields, order, list_chunk, slice_by)
+    def lists(child, key, name, fields, order):
+        return agg.collect_nested(child, key, name, fields, order, list_chunk)
 
     squad = lists(players.withColumn("TeamID", F.col("Team")), "TeamID", "Squad", SQUAD_FIELDS, ["ID"])
     lineup = win.team_lineups(season_rows, t["player"], t["player_stats"].withColumns({
@@ -106,13 +106,12 @@ def run_publish(spark, metrics, events, out, season, as_of, slots, coords, posit
     shots = read_table(spark, f"{events}/shot_map").join(in_season, "Match", "left_semi")
     pass_fields, shot_fields = ["IniX", "IniY", "EndX", "EndY"], ["Type", "IniX", "IniY", "BlockX", "BlockY", "GoalY", "GoalZ"]
     place = [F.xxhash64("Match"), "Match", "IniX", "IniY"]
-    by_match = F.xxhash64("Match")          # one slice per match
     nested = {
         "team_squad": squad, "team_lineup": lineup,
-        "team_passes": lists(passes, "Team", "Passes", [*pass_fields, "Player", "PassReceiver"], place, by_match),
-        "team_shots": lists(shots, "Team", "Shots", [*shot_fields, "Player"], place, by_match),
-        "player_passes": lists(passes, "Player", "Passes", [*pass_fields, "PassReceiver"], place, by_match),
-        "player_shots": lists(shots, "Player", "Shots", shot_fields, place, by_match),
+        "team_passes": lists(passes, "Team", "Passes", [*pass_fields, "Player", "PassReceiver"], place),
+        "team_shots": lists(shots, "Team", "Shots", [*shot_fields, "Player"], place),
+        "player_passes": lists(passes, "Player", "Passes", [*pass_fields, "PassReceiver"], place),
+        "player_shots": lists(shots, "Player", "Shots", shot_fields, place),
     }
 
     # Similar entities among the published ones.

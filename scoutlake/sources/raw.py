@@ -390,7 +390,7 @@ def enrich_events(ev, quals, names=None):
     names = lk.QUALIFIERS if names is None else names
     named = quals.withColumn("name", F.try_element_at(const_map(names), F.col("qualifierId")))
     wide = pivot_qualifiers(ev, named.filter("name IS NOT NULL"), list(names.values()))
-    return next_actor(wide, order=("pos",), slice_by=F.floor(F.col("pos") / 100000))
+    return next_actor(wide, order=("pos",))
 
 
 def scan_events(spark, path):

@@ -297,7 +297,7 @@ def test_pct_rank_against_definition(spark):
     rnd = random.Random(9)
     data = [(i, "g" if i % 3 else "h", rnd.choice([None, -2.5, -1.0, 0.0, 0.001, 0.002, 1.0, 7.0, 1e6])) for i in range(90)]
     df = spark.createDataFrame(data, "id int, part string, x double")
-    got = {r["id"]: r["x"] for r in win.pct_rank(df, "part", "id", ["x"], decimals=6, resolution=50.0).collect()}
+    got = {r["id"]: r["x"] for r in win.pct_rank(df, "part", "id", ["x"], decimals=6).collect()}
     down = {r["id"]: r["x"] for r in win.pct_rank(df, "part", "id", ["x"], ["x"], decimals=6).collect()}
     for i, p, x in data:
         vals = [v for _, q, v in data if q == p and v is not None]
@@ -309,17 +309,17 @@ def test_pct_rank_against_definition(spark):
         assert down[i] == pytest.approx((len(vals) + 1 - rank) / len(vals) * 100, abs=1e-6)
 
 
-def test_next_actor_same_with_and_without_slices(spark):
+def test_next_actor_and_index_across_parts(spark):
     rnd = random.Random(4)
-    data = [(m, i, rnd.randrange(5)) for m in "ab" for i in rnd.sample(range(500), 60)]
-    df = spark.createDataFrame(data, "match string, pos int, player int")
-    one = rows(win.next_actor(df, order=("pos",)).fillna(-1), "match", "pos", "next_player")
-    cut = rows(win.next_actor(df, order=("pos",), slice_by=F.floor(F.col("pos") / 20)).fillna(-1), "match", "pos", "next_player")
-    assert one == cut
+    data = [(m, i, rnd.randrange(5) if rnd.random() < 0.8 else None) for m in "ab" for i in rnd.sample(range(500), 60)]
+    df = spark.createDataFrame(data, "match string, pos int, player int").repartition(3)
+    got = rows(win.next_actor(df, order=("pos",)).fillna(-1), "match", "pos", "next_player")
+    idx = rows(win.running_index(df, ["match"], ["pos"]), "match", "pos", "idx")
     for m in "ab":
         seq = sorted((p, w) for k, p, w in data if k == m)
-        want = [w for _, w in seq[1:]] + [-1]
-        assert [r[2] for r in one if r[0] == m] == want
+        want = [-1 if w is None else w for _, w in seq[1:]] + [-1]
+        assert [r[2] for r in got if r[0] == m] == want
+        assert [r[2] for r in idx if r[0] == m] == list(range(60))
 
 
 def test_pick_lineup_greedy_by_name(spark):
