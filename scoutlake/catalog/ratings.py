@@ -17,9 +17,23 @@ def _elo(spark, sf):
     return rat.elo(m, teams, weight=rat.competition_weight("League", _K), window_rows=50_000)
 
 
-@query("r1_elo_matches")
+def _gained(us, them, own, other, home=""):
+    """SQL of a side's new rating after a match."""
+    d = f"({us} - {them})"
+    return (f"v + k * (CASE WHEN {d} <= 1 THEN 1 WHEN {d} = 2 THEN 1.5 WHEN {d} = 3 THEN 1.75 ELSE 1.75 + ({d} - 3) / 8 END) * "
+            f"(CASE WHEN {d} > 0 THEN 1 WHEN {d} = 0 THEN 0.5 ELSE 0 END - 1 / (1 + pow(10, -(f.r[{own} + 1] - f.r[{other} + 1]{home}) / 400)))")
+
+
+@query("r1_elo_matches", f"""
+WITH RECURSIVE {MATCH.strip()}, o AS (
+  SELECT row_number() OVER (ORDER BY date, id) AS i, id, home, away, hs, as_,
+         CASE league WHEN 'AUTOMOBILE' THEN 50 WHEN 'BUILDING' THEN 40 WHEN 'FURNITURE' THEN 30 ELSE 20 END::DOUBLE AS k FROM v_match),
+f(i, r) AS (SELECT 0::BIGINT, list(900.0::DOUBLE + n_regionkey * 100 ORDER BY n_nationkey) FROM nation UNION ALL
+  SELECT o.i, list_transform(f.r, lambda v, j: CASE WHEN j = home + 1 THEN {_gained("hs", "as_", "home", "away", " + 100")}
+    WHEN j = away + 1 THEN {_gained("as_", "hs", "away", "home")} ELSE v END) FROM f JOIN o ON o.i = f.i + 1)
+SELECT id AS "ID", {r('f.r[home + 1]', 6)} AS "HomeElo", {r('f.r[away + 1]', 6)} AS "AwayElo" FROM f JOIN o USING (i)""")
 def r1(spark, sf):
-    """Post-match ratings of every match; compared with a plain fold in the tests."""
+    """Post-match ratings of every match."""
     return rounded(_elo(spark, sf)[0].select("ID", "HomeElo", "AwayElo"), 6, "HomeElo", "AwayElo")
 
 
@@ -160,6 +174,36 @@ def c2(spark, sf):
     return df.select("vec_id", "label", "Cluster")
 
 
+@query("c1_pca_by_position", f"""
+WITH p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE + CASE WHEN label % 2 = 0 THEN 0.8 ELSE -0.8 END * embedding[1]::DOUBLE AS b FROM embeddings),
+m AS (SELECT label, avg(a) AS ma, avg(b) AS mb, stddev_pop(a) AS sa, stddev_pop(b) AS sb, covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) AS rho FROM p GROUP BY 1),
+z AS (SELECT vec_id, label, (a - ma) / sa AS x, (b - mb) / sb AS y, rho FROM p JOIN m USING (label))
+SELECT vec_id, label, {r('abs(x + sign(rho) * y) / sqrt(2)', 6)} AS pc1, {r('abs(x - sign(rho) * y) / sqrt(2)', 6)} AS pc2, {r('(1 + abs(rho)) / 2', 6)} AS share
+FROM z""")
+def c1_by_position(spark, sf):
+    """Components of two columns for every group at once; in closed form they are the sum and the difference."""
+    a, b = (F.col("embedding")[i].cast("double") for i in range(2))
+    v = F.array(a, b + F.when(F.col("label") % 2 == 0, 0.8).otherwise(-0.8) * a)
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("grp"), v.alias("v"))
+    scores, axes = roles.pca_by_group(rows, 2)
+    out = scores.join(axes, "grp").select(F.col("id").alias("vec_id"), F.col("grp").alias("label"), F.abs(F.col("scores")[0]).alias("pc1"),
+                                          F.abs(F.col("scores")[1]).alias("pc2"), F.col("explained")[0].alias("share"))
+    return rounded(out, 6, "pc1", "pc2", "share")
+
+
+@query("c2_roles_by_position", """
+SELECT vec_id, label, min(vec_id) OVER (PARTITION BY label, vec_id % (3 + label % 4)) AS first, (3 + label % 4)::BIGINT AS clusters FROM embeddings""")
+def c2_by_position(spark, sf):
+    """Clusters of every group at once, on groups of three to six far-apart clouds; a cluster is known by its smallest id."""
+    cloud = F.col("vec_id") % (3 + F.col("label") % 4)
+    v = F.array(*[F.col("embedding")[i].cast("double") + 40 * F.when(cloud == i, 1.0).otherwise(0.0) for i in range(6)])
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("grp"), v.alias("v"))
+    found, _ = roles.kmeans_by_group(rows)
+    own = found.groupBy("grp", "Cluster").agg(F.min("id").alias("first"))
+    many = own.groupBy("grp").agg(F.count("*").alias("clusters"))
+    return found.join(own, ["grp", "Cluster"]).join(many, "grp").select(F.col("id").alias("vec_id"), F.col("grp").alias("label"), "first", "clusters")
+
+
 _DIMS = 64
 
 

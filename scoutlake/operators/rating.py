@@ -34,7 +34,7 @@ def _margin(diff):
 
 
 def _fold(pdf, home_advantage):
-    """Ratings after each match of one ordered window, from the ratings before it."""
+    """Ratings after each match of teams that meet in a window, in order, from the ratings before it."""
     pdf = pdf.sort_values(["_date", "_id"], kind="mergesort")
     rating, home_out, away_out = {}, [], []
     cols = ("_home", "_away", "_home0", "_away0", "_hs", "_as", "_k")
@@ -53,17 +53,48 @@ def _fold(pdf, home_advantage):
     return out
 
 
+def _meeting(pdf):
+    """Each team of a window's pairings with the first team of those that are connected to it."""
+    low = {}
+
+    def first(t):
+        while low.setdefault(t, t) != t:
+            low[t] = t = low[low[t]]
+        return t
+
+    for h, a in zip(pdf["_home"].tolist(), pdf["_away"].tolist()):
+        h, a = first(h), first(a)
+        low[max(h, a)] = min(h, a)
+    teams = list(low)
+    return pd.DataFrame({"_w": [pdf["_w"].iloc[0]] * len(teams), "_home": teams, "_c": [first(t) for t in teams]})
+
+
+def elo_windows(rows, window_rows):
+    """Matches in windows ``_w`` of (date, id) with ``_c``, the smallest team of those that meet in the window.
+
+    Teams that are not connected by matches of a window cannot change each other's rating in it, so each such
+    component is a fold of its own.  A window's pairings are bounded by its rows; all windows are labelled at once.
+    Returns the frame and the number of windows.
+    """
+    windows = max(1, math.ceil(rows.count() / window_rows))
+    cut = materialize(rows.repartitionByRange(windows, "_date", "_id").withColumn("_w", F.spark_partition_id()), "elo-windows")
+    team = rows.schema["_home"].dataType.simpleString()
+    part = cut.select("_w", "_home", "_away").distinct().groupBy("_w").applyInPandas(_meeting, f"_w int, _home {team}, _c {team}")
+    return materialize(cut.join(part, ["_w", "_home"]), "elo-matches", ["_w"]), windows
+
+
 def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam",
         home_score="HomeScore", away_score="AwayScore", weight=None, team="ID",
         start="EloRating", default=1000.0, home_advantage=100.0, window_rows=200_000):
     """Elo over all matches in (date, id) order: post-match ratings and the final table.
 
     The rating is a fold over shared teams, so its length is inherent.  The
-    matches are range-partitioned by (date, id) into windows of bounded size and
-    written once; the windows follow one another, each with its own task of at
-    most about ``window_rows`` matches.  Between windows only one rating per team
-    survives, joined to the next window by key and kept in the scratch folder, so
-    a lost executor costs one window, and no task or driver holds the history.
+    matches are range-partitioned by (date, id) into windows of at most about
+    ``window_rows`` matches, written once; the windows follow one another, and
+    within one the teams that meet are folded component by component, each in its
+    own task.  Between windows only one rating per team survives, joined to the
+    next window by key and kept in the scratch folder, so a lost executor costs
+    one window, and no task or driver holds the history.
     """
     spark = matches.sparkSession
     k = weight if weight is not None else F.lit(float(lk.DEFAULT_WEIGHT))
@@ -72,9 +103,7 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
         F.col(away).alias("_away"), F.col(home_score).cast("double").alias("_hs"),
         F.col(away_score).cast("double").alias("_as"), k.cast("double").alias("_k"))
     rows = rows.dropna(subset=["_home", "_away", "_hs", "_as"])
-    windows = max(1, math.ceil(rows.count() / window_rows))
-    staged = materialize(rows.repartitionByRange(windows, "_date", "_id")
-                         .withColumn("_w", F.spark_partition_id()), "elo-matches", ["_w"])
+    staged, windows = elo_windows(rows, window_rows)
     state = teams.select(F.col(team).alias("_team"), F.col(start).cast("double").alias("_r"))
     state = materialize(state.filter(F.col("_team").isNotNull()).groupBy("_team")
                         .agg(F.max("_r").alias("_r")), "elo-state")
@@ -87,7 +116,7 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
             before = state.select(F.col("_team").alias(side), F.col("_r").alias(side + "0"))
             cur = cur.join(before, side, "left")
         cur = cur.fillna(default, ["_home0", "_away0"])
-        (cur.groupBy("_w").applyInPandas(lambda pdf: _fold(pdf, home_advantage), schema)
+        (cur.groupBy("_w", "_c").applyInPandas(lambda pdf: _fold(pdf, home_advantage), schema)
          .write.mode("error").parquet(f"{out}/w={w}"))
         done = spark.read.parquet(f"{out}/w={w}")
         last = (done.select(F.explode(F.array(

@@ -11,7 +11,7 @@ from .joins import map_column, outer_match
 from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallback_positions,
                     greatest_of, map_by_formation, min_sample, repair_colours, resolve_position,
                     split_name)
-from .windows import dedupe_best, latest, top_positions
+from .windows import dedupe_best, join_counted, latest, top_positions
 
 TILE_ROWS = 1000
 
@@ -258,17 +258,19 @@ def connected_components(edges, src="src", dst="dst"):
 
     Each round replaces the edges around a node by edges to its smallest
     neighbour; the number of rounds grows with the logarithm of the graph.
-    Rounds are written to the scratch folder, so the lineage stays short.
+    A node with a large share of all edges sends its smallest neighbour to every
+    task, so the edges of a star are many tasks.  Rounds are written to the
+    scratch folder, so the lineage stays short.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u <> v").distinct()
     nodes = edges.select(F.explode(F.array(src, dst)).alias("node")).distinct()
 
-    def star(e, large):
+    def star(e, large, total):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         if not large:
             both = both.filter("v < u")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        out = both.join(low, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n")).withColumn("m", F.least("u", "m"))
+        out = join_counted(both, low, ["u"], "m", total=total)
         if large:
             out = out.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
@@ -282,7 +284,7 @@ def connected_components(edges, src="src", dst="dst"):
     e = materialize(e, "components")
     seen, now = None, state(e)
     while now != seen:
-        e, seen = materialize(star(star(e, True), False), "components"), now
+        e, seen = materialize(star(star(e, True, 2 * now[0]), False, now[0]), "components"), now
         now = state(e)
     return nodes.join(e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("c")), "node", "left"
                       ).select("node", F.coalesce("c", "node").alias("component"))

@@ -102,13 +102,13 @@ def pct_rank(df, part, ids, cols, negative=(), decimals=1, wide=True):
         *[F.max(F.when(F.col("metric") == c, F.col("pct"))).alias(c) for c in cols])
 
 
-def join_counted(df, counted, keys, value, share=HOT_VALUES):
-    """Left join of ``value`` by keys to a table that knows how many rows (``_n``) each key has.
+def join_counted(df, counted, keys, value, share=HOT_VALUES, total=None):
+    """Left join of ``value`` by keys to a table that knows how many rows (``_n``) each key has, ``total`` in all.
 
     Keys with more than one part in ``share`` of all rows, at most ``share`` of them, are sent to every task; rows
     that found theirs there are spread by hash in the join with the others, so no key is one task.
     """
-    most = (counted.agg(F.sum("_n")).first()[0] or 0) // share
+    most = ((counted.agg(F.sum("_n")).first()[0] or 0) if total is None else total) // share
     hot = counted.filter(F.col("_n") > most).select(*keys, F.struct(F.col(value).alias("v")).alias("_hot"))
     rest = counted.filter(F.col("_n") <= most).select(*keys, F.lit(0).alias("_salt"), F.col(value).alias("_rest"))
     spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys] or keys), F.lit(1 << 20)).cast("int") + 1

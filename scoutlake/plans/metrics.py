@@ -32,20 +32,23 @@ def season_roles(player_stats, metric_lists, min_minutes=500, starts=20, names=N
 
     ``names`` {position: [name, ...]} names the roles in the order of ``name_roles``.
 
-    The positions are a fixed handful, each fitted by distributed jobs.
+    All positions are fitted at once; a position's metrics are the vector of its rows.
     """
     main = F.coalesce(F.try_element_at(const_map(lk.ROLE_POSITION), F.col("Position")), F.col("Position"))
     df = player_stats.filter(F.col("MinutesPlayed") >= min_minutes).withColumn("Position", main)
-    out = None
-    for position, metrics in metric_lists.items():
-        cols = [m for m in metrics if m in df.columns]
-        rows = win.impute_group_mean(df.filter(F.col("Position") == position), "Position", cols)
-        k = min(5, len(cols))
-        scored, _, _ = roles.pca_scores(rows.select("Player", "Position", *cols), cols, k)
-        found, _, _ = roles.kmeans_select(scored, ["scores"], starts=starts)
-        centers = roles.role_centroids(roles.name_roles(found, names, cols), cols)
-        out = centers if out is None else out.unionByName(centers)
-    return out
+    lists = {p: [m for m in metrics if m in df.columns] for p, metrics in metric_lists.items()}
+    used = sorted({m for cols in lists.values() for m in cols})
+    df = win.impute_group_mean(df.filter(F.col("Position").isin(list(lists))), "Position", used)
+    vector = None
+    for position, cols in lists.items():
+        own = F.array(*[F.col(c).cast("double") for c in cols]).cast("array<double>")
+        vector = (F.when if vector is None else vector.when)(F.col("Position") == position, own)
+    rows = materialize(df.select(F.col("Player").alias("id"), F.col("Position").alias("grp"), vector.alias("v")), "role-rows")
+    scores, _ = roles.pca_by_group(rows)
+    found, _ = roles.kmeans_by_group(scores.withColumnRenamed("scores", "v"), starts=starts)
+    named = roles.name_roles(rows.join(found, ["id", "grp"]).withColumn("sum", F.aggregate(
+        "v", F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))), names, ["sum"], position="grp")
+    return roles.role_centroids_of_vectors(named)
 
 
 def last_roles(player_stats, centroids, metric_lists, last=5):
