@@ -23,7 +23,7 @@ def out(spark, tmp_path_factory):
     unified = run_unify(spark, root, out, AS_OF)
     events = run_events(spark, root, unified, out)
     fm = lookup(spark, "formation_positions", f"{root}/lookups/formations/*.json")
-    metrics = run_metrics(spark, unified, events, out, world.SEASON, AS_OF, fm)
+    metrics = run_metrics(spark, unified, events, out, world.SEASON, AS_OF, fm, METRICS)
     slots = lookup(spark, "formation_slots", f"{root}/lookups/slots.json")
     coords = lookup(spark, "formation_coords", f"{root}/lookups/coords.json")
     run_publish(spark, metrics, events, out, world.SEASON, AS_OF, slots, coords, METRICS, similar=5)
@@ -76,6 +76,10 @@ def test_metrics(spark, out):
     rated = players.filter("Rating IS NOT NULL")
     assert rated.count() == world.TEAMS * 11
     assert rated.filter("Rating < 65 OR Rating > 95 OR Potential < 65 OR Potential > 99").count() == 0
+    centroids = read(spark, out, "metrics/role_centroids")
+    sizes = {(r["Position"], len(r["center"])) for r in centroids.collect()}
+    assert sizes == {("CB", 5), ("ST", 5)} and centroids.groupBy("Position").count().filter("count < 3").count() == 0
+    assert players.filter("Role IS NOT NULL").select("Position").distinct().count() == 2
     agg = read(spark, out, "metrics/agg_player")
     scopes = {r["scope"]: r["m"] for r in agg.groupBy("scope").agg(F.max("Matches").alias("m")).collect()}
     assert scopes == {"all": 10, "season": 10, "last10": 10, "last5": 5, "last3": 3}
