@@ -1,4 +1,4 @@
-"""Checks of the chart data, and the pipeline jobs on documents built from the tables."""
+"""Checks of the chart data."""
 
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import importlib
 
 from . import views
 
-MODULES = ["sources", "shaping", "aggregates", "windows", "resolution", "ratings", "similarity", "charts"]
+MODULES = ["sources", "shaping", "aggregates", "windows", "resolution", "ratings", "similarity", "charts", "jobs"]
 
 
 def _load():

@@ -306,11 +306,25 @@ def s13(spark, sf):
                   F.col("c_acctbal").alias("Balance"), F.array().cast("array<string>").alias("Tags"))
     path = scratch_path(spark, "documents")
     sinks.write_documents(df, "customer", path)
+    sinks.write_documents(df, "customer", path, skip_existing=True)  # all are there: nothing is added
     back = spark.read.text(f"{path}/customer")
     return back.select(F.from_json("value", "ID BIGINT, Name STRING, Segment STRING, Balance DOUBLE").alias("d")
                        ).select("d.*")
 
 
+@query("s13_document_manifest", """
+SELECT c_custkey::VARCHAR AS id, 1::BIGINT AS documents FROM customer""")
+def s13_manifest(spark, sf):
+    """Ids of a sink that got the customers of one segment first and all of them later, and how many documents each has."""
+    df = table(spark, sf, "customer").select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("Name"), "c_mktsegment")
+    path = scratch_path(spark, "documents")
+    sinks.write_documents(df.filter("c_mktsegment = 'BUILDING'"), "customer", path, skip_existing=True)
+    sinks.write_documents(df, "customer", path, skip_existing=True)
+    ids = sinks.written_ids(spark, "customer", path).select("id")
+    docs = spark.read.text(f"{path}/customer").select(F.get_json_object("value", "$.ID").alias("id"))
+    return ids.join(docs.groupBy("id").agg(F.count("*").alias("documents")), "id", "left")
+
+
 _PCT = r("(rank() OVER (PARTITION BY p_brand ORDER BY p_retailprice) + (count(*) OVER "
          "(PARTITION BY p_brand, p_retailprice) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY p_brand) * 100", 1)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import lookups as lk
 from ..config.weights import position_weights
 from ..functions.numeric import age, age_potential, clip, norm01, round_even
-from ..session import materialize, scratch_path
+from ..session import materialize
 from .aggregate import elo_factor, match_importance, minutes_factor
 from .shape import const_map, to_team_rows
 
@@ -96,7 +96,6 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
     next window by key and kept in the scratch folder, so a lost executor costs
     one window, and no task or driver holds the history.
     """
-    spark = matches.sparkSession
     k = weight if weight is not None else F.lit(float(lk.DEFAULT_WEIGHT))
     rows = matches.select(
         F.col(match).alias("_id"), F.col(date).alias("_date"), F.col(home).alias("_home"),
@@ -109,16 +108,15 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
                         .agg(F.max("_r").alias("_r")), "elo-state")
     types = {c: rows.schema[c].dataType.simpleString() for c in ("_id", "_date", "_home", "_away")}
     schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", HomeElo double, AwayElo double"
-    out = scratch_path(spark, "elo-out")
+    rated = None
     for w in range(windows):
         cur = staged.filter(F.col("_w") == w)
         for side in ("_home", "_away"):
             before = state.select(F.col("_team").alias(side), F.col("_r").alias(side + "0"))
             cur = cur.join(before, side, "left")
         cur = cur.fillna(default, ["_home0", "_away0"])
-        (cur.groupBy("_w", "_c").applyInPandas(lambda pdf: _fold(pdf, home_advantage), schema)
-         .write.mode("error").parquet(f"{out}/w={w}"))
-        done = spark.read.parquet(f"{out}/w={w}")
+        done = materialize(cur.groupBy("_w", "_c").applyInPandas(lambda pdf: _fold(pdf, home_advantage), schema), "elo-out")
+        rated = done if rated is None else rated.unionByName(done)
         last = (done.select(F.explode(F.array(
                     F.struct(F.col("_home").alias("_team"), F.col("HomeElo").alias("_n"), "_date", "_id"),
                     F.struct(F.col("_away").alias("_team"), F.col("AwayElo").alias("_n"), "_date", "_id")
@@ -126,8 +124,7 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
                 .groupBy("_team").agg(F.max_by("_n", F.struct("_date", "_id")).alias("_n")))
         state = materialize(state.join(last, "_team", "full_outer").select(
             "_team", F.coalesce("_n", "_r").alias("_r")), "elo-state")
-    rated = spark.read.parquet(*[f"{out}/w={w}" for w in range(windows)]).select(
-        F.col("_id").alias(match), "HomeElo", "AwayElo")
+    rated = rated.select(F.col("_id").alias(match), "HomeElo", "AwayElo")
     return (matches.join(rated, match),
             state.select(F.col("_team").alias(team), F.col("_r").alias(start)))
 

@@ -4,13 +4,18 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import map_column
 from ..operators.shape import pass_map, shot_map
-from ..session import materialize
+from ..session import job, materialize
 from ..sources import raw
 from ..sources.tables import read_table, write_table
 
 
 def run_events(spark, raw_root, unified, out):
     """All matches with a feed document at once; ids become internal ids."""
+    with job(spark, "events", raw_root, unified, out):
+        return _run(spark, raw_root, unified, out)
+
+
+def _run(spark, raw_root, unified, out):
     teams, players, matches = (read_table(spark, f"{unified}/{t}") for t in ("team", "player", "match"))
 
     def ids(df):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..operators import aggregate as agg, shape, similarity as sim, windows as win
-from ..session import materialize
+from ..session import job, materialize
 from ..sources.tables import read_table, write_table
 
 
@@ -29,6 +29,11 @@ def run_fit(spark, metrics, events, out, season, as_of, leagues=None, min_matche
 
     ``top_players`` and ``top_teams`` bound the two lists by rating and by Elo; by default all are scored.
     """
+    with job(spark, "fit", metrics, events, out, season, as_of, leagues, min_matches, min_minutes, rank_players, top_players, top_teams):
+        return _run(spark, metrics, events, out, season, as_of, leagues, min_matches, min_minutes, rank_players, top_players, top_teams)
+
+
+def _run(spark, metrics, events, out, season, as_of, leagues, min_matches, min_minutes, rank_players, top_players, top_teams):
     t = {n: read_table(spark, f"{metrics}/{n}") for n in
          ("team", "player", "match", "player_stats", "team_stats", "agg_player", "agg_team")}
     season_rows = shape.season_filter(t["match"], season)

@@ -7,7 +7,7 @@ from ..config.metrics import LOCATION_COLUMNS, PLAYER_METRICS, TEAM_METRICS
 from ..functions.numeric import round_even, season_start
 from ..operators import aggregate as agg, rating as rat, resolve as res, roles, windows as win
 from ..operators.shape import const_map
-from ..session import materialize
+from ..session import job, materialize
 from ..sources.tables import read_table, write_table
 
 PLAYER_RULES = {**{c: "mean" for c in LOCATION_COLUMNS}, "Rating": "mean", "Position": "mode",
@@ -70,6 +70,11 @@ def last_roles(player_stats, centroids, metric_lists, last=5):
 def run_metrics(spark, unified, events, out, season, as_of, formation_map, metric_lists=None,
                 centroids=None):
     """Clean, rate and aggregate everything; ``metric_lists`` is {position: [metric]} for roles."""
+    with job(spark, "metrics", unified, events, out, season, as_of, sorted((metric_lists or {}).items())):
+        return _run(spark, unified, events, out, season, as_of, formation_map, metric_lists, centroids)
+
+
+def _run(spark, unified, events, out, season, as_of, formation_map, metric_lists, centroids):
     t = {n: read_table(spark, f"{unified}/{n}") for n in
          ("team", "player", "manager", "match", "player_stats", "team_stats")}
     staff = res.clean_staff(t["manager"], t["team"])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..config import lookups as lk
 from ..operators import aggregate as agg, charts, shape, similarity as sim, windows as win
 from ..operators.joins import embed
-from ..session import materialize
+from ..session import job, materialize
 from ..sources import sinks
 from ..sources.tables import read_table, write_table
 
@@ -66,6 +66,14 @@ def run_publish(spark, metrics, events, out, season, as_of, slots, coords, posit
     matches) are written as chunk rows next to the profile, so one popular
     entity never becomes one giant row.
     """
+    with job(spark, "publish", metrics, events, out, season, as_of, sorted(position_metrics.items()), top_leagues, similar,
+             min_minutes, list_chunk):
+        return _run(spark, metrics, events, out, season, as_of, slots, coords, position_metrics, top_leagues, similar,
+                    min_minutes, list_chunk)
+
+
+def _run(spark, metrics, events, out, season, as_of, slots, coords, position_metrics, top_leagues, similar, min_minutes,
+         list_chunk):
     t = {n: read_table(spark, f"{metrics}/{n}") for n in
          ("manager", "team", "player", "match", "player_stats", "team_stats", "agg_player", "agg_team")}
     season_rows = shape.season_filter(t["match"], season)

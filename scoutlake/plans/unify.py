@@ -8,7 +8,7 @@ from ..operators import resolve as res
 from ..operators.aggregate import teams_per_league
 from ..operators.joins import map_column, outer_match
 from ..operators.shape import coalesce_columns, conform, const_map
-from ..session import materialize
+from ..session import job, materialize
 from ..sources import raw
 from ..sources.tables import write_table
 
@@ -137,6 +137,11 @@ def team_statistics(team_stats, sides, matches, teams, managers):
 
 def run_unify(spark, raw_root, out, as_of, seasons=("2425", "2526")):
     """Read all raw documents, resolve entities, write the unified tables."""
+    with job(spark, "unify", raw_root, out, as_of, seasons):
+        return _run(spark, raw_root, out, as_of, seasons)
+
+
+def _run(spark, raw_root, out, as_of, seasons):
     root = f"{raw_root}/competitions"
     managers_1, teams_1, players_1 = (
         raw.scan_entities(spark, f"{raw_root}/entities/{k}/*.json", k) for k in ("manager", "team", "player"))

@@ -83,7 +83,8 @@ def path_part(index_from_end):
 
 
 def file_stem():
-    return F.regexp_extract("path", r"([^/]+)\.json$", 1)
+    """Name of a document <name>.json, which may be a file or a folder, as Spark writes one for each value of a column."""
+    return F.regexp_extract("path", r"([^/=]+)\.json(?:/[^/]*)?$", 1)
 
 
 # -- entity documents ---------------------------------------------------------
