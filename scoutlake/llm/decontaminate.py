@@ -1,12 +1,14 @@
-"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
-
-Words are compared in lower case. The seeds are all pairs of neighbouring words of a benchmark item, so what is searched
-does not depend on the corpus. An alignment of score ``LEAST`` (0.6 of 2 a word) of an item of n > 5 words has at least
-0.2 n - 1 such pairs, at least one, within the 1.8 n words it can span: if no two matched words were neighbours, n matches
-would have n - 1 edits between them and score n + 1. In items of 2 to 5 words the pair may have one word between. Places
-with fewer pairs are left out; so are windows that lack more of the item's different words than the 0.4 n it may leave
-unmatched. Neither loses an alignment. Each window that stays is joined to its benchmark item and aligned with it; what
-scores ``LEAST`` of the item's best score is a leak.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment.
+
+Words are compared in lower case. An alignment of score ``LEAST`` (0.6 of 2 a word) of an item of n > 5 words has at least
+need = 0.2 n - 1 of its n - 1 pairs of neighbouring words, at least one, within the 1.8 n words it can span: if no two matched
+words were neighbours, n matches would have n - 1 edits between them and score n + 1. So of the item's pairs the n - need
+rarest are its seeds: an alignment that keeps need pairs keeps a seed, whichever pairs the seeds are. Rare is what few places of
+the benchmark have; what is searched does not depend on the corpus. In items of 2 to 5 words all pairs are seeds, and a pair
+may have one word between. Only around seeds all pairs of the items are counted; places with fewer than need are left out;
+so are windows that lack more of the item's different words than the 0.4 n it may leave unmatched. None of this loses an
+alignment. Each window that stays is joined to its benchmark item and aligned with it; what scores ``LEAST`` of the item's
+best score is a leak.
 
 The benchmark is taken in blocks of ``BLOCK`` words, each small enough to be sent to every task; the corpus, of any
 size, is never shuffled, only the windows are.
@@ -78,7 +80,7 @@ def slices(texts, size=2_000_000):
         yield start, len(texts)
 
 
-def pair_seeds(block, known):
+def item_pairs(block, known):
     """Sorted codes of the word pairs of all items with the item and the place of each."""
     import numpy as np
 
@@ -87,13 +89,51 @@ def pair_seeds(block, known):
     return tuple(np.array(c, "i8") for c in (zip(*rows) if rows else ((), (), ())))
 
 
-def pair_hits(ids, seeds, size, step, chunk=1 << 16):
-    """Item, start of the item and place of each pair of words ``step`` apart that is a seed, in parts."""
+def needed(lengths):
+    """Pairs of neighbouring words that an alignment of an item of so many words has at least."""
+    import numpy as np
+
+    return np.ceil(np.round((2 * LEAST - 1) * lengths - 1, 6)).astype("i8")
+
+
+def rare_seeds(pairs, lengths):
+    """Codes, sorted, of the pairs that are seeds: of each item the rarest, all but need - 1, rare by their places in the benchmark."""
+    import numpy as np
+
+    codes, items, places = pairs
+    if not len(codes):
+        return codes
+    n = np.unique(codes, return_inverse=True, return_counts=True)
+    often = n[2][n[1]]
+    order = np.lexsort((places, codes, often, items))
+    rank = np.arange(len(order)) - np.searchsorted(items[order], items[order])
+    of = lengths[items[order]]
+    kept = np.where(of > 5, rank < of - np.maximum(needed(of), 1), True)
+    return np.unique(codes[order[kept]])
+
+
+def near_seeds(ids, seeds, size, far):
+    """Which places have a seed no more than ``far`` words away."""
+    import numpy as np
+
+    some = np.zeros(len(ids) + 1, "i8")
+    for step in (1, 2):
+        a, b = ids[:-step], ids[step:]
+        at = np.flatnonzero((a >= 0) & (b >= 0))
+        code = a[at] * size + b[at]
+        at = at[seeds[np.minimum(np.searchsorted(seeds, code), len(seeds) - 1)] == code]
+        np.add.at(some, np.maximum(at - far, 0), 1)
+        np.add.at(some, np.minimum(at + far + 1, len(ids)), -1)
+    return np.cumsum(some[:-1]) > 0
+
+
+def pair_hits(ids, pairs, size, step, near, chunk=1 << 16):
+    """Item, start of the item and place of each pair of words ``step`` apart, near a seed, that items have, in parts."""
     import numpy as np
 
-    codes, items, places = seeds
+    codes, items, places = pairs
     a, b = ids[:-step], ids[step:]
-    at = np.flatnonzero((a >= 0) & (b >= 0))
+    at = np.flatnonzero((a >= 0) & (b >= 0) & near[:len(a)])
     for i in range(0, len(at), chunk):
         p = at[i:i + chunk]
         code = a[p] * size + b[p]
@@ -109,7 +149,7 @@ def crowded(k, at, starts, lengths):
     import numpy as np
 
     n = lengths[k]
-    need, far = np.ceil(np.round((2 * LEAST - 1) * n - 1, 6)), (9 * n + 4) // 5
+    need, far = needed(n), (9 * n + 4) // 5
     doc = np.searchsorted(starts, at, "right") - 1
     key = np.sort((k << 32) + at)
     lo = np.searchsorted(key, (k << 32) + np.maximum(at - far, starts[doc]))
@@ -121,7 +161,8 @@ def find_windows(docs, block, known):
     """Windows of documents around an item's word pairs, and around short items' own words."""
     import numpy as np
 
-    seeds, lengths = pair_seeds(block, known), np.array([len(w) for _, w in block], "i8")
+    pairs, lengths = item_pairs(block, known), np.array([len(w) for _, w in block], "i8")
+    seeds, widest = rare_seeds(pairs, lengths), 2 * int(lengths.max(initial=0)) + 2
     words_of = [frozenset(known[w] for w in words) for _, words in block]
     short = {}
     for k, (_, words) in enumerate(block):
@@ -138,9 +179,10 @@ def find_windows(docs, block, known):
             for s, e in slices(texts):
                 ids, starts = word_ids(texts[s:e], known)
                 found = [(np.zeros(0, "i8"),) * 3]
-                if len(seeds[0]):
-                    found += pair_hits(ids, seeds, len(known), 1)
-                    found += [tuple(c[lengths[h[0]] <= 5] for c in h) for h in pair_hits(ids, seeds, len(known), 2)]
+                if len(seeds):
+                    near = near_seeds(ids, seeds, len(known), widest)
+                    found += pair_hits(ids, pairs, len(known), 1, near)
+                    found += [tuple(c[lengths[h[0]] <= 5] for c in h) for h in pair_hits(ids, pairs, len(known), 2, near)]
                 k, start, at = (np.concatenate(c) for c in zip(*found))
                 ok = crowded(k, at, starts, lengths)
                 hits = [(k[ok], start[ok], at[ok])]
