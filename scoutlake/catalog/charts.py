@@ -22,16 +22,18 @@ def v1(spark, sf):
 
 
 @query("v2_pass_network", f"""
-WITH {FEED}, n AS (SELECT *, lead(player) OVER (PARTITION BY match ORDER BY ts, event_id) AS nxt FROM v_feed),
-c AS (SELECT team, least(player, nxt) AS a, greatest(player, nxt) AS b, count(*) AS n FROM n WHERE nxt IS NOT NULL
-      AND nxt % 10 = team GROUP BY 1, 2, 3),
-m AS (SELECT *, greatest(max(n) OVER (PARTITION BY team), 2) AS mx FROM c)
-SELECT team AS "Team", a, b, n, {r('(n - 2) / CASE WHEN mx > 2 THEN mx - 2 ELSE 1 END::DOUBLE', 6)} AS weight FROM m WHERE n >= 2""")
+WITH {FEED}, f AS (SELECT match, ts, event_id, type, outcome, player % 6 AS player, player % 2 AS team FROM v_feed),
+n AS (SELECT *, lead(player) OVER (PARTITION BY match ORDER BY ts, event_id) AS nxt FROM f),
+c AS (SELECT team, least(player, nxt) AS a, greatest(player, nxt) AS b, count(*) AS n FROM n
+      WHERE type = 'Pass' AND outcome <> 0 AND nxt IS NOT NULL AND nxt % 2 = team GROUP BY 1, 2, 3),
+m AS (SELECT *, greatest(max(n) OVER (PARTITION BY team), 5) AS mx FROM c)
+SELECT team AS "Team", a, b, n, {r('(n - 5) / CASE WHEN mx > 5 THEN mx - 5 ELSE 1 END::DOUBLE', 6)} AS weight FROM m WHERE n >= 5""")
 def v2(spark, sf):
-    ev = next_actor(feed(spark, sf)).select(
-        F.col("team").alias("Team"), F.col("player").alias("Player"), F.col("next_player").alias("PassReceiver"))
-    lineup = feed(spark, sf).select(F.col("team").alias("Team"), F.col("player").alias("Player"))
-    return rounded(ch.pass_network(ev, lineup, min_passes=2), 6, "weight")
+    """Accurate passes between players of two squads, pairs with at least five."""
+    ev = feed(spark, sf).withColumn("player", F.col("player") % 6).withColumn("team", F.col("player") % 2)
+    passes = shape.pass_map(next_actor(ev).withColumn("Length", F.lit(0.0)))
+    lineup = ev.select(F.col("team").alias("Team"), F.col("player").alias("Player"))
+    return rounded(ch.pass_network(passes, lineup), 6, "weight")
 
 
 @query("v3_trend_line", f"""

@@ -7,7 +7,7 @@ from ..functions.numeric import round_even
 from ..operators import aggregate as agg, shape, similarity as sim
 from ..operators.windows import pct_rank, top_k
 from .aggregates import rounded
-from .views import FEED, MATCH, SIDES, STATS, clip01, feed, matches, query, r, stats, table
+from .views import FEED, MATCH, SIDES, STATS, clip01, feed, matches, query, r, ratio, stats, table
 from .windows import _pct
 
 _DIMS = 64
@@ -26,9 +26,7 @@ def _vectors(spark, sf):
     return sim.feature_vectors(table(spark, sf, "embeddings"), "vec_id", "label", ["embedding"])
 
 
-@query("n1_similarity_features")
-def n1(spark, sf):
-    """Season aggregates with profile of the players with enough minutes."""
+def _frame(spark, sf):
     p = table(spark, sf, "part")
     pos = F.element_at(F.array(*[F.lit(x) for x in ("GK", "CB", "LB", "DM", "AM", "ST", "RW")]),
                        (F.col("p_partkey") % 7 + 1).cast("int"))
@@ -41,6 +39,34 @@ def n1(spark, sf):
                    4, "PassAccuracy", "GoalsPer90", "DefensiveActionsPer90")
 
 
+@query("n1_similarity_features")
+def n1(spark, sf):
+    """Season aggregates with profile of the players with enough minutes."""
+    return _frame(spark, sf)
+
+
+@query("n1_similarity_frame", f"""
+WITH {STATS}, {SIDES.strip()},
+g AS (SELECT player, sum(minutes) AS mi, sum(passes) AS pa, sum(acc) AS ac, sum(goals) AS go, sum(tackles + inter + clear + blocks) AS de
+      FROM v_stats s JOIN v_sides v ON v.id = s.match AND v.team = s.team % 25 WHERE season = '1998' GROUP BY 1 HAVING sum(minutes) >= 100),
+f AS (SELECT g.*, p_size, p_type, ['GK', 'CB', 'LB', 'DM', 'AM', 'ST', 'RW'][(player % 7 + 1)::INT] AS pos,
+        {ratio('ac', 'pa')} AS accuracy, {r(f"go * {ratio('90', 'mi')}", 4)} AS goals, {r(f"de * {ratio('90', 'mi')}", 4)} AS actions FROM g JOIN part ON p_partkey = player),
+i AS (SELECT *, coalesce(accuracy, avg(accuracy) OVER w) AS a, coalesce(goals, avg(goals) OVER w) AS go2, coalesce(actions, avg(actions) OVER w) AS de2
+      FROM f WINDOW w AS (PARTITION BY pos))
+SELECT player AS "Player", CASE WHEN pos IN ('ST', 'RW') THEN 'Attacker' WHEN pos IN ('CB', 'LB') THEN 'Defender' WHEN pos IN ('DM', 'AM') THEN 'Midfielder' ELSE 'Goalkeeper' END AS grp,
+  floor((DATE '2020-01-01' - (DATE '1990-01-01' + (p_size * 100)::INT)) / 365.0)::DOUBLE AS "Age", (p_size + 150)::DOUBLE AS "Height",
+  {r('a', 4)} AS "PassAccuracy", {r('go2', 4)} AS "GoalsPer90", {r('de2', 4)} AS "DefensiveActionsPer90",
+  'Position_' || pos || '|PrefFoot_' || CASE WHEN p_size % 2 = 0 THEN 'Left' ELSE 'Right' END || '|Role_' || pos || ' - ' || p_type AS hot
+FROM i""")
+def n1_frame(spark, sf):
+    """The same frame with its one-hot columns as the list of those that are 1."""
+    df = _frame(spark, sf)
+    hot = [c for c in df.columns if c.split("_")[0] in ("PrefFoot", "Position", "Role")]
+    named = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in hot])
+    return df.select("Player", "grp", F.col("Age").cast("double"), F.col("Height").cast("double"), "PassAccuracy", "GoalsPer90", "DefensiveActionsPer90",
+                     F.array_join(F.array_sort(F.array_compact(named)), "|").alias("hot"))
+
+
 @query("n2_similar_pairs", _PAIRS + f"""
 SELECT label AS grp, a, b, {r('s', 4)} AS similarity FROM p WHERE a < b AND s >= 60""")
 def n2(spark, sf):
