@@ -5,8 +5,30 @@ import contextvars
 import hashlib
 import uuid
 
-#: The running job: its folder and how many steps it has asked for.
-_JOB = contextvars.ContextVar("scoutlake_job", default=None)
+
+class _Running:
+    """The running job of this context: its folder and how many steps it has asked for.
+
+    Functions for executors take their modules along by value; there no job is running.
+    """
+
+    def __init__(self):
+        self._own = contextvars.ContextVar("scoutlake_job", default=None)
+
+    def __reduce__(self):
+        return _Running, ()
+
+    def get(self):
+        return self._own.get()
+
+    def set(self, job):
+        return self._own.set(job)
+
+    def reset(self, token):
+        self._own.reset(token)
+
+
+_JOB = _Running()
 
 
 def scratch_root(spark):

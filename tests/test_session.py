@@ -79,3 +79,12 @@ def test_documents_are_added_by_the_manifest(spark, tmp_path):
     assert sorted(r["i"] for r in new.collect()) == list(range(600, 1_000))
     sinks.write_documents(df.limit(10), "x", path, bucket_rows=100)
     assert sinks.written_ids(spark, "x", path).count() == 10
+
+
+def test_functions_take_their_modules_along(spark):
+    """A function for executors that names a module of the package carries it by value, job state included."""
+    from scoutlake.llm import bloom
+
+    with session.job(spark, "pickled"):
+        got = spark.range(3).rdd.map(lambda r: (bloom.segments_for(r["id"]), session._JOB.get())).collect()
+    assert got == [(1, None)] * 3
