@@ -102,7 +102,7 @@ def pct_rank(df, part, ids, cols, negative=(), decimals=1, wide=True):
         *[F.max(F.when(F.col("metric") == c, F.col("pct"))).alias(c) for c in cols])
 
 
-def join_counted(df, counted, keys, value, share=HOT_VALUES, total=None):
+def join_counted(df, counted, keys, value, share=HOT_VALUES, *, total=None):
     """Left join of ``value`` by keys to a table that knows how many rows (``_n``) each key has, ``total`` in all.
 
     Keys with more than one part in ``share`` of all rows, at most ``share`` of them, are sent to every task; rows
