@@ -6,6 +6,7 @@ from ..config.weights import FIT_WEIGHTS
 from ..functions.numeric import round_even
 from ..operators import aggregate as agg, shape, similarity as sim
 from ..operators.windows import pct_rank, top_k
+from ..session import materialize
 from .aggregates import rounded
 from .views import FEED, MATCH, SIDES, STATS, clip01, feed, matches, query, r, ratio, stats, table
 from .windows import _pct
@@ -263,7 +264,8 @@ _N9 = _N8 + f""", sc AS (SELECT player, team, {_score()} AS score FROM ms)"""
 @query("n9_fit_score", _N9 + f"""
 SELECT player, team, {r('score', 6)} AS "Score" FROM sc""")
 def n9(spark, sf):
-    return rounded(sim.fit_score(_fit_inputs(spark, sf)), 6, "Score").select("player", "team", "Score")
+    measures = materialize(_fit_inputs(spark, sf), "measures")
+    return rounded(sim.fit_score(measures), 6, "Score").select("player", "team", "Score")
 
 
 @query("n10_stars", f"""
@@ -281,7 +283,8 @@ SELECT team, player, c_name AS name, {r('score', 6)} AS score, round_even(((scor
 FROM st JOIN customer ON c_custkey = player""")
 def n11(spark, sf):
     names = table(spark, sf, "customer").select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("Name"))
-    scored = sim.stars(sim.fit_score(_fit_inputs(spark, sf)).select("player", "team", "Score"))
+    measures = materialize(_fit_inputs(spark, sf), "measures")
+    scored = sim.stars(materialize(sim.fit_score(measures).select("player", "team", "Score"), "scores"))
     docs = sim.fit_documents(scored, names, chunk=64)
     rows = docs.select("team", F.explode("PlayersAdaptability").alias("k", "d"))
     return rounded(rows.select("team", F.col("d.Player").alias("player"), F.col("d.Name").alias("name"),

@@ -485,10 +485,11 @@ def candidate_pairs(players, teams):
     """(player, team) rows of a candidate list and a team list, own team left out.
 
     Every player is scored for every team, so the caller bounds the two lists (top-k) as far as scores are wanted.
+    A join, not an exploded list: Spark then knows how many pairs there are and sends none of what is made of them
+    through the driver.  Only the team ids are broadcast.
     """
-    best = teams.agg(F.collect_list("team")).scalar()
-    rows = players.select("player", "own", F.explode(best).alias("team"))
-    return rows.filter(F.col("own") != F.col("team"))
+    rows = players.select("player", "own").join(F.broadcast(teams.select("team")), F.col("own") != F.col("team"))
+    return rows.select("player", "own", "team")
 
 
 def fit_measures(pairs, players, teams, team_sim, squad_sim, pos_sim, pass_corr, style_sim,
@@ -502,15 +503,15 @@ def fit_measures(pairs, players, teams, team_sim, squad_sim, pos_sim, pass_corr,
     from .shape import overlap_flag
     tiers = lk.COMPETITION_TIER if tiers is None else tiers
     families = lk.FORMATION_FAMILY if families is None else families
-    df = pairs.join(players, "player").join(teams, "team")
-    required = [(team_sim.select(F.col("id").alias("own"), F.col("other").alias("team"),
-                                 F.col("similarity").alias("TeamsCorrelation")), ["own", "team"]),
-                (squad_sim.withColumnRenamed("similarity", "SquadsCorrelation"), ["player", "team"]),
-                (pos_sim.withColumnRenamed("similarity", "SamePosCorrelation"), ["player", "team"]),
-                (style_sim.withColumnRenamed("similarity", "StatsCorrelation"), ["player", "team"])]
-    for side, keys in required:
-        df = df.join(side, keys)
-    df = df.join(pass_corr, ["player", "team"], "left")
+    # Sides with a row for each pair or player compress well, and Spark would take small files for small tables: the
+    # hint keeps them from being broadcast.  Pairs meet while the rows are narrow and share one partitioning.
+    df = pairs
+    for side, name in ((squad_sim, "SquadsCorrelation"), (pos_sim, "SamePosCorrelation"), (style_sim, "StatsCorrelation")):
+        df = df.join(side.withColumnRenamed("similarity", name).hint("merge"), ["player", "team"])
+    df = df.join(pass_corr.hint("merge"), ["player", "team"], "left")
+    df = df.join(team_sim.select(F.col("id").alias("own"), F.col("other").alias("team"),
+                                 F.col("similarity").alias("TeamsCorrelation")), ["own", "team"])
+    df = df.join(players.hint("merge"), "player").join(F.broadcast(teams), "team")  # one row for each team
     country = (F.when(F.col("country") == F.col("team_country"), 1.0)
                .when(F.array_contains("team_countries", F.col("country")), 0.5).otherwise(0.0))
     df = df.select(
@@ -536,7 +537,7 @@ def fit_score(df, weights=None, team="team", percent=PERCENT, units=UNIT, gaps=G
     weights = FIT_WEIGHTS if weights is None else weights
     limits = df.groupBy(team).agg(*[f(F.abs(F.col(c))).alias(f"_{t}_{c}") for c in gaps
                                     for t, f in (("lo", F.min), ("hi", F.max))])
-    df2 = df.join(limits, team)
+    df2 = df.join(F.broadcast(limits), team)
     parts = {c: clip(F.col(c) / 100, 0, 1) for c in percent}
     parts.update({c: clip(F.col(c), 0, 1) for c in units})
     for c in gaps:
@@ -553,12 +554,12 @@ def stars(df, team="team", score="Score"):
     limits = df.groupBy(team).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
     scaled = F.try_divide(F.col(score) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     half = (scaled * 9 + 1) / 2
-    return df.join(limits, team).withColumn("Stars", round_even(half * 2) / 2).drop("_lo", "_hi")
+    return df.join(F.broadcast(limits), team).withColumn("Stars", round_even(half * 2) / 2).drop("_lo", "_hi")
 
 
 def fit_documents(scores, names, chunk=None):
     """Per-team map player -> {Player, Name, Score, Stars}."""
     from .aggregate import collect_map
-    rows = scores.join(names.select(F.col("ID").alias("player"), "Name"), "player", "left")
+    rows = scores.join(names.select(F.col("ID").alias("player"), "Name").hint("merge"), "player", "left")
     value = F.struct(F.col("player").alias("Player"), "Name", "Score", "Stars")
     return collect_map(rows, "team", "PlayersAdaptability", "player", value, chunk)

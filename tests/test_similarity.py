@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scoutlake import session
 from scoutlake.operators import similarity as sim
 
 
@@ -96,3 +97,26 @@ def test_columns_count_per_group(spark):
     assert {r["id"]: r["v"] for r in sim.feature_vectors(as_array, "id", "g", ["v"], unit_length=False).collect()} == got
     plain = {r["id"]: r["v"] for r in sim.feature_vectors(df, "id", "g", cols, scale=False, unit_length=False).collect()}
     assert plain[1] == [1.0, 5.0, 0.0, 2.0] and plain[4] == [1.0, 6.0, 1.0, 0.0]
+
+
+def test_pairs_are_never_taken_for_a_small_table(spark):
+    """Spark's estimate covers all pairs, and the sides with a row for each pair are merged, not broadcast."""
+    players = spark.createDataFrame([(i, i % 50) for i in range(200)], "player int, own int")
+    teams = spark.createDataFrame([(i,) for i in range(50)], "team int")
+    pairs = sim.candidate_pairs(players, teams)
+    assert {tuple(r) for r in pairs.collect()} == {(i, i % 50, t) for i in range(200) for t in range(50) if t != i % 50}
+    assert pairs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= 200 * 49 * 12
+    path = session.scratch_path(spark, "pairs")
+    pairs.write.parquet(path)
+    read = spark.read.parquet(path)  # a small file
+    side = read.select("player", "team", F.lit(0.5).alias("similarity"))
+    lists = F.array(F.lit("4-4-2")), F.array(F.lit("cup"))
+    who = players.select("player", F.lit("x").alias("country"), lists[0].alias("formations"), lists[1].alias("competitions"),
+                         *[F.lit(1.0).alias(c) for c in ("birth", "rating", "potential", "own_elo")])
+    of = teams.select("team", F.lit("x").alias("team_country"), F.array(F.lit("x")).alias("team_countries"),
+                      lists[0].alias("team_formations"), lists[1].alias("team_competitions"),
+                      *[F.lit(1.0).alias(c) for c in ("team_birth", "team_rating", "team_potential", "team_elo")])
+    team_sim = read.select(F.col("own").alias("id"), F.col("team").alias("other"), F.lit(0.5).alias("similarity")).distinct()
+    out = sim.fit_measures(read, who, of, team_sim, side, side, side.withColumnRenamed("similarity", "PassesCorrelation"), side)
+    assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") >= 5
+    assert out.count() == 200 * 49
