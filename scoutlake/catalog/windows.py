@@ -32,10 +32,15 @@ m AS (SELECT player, position, {ratio('acc', 'passes')} AS c0, {ratio('touches',
 SELECT position AS "Position", player AS "Player", {', '.join(f'{_pct(f"c{i}", "position")} AS "{c}"' for i, c in enumerate(_TOP))}
 FROM m""")
 def flagship(spark, sf):
-    """Last five matches per player, metrics per 90 minutes, percentile within position."""
+    """Last five matches per player, metrics per 90 minutes, percentile within position.
+
+    Rows of a player with the same match and number are told apart by their statistics, so a rerun takes the same five.
+    """
     dates = matches(spark, sf).select(F.col("ID").alias("Match"), F.col("Date").alias("MatchDate"))
     s = stats(spark, sf).drop("Date", "Brand", "Name", "Team").join(dates, "Match")
-    last = win.last_n(s, "Player", [F.col("MatchDate").desc(), F.col("Match").desc(), F.col("ShirtNumber").desc()], 5)
+    order = ["MatchDate", "Match", "ShirtNumber"]
+    order += [c for c in s.columns if c not in ("Player", *order)]  # a player's equal rows of a match: the larger values first
+    last = win.last_n(s, "Player", [F.col(c).desc() for c in order], 5)
     last = last.drop("rn", "MatchDate", "Match", "ShirtNumber")
     metrics = agg.player_metrics(agg.aggregate_entity(last, "Player", {"Position": "mode"}))
     # Read three times by the ranking: written once instead of joined and aggregated again.

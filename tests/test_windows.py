@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from scoutlake.catalog import windows as queries
+from scoutlake.catalog.views import stats
 from scoutlake.operators import windows as win
 
 
@@ -55,3 +57,16 @@ def test_counted_join_spreads_hot_rows(spark):
     assert out.count() == 9_000 and out.filter("v IS NULL OR v <> 2 * k").count() == 0
     missing = win.join_counted(df, counted.filter("k % 2 = 0"), ["k"], "v", share=50)
     assert missing.count() == 9_000 and missing.filter("v IS NULL").count() == df.filter("k % 2 <> 0").count()
+
+
+def test_last_five_of_equal_keys_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    rows = stats(spark, sf).withColumns({"Match": F.lit(1).cast("long"), "ShirtNumber": F.lit(1)})  # every order column ties
+    got = []
+    for flip in (1, -1):
+        data = sorted(rows.collect(), key=lambda r: (r["MinutesPlayed"] * flip, r["Passes"] * flip))
+        frame = spark.createDataFrame(data, rows.schema).coalesce(1)
+        monkeypatch.setattr(queries, "stats", lambda *_: frame)
+        monkeypatch.setattr(queries, "matches", lambda *_: spark.sql("SELECT 1L AS ID, DATE '2024-01-01' AS Date"))
+        got.append(sorted(map(str, queries.flagship(spark, sf).collect())))
+    assert len(got[0]) > 100 and got[0] == got[1]
