@@ -1,5 +1,6 @@
 """Entity resolution across providers: fuzzy matching, duplicate merging, id rewriting."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -159,6 +160,39 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
     return rows.groupBy(*cell).applyInPandas(fn, schema)
 
 
+def best_choices(values, choices, threshold):
+    """(value, score, choice) of the values whose best choice reaches the threshold; ties: smaller choice.
+
+    Lengths and letters of all choices are compared with a value at once; only those that may reach the threshold,
+    and those that share a word with it, are scored.
+    """
+    choices = [(c, word_set(c)) for c in sorted(choices)]
+    size = np.array([len(c[1][1]) for c in choices], "i8")
+    mask = np.array([c[1][2] for c in choices], "u8")
+    holders = {}
+    for at, (_, theirs) in enumerate(choices):
+        for w in theirs[0]:
+            holders.setdefault(w, []).append(at)
+    holders = {w: np.array(at) for w, at in holders.items()}
+    for value in values:
+        words = word_set(value)
+        least = np.maximum(np.abs(size - len(words[1])), np.bitwise_count(mask ^ np.uint64(words[2])))
+        may = 100.0 - 100.0 * least / np.maximum(size + len(words[1]), 1) >= threshold
+        for w in words[0]:
+            if w in holders:
+                may[holders[w]] = True
+        best = None
+        for at in np.flatnonzero(may).tolist():
+            choice, theirs = choices[at]
+            s = word_set_score(words, theirs, threshold)
+            if s >= threshold and (best is None or s > best[0]):
+                best = (s, choice)
+                if s == 100.0:
+                    break
+        if best:
+            yield value, *best
+
+
 def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
                 tile_rows=TILE_ROWS):
     """Best partner in the other frame by word-set similarity.
@@ -204,17 +238,8 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
                 right[value] = min(i, right.get(value, i))
         found = []
         for (field, _), (left, right) in groups.items():
-            choices = [(choice, other, word_set(choice)) for choice, other in sorted(right.items())]
-            for value, rows in left.items():
-                best, words = None, word_set(value)
-                for choice, other, theirs in choices:
-                    s = word_set_score(words, theirs, threshold)
-                    if s >= threshold and (best is None or s > best[0]):
-                        best = (s, choice, other)
-                        if s == 100.0:
-                            break
-                if best:
-                    found += [(blk, i, bool(sw), int(field), *best) for blk, i, sw in rows]
+            for value, *best in best_choices(left, right, threshold):
+                found += [(blk, i, bool(sw), int(field), best[0], best[1], right[best[1]]) for blk, i, sw in left[value]]
         return pd.DataFrame(found, columns=["block", "id", "swap", "field", "score", "choice", "other"])
 
     schema = "block string, id string, swap boolean, field int, score double, choice string, other string"

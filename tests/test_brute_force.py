@@ -148,6 +148,23 @@ def test_fuzzy_match(spark, thr, block, tile):
     assert set(rows(got, "IdSS", "IdSW")) == plain_fuzzy(a, b, thr, block)
 
 
+def test_best_choices_score_few_pairs(monkeypatch):
+    rnd = random.Random(4)
+    names = lambda n: sorted({" ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.choice([3, 5, 9])))
+                                       for _ in range(rnd.choice([1, 2, 2, 3]))) for _ in range(n)} | {"abc", "abc def", " "})
+    values, choices = names(150), names(150)
+    want = {}
+    for threshold in (75, 90):
+        for v in values:
+            best = max(((token_set_score(v, c), [-ord(x) for x in c] + [1], c) for c in choices))
+            if best[0] >= threshold:
+                want[threshold, v] = (best[0], best[2])
+    scored, whole = [], resolve.word_set_score
+    monkeypatch.setattr(resolve, "word_set_score", lambda *x: scored.append(1) or whole(*x))
+    got = {(t, v): (s, c) for t in (75, 90) for v, s, c in resolve.best_choices(values, choices, t)}
+    assert got == want and len(scored) < 0.25 * 2 * len(values) * len(choices)
+
+
 def test_with_leftovers_and_one_partner(spark):
     a = spark.createDataFrame([("1",), ("2",), ("3",)], "IdSS string")
     b = spark.createDataFrame([("x",), ("y",)], "IdSW string")
