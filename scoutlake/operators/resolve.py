@@ -1,5 +1,7 @@
 """Entity resolution across providers: fuzzy matching, duplicate merging, id rewriting."""
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallba
 from .windows import dedupe_best, join_counted, latest, top_positions
 
 TILE_ROWS = 1000
+FEW = 8
 
 
 def _grams(c, q):
@@ -92,6 +95,35 @@ def edit_keys(c, threshold, common=None):
     return F.when(n > 0, F.array_union(F.array(F.concat(F.lit("="), c)), F.when(d > 0, keys).otherwise(none)))
 
 
+def close_keys(text, threshold, common):
+    """Keys of which two strings share at least one if their similarity reaches the threshold, few strings a key.
+
+    With d as in ``edit_keys``: up to two deletions and insertions leave the same rest of both strings once the letters
+    only one of them has are deleted, so the rests of a short string (d up to 2, and strings up to 2 longer) are its
+    keys.  For longer strings, of the distinct groups in one fixed order the first two that both have are among the
+    first q d + 2 of each, so the keys are pairs of those.  That needs two common groups, which either string grants if
+    it has q d + 2 groups; strings with fewer get the single groups of ``edit_keys`` as well, by which they meet.
+    """
+    if not text:
+        return []
+    q, n = _gram_size(threshold), len(text)
+
+    def edits(length):
+        return int(2.0 * length * (1.0 - threshold) / threshold + 1e-9)
+
+    d, keys = edits(n), set()
+    if edits(n - 2) <= 2:
+        for cut in range(min(d, 2, n - 1) + 1):
+            keys.update("d:" + "".join(kept) for kept in combinations(text, n - cut))
+    if d > 2:
+        marked = f"^{text}$" if q == 3 else text
+        grams = sorted({marked[i:i + q] for i in range(len(marked) - q + 1)}, key=lambda g: (common.get(g, 0), g))
+        keys.update("p:" + a + b for a, b in combinations(grams[:q * d + 2], 2))
+        if len(grams) < q * d + 2:
+            keys.update("g:" + g for g in grams[:q * d + 1])
+    return list(keys)
+
+
 def word_keys(c, threshold, role, common_words=None, common_grams=None):
     """Keys of which two strings of different roles share at least one at the threshold.
 
@@ -139,7 +171,9 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
     tb = ta if not sides else F.when(big, F.ceil(F.col("_nb") / half)).otherwise(1).cast("int")
     total, grid = sizes.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum(
         F.when(big, ta.cast("long") * tb)), F.lit(0))).first()
-    packs = max(1, -(-int(total) // tile_rows) * 4)
+    # A pack holds many rare keys, each a group of its own in it: rows for a call, not pairs.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packs = max(1, min(int(total), parts), -(-int(total) // (16 * tile_rows)))
     rows = rows.join(sizes, list(keys))
     block = F.pmod(F.xxhash64("id"), F.when(F.col("role") == 0, ta).otherwise(tb)).cast("int")
     other = F.sequence(F.lit(0), F.when(F.col("role") == 0, tb).otherwise(ta) - 1)
@@ -154,7 +188,6 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
     rows = rows.select(*[c for c in rows.columns if c not in ("_na", "_nb", "_o", "_b")],
                        big.alias("_big"), pack.alias("_pack"), i.alias("_i"), j.alias("_j"))
     # The tiles are few bytes but much work, so they are spread before the size-based merge.
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = ["_big", "_pack", "_i", "_j"]
     rows = rows.repartition(max(1, min(parts, packs + int(grid))), *cell)
     return rows.groupBy(*cell).applyInPandas(fn, schema)
@@ -319,13 +352,14 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
     """Links between rows whose mean text similarity reaches the threshold, keys not in conflict.
 
     Equal rows collapse to their smallest id first, so many copies of one row are
-    a star, not pairs.  Of the rest only rows sharing an edit key in some column
-    are compared: a mean at the threshold needs one column at the threshold.
+    a star, not pairs.  Of the rest only rows sharing a key (``close_keys``) in some
+    column are compared: a mean at the threshold needs one column at the threshold.
     ``weak`` columns have few values (a country); among rows without nulls their
     agreement alone makes no candidates, since then another column must reach
     (m t - w) / (m - w) of the m columns and w weak ones.  Rows with nulls are
-    still compared over all columns.  Each tile returns a spanning forest of its
-    links, never all of them.
+    still compared over all columns.  Keys of up to ``FEW`` rows only propose pairs,
+    which are compared once; of a larger key each tile returns a spanning forest
+    of its links, never all of them.
     """
     m, w = len(check), len(weak)
     rest = (threshold * m - w) / (m - w)
@@ -348,9 +382,19 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
                                                     for c in texts for size in q])))
 
     def spread(df, which, limit):
-        lists = [F.coalesce(F.transform(edit_keys(f"c{i}", limit, common), lambda k, i=i: F.concat(F.lit(f"{i}"), k)),
-                            empty) for i in which]
-        return df.withColumn("key", F.explode(F.flatten(F.array(*lists))))
+        _check(limit)
+
+        @F.pandas_udf("array<string>")
+        def keys(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: close_keys(t, limit, common))
+
+        def numbered(i):       # a second argument of the lambda would be the key's place in the list
+            return F.transform(keys(f"c{i}"), lambda k: F.xxhash64(F.lit(i), k))
+
+        lists = [numbered(i) for i in which]
+        # The rows are few bytes but their keys much work, so they are spread first; all later passes read the keys.
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return materialize(df.repartition(parts, "id").withColumn("key", F.explode(F.flatten(F.array(*lists)))), "duplicate-keys")
 
     nc, nk = len(check), len(keys)
 
@@ -361,6 +405,9 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
             groups.setdefault(key, ({}, {}))[role][rec[0]] = rec[1:]
         for one, two in groups.values():
             items = sorted({**one, **two}.items())
+            if len(items) <= FEW:       # a pair shares many such keys: it is compared once, after all keys
+                out += [(i, j, False) for (i, _), (j, _) in combinations(items, 2) if not two or i in one or j in one]
+                continue
             root = list(range(len(items)))
 
             def find(x):
@@ -382,22 +429,39 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
                         same = seen[i, j] = _alike(left, right, nc, nk, threshold, known)
                     if same:
                         root[fx] = fy
-                        out.append((i, j))
-        return pd.DataFrame(out, columns=["src", "dst"])
+                        out.append((i, j, True))
+        return pd.DataFrame(out, columns=["src", "dst", "sure"])
+
+    def compare(batches):
+        for pdf in batches:
+            known, left, right = {}, *(zip(*(pdf[f"{side}_{c}"].tolist() for c in cols)) for side in ("src", "dst"))
+            alike = [_alike(a, b, nc, nk, threshold, known) for a, b in zip(left, right)]
+            yield pdf.loc[alike, ["src", "dst"]]
 
     id_type = df.schema[id_col].dataType.simpleString()
     schema = f"src {id_type}, dst {id_type}"
+
+    def linked(rows, sides):
+        found = _tiles(rows, ["key"], link, schema + ", sure boolean", tile_rows, sides)
+        found = materialize(found.groupBy("src", "dst").agg(F.max("sure").alias("sure")), "duplicate-pairs")
+        pairs = found.filter(~F.col("sure")).select("src", "dst")
+        for end in ("src", "dst"):
+            pairs = pairs.join(reps.select(F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in cols]), end)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return found.filter("sure").select("src", "dst").unionByName(
+            pairs.repartition(parts, "src", "dst").mapInPandas(compare, schema))
+
     if not w:
         alone = spread(reps.withColumn("role", F.lit(0)), range(m), threshold)
-        return copies.unionByName(_tiles(alone, ["key"], link, schema, tile_rows, sides=False)).distinct()
+        return copies.unionByName(linked(alone, False)).distinct()
     full = F.lit(True)
     for c in texts:
         full = full & F.col(c).isNotNull()
     strong = [i for i, c in enumerate(check) if c not in weak]
     whole = spread(reps.filter(full).withColumn("role", F.lit(0)), strong, rest)
     holes = reps.filter(~full).withColumn("role", F.lit(0)).unionByName(reps.withColumn("role", F.lit(1)))
-    return (copies.unionByName(_tiles(whole, ["key"], link, schema, tile_rows, sides=False))
-            .unionByName(_tiles(spread(holes, range(m), threshold), ["key"], link, schema, tile_rows)).distinct())
+    return (copies.unionByName(linked(whole, False))
+            .unionByName(linked(spread(holes, range(m), threshold), True)).distinct())
 
 
 def _alike(a, b, nc, nk, threshold, known):

@@ -390,3 +390,44 @@ def test_kmeans_finds_clear_clusters(spark):
     for r in out.collect():
         by.setdefault(r["id"] % 4, set()).add(r["Cluster"])
     assert all(len(s) == 1 for s in by.values()) and len(set().union(*by.values())) == 4
+
+
+# -- keys of duplicate merging ---------------------------------------------------
+
+def test_close_keys_lose_no_pair():
+    rnd = random.Random(11)
+    for threshold in (0.85, 0.9, 0.95):
+        for _ in range(1500):
+            letters = rnd.choice(["ab", "abcdef", "0123456789abcdefghij"])
+            a = "".join(rnd.choices(letters, k=rnd.randint(1, 40)))
+            b = list(a)
+            for _ in range(rnd.randint(0, 5)):
+                at = rnd.randint(0, len(b))
+                b[at:at + rnd.randint(0, 1)] = rnd.choices(letters, k=rnd.randint(0, 1))
+            b = "".join(b)
+            if b and matching_share(a, b) >= threshold:
+                common = {g: rnd.randint(1, 9) for g in (a[:3], "^" + b[:2], b[-3:])}
+                assert set(resolve.close_keys(a, threshold, common)) & set(resolve.close_keys(b, threshold, common)), (a, b)
+
+
+def test_close_keys_hold_few_strangers():
+    """Invented names of 17 letters, none like another: hardly any pairs share a key."""
+    rnd = random.Random(5)
+    names = ["".join(rnd.choices("0123456789abcdef", k=6)) + " mar" + "".join(rnd.choices("0123456789abcdef", k=7)) for _ in range(3000)]
+    common = {" ma": 3, "mar": 2, "6 m": 1}
+    held = {}
+    for n, name in enumerate(names):
+        for key in resolve.close_keys(name, 0.9, common):
+            held.setdefault(key, []).append(n)
+    assert sum(len(h) * (len(h) - 1) // 2 for h in held.values()) < 20 * len(names)
+
+
+def test_merge_duplicates_with_short_keys(spark):
+    """Persons entered three times, one with a letter more: each is one row, found by the few keys of any column."""
+    rnd = random.Random(7)
+    persons = [("".join(rnd.choices("0123456789abcdef", k=6)), "mar" + "".join(rnd.choices("0123456789abcdef", k=7))) for _ in range(40)]
+    data = [(3 * n + i, f"{first} {last}{'s' * (i == 0)}", last + "s" * (i == 0), "n" if i else None)
+            for n, (first, last) in enumerate(persons) for i in range(3)]
+    df = spark.createDataFrame(data, "id int, name string, short string, nation string")
+    got = resolve.merge_duplicates(df, "id", ["name", "short"], ["nation"])
+    assert sorted(r["id"] for r in got.collect()) == [3 * n for n in range(40)]
