@@ -6,9 +6,11 @@ rows, so the number of jobs grows with the passes alone.
 """
 
 import math
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -21,6 +23,8 @@ from ..functions.numeric import round_even
 from ..session import materialize
 from .similarity import column_masks, dot
 
+AT_ONCE = 8
+
 
 def to_vectors(df, cols, out="features"):
     """Assemble numeric columns, or convert one array column, to a vector column; the rows must have all values."""
@@ -58,10 +62,17 @@ def pca_scores(df, cols, k=5):
     return out, model.explainedVariance.toArray(), model.pc.toArray()
 
 
-def _best_start(vectors, k, starts, seed):
-    """The cheapest of several k-means fits."""
-    fits = (KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="Cluster").fit(vectors) for s in range(starts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _best_starts(vectors, ks, starts, seed):
+    """For each k the cheapest of several k-means fits; the fits are short chains of small jobs, so several run at a time."""
+    @inheritable_thread_target(vectors.sparkSession)
+    def fit(task):
+        k, s = task
+        model = KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="Cluster").fit(vectors)
+        return model.summary.trainingCost, model
+
+    with ThreadPool(AT_ONCE) as pool:
+        found = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
+    return {k: min(found[i * starts:(i + 1) * starts], key=lambda f: f[0])[1] for i, k in enumerate(ks)}
 
 
 def kmeans_select(df, cols, k_min=3, k_max=6, starts=20, seed=42):
@@ -77,7 +88,7 @@ def kmeans_select(df, cols, k_min=3, k_max=6, starts=20, seed=42):
         if not 2 <= k_min <= k_max < vectors.count():
             raise ValueError(f"k from {k_min} to {k_max} needs at least 2 clusters and more rows than clusters")
         silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
-        models = {k: _best_start(vectors, k, starts, seed) for k in range(k_min, k_max + 1)}
+        models = _best_starts(vectors, range(k_min, k_max + 1), starts, seed)
         quality = {k: float(silhouette.evaluate(m.transform(vectors))) for k, m in models.items()}
         chosen = models[max(quality, key=lambda k: (quality[k], -k))]
         out = chosen.transform(vectors).drop("features").unionByName(rest.withColumn("Cluster", F.lit(None).cast("int")))

@@ -1,5 +1,8 @@
 """Components and clusters of all groups at once against numpy, group by group."""
 
+import threading
+import types
+
 import numpy as np
 import pytest
 
@@ -86,3 +89,22 @@ def test_separate_leagues_are_separate_tasks(spark):
         assert len(own) >= 3
     teams = staged.select("_w", "_c", "_home").distinct().collect()
     assert all(r["_c"] // 10 == r["_home"] // 10 and r["_c"] <= r["_home"] for r in teams)
+
+
+def test_starts_are_fitted_side_by_side(spark, monkeypatch):
+    """Two fits must meet before either goes on; each k keeps its cheapest start, ties the first."""
+    meet = threading.Barrier(2, timeout=30)
+
+    class Fit:
+        def __init__(self, k, seed, **_):
+            self.k, self.seed = k, seed
+            self.summary = types.SimpleNamespace(trainingCost=float((seed * 7 + k) % 3))
+
+        def fit(self, _):
+            meet.wait()
+            return self
+
+    monkeypatch.setattr(roles, "KMeans", Fit)
+    best = roles._best_starts(spark.range(1), range(3, 5), 4, 42)
+    assert {k: m.seed for k, m in best.items()} == {
+        k: min(range(42, 46), key=lambda s: ((s * 7 + k) % 3, s)) for k in (3, 4)}
