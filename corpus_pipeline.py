@@ -23,7 +23,10 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """Of each group of near-copies (five-word shingles, similarity 0.8) the document with the smallest id; of rows that repeat it, one."""
+    """Of each group of near-copies the document with the smallest id; of rows that repeat it, one.
+
+    Pairs are proposed by the groups of op1's fingerprints and by MinHash bands; the sets of five-word shingles decide (0.8).
+    """
     return simhash.keep_one(docs, shingles.near_copies(docs))
 
 

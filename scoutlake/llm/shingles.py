@@ -1,14 +1,15 @@
-"""Near-copies by the words they share: MinHash candidates, verified by the similarity of their shingle sets.
+"""Near-copies: groups of fingerprints and MinHash bands propose pairs, the similarity of the shingle sets decides.
 
-Two texts are near-copies if their sets of five-word shingles have a Jaccard similarity of ``LEAST`` or more. ``BANDS``
-bands of ``ROWS`` MinHash values propose pairs: a pair at 0.8 shares no band in about 3 of a million cases, one at 0.9 in
-fewer than 1 of 10^11. Every proposed pair is verified with the sets themselves (32-bit hashes of all shingles), so texts
-that are less similar are never linked.
+Two texts are near-copies if their sets of five-word shingles have a Jaccard similarity of ``LEAST`` or more. Pairs are
+proposed by the groups of near fingerprints (``simhash.groups``) and, as edited copies at 0.8 mostly differ in more bits
+than those, by ``BANDS`` bands of ``ROWS`` MinHash values: a pair at 0.8 shares no band in about 3 of a million cases, one
+at 0.9 in fewer than 1 of 10^11. Every proposed pair is verified with the sets themselves (32-bit hashes of all shingles),
+so texts that are less similar are never linked.
 
-Texts with equal sets are one node. In a list of nodes that share a band, each is first compared with one of them, another
-in each band. Only lists of over two nodes that are still in several components go on; there all pairs from different
-components are compared, in tiles of ``TILE`` nodes, so no pair of a list is left out and a large group of near-copies
-does not grow with its square.
+Texts with equal sets are one node. In a list of nodes that share a band or a group, each is first compared with one of
+them, another in each list. Only lists of over two nodes that are still in several components go on; there all pairs from
+different components are compared, in tiles of ``TILE`` nodes, so no pair of a list is left out and a large group of
+near-copies does not grow with its square. Nodes that share no list lose their set before it is compared.
 
 Defined results: texts without words, empty or null, are copies of each other; a text of fewer than five words is one
 shingle; repeated rows are copies; an empty table gives no rows; columns other than id and text are not read.
@@ -17,7 +18,7 @@ shingle; repeated rows are copies; an empty table gives no rows; columns other t
 from pyspark.sql import functions as F
 
 from .common import materialize, small
-from .simhash import components, hashes
+from .simhash import components, groups, hashes, simhash
 
 WORDS = 5
 LEAST = 0.8
@@ -61,26 +62,27 @@ def similar(a, b, least=LEAST):
 
 
 def marks(docs, words=WORDS):
-    """doc_id, hash of the text, node (digest of the set), bands and set of each document."""
+    """doc_id, hash of the text, node (digest of the set), fingerprint, bands and set of each document."""
     def compute(batches):
         import numpy as np
         import pyarrow as pa
         from xxhash import xxh64_intdigest
 
         for batch in small(batches, fresh=True):
-            out = ([], [], [])
+            out = ([], [], [], [])
             for t in batch.column(2).to_pylist():
                 s = shingle_set(t, words)
                 out[0].append(xxh64_intdigest(s.tobytes(), 7))
                 out[1].append(np.array(bands(s), "u8").view("i8"))
                 out[2].append(np.unique(s.astype("<u4")).tobytes())
+                out[3].append(simhash(t))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.array(out[0], "u8").view("i8")),
-                 pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary())],
-                names=["doc_id", "text_hash", "node", "bands", "shingles"])
+                 pa.array(np.array(out[3], "u8").view("i8")), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary())],
+                names=["doc_id", "text_hash", "node", "fp", "bands", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text") \
-        .mapInArrow(compute, "doc_id long, text_hash long, node long, bands array<long>, shingles binary")
+        .mapInArrow(compute, "doc_id long, text_hash long, node long, fp long, bands array<long>, shingles binary")
 
 
 def verified(pairs, sets, least=LEAST):
@@ -137,18 +139,26 @@ def _tile_links(rows, least):
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def links(sets, least=LEAST):
-    """Links among different sets (columns node, bands, shingles) that connect all similar pairs that share a band."""
-    index = sets.select("node", F.explode("bands").alias("key"))
+def proposed(marked):
+    """Lists of two or more nodes that share a band or a group of fingerprints: key, node, first (one node of the list)."""
+    nodes = marked.filter("size(bands) > 0")
+    banded = nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
+    prints = materialize(nodes.select("node", "fp").distinct(), "shingle-fingerprints")
+    grouped = prints.join(groups(prints.select("fp").distinct()), "fp").select("node", F.xxhash64(F.lit("fp"), "root").alias("key"))
+    index = banded.unionByName(grouped.distinct())
     first = F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("first")
     lists = materialize(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1")
-                        .select("key", "n", F.col("first.node").alias("first")), "shingle-lists")
-    pairs = index.join(lists, "key").filter("node <> first") \
+                        .select("key", F.col("first.node").alias("first")), "shingle-lists")
+    return index.join(lists, "key").select("key", "node", "first")
+
+
+def links(index, sets, least=LEAST):
+    """Links among different sets (columns node, shingles) that connect all similar pairs of a list of the index."""
+    pairs = index.filter("node <> first") \
         .select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
     stars = materialize(verified(pairs, sets, least), "shingle-stars")
     roots = components(stars)
-    rooted = sets.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "node", "bands") \
-        .select("root", "node", F.explode("bands").alias("key"))
+    rooted = index.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "node", "key")
     mixed = materialize(rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
                         .filter("n > 2 and low < high").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")),
                         "shingle-mixed")
@@ -167,7 +177,9 @@ def links(sets, least=LEAST):
 def near_copies(docs, words=WORDS, least=LEAST):
     """doc_id, text_hash and root of every document; root names its group of near-copies."""
     marked = materialize(marks(docs, words), "shingles")
-    sets = materialize(marked.filter("size(bands) > 0").select("node", "bands", "shingles").dropDuplicates(["node"]), "shingle-sets")
-    roots = materialize(components(links(sets, least)), "shingle-roots")
+    index = materialize(proposed(marked), "shingle-index")
+    sets = materialize(marked.select("node", "shingles").join(index.select("node").distinct(), "node", "left_semi")
+                       .dropDuplicates(["node"]), "shingle-sets")
+    roots = materialize(components(links(index, sets, least)), "shingle-roots")
     return marked.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left") \
         .select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))

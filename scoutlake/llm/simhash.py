@@ -209,13 +209,17 @@ def components(edges):
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def groups(distinct):
+    """fp and root of each of the different fingerprints; root names those that links lead to."""
+    roots = components(links(distinct.select("fp")))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_copies(docs):
     """doc_id, text_hash, fp and component_id of every document; root names its component even if all ids are null."""
     marked = materialize(fingerprints(docs), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp")))
-    of = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    of = groups(distinct)
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(of.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id", "root"), "components")
     return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "text_hash", "fp", "component_id", "root")

@@ -67,3 +67,18 @@ def test_stage_drops_edited_copies_and_keeps_others(spark, empty):
     assert {r.doc_id for r in kept.collect()} == set(groups(texts, 0.8))
     assert len(simhash.keep_one(frame).collect()) > kept.count()  # four differing bits miss edited copies
     assert cp.drop_near_copies(spark, with_extra(empty), SF).count() == 0
+
+
+def test_fingerprint_groups_propose_pairs(spark, monkeypatch):
+    """Without a common band, near fingerprints still lead to a pair; the sets decide on it."""
+    rng = random.Random(3)
+    texts = []
+    for n in (400, 600, 800):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [" ".join(words), " ".join(words + ["end"])]
+    near = [bin(simhash.simhash(a) ^ simhash.simhash(b)).count("1") for a, b in zip(texts[::2], texts[1::2])]
+    assert max(near) <= simhash.BITS
+    monkeypatch.setattr(shingles, "bands", lambda s: [len(s)])  # another number for each length
+    frame = with_extra(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    root = {r.doc_id: r.root for r in shingles.near_copies(frame).collect()}
+    assert [root[d] == root[d + 1] for d in (0, 2, 4)] == [True] * 3 and len(set(root.values())) == 3
