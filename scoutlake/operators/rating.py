@@ -24,33 +24,37 @@ def competition_weight(col="League", table=None, default=lk.DEFAULT_WEIGHT):
     return F.coalesce(F.try_element_at(table, F.col(col)), F.lit(default))
 
 
-def _margin(diff):
+def _margins(diff):
     """Factor on K for the winner's goal margin; the loser and draws get 1."""
-    if diff <= 1:
-        return 1.0
-    if diff == 2:
-        return 1.5
-    return 1.75 if diff == 3 else 1.75 + (diff - 3) / 8.0
-
-
-def _fold(pdf, home_advantage):
-    """Ratings after each match of teams that meet in a window, in order, from the ratings before it."""
-    pdf = pdf.sort_values(["_date", "_id"], kind="mergesort")
-    rating, home_out, away_out = {}, [], []
-    cols = ("_home", "_away", "_home0", "_away0", "_hs", "_as", "_k")
-    for h, a, h0, a0, hs, as_, k in zip(*(pdf[c].tolist() for c in cols)):
-        rh, ra = rating.get(h, h0), rating.get(a, a0)
-        diff = hs - as_
-        won = 1.0 if diff > 0 else 0.5 if diff == 0 else 0.0
-        exp_h = 1.0 / (1.0 + 10.0 ** (-(rh - ra + home_advantage) / 400.0))
-        exp_a = 1.0 / (1.0 + 10.0 ** (-(ra - rh) / 400.0))
-        rating[h] = rh + k * _margin(diff) * (won - exp_h)
-        rating[a] = ra + k * _margin(-diff) * ((1.0 - won) - exp_a)
-        home_out.append(rating[h])
-        away_out.append(rating[a])
-    out = pdf[["_id", "_date", "_home", "_away"]].copy()
-    out["HomeElo"], out["AwayElo"] = home_out, away_out
-    return out
+    import numpy as np
+
+    return np.select([diff <= 1, diff == 2, diff == 3], [1.0, 1.5, 1.75], 1.75 + (diff - 3) / 8.0)
+
+
+def _fold(batches, home_advantage):
+    """Ratings after each match from those before the window; rows come by component, date and id, batch by batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    component, rating = None, {}
+    for batch in batches:
+        home_out, away_out = [], []
+        of, home, away = (batch.column(c).to_pylist() for c in ("_c", "_home", "_away"))
+        home0, away0, hs, as_, k = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_home0", "_away0", "_hs", "_as", "_k"))
+        won = np.where(hs > as_, 1.0, np.where(hs == as_, 0.5, 0.0))
+        at_home, at_away = k * _margins(hs - as_), k * _margins(as_ - hs)
+        numbers = (x.tolist() for x in (home0, away0, won, at_home, at_away))
+        for c, h, a, h0, a0, w, kh, ka in zip(of, home, away, *numbers):
+            if c != component:
+                component, rating = c, {}
+            rh, ra = rating.get(h, h0), rating.get(a, a0)
+            rating[h] = rh + kh * (w - 1.0 / (1.0 + 10.0 ** (-(rh - ra + home_advantage) / 400.0)))
+            rating[a] = ra + ka * ((1.0 - w) - 1.0 / (1.0 + 10.0 ** (-(ra - rh) / 400.0)))
+            home_out.append(rating[h])
+            away_out.append(rating[a])
+        names = ["_id", "_date", "_home", "_away"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(home_out, pa.float64()),
+                                          pa.array(away_out, pa.float64())], names=[*names, "HomeElo", "AwayElo"])
 
 
 def _meeting(pdf):
@@ -80,21 +84,23 @@ def elo_windows(rows, window_rows):
     cut = materialize(rows.repartitionByRange(windows, "_date", "_id").withColumn("_w", F.spark_partition_id()), "elo-windows")
     team = rows.schema["_home"].dataType.simpleString()
     part = cut.select("_w", "_home", "_away").distinct().groupBy("_w").applyInPandas(_meeting, f"_w int, _home {team}, _c {team}")
-    return materialize(cut.join(part, ["_w", "_home"]), "elo-matches", ["_w"]), windows
+    # dealt by window, so that the files do not grow with windows times tasks
+    return materialize(cut.join(part, ["_w", "_home"]).repartition(windows, "_w"), "elo-matches", ["_w"]), windows
 
 
 def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam",
         home_score="HomeScore", away_score="AwayScore", weight=None, team="ID",
-        start="EloRating", default=1000.0, home_advantage=100.0, window_rows=200_000):
+        start="EloRating", default=1000.0, home_advantage=100.0, window_rows=200_000, chain=20):
     """Elo over all matches in (date, id) order: post-match ratings and the final table.
 
     The rating is a fold over shared teams, so its length is inherent.  The
     matches are range-partitioned by (date, id) into windows of at most about
-    ``window_rows`` matches, written once; the windows follow one another, and
-    within one the teams that meet are folded component by component, each in its
-    own task.  Between windows only one rating per team survives, joined to the
-    next window by key and kept in the scratch folder, so a lost executor costs
-    one window, and no task or driver holds the history.
+    ``chain`` times ``window_rows`` matches, written once; the windows follow one
+    another, a job for each, and within one the teams that meet are folded component
+    by component, sorted by Spark and read batch by batch, so a task holds one batch
+    and the ratings of a component.  Between windows only one rating per team
+    survives, joined to the next window by key and kept in the scratch folder, so a
+    lost executor costs one window, and no task or driver holds the history.
     """
     k = weight if weight is not None else F.lit(float(lk.DEFAULT_WEIGHT))
     rows = matches.select(
@@ -102,7 +108,7 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
         F.col(away).alias("_away"), F.col(home_score).cast("double").alias("_hs"),
         F.col(away_score).cast("double").alias("_as"), k.cast("double").alias("_k"))
     rows = rows.dropna(subset=["_home", "_away", "_hs", "_as"])
-    staged, windows = elo_windows(rows, window_rows)
+    staged, windows = elo_windows(rows, window_rows * chain)
     state = teams.select(F.col(team).alias("_team"), F.col(start).cast("double").alias("_r"))
     state = materialize(state.filter(F.col("_team").isNotNull()).groupBy("_team")
                         .agg(F.max("_r").alias("_r")), "elo-state")
@@ -115,7 +121,8 @@ def elo(matches, teams, match="ID", date="Date", home="HomeTeam", away="AwayTeam
             before = state.select(F.col("_team").alias(side), F.col("_r").alias(side + "0"))
             cur = cur.join(before, side, "left")
         cur = cur.fillna(default, ["_home0", "_away0"])
-        done = materialize(cur.groupBy("_w", "_c").applyInPandas(lambda pdf: _fold(pdf, home_advantage), schema), "elo-out")
+        cur = cur.repartition("_c").sortWithinPartitions("_c", "_date", "_id")
+        done = materialize(cur.mapInArrow(lambda batches: _fold(batches, home_advantage), schema), "elo-out")
         rated = done if rated is None else rated.unionByName(done)
         last = (done.select(F.explode(F.array(
                     F.struct(F.col("_home").alias("_team"), F.col("HomeElo").alias("_n"), "_date", "_id"),

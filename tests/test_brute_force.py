@@ -100,6 +100,35 @@ def test_elo_matches_plain_fold(spark, window_rows):
     assert {r["ID"]: r["EloRating"] for r in table.collect()} == pytest.approx(final)
 
 
+def elo_frames(spark, n):
+    rnd = random.Random(8)
+    data = []
+    for i in range(n):
+        h, a = rnd.sample(range(9), 2)
+        data.append((i, dt.date(2025, 1, 1) + dt.timedelta(days=rnd.randrange(20)), h, a, rnd.randrange(6), rnd.randrange(6), 30.0))
+    m = spark.createDataFrame(data, "ID int, Date date, HomeTeam int, AwayTeam int, HomeScore int, AwayScore int, k double")
+    return data, m, spark.createDataFrame([(t, 950.0) for t in range(9)], "ID int, EloRating double")
+
+
+def test_elo_folds_a_chain_of_windows_in_one_job(spark, monkeypatch):
+    """20 windows of 10 rows are one job's fold: as many frames written as for one window, the same ratings."""
+    data, m, teams = elo_frames(spark, 200)
+    names, write = [], rating.materialize
+    monkeypatch.setattr(rating, "materialize", lambda df, name, *by: names.append(name) or write(df, name, *by))
+    got, _ = rating.elo(m, teams, weight=F.col("k"), window_rows=10)
+    want, _ = plain_elo(data, {t: 950.0 for t in range(9)})
+    assert {r["ID"]: (r["HomeElo"], r["AwayElo"]) for r in got.collect()} == {i: pytest.approx(w) for i, w in want.items()}
+    assert names.count("elo-out") == 1
+
+
+def test_elo_ratings_pass_between_jobs(spark):
+    data, m, teams = elo_frames(spark, 200)
+    got, table = rating.elo(m, teams, weight=F.col("k"), window_rows=10, chain=7)
+    want, final = plain_elo(data, {t: 950.0 for t in range(9)})
+    assert {r["ID"]: (r["HomeElo"], r["AwayElo"]) for r in got.collect()} == {i: pytest.approx(w) for i, w in want.items()}
+    assert {r["ID"]: r["EloRating"] for r in table.collect()} == pytest.approx(final)
+
+
 # -- fuzzy matching ------------------------------------------------------------
 
 def plain_fuzzy(a, b, thr, block):
