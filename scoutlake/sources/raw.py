@@ -14,6 +14,7 @@ from ..functions.text import slug
 from ..operators.aggregate import pivot_qualifiers
 from ..operators.shape import const_map
 from ..operators.windows import next_actor
+from ..session import materialize
 
 # Folder names of the two match-data providers under <league>/<season>.
 FIRST, SECOND = "sofascore", "scoresway"
@@ -245,8 +246,8 @@ def people(df):
 
 
 def squads(df):
-    """(players, staff); staff keep the last team by id."""
-    rows = people(df)
+    """(players, staff); staff keep the last team by id. Documents are parsed once, not for each use of their people."""
+    rows = materialize(people(df), "squad-people")
     keep = [c for c in ("League", "Season") if c in rows.columns]
     staff = rows.filter("type <> 'player'").drop("ShirtNumber", *keep)
     last = staff.groupBy("IdSW").agg(F.max("Team").alias("Team"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoutlake import session
-from scoutlake.sources import sinks
+from scoutlake.sources import raw, sinks
 
 
 def folders(spark):
@@ -88,3 +88,15 @@ def test_functions_take_their_modules_along(spark):
     with session.job(spark, "pickled"):
         got = spark.range(3).rdd.map(lambda r: (bloom.segments_for(r["id"]), session._JOB.get())).collect()
     assert got == [(1, None)] * 3
+
+
+def test_squads_are_parsed_once(spark):
+    """Players, staff and the last team of staff read the people that were parsed, not the documents."""
+    doc = """{"squad": [{"contestantId": "t%d", "person": [{"id": "p%d", "type": "player", "shirtNumber": 4},
+                                                            {"id": "c", "type": "coach", "shortFirstName": "Ann"}]}]}"""
+    docs = spark.createDataFrame([(doc % (i, i), "L", "24") for i in (1, 2)], "doc string, League string, Season string")
+    players, staff = raw.squads(raw.parse_json(docs, "doc", raw.SQUADS, ["League", "Season"]))
+    assert {(r.IdSW, r.Team, r.League, r.ShirtNumber) for r in players.collect()} == {("p1", "t1", "L", 4), ("p2", "t2", "L", 4)}
+    assert {(r.IdSW, r.Type, r.Team) for r in staff.collect()} == {("c", "coach", "t2")}
+    for out in (players, staff):
+        assert "from_json" not in out._jdf.queryExecution().toString()
