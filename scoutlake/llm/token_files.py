@@ -39,8 +39,9 @@ def pack_bits(values, width):
 
     if width == 0:
         return np.zeros((values.shape[0], 0), "u1")
-    bits = (values[:, :, None] >> np.arange(width, dtype="<u4")) & 1
-    return np.packbits(bits.astype("u1").reshape(values.shape[0], -1), axis=1, bitorder="little")
+    rows, n = values.shape
+    bits = np.unpackbits(np.ascontiguousarray(values, "<u4").view("u1").reshape(rows, n, 4), axis=2, bitorder="little")
+    return np.packbits(bits[:, :, :width].reshape(rows, n * width), axis=1, bitorder="little")
 
 
 def unpack_bits(data, n, width):
