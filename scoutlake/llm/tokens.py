@@ -11,6 +11,7 @@ library.
 """
 
 import functools
+import string
 import struct
 
 import regex
@@ -22,6 +23,11 @@ MEMO = 400_000
 PART = 1 << 20
 CUT = regex.compile(r"(?<=\S)(?= \S)")
 SPACE = regex.compile(r"\s")
+#: ASCII signs, and the last letter of the range that holds the same letters in every version of Unicode.
+SIGNS = string.punctuation
+LATIN = "\u024f"
+#: Runs of signs that an encoder remembers.
+RUNS = 4096
 #: Fixed value: the split of byte-level files that name none of their own.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -60,6 +66,8 @@ class Encoder:
         self.vocabulary = functools.partial(tokenizer.get_vocab, with_added_tokens=False)
         self.letters = byte_letters()
         self.young, self.old = {}, {}
+        self.signs = {}
+        self.line_end = None if self.word else self._merge("\n")
 
     def _merge(self, words):
         ids = []
@@ -75,20 +83,43 @@ class Encoder:
         """Ids by the file's own split, without memory."""
         return self._merge(self.split(self.normal(text)))
 
+    def _letters(self, word, blank):
+        """Ids of letters up to ``LATIN`` by a byte file, with a blank before them or without."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.merge("Ġ" + word if blank else word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _signs(self, run):
+        """Ids of ASCII signs that follow letters: one word of a byte file's split."""
+        ids = self.signs.get(run)
+        if ids is None:
+            ids = self._merge([run])
+            if len(self.signs) < RUNS:
+                self.signs[run] = ids
+        return ids
+
     def _word(self, piece):
         """Ids of a piece: as it stands for a word file, with a blank before it for a byte file; None: not a piece."""
         blank = "" if self.word else " "
         if self.word and piece.isascii():
             piece = piece.lower()  # all that the normalizer does to ASCII but for white space, which is dropped
-        if piece.isascii():
+        if blank and (piece.isascii() or self.normal is str):
+            core = piece.rstrip(SIGNS)
+            if core.isalpha() and max(core) <= LATIN:
+                return self._letters(core, True) if core == piece else self._get(core) + self._signs(piece[len(core):])
+        elif piece.isascii():
             if piece.isalpha():
-                ids = [t.id for t in self.merge("Ġ" + piece if blank else piece)]
+                ids = [t.id for t in self.merge(piece)]
                 return struct.pack(f"<{len(ids)}I", *ids)
             if piece[-1:] in (",", ".") and piece[:-1].isalpha():
                 return self._get(piece[:-1]) + self._merge(piece[-1])
         if blank and piece[:1] == "\n":
-            rest = piece[1:]
-            return self._merge("\n") + self._merge(self.split(rest)) if rest and not SPACE.search(rest) else None
+            rest = self.normal(piece[1:])
+            core = rest.rstrip(SIGNS)
+            if core.isalpha() and max(core) <= LATIN:
+                return self.line_end + self._letters(core, False) + (self._signs(rest[len(core):]) if core != rest else b"")
+            return self.line_end + self._merge(self.split(rest)) if rest and not SPACE.search(rest) else None
         if blank and (not piece or SPACE.search(piece)):
             return None
         return self._merge(self.split(self.normal(blank + piece)))
