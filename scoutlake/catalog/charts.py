@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import charts as ch, shape
 from ..operators.similarity import top_similar
 from ..operators.windows import next_actor, pct_rank
+from ..session import materialize
 from .aggregates import rounded
 from .similarity import _PAIRS, _vectors
 from .views import FEED, MATCH, SIDES, STATS, feed, matches, query, r, stats, table
@@ -76,7 +77,8 @@ def v6(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label",
                                               *[F.col("embedding")[i].cast("double").alias(f"m{i}") for i in range(64)])
     long = pct_rank(e, "label", "id", [f"m{i}" for i in range(64)], wide=False).select("id", "metric", "pct")
-    return rounded(ch.similar_mean(top_similar(_vectors(spark, sf), 50), long), 9, "mean_pct")
+    similar = materialize(top_similar(_vectors(spark, sf), 50), "similar")
+    return rounded(ch.similar_mean(similar, long, [f"m{i}" for i in range(64)]), 9, "mean_pct")
 
 
 @query("v7_shot_paths", f"""

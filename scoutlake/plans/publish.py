@@ -173,7 +173,7 @@ def _run(spark, metrics, events, out, season, as_of, slots, coords, position_met
     team_pct = win.pct_rank(agg_team.filter("Matches >= 5").withColumn("Position", F.lit("team")), "Position", "Team",
                             [c for c in team_numeric if c != "Matches"], lk.NEGATIVE_TEAM_METRICS)
     nested["player_similar_mean"] = charts.similar_mean(
-        similar_players, pct.select(F.col("Player").alias("id"), "metric", "pct"))
+        similar_players, pct.select(F.col("Player").alias("id"), "metric", "pct"), wanted)
 
     sinks.write_documents(managers, "manager", f"{out}/entities")
     sinks.write_documents(player_docs, "player", f"{out}/entities")
