@@ -207,17 +207,34 @@ class Tiling:
         return asked.join(subs, "grp").mapInPandas(send, schema)
 
     def own(self, fn, schema):
-        """``fn(grp, ids, matrix, ids, matrix, None)`` of each tile with itself."""
-        def run(pdf):
-            pdf = pdf.sort_values("id")
+        """Frames that ``fn(grp, ids, matrix, ids, matrix, None)`` yields for each tile with itself."""
+        key = ["grp", "pivot", "sub"]
+
+        def compared(held):
+            pdf = pd.concat(held).sort_values("id")
             ids, v = pdf["id"].to_numpy(), np.array(pdf["v"].tolist(), dtype="float64")
-            return _plain(fn(pdf["grp"].iloc[0], ids, v, ids, v, None))
+            for found in fn(pdf["grp"].iloc[0], ids, v, ids, v, None):
+                if len(found):
+                    yield _plain(found)
+
+        def run(batches):
+            held, at = [], None
+            for pdf in batches:
+                for k, part in pdf.groupby(key, sort=False):
+                    if held and k != at:
+                        yield from compared(held)
+                        held = []
+                    at = k
+                    held.append(part)
+            if held:
+                yield from compared(held)
 
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return self.rows.repartition(parts, "grp", "pivot", "sub").groupBy("grp", "pivot", "sub").applyInPandas(run, schema)
+        rows = self.rows.select(*key, "id", "v").repartition(parts, *key).sortWithinPartitions(*key)
+        return rows.mapInPandas(run, schema)
 
     def others(self, sent, fn, schema):
-        """``fn(grp, ids, matrix, ids of the tile, its matrix, least)`` of sent rows, in batches, with the tile they came to."""
+        """Frames that ``fn(grp, ids, matrix, ids of the tile, its matrix, least)`` yields for sent rows, in batches, and the tile they came to."""
         own = self.rows.select("grp", "pivot", "sub", F.lit(0).alias("kind"), "id", "v", F.lit(None).cast("double").alias("least"))
         come = sent.select("grp", "pivot", "sub", F.lit(1).alias("kind"), "id", "v", "least")
         key = ["grp", "pivot", "sub"]
@@ -234,10 +251,10 @@ class Tiling:
                         if len(held) > 1 or isinstance(held[0], pd.DataFrame):
                             tile = pd.concat(held).sort_values("id")
                             held = [(tile["id"].to_numpy(), np.array(tile["v"].tolist(), dtype="float64"))]
-                        found = fn(k[0], part["id"].to_numpy(), np.array(part["v"].tolist(), dtype="float64"), *held[0],
-                                   part["least"].to_numpy())
-                        if len(found):
-                            yield _plain(found)
+                        for found in fn(k[0], part["id"].to_numpy(), np.array(part["v"].tolist(), dtype="float64"), *held[0],
+                                        part["least"].to_numpy()):
+                            if len(found):
+                                yield _plain(found)
 
         return own.unionByName(come).repartition(*key).sortWithinPartitions(*key, "kind").mapInPandas(run, schema)
 
@@ -274,7 +291,6 @@ def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=N
     tiling = Tiling(vectors, tile_rows)
 
     def best(grp, ids, a, others, b, least):
-        out = []
         for at in range(0, len(ids), COMPARED):
             part = slice(at, at + COMPARED)
             sims = _percent(_similarities(a[part], b, metric), metric)
@@ -284,8 +300,7 @@ def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=N
             if least is not None:
                 ranked[ranked < least[part, None]] = -np.inf
             row, col = _first_n(ranked, n)
-            out.append(pd.DataFrame({"grp": [grp] * len(row), "id": ids[part][row], "other": others[col], "similarity": sims[row, col]}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["grp", "id", "other", "similarity"])
+            yield pd.DataFrame({"grp": [grp] * len(row), "id": ids[part][row], "other": others[col], "similarity": sims[row, col]})
 
     schema = f"grp {tiling.types['grp']}, id {tiling.types['id']}, other {tiling.types['id']}, similarity double"
     rank = [round_even("similarity", decimals).desc(), F.col("other")]
@@ -301,11 +316,13 @@ def top_similar(vectors, n=50, metric="cosine", tile_rows=TILE_ROWS, published=N
 
 
 def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS):
-    """Unordered pairs of a group at or over a similarity, each once with a < b."""
+    """Unordered pairs of a group at or over a similarity, each once with a < b, and the number of places of their vectors.
+
+    A task gives its pairs away after each ``COMPARED`` rows.
+    """
     tiling = Tiling(vectors, tile_rows)
 
     def pairs(grp, ids, a, others, b, least):
-        out = []
         for at in range(0, len(ids), COMPARED):
             sims = _percent(_similarities(a[at:at + COMPARED], b, metric), metric)
             hit = sims >= min_percent
@@ -313,10 +330,10 @@ def similarity_pairs(vectors, min_percent, metric="cosine", tile_rows=TILE_ROWS)
                 hit &= np.arange(len(b)) > np.arange(at, at + len(sims))[:, None]
             r, c = np.nonzero(hit)
             x, y = ids[at + r], others[c]
-            out.append(pd.DataFrame({"grp": [grp] * len(r), "a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": sims[r, c]}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["grp", "a", "b", "similarity"])
+            yield pd.DataFrame({"grp": [grp] * len(r), "a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": sims[r, c],
+                                "columns": b.shape[1]})
 
-    schema = f"grp {tiling.types['grp']}, a {tiling.types['id']}, b {tiling.types['id']}, similarity double"
+    schema = f"grp {tiling.types['grp']}, a {tiling.types['id']}, b {tiling.types['id']}, similarity double, columns long"
     found = tiling.own(pairs, schema)
     if not tiling.single:
         found = found.unionByName(tiling.others(tiling.sent(metric, F.lit(float(min_percent)), later=True), pairs, schema))

@@ -120,3 +120,12 @@ def test_pairs_are_never_taken_for_a_small_table(spark):
     out = sim.fit_measures(read, who, of, team_sim, side, side, side.withColumnRenamed("similarity", "PassesCorrelation"), side)
     assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") >= 5
     assert out.count() == 200 * 49
+
+
+def test_pairs_bring_their_columns_without_a_join(spark):
+    """A join by group would sort all pairs of a group in one task."""
+    groups = {"a": (range(60), clustered(60, spread=0.2)), "b": (range(60, 90), clustered(30, d=4, seed=4, spread=0.3))}
+    found = sim.similarity_pairs(frame(spark, groups), 60)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" in plan and "FlatMapGroupsInPandas" not in plan  # a tile's pairs are not one frame
+    assert {(r["grp"], r["columns"]) for r in found.collect()} == {("a", 6), ("b", 4)}
