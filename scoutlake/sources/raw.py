@@ -369,11 +369,11 @@ def scan_kv_lineups(spark, root, calendar_df, seasons=("2425", "2526")):
 def events(df, types=None, deny=None):
     """(playing events in feed order, qualifiers) of all matches.
 
-    ``df`` has ``match`` and the parsed ``liveData``.
+    ``df`` has ``match`` and the parsed ``liveData``. The rows of both are written once, so documents are parsed once.
     """
     types = const_map(lk.EVENT_TYPES if types is None else types)
     deny = lk.NON_PLAYING_TYPES if deny is None else deny
-    rows = df.select("match", F.posexplode("liveData.event").alias("pos", "e"))
+    rows = materialize(df.select("match", F.posexplode("liveData.event").alias("pos", "e")), "event-rows")
     quals = rows.select("match", F.col("e.id").alias("eventId"), "pos",
                         F.posexplode("e.qualifier").alias("qpos", "q")).select(
         "match", "eventId", F.col("pos").cast("long") * 100000 + F.col("qpos").alias("qpos"),

@@ -100,3 +100,15 @@ def test_squads_are_parsed_once(spark):
     assert {(r.IdSW, r.Type, r.Team) for r in staff.collect()} == {("c", "coach", "t2")}
     for out in (players, staff):
         assert "from_json" not in out._jdf.queryExecution().toString()
+
+
+def test_event_documents_are_parsed_once(spark):
+    """Events and qualifiers read the rows that were parsed, not the documents."""
+    doc = """{"liveData": {"event": [{"id": 7, "typeId": 1, "contestantId": "t", "playerId": "p",
+                                      "qualifier": [{"qualifierId": 140, "value": "3.5"}]}]}}"""
+    docs = spark.createDataFrame([(doc, "m")], "doc string, match string")
+    ev, quals = raw.events(raw.parse_json(docs, "doc", raw.EVENTS, ["match"]))
+    assert [(r.match, r.eventId, r.player) for r in ev.collect()] == [("m", 7, "p")]
+    assert [(r.match, r.eventId, r.qualifierId, r.value) for r in quals.collect()] == [("m", 7, 140, "3.5")]
+    for out in (ev, quals):
+        assert "from_json" not in out._jdf.queryExecution().toString()
