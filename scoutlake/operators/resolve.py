@@ -11,6 +11,7 @@ from ..functions.numeric import _col
 from ..functions.text import letter_mask, matching_share, slug, stable_id, word_set, word_set_score
 from ..session import materialize
 from .joins import map_column, outer_match
+from .nearby import near_pairs
 from .shape import (const_map, coalesce_columns, dedup, exact_group_size, fallback_positions,
                     greatest_of, map_by_formation, min_sample, repair_colours, resolve_position,
                     split_name)
@@ -18,6 +19,9 @@ from .windows import dedupe_best, join_counted, latest, top_positions
 
 TILE_ROWS = 1000
 FEW = 8
+# Pairs of a shared key that are compared one by one, pairs in all that need no keys, and the score
+# (one letter of eight exchanged) at which partners inside a block are looked up by keys.
+KEY_PAIRS, BLOCK_PAIRS, NEAR = 4096, 20_000_000, 87.5
 
 
 def _grams(c, q):
@@ -124,31 +128,28 @@ def close_keys(text, threshold, common):
     return list(keys)
 
 
-def word_keys(c, threshold, role, common_words=None, common_grams=None):
-    """Keys of which two strings of different roles share at least one at the threshold.
+def word_keys(words, role, slow, threshold, common_words, common_grams):
+    """Keys of which two texts of different roles share at least one where the shared words alone reach the threshold.
 
-    The word-set score is the best of three ratios.  Comparing the words that
-    differ, an edit touches two letter pairs inside words, so the rarest 2 d + 1
-    pairs of both sides meet.  Comparing one side with the shared words alone,
-    the words it does not share are shorter than 2 (1 - s) of it, so a few of its
-    rarest words, longer than that together, meet all words of the other side.
+    The word-set score is the best of three ratios. Comparing one side with the shared words alone, the words it does
+    not share are shorter than 2 (1 - s) of it, so a few of its rarest words, longer than that together, meet all words
+    of the other side. For the third ratio, between the words that differ, the texts share a rest (``near_pairs``).
+    Texts with too many rests (``slow``) meet by letter pairs: an edit touches two of those inside words, so the rarest
+    2 d + 1 pairs of both sides meet.
     """
-    _check(threshold)
-    words = _words(_col(c))
-    n = F.length(F.array_join(words, " "))
-    grams = F.slice(_rare_first(_word_grams(words), common_grams), F.lit(1), 2 * _edits(n, threshold) + 1)
-    ordered = F.transform(_rare_first(words, common_words), lambda s: s["x"])
-    room = 2.0 * (1.0 - threshold) * n
-    few = F.filter(ordered, lambda w, i: F.length(F.array_join(F.slice(ordered, F.lit(1), i), " ")) <= room)
-
-    def tag(items, name):
-        return F.transform(items, lambda x: F.concat(F.lit(name), x))
-
-    first, second = F.col(role) == 0, F.col(role) == 1
-    return F.when(F.size(words) > 0, F.concat(
-        tag(F.transform(grams, lambda s: s["x"]), "g:"),
-        tag(F.when(first, few).when(second, words), "a:"),
-        tag(F.when(first, words).when(second, few), "b:")))
+    n = sum(map(len, words)) + len(words) - 1
+    few, size = [], 0
+    for w in sorted(words, key=lambda w: (common_words.get(w, 0), w)):
+        if max(size - 1, 0) > 2.0 * (1.0 - threshold) * n + 1e-9:
+            break
+        few.append(w)
+        size += len(w) + 1
+    keys = [("a:" if role == 0 else "b:") + w for w in few] + [("b:" if role == 0 else "a:") + w for w in words]
+    if slow:
+        grams = {pair for w in words for pair in map("".join, zip(f"^{w}", f"{w}$"))}
+        edits = int(2.0 * n * (1.0 - threshold) / threshold + 1e-9)
+        keys += ["g:" + g for g in sorted(grams, key=lambda g: (common_grams.get(g, 0), g))[:2 * edits + 1]]
+    return keys
 
 
 def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
@@ -226,16 +227,67 @@ def best_choices(values, choices, threshold):
             yield value, *best
 
 
+def _best_by_value(values, threshold, keys, tile_rows):
+    """(block, field, value, score, choice) of the tiles of values that share a key: the best choice of each tile."""
+    def score(pdf):
+        groups = {}
+        cols = [pdf[c].tolist() for c in ("block", "field", *keys, "role", "value")]
+        for blk, field, *key, role, value in zip(*cols):
+            groups.setdefault((blk, field, *key), (set(), set()))[role].add(value)
+        found = [(blk, int(field), *best) for (blk, field, *_), sides in groups.items()
+                 for best in best_choices(*sides, threshold)]
+        return pd.DataFrame(found, columns=["block", "field", "value", "score", "choice"])
+
+    return _tiles(values.withColumn("id", F.col("value")), ["block", "field", *keys], score,
+                  "block string, field int, value string, score double, choice string", tile_rows)
+
+
+def _near_by_value(values, threshold, tile_rows):
+    """The same, of all values that reach the threshold: only values that share a word or a rest are compared."""
+    _check(threshold / 100.0)
+    values = values.withColumns({"seed": F.xxhash64("field", "block"), "ref": F.xxhash64("field", "block", "value")})
+    words = _words(F.col("value"))
+    common_words, common_grams = common_items(values, words), common_items(values, _word_grams(words))
+
+    def more(words, role, slow):
+        return word_keys(words, role, slow, threshold / 100.0, common_words, common_grams)
+
+    pairs, large = near_pairs(values.select("ref", "seed", "field", "role", "value"), threshold / 100.0, KEY_PAIRS, more=more)
+    mine = values.filter("role = 0").select(F.col("ref").alias("src"), "block", "field", "value")
+    choices = values.filter("role = 1").select(F.col("ref").alias("dst"), "block", "field", F.col("value").alias("choice"))
+
+    def score(batches):
+        for pdf in batches:
+            known = {}
+            for text in {*pdf["value"], *pdf["choice"]}:
+                known[text] = word_set(text)
+            pdf["score"] = [word_set_score(known[x], known[y], threshold) for x, y in zip(pdf["value"], pdf["choice"])]
+            yield pdf.loc[pdf["score"] >= threshold, ["block", "field", "value", "score", "choice"]]
+
+    schema = "block string, field int, value string, score double, choice string"
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (pairs.join(mine, "src").join(choices, ["dst", "block", "field"]).select("src", "block", "field", "value", "choice")
+             .repartition(parts, "src").mapInPandas(score, schema))
+    if large.isEmpty():
+        return found
+    hot = large.join(values.select("ref", "role", "block", "field", "value"), ["ref", "role"]).select(
+        "key", "role", "block", "field", "value")
+    return found.unionByName(_best_by_value(hot, threshold, ["key"], tile_rows))
+
+
 def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
-                tile_rows=TILE_ROWS):
+                tile_rows=TILE_ROWS, block_pairs=BLOCK_PAIRS):
     """Best partner in the other frame by word-set similarity.
 
     ``fields`` are columns both frames have, in priority order.  Inside a block
     the larger side looks for partners in the smaller one; per field the best
     value at or over the threshold counts (ties: smaller value, smaller id), and
     the best field wins (ties: field order).  Several rows may choose the same
-    partner.  Without a block only values that share a word or an edit key are
-    compared, which loses nothing at thresholds of 85 and more.
+    partner.  Without a block, and in blocks of more than ``block_pairs`` pairs
+    together, only values that share a word or a rest (``near_pairs``) are
+    compared, which loses nothing at thresholds of 85 and more.  At a lower one
+    that finds the partners from ``NEAR`` on; a row that has one needs no other,
+    since the best score counts, and only the rows left meet all of their block.
     """
     def side(df, id_col, role):
         return df.select(
@@ -252,31 +304,26 @@ def fuzzy_match(a, b, fields, threshold, block=None, id_a="IdSS", id_b="IdSW",
     rows = side(a, id_a, 0).unionByName(side(b, id_b, 1)).filter(
         F.col("value").isNotNull() & (F.col("value") != "")).join(swap, "block")
     rows = rows.withColumn("role", F.when(F.col("swap"), 1 - F.col("role")).otherwise(F.col("role")))
-    if block:
-        rows = rows.withColumn("key", F.col("block"))
-    else:
-        words = _words(F.col("value"))
-        rows = rows.withColumn("key", F.explode(word_keys(
-            "value", threshold / 100.0, "role", common_items(rows, words),
-            common_items(rows, _word_grams(words)))))
+    by_value = ["block", "field", "value"]
+    other = rows.filter("role = 1").groupBy("block", "field", F.col("value").alias("choice")).agg(F.min("id").alias("other"))
 
-    def score(pdf):
-        groups = {}
-        cols = [pdf[c].tolist() for c in ("field", "key", "role", "value", "id", "block", "swap")]
-        for field, key, role, value, i, blk, sw in zip(*cols):
-            left, right = groups.setdefault((field, key), ({}, {}))
-            if role == 0:
-                left.setdefault(value, []).append((blk, i, sw))
-            else:
-                right[value] = min(i, right.get(value, i))
-        found = []
-        for (field, _), (left, right) in groups.items():
-            for value, *best in best_choices(left, right, threshold):
-                found += [(blk, i, bool(sw), int(field), best[0], best[1], right[best[1]]) for blk, i, sw in left[value]]
-        return pd.DataFrame(found, columns=["block", "id", "swap", "field", "score", "choice", "other"])
-
-    schema = "block string, id string, swap boolean, field int, score double, choice string, other string"
-    hits = _tiles(rows, ["field", "key"], score, schema, tile_rows)
+    def values(rows):
+        return rows.select("role", *by_value).distinct()
+
+    def partners(rows, found):
+        best = found.groupBy(*by_value).agg(F.min_by(F.struct("score", "choice"), F.struct(-F.col("score"), F.col("choice"))).alias("m"))
+        best = best.select(*by_value, "m.score", "m.choice").join(other, ["block", "field", "choice"])
+        return rows.filter("role = 0").join(best, by_value).select("block", "id", "swap", "field", "score", "choice", "other")
+
+    if block and (counts.agg(F.sum(F.col("sa") * F.col("sb"))).first()[0] or 0) <= block_pairs:
+        hits = partners(rows, _best_by_value(values(rows), threshold, [], tile_rows))
+    elif not block or threshold >= 85:
+        hits = partners(rows, _near_by_value(values(rows), threshold, tile_rows))
+    else:
+        rows = materialize(rows, "names")
+        near = materialize(partners(rows, _near_by_value(values(rows), NEAR, tile_rows)), "near-names")
+        left = rows.join(near.select("block", "id").distinct().withColumn("role", F.lit(0)), ["block", "id", "role"], "left_anti")
+        hits = near.unionByName(partners(left, _best_by_value(values(left), threshold, [], 8 * tile_rows)))
     order = F.struct(-F.col("score"), F.col("choice"), F.col("other"))
     per_field = hits.groupBy("block", "id", "swap", "field").agg(
         F.min_by(F.struct("other", "score"), order).alias("m"))
