@@ -399,8 +399,9 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
     """Links between rows whose mean text similarity reaches the threshold, keys not in conflict.
 
     Equal rows collapse to their smallest id first, so many copies of one row are
-    a star, not pairs.  Of the rest only rows sharing a key (``close_keys``) in some
-    column are compared: a mean at the threshold needs one column at the threshold.
+    a star, not pairs.  Of the rest only rows sharing a key in some column are
+    compared (``near_pairs``; ``close_keys`` for texts with too many rests): a mean
+    at the threshold needs one column at the threshold.
     ``weak`` columns have few values (a country); among rows without nulls their
     agreement alone makes no candidates, since then another column must reach
     (m t - w) / (m - w) of the m columns and w weak ones.  Rows with nulls are
@@ -422,27 +423,12 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
     cond = [F.col("r." + c).eqNullSafe(F.col("p." + c)) for c in cols]
     copies = rows.alias("r").join(reps.alias("p"), cond).filter("r.id <> p.rep").select(
         F.col("p.rep").alias("src"), F.col("r.id").alias("dst"))
-    reps = reps.withColumnRenamed("rep", "id")
+    reps = materialize(reps.withColumnRenamed("rep", "id").withColumn("ref", F.xxhash64("id")), "different-rows")
     empty = F.array().cast("array<string>")
     q = {_gram_size(threshold)} | ({_gram_size(rest)} if w else set())
     common = common_items(reps, F.flatten(F.array(*[F.coalesce(_grams(F.col(c), size), empty)
                                                     for c in texts for size in q])))
 
-    def spread(df, which, limit):
-        _check(limit)
-
-        @F.pandas_udf("array<string>")
-        def keys(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: close_keys(t, limit, common))
-
-        def numbered(i):       # a second argument of the lambda would be the key's place in the list
-            return F.transform(keys(f"c{i}"), lambda k: F.xxhash64(F.lit(i), k))
-
-        lists = [numbered(i) for i in which]
-        # The rows are few bytes but their keys much work, so they are spread first; all later passes read the keys.
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return materialize(df.repartition(parts, "id").withColumn("key", F.explode(F.flatten(F.array(*lists)))), "duplicate-keys")
-
     nc, nk = len(check), len(keys)
 
     def link(pdf):
@@ -488,27 +474,40 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
     id_type = df.schema[id_col].dataType.simpleString()
     schema = f"src {id_type}, dst {id_type}"
 
-    def linked(rows, sides):
-        found = _tiles(rows, ["key"], link, schema + ", sure boolean", tile_rows, sides)
-        found = materialize(found.groupBy("src", "dst").agg(F.max("sure").alias("sure")), "duplicate-pairs")
-        pairs = found.filter(~F.col("sure")).select("src", "dst")
+    def linked(rows, which, limit, sides):
+        _check(limit)
+        texts = rows.select("ref", "role", F.posexplode(F.array(*[f"c{i}" for i in which])).alias("field", "value"))
+        texts = texts.filter(F.length("value") > 0).withColumn("seed", F.xxhash64("field"))
+        pairs, large = near_pairs(texts, limit, FEW * FEW // 2 if sides else FEW, sides, False,
+                                  lambda words, role, slow: close_keys(words[0], limit, common) if slow else ())
         for end in ("src", "dst"):
-            pairs = pairs.join(reps.select(F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in cols]), end)
+            pairs = pairs.join(reps.select(F.col("ref").alias(end), F.col("id").alias(f"{end}_id"), *[
+                F.col(c).alias(f"{end}_{c}") for c in cols]), end)
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return found.filter("sure").select("src", "dst").unionByName(
-            pairs.repartition(parts, "src", "dst").mapInPandas(compare, schema))
+        pairs = pairs.filter("src_id <> dst_id").repartition(parts, "src", "dst").withColumns(
+            {"src": F.least("src_id", "dst_id"), "dst": F.greatest("src_id", "dst_id")}).drop("src_id", "dst_id")
+        found = pairs.mapInPandas(compare, schema)
+        if large.isEmpty():
+            return found
+        # Of a large key each tile returns a spanning forest; the few rows of a tile's corner are again only proposed.
+        links = materialize(_tiles(large.join(rows, ["ref", "role"]), ["key"], link, schema + ", sure boolean", tile_rows, sides)
+                            .groupBy("src", "dst").agg(F.max("sure").alias("sure")), "duplicate-pairs")
+        corner = links.filter(~F.col("sure")).select("src", "dst")
+        for end in ("src", "dst"):
+            corner = corner.join(reps.select(F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in cols]), end)
+        return found.unionByName(links.filter("sure").select("src", "dst")).unionByName(
+            corner.repartition(parts, "src", "dst").mapInPandas(compare, schema))
 
     if not w:
-        alone = spread(reps.withColumn("role", F.lit(0)), range(m), threshold)
-        return copies.unionByName(linked(alone, False)).distinct()
+        return copies.unionByName(linked(reps.withColumn("role", F.lit(0)), range(m), threshold, False)).distinct()
     full = F.lit(True)
     for c in texts:
         full = full & F.col(c).isNotNull()
     strong = [i for i, c in enumerate(check) if c not in weak]
-    whole = spread(reps.filter(full).withColumn("role", F.lit(0)), strong, rest)
+    whole = reps.filter(full).withColumn("role", F.lit(0))
     holes = reps.filter(~full).withColumn("role", F.lit(0)).unionByName(reps.withColumn("role", F.lit(1)))
-    return (copies.unionByName(linked(whole, False))
-            .unionByName(linked(spread(holes, range(m), threshold), True)).distinct())
+    return (copies.unionByName(linked(whole, strong, rest, False))
+            .unionByName(linked(holes, range(m), threshold, True)).distinct())
 
 
 def _alike(a, b, nc, nk, threshold, known):

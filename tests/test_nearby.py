@@ -108,3 +108,14 @@ def test_fuzzy_match_by_keys(spark, monkeypatch, thr, block, few):
     db = spark.createDataFrame(b, "IdSW string, blk int, Name string, ShortName string")
     got = resolve.fuzzy_match(da, db, ["Name", "ShortName"], thr, block="blk" if block else None, tile_rows=12, block_pairs=0)
     assert set(rows(got, "IdSS", "IdSW")) == plain_fuzzy(a, b, thr, block)
+
+
+def test_merge_duplicates_of_one_long_chain(spark):
+    """More rows of a key than are paired, and names of lengths that have no rests, are still one group each."""
+    rnd = random.Random(9)
+    long = "".join(rnd.choices("abcdefghij ", k=70)).strip()
+    data = [(i, f"manchester unite{c}") for i, c in enumerate("abcdefghijklmnop")]
+    data += [(100 + i, long[:20 * i] + c + long[20 * i:]) for i, c in enumerate("xyz")] + [(200, "rayo"), (201, ""), (202, None)]
+    df = spark.createDataFrame(data, "id int, name string")
+    got = resolve.merge_duplicates(df, "id", ["name"], [], tile_rows=6)
+    assert sorted(r["id"] for r in got.collect()) == [0, 100, 200, 201, 202]
