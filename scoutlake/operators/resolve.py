@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import lookups as lk
 from ..functions.numeric import _col
-from ..functions.text import letter_mask, matching_share, slug, stable_id, word_set, word_set_score
+from ..functions.text import lcs_of_many, letter_codes, letter_mask, matching_share, slug, stable_id, word_set, word_set_score
 from ..session import materialize
 from .joins import map_column, outer_match
 from .nearby import near_pairs
@@ -21,7 +21,7 @@ TILE_ROWS = 1000
 FEW = 8
 # Pairs of a shared key that are compared one by one, pairs in all that need no keys, and the score
 # (one letter of eight exchanged) at which partners inside a block are looked up by keys.
-KEY_PAIRS, BLOCK_PAIRS, NEAR = 4096, 20_000_000, 87.5
+KEY_PAIRS, BLOCK_PAIRS, NEAR = 4096, 50_000_000, 87.5
 
 
 def _grams(c, q):
@@ -197,8 +197,8 @@ def _tiles(rows, keys, fn, schema, tile_rows, sides=True):
 def best_choices(values, choices, threshold):
     """(value, score, choice) of the values whose best choice reaches the threshold; ties: smaller choice.
 
-    Lengths and letters of all choices are compared with a value at once; only those that may reach the threshold,
-    and those that share a word with it, are scored.
+    Lengths and letters of all choices are compared with a value at once. Those without a common word that may reach the
+    threshold are scored at once, too; those that share a word one by one, as far as they may beat the best so far.
     """
     choices = [(c, word_set(c)) for c in sorted(choices)]
     size = np.array([len(c[1][1]) for c in choices], "i8")
@@ -208,18 +208,29 @@ def best_choices(values, choices, threshold):
         for w in theirs[0]:
             holders.setdefault(w, []).append(at)
     holders = {w: np.array(at) for w, at in holders.items()}
+    letters, codes = letter_codes([c[1][1] for c in choices])
     for value in values:
         words = word_set(value)
+        total = size + len(words[1])
         least = np.maximum(np.abs(size - len(words[1])), np.bitwise_count(mask ^ np.uint64(words[2])))
-        may = 100.0 - 100.0 * least / np.maximum(size + len(words[1]), 1) >= threshold
+        may = (100.0 - 100.0 * least / np.maximum(total, 1) >= threshold) & (size > 0)
+        shared = np.zeros(len(choices), bool)
         for w in words[0]:
             if w in holders:
-                may[holders[w]] = True
-        best = None
-        for at in np.flatnonzero(may).tolist():
+                shared[holders[w]] = True
+        best, alone = None, np.flatnonzero(may & ~shared)
+        if len(alone) > FEW and codes is not None and 0 < len(words[1]) <= 64:
+            total = total[alone]
+            scores = 100.0 - 100.0 * (total - 2 * lcs_of_many(words[1], letters, codes[alone])) / total
+            top = int(scores.argmax())
+            if scores[top] >= threshold:
+                best = (float(scores[top]), choices[alone[top]][0])
+        else:
+            shared |= may
+        for at in np.flatnonzero(shared).tolist():
             choice, theirs = choices[at]
-            s = word_set_score(words, theirs, threshold)
-            if s >= threshold and (best is None or s > best[0]):
+            s = word_set_score(words, theirs, max(threshold, best[0]) if best else threshold)
+            if s >= threshold and (best is None or (-s, choice) < (-best[0], best[1])):
                 best = (s, choice)
                 if s == 100.0:
                     break

@@ -119,3 +119,14 @@ def test_merge_duplicates_of_one_long_chain(spark):
     df = spark.createDataFrame(data, "id int, name string")
     got = resolve.merge_duplicates(df, "id", ["name"], [], tile_rows=6)
     assert sorted(r["id"] for r in got.collect()) == [0, 100, 200, 201, 202]
+
+
+def test_best_choice_of_many(monkeypatch):
+    """Choices without a common word are scored at once: none of them goes through the score of two texts."""
+    rnd = random.Random(5)
+    values, choices = ({f"mar{rnd.randrange(16 ** 5):05x}" for _ in range(n)} for n in (40, 300))
+    scored, whole = [], resolve.word_set_score
+    monkeypatch.setattr(resolve, "word_set_score", lambda *x: scored.append(1) or whole(*x))
+    got = {v: (s, c) for v, s, c in resolve.best_choices(values, choices, 75)}
+    want = {v: min((-token_set_score(v, c), c) for c in choices) for v in values}
+    assert got == {v: (-s, c) for v, (s, c) in want.items() if -s >= 75} and len(scored) <= len(values)
