@@ -195,13 +195,14 @@ def _meet_sides(keys, refs, other_keys, other_refs, few):
                       (other_keys[rows(lo[big], count[big])], other_refs[rows(lo[big], count[big])], 1)]
 
 
-def near_pairs(rows, threshold, few, sides=True, by_word=True, more=lambda words, role, slow: ()):
+def near_pairs(rows, threshold, few, sides=True, by_word=True, others=lambda needed: lambda words, role, slow: ()):
     """(pairs (src, dst), large keys (key, ref, role)) of texts that share a key.
 
     ``rows`` has ref and seed (long), field and role (int), value. Texts of one seed and field (and, with ``sides``, of
     roles 0 and 1) whose similarity 1 - d / (length of both) reaches the threshold share a key; d are the insertions and
     deletions, ``by_word`` counted between the sorted words without those that both have (every set of words is set
-    aside in turn). Keys are hashes: what meets is to be compared. Keys travel as bytes, a row for a batch and bucket.
+    aside in turn). ``others(whether a text needs other keys)`` gives the function of further keys of a text.
+    Keys are hashes: what meets is to be compared. Keys travel as bytes, a row for a batch and bucket.
     Of keys with more than ``few`` pairs (without sides: rows) the rows are returned, not the pairs.
     """
     spark = rows.sparkSession
@@ -223,7 +224,7 @@ def near_pairs(rows, threshold, few, sides=True, by_word=True, more=lambda words
                .mapInPandas(lengths, "field int, role int, lens array<int>, size int, n long")
                .groupBy("field", "role", "lens", "size").agg(F.sum("n")).collect())
     cuts, slow, total = plan(profile, threshold, sides)
-    cuts = {k: sorted(v) for k, v in cuts.items()}
+    cuts, more = {k: sorted(v) for k, v in cuts.items()}, others(bool(slow))
     buckets = max(1, min(2 * parts, total // 100_000), total // BUCKET_KEYS)
 
     def spread(batches):

@@ -257,13 +257,13 @@ def _near_by_value(values, threshold, tile_rows):
     """The same, of all values that reach the threshold: only values that share a word or a rest are compared."""
     _check(threshold / 100.0)
     values = values.withColumns({"seed": F.xxhash64("field", "block"), "ref": F.xxhash64("field", "block", "value")})
-    words = _words(F.col("value"))
-    common_words, common_grams = common_items(values, words), common_items(values, _word_grams(words))
 
-    def more(words, role, slow):
-        return word_keys(words, role, slow, threshold / 100.0, common_words, common_grams)
+    def others(needed):
+        words = _words(F.col("value"))
+        common_words, common_grams = common_items(values, words), common_items(values, _word_grams(words)) if needed else {}
+        return lambda words, role, slow: word_keys(words, role, slow, threshold / 100.0, common_words, common_grams)
 
-    pairs, large = near_pairs(values.select("ref", "seed", "field", "role", "value"), threshold / 100.0, KEY_PAIRS, more=more)
+    pairs, large = near_pairs(values.select("ref", "seed", "field", "role", "value"), threshold / 100.0, KEY_PAIRS, others=others)
     mine = values.filter("role = 0").select(F.col("ref").alias("src"), "block", "field", "value")
     choices = values.filter("role = 1").select(F.col("ref").alias("dst"), "block", "field", F.col("value").alias("choice"))
 
@@ -437,9 +437,6 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
     reps = materialize(reps.withColumnRenamed("rep", "id").withColumn("ref", F.xxhash64("id")), "different-rows")
     empty = F.array().cast("array<string>")
     q = {_gram_size(threshold)} | ({_gram_size(rest)} if w else set())
-    common = common_items(reps, F.flatten(F.array(*[F.coalesce(_grams(F.col(c), size), empty)
-                                                    for c in texts for size in q])))
-
     nc, nk = len(check), len(keys)
 
     def link(pdf):
@@ -489,8 +486,13 @@ def duplicate_edges(df, id_col, check, keys=(), threshold=0.9, weak=(), tile_row
         _check(limit)
         texts = rows.select("ref", "role", F.posexplode(F.array(*[f"c{i}" for i in which])).alias("field", "value"))
         texts = texts.filter(F.length("value") > 0).withColumn("seed", F.xxhash64("field"))
-        pairs, large = near_pairs(texts, limit, FEW * FEW // 2 if sides else FEW, sides, False,
-                                  lambda words, role, slow: close_keys(words[0], limit, common) if slow else ())
+
+        def others(needed):
+            common = common_items(reps, F.flatten(F.array(*[F.coalesce(_grams(F.col(c), size), empty)
+                                                            for c in cols[:nc] for size in q]))) if needed else {}
+            return lambda words, role, slow: close_keys(words[0], limit, common) if slow else ()
+
+        pairs, large = near_pairs(texts, limit, FEW * FEW // 2 if sides else FEW, sides, False, others)
         for end in ("src", "dst"):
             pairs = pairs.join(reps.select(F.col("ref").alias(end), F.col("id").alias(f"{end}_id"), *[
                 F.col(c).alias(f"{end}_{c}") for c in cols]), end)

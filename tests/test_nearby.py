@@ -88,8 +88,8 @@ def test_few_strangers_meet(spark):
     names = [(i, 0, i >= 1500, n) for i, n in enumerate(hex_names(rnd, 1900))]
     df = spark.createDataFrame(names, "ref long, field int, role boolean, value string").withColumn(
         "role", F.col("role").cast("int")).withColumn("seed", F.lit(1).cast("long"))
-    pairs, large = resolve.near_pairs(df, 0.9, 4096, more=lambda words, role, slow: resolve.word_keys(words, role, slow, 0.9, {
-        "alba": 3, "bruno": 2, "carla": 1}, {}))
+    pairs, large = resolve.near_pairs(df, 0.9, 4096, others=lambda needed: lambda words, role, slow: resolve.word_keys(
+        words, role, slow, 0.9, {"alba": 3, "bruno": 2, "carla": 1}, {}))
     got = {tuple(r) for r in pairs.collect()}
     text = {i: n for i, _, _, n in names}
     want = {(i, j) for i in range(1500) for j in range(1500, 1900) if token_set_score(text[i], text[j]) >= 90}
